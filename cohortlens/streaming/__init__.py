@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The cohort-fact computations are batch transforms over whole tables; they
+have no stream source, watermark, time window, trigger or user state, so
+there is no streaming operator to offer.  The batch operators work on any
+DataFrame, including a micro-batch handed over by ``foreachBatch``.
+"""
