@@ -129,7 +129,7 @@ def first_visits(first_stays: DataFrame, first_ers: DataFrame | None) -> DataFra
     return first_stays.join(first_ers, "person_id", "full_outer")
 
 
-def index_visits(
+def first_index_visits(
     cohort: DataFrame,
     visits: DataFrame,
     members: DataFrame,
@@ -140,11 +140,45 @@ def index_visits(
     before: int = 1,
     after: int = 16,
 ) -> DataFrame:
-    """The cohort with its first stay (id, start, end) and, with ``with_er``, its first ER date."""
+    """Per person of ``cohort``: first stay (id, start, end) and, with ``with_er``, first ER date.
+
+    Only ``person_id`` and the three index dates of ``cohort`` are read.
+    """
     window = dict(require_both=require_both, before=before, after=after)
     stays = first_stay(hospital_stays_near(cohort, visits, **window))
     ers = first_er(er_visits_near(cohort, visits, members, sets, **window)) if with_er else None
-    return cohort.join(first_visits(stays, ers), "person_id", "left")
+    return first_visits(stays, ers)
+
+
+def index_visits(
+    cohort: DataFrame,
+    visits: DataFrame,
+    members: DataFrame,
+    sets: DataFrame,
+    *,
+    with_er: bool = True,
+    require_both: bool = False,
+    before: int = 1,
+    after: int = 16,
+    index_cohort: DataFrame | None = None,
+) -> DataFrame:
+    """The cohort with its first stay (id, start, end) and, with ``with_er``, its first ER date.
+
+    ``index_cohort`` (default: ``cohort``) supplies the person ids and index
+    dates; pass a narrow table with the same persons and dates to keep a wide
+    cohort's lineage out of the visit matching.
+    """
+    firsts = first_index_visits(
+        cohort if index_cohort is None else index_cohort,
+        visits,
+        members,
+        sets,
+        with_er=with_er,
+        require_both=require_both,
+        before=before,
+        after=after,
+    )
+    return cohort.join(firsts, "person_id", "left")
 
 
 # ---- look-ups and checks on visits -------------------------------------------------

@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cohortlens.operators.demographics import clean_demographics
-from cohortlens.operators.enrich import enrich, sample_cohort, with_death
+from cohortlens.operators.enrich import INDEX_DATE, enrich, sample_cohort, with_death
 from cohortlens.operators.flags import event_flags, flag_names, with_person_flags
 from cohortlens.operators.stays import stays_after
 from cohortlens.operators.visits import index_visits
@@ -26,22 +27,39 @@ class FactOptions:
     seed: int = 111
 
 
+def index_cohort(t: Tables, opts: FactOptions = FactOptions()) -> DataFrame:
+    """The sampled cohort restricted to persons with an index date (the persons of the fact)."""
+    return sample_cohort(t.cohort, opts.fraction, opts.seed).where(F.col(INDEX_DATE).isNotNull())
+
+
 def clean_cohort(t: Tables, opts: FactOptions = FactOptions()) -> DataFrame:
     """Sampled, enriched and cleaned cohort (T1-T3)."""
     sampled = sample_cohort(t.cohort, opts.fraction, opts.seed)
     return clean_demographics(enrich(sampled, t.persons, t.location, t.manifest))
 
 
-def cohort_with_flags(t: Tables, clean: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """The cleaned cohort with one comorbidity flag per name (T4-T5)."""
+def cohort_with_flags(
+    t: Tables, clean: DataFrame, names: list[str] | None = None, persons: DataFrame | None = None
+) -> DataFrame:
+    """The cleaned cohort with one comorbidity flag per name (T4-T5).
+
+    ``persons`` (default: ``clean``) restricts the events to the cohort; a
+    narrow table of the same persons keeps the wide lineage out of that join.
+    """
     names = flag_names(t.sets) if names is None else names
-    by_date = event_flags(clean, t.conditions, t.members, t.sets, names)
+    by_date = event_flags(clean if persons is None else persons, t.conditions, t.members, t.sets, names)
     return with_person_flags(clean, by_date, names)
 
 
 def person_fact(t: Tables, opts: FactOptions = FactOptions(), names: list[str] | None = None) -> DataFrame:
-    """One row per cohort person with an index date: demographics, flags, first stay and ER visit."""
-    flagged = cohort_with_flags(t, clean_cohort(t, opts), names)
+    """One row per cohort person with an index date: demographics, flags, first stay and ER visit.
+
+    Flags and visit matching read only the narrow index cohort (person id and
+    index dates, unchanged by enrichment); the wide cleaned cohort meets
+    them in two left joins on ``person_id``.
+    """
+    base = index_cohort(t, opts)
+    flagged = cohort_with_flags(t, clean_cohort(t, opts), names, persons=base)
     return index_visits(
         flagged,
         t.visits,
@@ -51,6 +69,7 @@ def person_fact(t: Tables, opts: FactOptions = FactOptions(), names: list[str] |
         require_both=opts.require_both,
         before=opts.days_before,
         after=opts.days_after,
+        index_cohort=base,
     )
 
 

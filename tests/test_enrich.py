@@ -1,0 +1,66 @@
+"""T1/T2/T8: sample, enrichment joins, deaths."""
+
+from cohortlens.operators.enrich import enrich, sample_cohort, with_death
+from cohortlens.operators.joins import bounded_broadcast, fits
+from tests.util import as_set, d, frame
+
+
+def _tables(spark):
+    cohort = frame(spark, "cohort", [
+        dict(person_id=1, first_poslab_or_diagnosis_date=d("2020-06-01"), first_antigen_or_poslab_or_diagnosis_date=d("2020-06-01")),
+        dict(person_id=2, first_poslab_or_diagnosis_date=d("2020-06-02")),
+        dict(person_id=3, first_poslab_or_diagnosis_date=d("2020-06-03")),
+        dict(person_id=4, first_poslab_or_diagnosis_date=d("2020-06-04")),  # absent from persons
+        dict(person_id=5, first_poslab_or_diagnosis_date=None),  # no index date: dropped
+    ])
+    persons = frame(spark, "persons", [
+        dict(person_id=1, location_id=7, data_partner_id=1, year_of_birth=1980),
+        dict(person_id=2, location_id=None, data_partner_id=1),  # null location
+        dict(person_id=3, location_id=7, data_partner_id=99),  # unknown partner
+    ])
+    location = frame(spark, "location", [dict(location_id=7, city="X", state="S", zip="12345", county="C")])
+    manifest = frame(spark, "manifest", [dict(data_partner_id=1, cdm_name="OMOP", run_date=d("2022-06-10"))])
+    return cohort, persons, location, manifest
+
+
+def test_enrich(spark):
+    out = enrich(*_tables(spark))
+    assert "first_antigen_or_poslab_or_diagnosis_date" not in out.columns
+    assert out.columns[:4] == ["person_id", "first_pos_pcr_antigen_date", "first_pos_diagnosis_date",
+                               "first_poslab_or_diagnosis_date"]
+    assert [c for c in out.columns if c in ("location_id", "data_partner_id")] == ["location_id", "data_partner_id"]
+    assert as_set(out, "person_id", "city", "cdm_name", "year_of_birth") == {
+        (1, "X", "OMOP", 1980), (2, None, "OMOP", None), (3, "X", None, None), (4, None, None, None),
+    }
+
+
+def test_sample(spark):
+    cohort = _tables(spark)[0]
+    assert sample_cohort(cohort).count() == 5
+    assert sample_cohort(cohort, 0.0).count() == 0
+    a = sample_cohort(cohort, 0.5, 3).collect()
+    b = sample_cohort(cohort, 0.5, 3).collect()
+    assert a == b
+
+
+def test_death_keeps_every_record(spark):
+    fact = spark.createDataFrame([(1,), (2,)], "person_id long")
+    death = frame(spark, "death", [
+        dict(person_id=1, data_partner_id=3, death_date=d("2021-01-01")),
+        dict(person_id=1, data_partner_id=4, death_date=d("2021-02-01")),
+    ])
+    out = with_death(fact, death)
+    assert "data_partner_id" not in out.columns
+    assert as_set(out) == {(1, d("2021-01-01")), (1, d("2021-02-01")), (2, None)}
+
+
+def test_bounded_broadcast(spark):
+    small = spark.range(10)
+    assert fits(small, 10) and not fits(small, 9)
+    hinted = bounded_broadcast(small, 100)
+    plain = bounded_broadcast(small, 5)
+    big = spark.range(100_000).withColumnRenamed("id", "k")
+    plan_hinted = big.join(hinted, big.k == hinted.id)._jdf.queryExecution().optimizedPlan().toString()
+    plan_plain = big.join(plain, big.k == plain.id)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan_hinted.lower()
+    assert "broadcast" not in plan_plain.lower()

@@ -1,0 +1,78 @@
+"""Plan shape: pruning, pushdown, broadcast of short lists, exchanges per operator."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from cohortlens.operators.flags import event_flags, flag_names
+from cohortlens.operators.visits import er_visit_dates, first_stay, hospital_stays_near
+from cohortlens.plans.fact import index_cohort, person_fact
+from cohortlens.plans.literal import event_flags_pivot
+from cohortlens.sources.bindings import bound_tables
+from cohortlens.sources.io import read_table
+from cohortlens.sources import schemas
+
+SF = "/root/testdata/sf0.001"
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _exchanges(df) -> int:
+    return len(re.findall(r"Exchange (hashpartitioning|SinglePartition|rangepartitioning)", _plan(df)))
+
+
+def test_scan_prunes_columns_and_pushes_filters(spark):
+    t = bound_tables(spark, SF)
+    er = er_visit_dates(t.visits, t.members, t.sets)
+    plan = _plan(er)
+    lineitem_scan = [line for line in plan.splitlines() if "lineitem.parquet" in line][0]
+    read_schema = re.search(r"ReadSchema: struct<([^>]*)>", lineitem_scan).group(1)
+    assert set(c.split(":")[0] for c in read_schema.split(",")) <= {"l_orderkey", "l_linenumber", "l_shipdate"}
+    assert "PushedFilters" in lineitem_scan
+
+
+def test_er_concepts_are_broadcast_semi_join(spark):
+    t = bound_tables(spark, SF)
+    plan = _plan(er_visit_dates(t.visits, t.members, t.sets))
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def test_conditional_max_has_fewer_aggregations_than_pivot(spark):
+    t = bound_tables(spark, SF)
+    base = index_cohort(t)
+    fixed = event_flags(base, t.conditions, t.members, t.sets, flag_names(t.sets))
+    pivot = event_flags_pivot(base, t.conditions, t.members, t.sets)
+    agg = lambda df: len(re.findall(r"HashAggregate\(keys=\[person_id", _plan(df)))
+    assert agg(fixed) < agg(pivot)
+
+
+def test_first_stay_reuses_join_partitioning(spark):
+    """Window match, distinct and first-per-person add no exchange after the person join."""
+    t = bound_tables(spark, SF)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        near = hospital_stays_near(index_cohort(t), t.visits)
+        plan = _plan(first_stay(near))
+        # the stays distinct, the person join (two sides) and nothing after it
+        top = plan.split("SortMergeJoin")[0]
+        assert "Exchange" not in top.split("SortAggregate")[0] or top.count("Exchange") <= 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_person_fact_has_no_python(spark):
+    plan = _plan(person_fact(bound_tables(spark, SF)))
+    assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+
+
+def test_read_table_declares_schema(spark, scratch):
+    df = spark.createDataFrame([(1, "2020-01-01 00:00:00")], "person_id int, death_date string")
+    df = df.withColumn("death_date", F.to_timestamp("death_date"))
+    df.write.parquet(f"{scratch}/death")
+    got = read_table(spark, f"{scratch}/death", schemas.DEATH)
+    assert got.schema == schemas.DEATH
+    assert got.collect()[0].death_date.isoformat() == "2020-01-01"
