@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.operators.joins import bounded_broadcast
 
 
 def is_current(members: DataFrame) -> Column:
@@ -32,10 +31,13 @@ def er_sets(sets: DataFrame) -> DataFrame:
 def current_members(members: DataFrame, chosen: DataFrame) -> DataFrame:
     """Current concept ids of the chosen sets, with the chosen sets' other columns.
 
-    The chosen sets are a short list; they are broadcast after a size check.
+    The chosen sets are a filtered scan of a short list, so the planner's
+    size check broadcasts them; the result is a derived table whose size
+    the planner cannot bound, so callers that join it to a large table
+    check its size (``bounded_broadcast``) before hinting.
     """
     current = members.where(is_current(members)).select("concept_id", "concept_set_name")
-    return current.join(bounded_broadcast(chosen), "concept_set_name", "inner").drop("concept_set_name")
+    return current.join(chosen, "concept_set_name", "inner").drop("concept_set_name")
 
 
 def er_concepts(members: DataFrame, sets: DataFrame) -> DataFrame:

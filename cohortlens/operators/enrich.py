@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.operators.joins import bounded_broadcast
 
 PERSON_COLUMNS = [
     "year_of_birth", "month_of_birth", "day_of_birth",
@@ -26,11 +25,13 @@ def sample_cohort(cohort: DataFrame, fraction: float = 1.0, seed: int = 111) ->
 def _left_lookup(df: DataFrame, dim: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Left join on ``key`` keeping ``df``'s key column in place and appending ``columns``.
 
-    The dimension side is broadcast only when its size is checked; a null key
-    never matches and AQE splits a partition that a hot key overfills.
+    No hint: the dimension is a plain scan, so the planner's own size check
+    (``autoBroadcastJoinThreshold`` on the file size) broadcasts it when it is
+    small and plans a sort-merge join otherwise.  A null or hot key (one
+    partner or location holding a large share of persons) overfills one
+    partition of the sort-merge join; AQE splits it.
     """
     right = dim.select(F.col(key).alias("__k"), *columns)
-    right = bounded_broadcast(right)
     return df.join(right, F.col(key) == F.col("__k"), "left").drop("__k")
 
 
