@@ -129,6 +129,30 @@ def first_visits(first_stays: DataFrame, first_ers: DataFrame | None) -> DataFra
     return first_stays.join(first_ers, "person_id", "full_outer")
 
 
+def index_events(visits: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Stays and ER-only visits from one scan of ``visits``, distinct.
+
+    Columns: ``person_id``, ``is_stay``, ``macrovisit_id`` and ``end`` (null
+    for ER rows), ``day`` (stay start, or ER visit date).  The ER concept ids
+    are broadcast (size checked) into the scan as a marker column, so stay
+    rows are kept whatever their concept.
+    """
+    er_ids = er_concepts(members, sets).select(F.col("concept_id").alias("visit_concept_id"), F.lit(True).alias("__er"))
+    marked = visits.join(bounded_broadcast(er_ids), "visit_concept_id", "left")
+    is_stay = F.col("macrovisit_start_date").isNotNull()
+    return (
+        marked.where(is_stay | F.col("__er").isNotNull())
+        .select(
+            "person_id",
+            is_stay.alias("is_stay"),
+            F.when(is_stay, F.col("macrovisit_id")).alias("macrovisit_id"),
+            F.coalesce("macrovisit_start_date", "visit_start_date").alias("day"),
+            F.when(is_stay, F.col("macrovisit_end_date")).alias("end"),
+        )
+        .distinct()
+    )
+
+
 def first_index_visits(
     cohort: DataFrame,
     visits: DataFrame,
@@ -142,12 +166,33 @@ def first_index_visits(
 ) -> DataFrame:
     """Per person of ``cohort``: first stay (id, start, end) and, with ``with_er``, first ER date.
 
-    Only ``person_id`` and the three index dates of ``cohort`` are read.
+    Only ``person_id`` and the three index dates of ``cohort`` are read.  With
+    ``with_er`` both kinds come from one pass: one scan of ``visits``, one
+    join to the index dates, one aggregation per person (no full outer join
+    of two per-person tables); a person with only one kind is kept.
     """
     window = dict(require_both=require_both, before=before, after=after)
-    stays = first_stay(hospital_stays_near(cohort, visits, **window))
-    ers = first_er(er_visits_near(cohort, visits, members, sets, **window)) if with_er else None
-    return first_visits(stays, ers)
+    if not with_er:
+        return first_stay(hospital_stays_near(cohort, visits, **window))
+    near_events = (
+        index_events(visits, members, sets)
+        .join(index_dates(cohort), "person_id", "inner")
+        .where(_window_match("day", **window))
+    )
+    stay = F.col("is_stay")
+    best = F.min_by(
+        F.when(stay, F.struct(F.col("macrovisit_id"), F.col("day").alias(STAY_START), F.col("end").alias(STAY_END))),
+        F.when(stay, F.struct("day", "end", "macrovisit_id")),
+    )
+    return near_events.groupBy("person_id").agg(
+        best.alias("s"), F.min(F.when(~stay, F.col("day"))).alias(FIRST_ER)
+    ).select(
+        "person_id",
+        F.col("s.macrovisit_id").alias("macrovisit_id"),
+        F.col(f"s.{STAY_START}").alias(FIRST_STAY_START),
+        F.col(f"s.{STAY_END}").alias(FIRST_STAY_END),
+        FIRST_ER,
+    )
 
 
 def index_visits(

@@ -20,6 +20,7 @@ from cohortlens.operators.visits import (
     busiest,
     er_visits_near,
     first_er,
+    first_index_visits,
     first_stay,
     first_visits,
     hospital_stays_near,
@@ -167,6 +168,11 @@ def q_first_er(spark, sf_dir):
 
 
 def q_first_visits(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return first_index_visits(clean_cohort(t), t.visits, t.members, t.sets)
+
+
+def q_first_visits_full_outer(spark, sf_dir):
     t = _t(spark, sf_dir)
     clean = clean_cohort(t)
     return first_visits(

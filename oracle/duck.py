@@ -334,6 +334,7 @@ def oracle_sql() -> dict[str, str]:
         "first_hosp_window": _q("SELECT * FROM first_hosp"),
         "first_er": _q("SELECT * FROM first_er"),
         "first_visits": _q("SELECT * FROM first_visits"),
+        "first_visits_full_outer": _q("SELECT * FROM first_visits"),
         "first_visits_hosp_only": _q(
             f"SELECT c.person_id, h.macrovisit_id, h.first_COVID_hospitalization_start_date, "
             "h.first_COVID_hospitalization_end_date FROM clean c LEFT JOIN first_hosp h ON h.person_id = c.person_id"

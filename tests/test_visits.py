@@ -118,3 +118,39 @@ def test_first_visits_kinds(spark):
     hosp_only = index_visits(cohort, visits, _members(spark), _sets(spark), with_er=False)
     assert FIRST_ER not in hosp_only.columns
     assert as_set(hosp_only.where("macrovisit_id is not null"), "person_id") == {(1,), (3,)}
+
+
+def test_single_pass_equals_full_outer(spark):
+    import random
+
+    from cohortlens.operators.visits import first_er, first_visits
+
+    rng = random.Random(11)
+    base = dt.date(2020, 6, 1)
+    cohort_rows, visit_rows = [], []
+    for p in range(80):
+        lab = base + dt.timedelta(rng.randint(0, 30)) if rng.random() < 0.9 else None
+        dx = base + dt.timedelta(rng.randint(0, 30)) if rng.random() < 0.8 else None
+        idx = min([x for x in (lab, dx) if x], default=None)
+        cohort_rows.append(dict(person_id=p, first_pos_pcr_antigen_date=lab, first_pos_diagnosis_date=dx,
+                                first_poslab_or_diagnosis_date=idx))
+        for v in range(rng.randint(0, 8)):
+            day = str(base + dt.timedelta(rng.randint(-5, 50)))
+            if rng.random() < 0.5:
+                sid = f"{p}-{rng.randint(0, 3)}"
+                end = str(base + dt.timedelta(rng.randint(50, 60))) if rng.random() < 0.7 else None
+                visit_rows.append(_stay_visit(p, sid, day, end, concept=rng.choice([9201, 9202, 9203])))
+            else:
+                visit_rows.append(_er_visit(p, day, concept=rng.choice([9202, 9203, 9203])))
+    cohort = _cohort(spark, cohort_rows)
+    visits = frame(spark, "visits", visit_rows)
+    members, sets = _members(spark), _sets(spark)
+    cols = ("person_id", "macrovisit_id", FIRST_STAY_START, FIRST_STAY_END, FIRST_ER)
+    for window in (dict(), dict(require_both=True, before=5, after=20)):
+        single = first_index_visits(cohort, visits, members, sets, **window)
+        outer = first_visits(
+            first_stay(hospital_stays_near(cohort, visits, **window)),
+            first_er(er_visits_near(cohort, visits, members, sets, **window)),
+        )
+        assert as_set(single, *cols) == as_set(outer, *cols)
+        assert single.count() == outer.count() > 0
