@@ -198,6 +198,10 @@ def q_person_fact(spark, sf_dir):
     return person_fact(_t(spark, sf_dir), FactOptions())
 
 
+def q_person_fact_literal(spark, sf_dir):
+    return literal.person_fact_literal(_t(spark, sf_dir))
+
+
 def q_person_death(spark, sf_dir):
     t = _t(spark, sf_dir)
     return with_death(person_fact(t), t.death)

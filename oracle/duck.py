@@ -341,6 +341,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "covid_visits": _q("SELECT * FROM fact"),
         "person_fact": _q("SELECT * FROM fact"),
+        "person_fact_literal": _q("SELECT * EXCLUDE (noevent_flag) FROM fact"),
         "person_death": _q(
             "SELECT f.*, d.death_date FROM fact f LEFT JOIN death d ON d.person_id = f.person_id"
         ),
