@@ -8,11 +8,12 @@ re-reads Parquet instead of re-running the joins upstream of the fact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from cohortlens.operators.flags import event_flags, flag_names
 from cohortlens.operators.stays import stays_after
-from cohortlens.operators.visits import visit_code_counts
+from cohortlens.operators.visits import FIRST_STAY_START, visit_code_counts
 from cohortlens.plans.fact import FactOptions, index_cohort, person_death, person_fact
 from cohortlens.sources.io import publish
 from cohortlens.sources.tables import Tables
@@ -20,8 +21,28 @@ from cohortlens.sources.tables import Tables
 FACT = "person_fact"
 
 
-def build_outputs(t: Tables, out_dir: str, opts: FactOptions = FactOptions()) -> dict[str, str]:
-    """Write the fact and its dependants under ``out_dir`` (a shared folder); return name -> path."""
+def with_row_counts(df: DataFrame, name: str, **conditions) -> tuple[DataFrame, Observation]:
+    """``df`` observed: its row count (``rows``) and one count per condition, gathered
+    while the write runs, with no extra job."""
+    obs = Observation(name)
+    metrics = [F.count(F.lit(1)).alias("rows")] + [F.count_if(c).alias(k) for k, c in conditions.items()]
+    return df.observe(obs, *metrics), obs
+
+
+def later_stays_observed(fact: DataFrame, visits: DataFrame) -> tuple[DataFrame, Observation]:
+    """Later stays with the counts the reference prints: all rows, rows of persons with a
+    first index stay, rows of persons without one."""
+    has_first = F.col(FIRST_STAY_START).isNotNull()
+    return with_row_counts(stays_after(fact, visits), "stays_after_index", with_first_stay=has_first, without_first_stay=~has_first)
+
+
+def build_outputs(
+    t: Tables, out_dir: str, opts: FactOptions = FactOptions(), metrics: dict | None = None
+) -> dict[str, str]:
+    """Write the fact and its dependants under ``out_dir`` (a shared folder); return name -> path.
+
+    ``metrics``, when given, receives the observed row counts of each output.
+    """
     spark = t.cohort.sparkSession
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
@@ -30,11 +51,21 @@ def build_outputs(t: Tables, out_dir: str, opts: FactOptions = FactOptions()) ->
         paths[name] = f"{out}/{name}"
         publish(df, paths[name])
 
+    observed: dict[str, Observation] = {}
+
+    def write_observed(name: str, df: DataFrame, obs: Observation | None = None) -> None:
+        if obs is None:
+            df, obs = with_row_counts(df, name)
+        observed[name] = obs
+        write(name, df)
+
     names = flag_names(t.sets)
-    write(FACT, person_fact(t, opts, names))
+    write_observed(FACT, person_fact(t, opts, names))
     fact = spark.read.parquet(paths[FACT])
-    write("comorbidity_by_visit", event_flags(index_cohort(t, opts), t.conditions, t.members, t.sets, names))
-    write("stays_after_index", stays_after(fact, t.visits))
-    write("person_death", person_death(t, fact))
-    write("inpatient_codes_per_stay", visit_code_counts(t.visits))
+    write_observed("comorbidity_by_visit", event_flags(index_cohort(t, opts), t.conditions, t.members, t.sets, names))
+    write_observed("stays_after_index", *later_stays_observed(fact, t.visits))
+    write_observed("person_death", person_death(t, fact))
+    write_observed("inpatient_codes_per_stay", visit_code_counts(t.visits))
+    if metrics is not None:
+        metrics.update({name: obs.get for name, obs in observed.items()})
     return paths

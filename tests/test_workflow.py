@@ -33,3 +33,21 @@ def test_materialize_uses_checkpoint_dir(spark):
     cut = materialize(df, "probe")
     assert sorted(r.id for r in cut.collect()) == list(range(5))
     assert spark.conf.get("spark.checkpoint.dir") in cut.inputFiles()[0]
+
+
+def test_observed_counts_match_the_reference_counts(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from cohortlens.plans.literal import stays_after_two_branch
+
+    t = bound_tables(spark, SF)
+    metrics = {}
+    paths = build_outputs(t, f"{scratch}/out", metrics=metrics)
+    fact = spark.read.parquet(paths["person_fact"])
+    later = metrics["stays_after_index"]
+    assert later["rows"] == spark.read.parquet(paths["stays_after_index"]).count()
+    # the reference counts each branch separately
+    two = stays_after_two_branch(fact, t.visits)
+    has = two.where(F.col("first_COVID_hospitalization_start_date").isNotNull()).count()
+    assert (later["with_first_stay"], later["without_first_stay"]) == (has, two.count() - has)
+    assert metrics["person_fact"]["rows"] == fact.count()
