@@ -34,7 +34,7 @@ def index_dates(cohort: DataFrame) -> DataFrame:
     return cohort.select("person_id", LAB, DIAGNOSIS, INDEX)
 
 
-def _window_match(event_date: str, *, require_both: bool, before: int, after: int):
+def window_match(event_date: str, *, require_both: bool, before: int, after: int):
     """Predicate on joined rows: the event is near the index date (``either``) or near
     the lab date with the diagnosis near the lab date as well (``both``)."""
     if require_both:
@@ -61,7 +61,7 @@ def hospital_stays_near(
     """Stays starting within the window: ``person_id, macrovisit_id`` and stay start and end."""
     stays = stay_rows(visits)
     matched = stays.join(index_dates(cohort), "person_id", "inner").where(
-        _window_match("macrovisit_start_date", require_both=require_both, before=before, after=after)
+        window_match("macrovisit_start_date", require_both=require_both, before=before, after=after)
     )
     return matched.select(
         "person_id",
@@ -95,7 +95,7 @@ def er_visits_near(
     """ER-only visit dates within the window: ``person_id, covid_ER_only_start_date``."""
     dates = er_visit_dates(visits, members, sets)
     matched = dates.join(index_dates(cohort), "person_id", "inner").where(
-        _window_match("visit_start_date", require_both=require_both, before=before, after=after)
+        window_match("visit_start_date", require_both=require_both, before=before, after=after)
     )
     return matched.select("person_id", F.col("visit_start_date").alias(ER_DATE)).distinct()
 
@@ -177,7 +177,7 @@ def first_index_visits(
     near_events = (
         index_events(visits, members, sets)
         .join(index_dates(cohort), "person_id", "inner")
-        .where(_window_match("day", **window))
+        .where(window_match("day", **window))
     )
     stay = F.col("is_stay")
     best = F.min_by(

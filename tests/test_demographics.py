@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from cohortlens.functions.demographics import (
     RACE_ETHNICITY_RULES,
@@ -134,4 +133,3 @@ def test_clean_is_one_narrow_projection(spark):
     assert "Exchange" not in plan
     assert "PythonUDF" not in plan and "ArrowEval" not in plan
     assert out.columns[: len(df.columns)] == df.columns
-    assert F is not None
