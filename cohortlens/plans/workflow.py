@@ -1,9 +1,16 @@
-"""Publish every output of the cohort fact in one run.
-
-The person fact is written first; the outputs built on it (later stays,
-deaths, the three copies the reference publishes under other names) read the
-written table back.  The written table is the lineage cut: a lost executor
-re-reads Parquet instead of re-running the joins upstream of the fact.
+"""Publish every output of the cohort fact, stage by stage.
+
+Each stage is written to the output folder (a shared path) and the next
+stage reads the written table back, the dataset boundaries of the reference:
+sample -> locations -> clean -> comorbidities -> covid visits (the person
+fact) -> later stays and deaths; flags per visit and the visit checks on
+the side.  A written table is the lineage cut: after an executor loss a stage
+re-reads Parquet instead of re-running every join upstream, and a failed run
+can resume from the last written stage.
+
+Row counts of every output are gathered with ``observe`` during the write
+(no extra job), including the two branch counts of the later stays that the
+reference prints.
 """
 
 from __future__ import annotations
@@ -11,10 +18,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from cohortlens.operators.flags import event_flags, flag_names
+from cohortlens.operators.demographics import clean_demographics
+from cohortlens.operators.enrich import INDEX_DATE, enrich, sample_cohort, with_death
+from cohortlens.operators.flags import event_flags, flag_names, with_person_flags
 from cohortlens.operators.stays import stays_after
-from cohortlens.operators.visits import FIRST_STAY_START, visit_code_counts
-from cohortlens.plans.fact import FactOptions, index_cohort, person_death, person_fact
+from cohortlens.operators.visits import (
+    FIRST_STAY_START,
+    first_index_visits,
+    stay_date_variants,
+    stay_timeline,
+    visit_code_counts,
+    visits_of_stay,
+)
+from cohortlens.plans.fact import FactOptions
 from cohortlens.sources.io import publish
 from cohortlens.sources.tables import Tables
 
@@ -33,39 +49,65 @@ def later_stays_observed(fact: DataFrame, visits: DataFrame) -> tuple[DataFrame,
     """Later stays with the counts the reference prints: all rows, rows of persons with a
     first index stay, rows of persons without one."""
     has_first = F.col(FIRST_STAY_START).isNotNull()
-    return with_row_counts(stays_after(fact, visits), "stays_after_index", with_first_stay=has_first, without_first_stay=~has_first)
+    return with_row_counts(
+        stays_after(fact, visits), "stays_after_index", with_first_stay=has_first, without_first_stay=~has_first
+    )
 
 
 def build_outputs(
-    t: Tables, out_dir: str, opts: FactOptions = FactOptions(), metrics: dict | None = None
+    t: Tables,
+    out_dir: str,
+    opts: FactOptions = FactOptions(),
+    metrics: dict | None = None,
+    *,
+    stay_id: str | None = None,
+    person_id: int | None = None,
 ) -> dict[str, str]:
-    """Write the fact and its dependants under ``out_dir`` (a shared folder); return name -> path.
+    """Write every output under ``out_dir`` (a shared folder); return name -> path.
 
     ``metrics``, when given, receives the observed row counts of each output.
+    ``stay_id`` and ``person_id`` add the two look-ups (visits of one stay,
+    stays of one person).
     """
     spark = t.cohort.sparkSession
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
-
-    def write(name: str, df: DataFrame) -> None:
-        paths[name] = f"{out}/{name}"
-        publish(df, paths[name])
-
     observed: dict[str, Observation] = {}
 
-    def write_observed(name: str, df: DataFrame, obs: Observation | None = None) -> None:
+    def stage(name: str, df: DataFrame, obs: Observation | None = None) -> DataFrame:
         if obs is None:
             df, obs = with_row_counts(df, name)
         observed[name] = obs
-        write(name, df)
+        paths[name] = f"{out}/{name}"
+        publish(df, paths[name])
+        return spark.read.parquet(paths[name])
 
     names = flag_names(t.sets)
-    write_observed(FACT, person_fact(t, opts, names))
-    fact = spark.read.parquet(paths[FACT])
-    write_observed("comorbidity_by_visit", event_flags(index_cohort(t, opts), t.conditions, t.members, t.sets, names))
-    write_observed("stays_after_index", *later_stays_observed(fact, t.visits))
-    write_observed("person_death", person_death(t, fact))
-    write_observed("inpatient_codes_per_stay", visit_code_counts(t.visits))
+    sampled = stage("sample_cohort", sample_cohort(t.cohort, opts.fraction, opts.seed))
+    located = stage("enrich_locations", enrich(sampled, t.persons, t.location, t.manifest))
+    clean = stage("clean_demographics", clean_demographics(located))
+    persons = sampled.where(F.col(INDEX_DATE).isNotNull())
+    by_date = stage("comorbidity_by_visit", event_flags(persons, t.conditions, t.members, t.sets, names))
+    flagged = stage("person_with_comorbidities", with_person_flags(clean, by_date, names))
+    firsts = first_index_visits(
+        persons,
+        t.visits,
+        t.members,
+        t.sets,
+        with_er=opts.with_er,
+        require_both=opts.require_both,
+        before=opts.days_before,
+        after=opts.days_after,
+    )
+    fact = stage(FACT, flagged.join(firsts, "person_id", "left"))
+    stage("stays_after_index", *later_stays_observed(fact, t.visits))
+    stage("person_death", with_death(fact, t.death))
+    stage("inpatient_codes_per_stay", visit_code_counts(t.visits))
+    stage("distinct_dates_per_stay", stay_date_variants(t.visits))
+    if stay_id is not None:
+        stage("visits_of_stay", visits_of_stay(t.visits, stay_id))
+    if person_id is not None:
+        stage("stay_timeline", stay_timeline(t.visits, person_id))
     if metrics is not None:
         metrics.update({name: obs.get for name, obs in observed.items()})
     return paths

@@ -19,13 +19,25 @@ def test_publish_round_trip(spark, scratch):
 
 
 def test_build_outputs(spark, scratch):
+    import __spark_entry__ as entry_mod
+
     t = bound_tables(spark, SF)
-    paths = build_outputs(t, f"{scratch}/out")
-    assert set(paths) >= {"person_fact", "stays_after_index", "person_death", "comorbidity_by_visit"}
+    paths = build_outputs(t, f"{scratch}/out", stay_id="1102", person_id=54)
+    assert set(paths) == {
+        "sample_cohort", "enrich_locations", "clean_demographics", "comorbidity_by_visit",
+        "person_with_comorbidities", "person_fact", "stays_after_index", "person_death",
+        "inpatient_codes_per_stay", "distinct_dates_per_stay", "visits_of_stay", "stay_timeline",
+    }
     fact = spark.read.parquet(paths["person_fact"])
     assert fact.count() == fact.select("person_id").distinct().count() > 0
     deaths = spark.read.parquet(paths["person_death"])
     assert deaths.count() >= fact.count()
+    # staged outputs equal the single-plan queries
+    for name in ("person_fact", "stays_after_index", "comorbidity_by_visit", "clean_demographics"):
+        staged = spark.read.parquet(paths[name])
+        direct = entry_mod.queries()[name](spark, SF)
+        assert as_set(staged, *sorted(direct.columns)) == as_set(direct, *sorted(direct.columns)), name
+    assert spark.read.parquet(paths["visits_of_stay"]).count() > 0
 
 
 def test_materialize_uses_checkpoint_dir(spark):
