@@ -51,13 +51,6 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Point ``DataFrame.checkpoint()`` at the session's ``spark.checkpoint.dir``."""
-    path = shared_dir(spark)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table under the shared folder and read it back.
 

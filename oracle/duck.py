@@ -159,7 +159,7 @@ def _window(event: str, before: int, after: int, both: bool) -> str:
     return f"date_diff('day', {event}, i.idx) BETWEEN -{after} AND {before}"
 
 
-def _pipeline(before: int = 1, after: int = 16, both: bool = False) -> str:
+def _fact_ctes(before: int = 1, after: int = 16, both: bool = False) -> str:
     """CTEs from the cohort to the person fact."""
     return f"""
 enriched AS (
@@ -274,7 +274,7 @@ later AS (
 
 
 def _q(final: str, **window) -> str:
-    return f"WITH {BINDINGS},{_pipeline(**window)}\n{final}"
+    return f"WITH {BINDINGS},{_fact_ctes(**window)}\n{final}"
 
 
 def _busiest(key: str) -> str:
