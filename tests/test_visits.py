@@ -154,3 +154,21 @@ def test_single_pass_equals_full_outer(spark):
         )
         assert as_set(single, *cols) == as_set(outer, *cols)
         assert single.count() == outer.count() > 0
+
+
+def test_semi_join_equals_collected_isin(spark):
+    """The broadcast semi join gives the rows of the reference's collect + isin (test only)."""
+    from pyspark.sql import functions as F
+
+    from cohortlens.operators.concepts import er_concepts
+    from cohortlens.sources.bindings import bound_tables
+
+    t = bound_tables(spark, "/root/testdata/sf0.001")
+    ids = [r.concept_id for r in er_concepts(t.members, t.sets).collect()]
+    literal = (
+        t.visits.where(F.col("macrovisit_start_date").isNull() & F.col("visit_concept_id").isin(ids))
+        .select("person_id", "visit_start_date")
+        .distinct()
+    )
+    assert as_set(er_visit_dates(t.visits, t.members, t.sets)) == as_set(literal)
+    assert literal.count() > 0
