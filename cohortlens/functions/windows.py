@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
@@ -23,3 +23,22 @@ def near(index_date: ColumnOrName, event_date: ColumnOrName, before: int, after:
     Null on either side gives null, which a filter treats as false.
     """
     return days_between(index_date, event_date).between(-after, before)
+
+
+def within_span(event_date: ColumnOrName, index: DataFrame, index_date: str, before: int, after: int) -> Column:
+    """Exact prefilter: the event lies in ``[min(index_date) - before, max(index_date) + after]``.
+
+    Any event inside some person's window lies in this span, so the filter
+    never drops a match; it drops the history far from every index date
+    before the first shuffle.  The bounds are one scalar subquery over the
+    (narrow) index table, run once at execution; nothing reaches the driver.
+    No index date at all gives null bounds, which keep no row.
+    """
+    bounds = index.select(
+        F.struct(
+            F.date_sub(F.min(index_date), before).alias("lo"),
+            F.date_add(F.max(index_date), after).alias("hi"),
+        )
+    ).scalar()
+    return _c(event_date).between(bounds.getField("lo"), bounds.getField("hi"))
+

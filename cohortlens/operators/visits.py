@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions.windows import near
+from cohortlens.functions.windows import near, within_span
 from cohortlens.operators.concepts import er_concepts
 from cohortlens.operators.joins import bounded_broadcast
 
@@ -42,6 +42,11 @@ def window_match(event_date: str, *, require_both: bool, before: int, after: int
     return near(INDEX, event_date, before, after)
 
 
+def in_cohort_span(event_date, cohort: DataFrame, *, require_both: bool, before: int, after: int):
+    """Exact date-span prefilter for a window match (see ``functions.windows.within_span``)."""
+    return within_span(event_date, index_dates(cohort), LAB if require_both else INDEX, before, after)
+
+
 def stay_rows(visits: DataFrame, key: str = "macrovisit_start_date") -> DataFrame:
     """Distinct (person, stay id, start, end) of visit rows where ``key`` is set.
 
@@ -59,7 +64,8 @@ def hospital_stays_near(
     cohort: DataFrame, visits: DataFrame, *, require_both: bool = False, before: int = 1, after: int = 16
 ) -> DataFrame:
     """Stays starting within the window: ``person_id, macrovisit_id`` and stay start and end."""
-    stays = stay_rows(visits)
+    span = in_cohort_span("macrovisit_start_date", cohort, require_both=require_both, before=before, after=after)
+    stays = stay_rows(visits.where(span))
     matched = stays.join(index_dates(cohort), "person_id", "inner").where(
         window_match("macrovisit_start_date", require_both=require_both, before=before, after=after)
     )
@@ -93,7 +99,8 @@ def er_visits_near(
     after: int = 16,
 ) -> DataFrame:
     """ER-only visit dates within the window: ``person_id, covid_ER_only_start_date``."""
-    dates = er_visit_dates(visits, members, sets)
+    span = in_cohort_span("visit_start_date", cohort, require_both=require_both, before=before, after=after)
+    dates = er_visit_dates(visits.where(span), members, sets)
     matched = dates.join(index_dates(cohort), "person_id", "inner").where(
         window_match("visit_start_date", require_both=require_both, before=before, after=after)
     )
@@ -174,8 +181,11 @@ def first_index_visits(
     window = dict(require_both=require_both, before=before, after=after)
     if not with_er:
         return first_stay(hospital_stays_near(cohort, visits, **window))
+    span = in_cohort_span(
+        F.coalesce("macrovisit_start_date", "visit_start_date"), cohort, **window
+    )
     near_events = (
-        index_events(visits, members, sets)
+        index_events(visits.where(span), members, sets)
         .join(index_dates(cohort), "person_id", "inner")
         .where(window_match("day", **window))
     )

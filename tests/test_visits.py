@@ -172,3 +172,17 @@ def test_semi_join_equals_collected_isin(spark):
     )
     assert as_set(er_visit_dates(t.visits, t.members, t.sets)) == as_set(literal)
     assert literal.count() > 0
+
+
+def test_span_prefilter_is_exact(spark):
+    from cohortlens.functions.windows import within_span
+
+    cohort = _cohort(spark, [dict(person_id=1, first_poslab_or_diagnosis_date=d("2020-06-10")),
+                             dict(person_id=2, first_poslab_or_diagnosis_date=d("2020-07-01")),
+                             dict(person_id=3, first_poslab_or_diagnosis_date=None)])
+    days = spark.createDataFrame([(d(x),) for x in ("2020-06-08", "2020-06-09", "2020-07-17", "2020-07-18", "2015-01-01")],
+                                 "day date")
+    kept = {r.day.isoformat() for r in days.where(within_span("day", cohort, "first_poslab_or_diagnosis_date", 1, 16)).collect()}
+    assert kept == {"2020-06-09", "2020-07-17"}
+    empty = cohort.where("first_poslab_or_diagnosis_date is null")
+    assert days.where(within_span("day", empty, "first_poslab_or_diagnosis_date", 1, 16)).count() == 0
