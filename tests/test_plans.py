@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from cohortlens.operators.flags import event_flags, flag_names
-from cohortlens.operators.visits import er_visit_dates, first_stay, hospital_stays_near
+from cohortlens.operators.visits import er_visit_dates, first_index_visits, first_stay, hospital_stays_near
 from cohortlens.plans.fact import index_cohort, person_fact
 from cohortlens.plans.literal import event_flags_pivot
 from cohortlens.sources.bindings import bound_tables
@@ -48,22 +48,44 @@ def test_conditional_max_has_fewer_aggregations_than_pivot(spark):
     assert agg(fixed) < agg(pivot)
 
 
-def test_first_stay_reuses_join_partitioning(spark):
-    """Window match, distinct and first-per-person add no exchange after the person join."""
-    t = bound_tables(spark, SF)
+def _without_broadcast(spark, fn):
+    """Plan as on large tables: no size-based broadcast, static plan (AQE off)."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        near = hospital_stays_near(index_cohort(t), t.visits)
-        plan = _plan(first_stay(near))
-        # the stays distinct, the person join (two sides) and nothing after it
-        top = plan.split("SortMergeJoin")[0]
-        assert "Exchange" not in top.split("SortAggregate")[0] or top.count("Exchange") <= 1
+        return fn()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_person_join_partitioning_is_reused(spark):
+    """After the (sort-merge) join on person_id, distinct, window filter, first-per-person
+    and the fact's last left joins add no exchange."""
+    t = bound_tables(spark, SF)
+
+    def plans():
+        base = index_cohort(t)
+        return [
+            _plan(first_stay(hospital_stays_near(base, t.visits))),
+            _plan(first_index_visits(base, t.visits, t.members, t.sets)),
+            _plan(person_fact(t)),
+        ]
+
+    for plan in _without_broadcast(spark, plans):
+        main = plan.split("\nSubquery")[0]
+        assert "SortMergeJoin" in main
+        assert "Exchange" not in main.split("SortMergeJoin")[0]
+
+
+def test_person_fact_exchange_budget(spark):
+    """Regression guard on the number of shuffles of the whole fact on large-table plans
+    (most of them build the test bindings from lineitem and orders)."""
+    t = bound_tables(spark, SF)
+    plan = _without_broadcast(spark, lambda: _plan(person_fact(t)))
+    assert plan.split("\nSubquery")[0].count("Exchange hashpartitioning") <= 27
+
+
 def test_person_fact_has_no_python(spark):
     plan = _plan(person_fact(bound_tables(spark, SF)))
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
