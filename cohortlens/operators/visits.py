@@ -4,12 +4,15 @@ A *stay* is a visit row with a stay start date; an *ER-only* visit has no
 stay start and an ER concept.  Both are matched to the index dates of each
 person within a day window, then reduced to the first one per person.
 
-Plan shape: visit rows are reduced to distinct stays (or distinct ER dates)
-with a partial aggregation before the first shuffle, joined to the index
-dates on ``person_id`` (AQE broadcasts the index side when it is small and
-splits a person key that holds a large share of rows), filtered by the
-window, and reduced per person without a further exchange, since the join
-output is already hash-partitioned by ``person_id``.
+Plan shape: visit rows outside the span of all index dates are dropped in
+the scan stage (an exact prefilter, one scalar subquery over the cohort);
+the rest are reduced to distinct stays (or distinct ER dates) with a
+partial aggregation before the first shuffle, joined to the index dates on
+``person_id`` (AQE broadcasts the index side when it is small and splits a
+person key that holds a large share of rows), filtered by the window, and
+reduced per person without a further exchange, since the join output is
+already hash-partitioned by ``person_id``.  ``first_index_visits`` does
+stays and ER visits in that one pass.
 """
 
 from __future__ import annotations
