@@ -42,3 +42,10 @@ def within_span(event_date: ColumnOrName, index: DataFrame, index_date: str, bef
     ).scalar()
     return _c(event_date).between(bounds.getField("lo"), bounds.getField("hi"))
 
+
+
+def after_earliest(event_date: ColumnOrName, anchors: DataFrame, anchor: ColumnOrName) -> Column:
+    """Exact prefilter for ``anchor < event_date`` per person: the event is after the
+    earliest anchor of all persons.  One scalar subquery over ``anchors``; cheap
+    when ``anchors`` is a written table, costly when it is a long lazy plan."""
+    return _c(event_date) > anchors.select(F.min(_c(anchor))).scalar()

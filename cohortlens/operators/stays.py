@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.functions.windows import after_earliest
 from cohortlens.operators.visits import FIRST_STAY_END, FIRST_STAY_START, INDEX, stay_rows
 
 ANCHOR_COLUMNS = ["person_id", INDEX, FIRST_STAY_START, FIRST_STAY_END]
 
 
-def stays_after(fact: DataFrame, visits: DataFrame) -> DataFrame:
+def stays_after(fact: DataFrame, visits: DataFrame, *, prefilter: bool = False) -> DataFrame:
     """One row per person and later stay.
 
     Columns: ``person_id``, the index date, the first stay's start and end,
@@ -26,11 +27,14 @@ def stays_after(fact: DataFrame, visits: DataFrame) -> DataFrame:
 
     Visit rows are reduced to distinct stays before the join; the join output
     is hash-partitioned by ``person_id``, so the per-stay reduction after it
-    needs no exchange.
+    needs no exchange.  With ``prefilter`` (for a written ``fact``), stays
+    starting before every anchor are dropped in the scan stage first.
     """
     anchors = fact.select(*ANCHOR_COLUMNS).withColumn(
         "__anchor", F.coalesce(F.col(FIRST_STAY_START), F.col(INDEX))
     )
+    if prefilter:
+        visits = visits.where(after_earliest("macrovisit_start_date", anchors, "__anchor"))
     stays = stay_rows(visits, key="macrovisit_id")
     later = anchors.join(stays, "person_id", "inner").where(F.col("__anchor") < F.col("macrovisit_start_date"))
     order = F.struct("macrovisit_start_date", "macrovisit_end_date")

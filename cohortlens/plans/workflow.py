@@ -47,11 +47,11 @@ def with_row_counts(df: DataFrame, name: str, **conditions) -> tuple[DataFrame,
 
 def later_stays_observed(fact: DataFrame, visits: DataFrame) -> tuple[DataFrame, Observation]:
     """Later stays with the counts the reference prints: all rows, rows of persons with a
-    first index stay, rows of persons without one."""
+    first index stay, rows of persons without one.  ``fact`` is the written table, so
+    the earliest-anchor prefilter is one cheap aggregate over it."""
     has_first = F.col(FIRST_STAY_START).isNotNull()
-    return with_row_counts(
-        stays_after(fact, visits), "stays_after_index", with_first_stay=has_first, without_first_stay=~has_first
-    )
+    later = stays_after(fact, visits, prefilter=True)
+    return with_row_counts(later, "stays_after_index", with_first_stay=has_first, without_first_stay=~has_first)
 
 
 def build_outputs(

@@ -75,3 +75,16 @@ def test_single_pass_equals_two_branches(spark):
     assert sorted(single.columns) == sorted(literal.columns)
     assert as_set(single, *sorted(single.columns)) == as_set(literal, *sorted(single.columns))
     assert single.count() == literal.count() > 0
+
+
+def test_prefilter_changes_nothing(spark):
+    fact = _fact(spark, [
+        (1, d("2020-06-01"), d("2020-06-05"), d("2020-06-07"), "s1"),
+        (2, d("2020-03-01"), None, None, None),
+    ])
+    visits = frame(spark, "visits", [
+        _stay(1, "a", "2019-01-01"), _stay(1, "b", "2020-06-06"), _stay(2, "c", "2020-03-01"),
+        _stay(2, "d", "2020-03-02", "2020-03-05"), _stay(2, "e", "2018-01-01"),
+    ])
+    assert as_set(stays_after(fact, visits, prefilter=True)) == as_set(stays_after(fact, visits))
+    assert as_set(stays_after(fact, visits), "macrovisit_id") == {("b",), ("d",)}
