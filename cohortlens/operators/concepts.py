@@ -40,6 +40,11 @@ def current_members(members: DataFrame, chosen: DataFrame) -> DataFrame:
     return current.join(chosen, "concept_set_name", "inner").drop("concept_set_name")
 
 
+def er_members(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Current concept ids of the ER-only sets, one row per membership (duplicates kept)."""
+    return current_members(members, er_sets(sets)).select("concept_id")
+
+
 def er_concepts(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Distinct current concept ids of the ER-only sets (one column, ``concept_id``)."""
-    return current_members(members, er_sets(sets)).select("concept_id").distinct()
+    return er_members(members, sets).distinct()

@@ -27,7 +27,11 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``df`` with a broadcast hint if its row count is within the bound, else ``df`` unchanged."""
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None, *, superset: DataFrame | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its row count is within the bound, else ``df`` unchanged.
+
+    ``superset``, if given, is counted instead: a DataFrame with at least as
+    many rows as ``df`` that is cheaper to count (``df`` before a distinct).
+    """
     bound = max_broadcast_rows(df) if max_rows is None else max_rows
-    return F.broadcast(df) if fits(df, bound) else df
+    return F.broadcast(df) if fits(df if superset is None else superset, bound) else df

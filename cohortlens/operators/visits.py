@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.windows import near, within_span
-from cohortlens.operators.concepts import er_concepts
+from cohortlens.operators.concepts import er_concepts, er_members
 from cohortlens.operators.joins import bounded_broadcast
 
 LAB, DIAGNOSIS, INDEX = "first_pos_pcr_antigen_date", "first_pos_diagnosis_date", "first_poslab_or_diagnosis_date"
@@ -82,7 +82,10 @@ def hospital_stays_near(
 
 def er_visit_dates(visits: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
     """Distinct (person, date) of ER-only visits: no stay start, a current ER concept."""
-    er_ids = bounded_broadcast(er_concepts(members, sets).withColumnRenamed("concept_id", "visit_concept_id"))
+    er_ids = bounded_broadcast(
+        er_concepts(members, sets).withColumnRenamed("concept_id", "visit_concept_id"),
+        superset=er_members(members, sets),
+    )
     return (
         visits.where(F.col("macrovisit_start_date").isNull())
         .join(er_ids, "visit_concept_id", "left_semi")
@@ -148,7 +151,7 @@ def index_events(visits: DataFrame, members: DataFrame, sets: DataFrame) -> Data
     rows are kept whatever their concept.
     """
     er_ids = er_concepts(members, sets).select(F.col("concept_id").alias("visit_concept_id"), F.lit(True).alias("__er"))
-    marked = visits.join(bounded_broadcast(er_ids), "visit_concept_id", "left")
+    marked = visits.join(bounded_broadcast(er_ids, superset=er_members(members, sets)), "visit_concept_id", "left")
     is_stay = F.col("macrovisit_start_date").isNotNull()
     return (
         marked.where(is_stay | F.col("__er").isNotNull())
