@@ -28,14 +28,16 @@ SETTINGS = {
 
 
 def build_session(
-    master: str = "local[*]",
+    master: str | None = "local[*]",
     *,
     app: str = "cohortlens",
     shuffle_partitions: int = 8,
     checkpoint_dir: str | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+    builder = SparkSession.builder.appName(app)
+    if master:  # None: keep the master given by spark-submit or the cluster
+        builder = builder.master(master)
     conf = dict(SETTINGS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -63,3 +63,12 @@ def test_observed_counts_match_the_reference_counts(spark, scratch):
     has = two.where(F.col("first_COVID_hospitalization_start_date").isNotNull()).count()
     assert (later["with_first_stay"], later["without_first_stay"]) == (has, two.count() - has)
     assert metrics["person_fact"]["rows"] == fact.count()
+
+
+def test_command_line(spark, scratch):
+    from cohortlens.__main__ import main
+
+    report = main([f"{scratch}/cli", "--test-tables", SF, "--shuffle-partitions", "4"])
+    assert report["person_fact"]["rows"] == spark.read.parquet(report["person_fact"]["path"]).count() > 0
+    later = report["stays_after_index"]
+    assert later["rows"] == later["with_first_stay"] + later["without_first_stay"]
