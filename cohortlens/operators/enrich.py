@@ -44,6 +44,17 @@ def enrich(cohort: DataFrame, persons: DataFrame, location: DataFrame, manifest:
     return _left_lookup(with_location, manifest, "data_partner_id", MANIFEST_COLUMNS)
 
 
-def with_death(fact: DataFrame, death: DataFrame) -> DataFrame:
-    """Every death record of each person (several records give several rows)."""
-    return fact.join(death.drop("data_partner_id"), "person_id", "left")
+def with_death(fact: DataFrame, death: DataFrame, *, earliest: bool = False) -> DataFrame:
+    """Every death record of each person (several records give several rows).
+
+    With ``earliest``, one record per person: the one with the earliest
+    ``death_date`` (nulls last, then the smallest record as a whole), taken
+    whole with ``min_by``, aggregated partially before its shuffle.
+    """
+    records = death.drop("data_partner_id")
+    if earliest:
+        others = [c for c in records.columns if c != "person_id"]
+        row = F.struct(*others)
+        order = F.struct(F.col("death_date").isNull(), F.col("death_date"), row)
+        records = records.groupBy("person_id").agg(F.min_by(row, order).alias("r")).select("person_id", "r.*")
+    return fact.join(records, "person_id", "left")

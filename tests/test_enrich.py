@@ -64,3 +64,16 @@ def test_bounded_broadcast(spark):
     plan_plain = big.join(plain, big.k == plain.id)._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan_hinted.lower()
     assert "broadcast" not in plan_plain.lower()
+
+
+def test_death_earliest_option(spark):
+    fact = spark.createDataFrame([(1,), (2,), (3,)], "person_id long")
+    death = frame(spark, "death", [
+        dict(person_id=1, data_partner_id=3, death_date=d("2021-02-01")),
+        dict(person_id=1, data_partner_id=4, death_date=d("2021-01-01")),
+        dict(person_id=3, data_partner_id=4, death_date=None),
+        dict(person_id=3, data_partner_id=5, death_date=d("2022-01-01")),
+    ])
+    out = with_death(fact, death, earliest=True)
+    assert out.columns == ["person_id", "death_date"]
+    assert as_set(out) == {(1, d("2021-01-01")), (2, None), (3, d("2022-01-01"))}
