@@ -48,8 +48,11 @@ def event_flags(
 
     Plan: the concept list is broadcast (size checked) into the scan of
     conditions, the flags are pre-aggregated per (person, date) before the
-    shuffle, and only then restricted to the cohort by a semi join, so a
-    person with a huge share of the events is spread over tasks by date.
+    shuffle (keyed by person and date, so a person with a huge share of the
+    events is spread over tasks), and the result is restricted to the cohort
+    by a semi join.  When the cohort's ids are small enough to broadcast,
+    Catalyst moves that semi join below the aggregation into the scan stage;
+    otherwise it stays after the aggregation, on pre-aggregated rows.
     """
     names = flag_names(sets) if names is None else list(names)
     concepts = current_members(members, comorbidity_sets(sets)).where(F.col("column_name").isin(names))

@@ -24,6 +24,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # scan splits and shuffle partitions of about 128 MB: set the shuffle
+    # partition count high for the largest stage (about input bytes / 128 MB)
+    # and let AQE coalesce the smaller ones.
+    "spark.sql.files.maxPartitionBytes": "128m",
 }
 
 
