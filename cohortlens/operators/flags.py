@@ -40,11 +40,16 @@ def event_flags(
     members: DataFrame,
     sets: DataFrame,
     names: list[str] | None = None,
+    *,
+    until: str | None = None,
 ) -> DataFrame:
     """One row per cohort person and condition date with at least one matched concept.
 
     Columns: ``person_id``, ``comorbidity_start_date``, one int flag per name.
-    Conditions without a date are dropped; conditions at any time count.
+    Conditions without a date are dropped; conditions at any time count,
+    unless ``until`` names a date column of ``cohort``: then only conditions
+    on or before the person's date count (a person without that date gets
+    no flags).
 
     Plan: the concept list is broadcast (size checked) into the scan of
     conditions, the flags are pre-aggregated per (person, date) before the
@@ -66,10 +71,15 @@ def event_flags(
         )
         .join(concepts, "concept_id", "inner")
     )
+    if until is not None:
+        bound = cohort.select("person_id", F.col(until).alias("__until"))
+        events = events.join(bound, "person_id", "inner").where(F.col("comorbidity_start_date") <= F.col("__until"))
     if names:
         by_date = events.groupBy("person_id", "comorbidity_start_date").agg(*_flag_columns(names))
     else:
         by_date = events.select("person_id", "comorbidity_start_date").distinct()
+    if until is not None:
+        return by_date  # already restricted to the cohort by the inner join
     return by_date.join(cohort.select("person_id"), "person_id", "left_semi")
 
 

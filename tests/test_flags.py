@@ -83,3 +83,13 @@ def test_string_version_flag(spark):
     a = event_flags(cohort, conditions, as_text, sets)
     b = event_flags(cohort, conditions, members, sets)
     assert as_set(a) == as_set(b)
+
+
+def test_until_bounds_conditions_by_cohort_date(spark):
+    cohort, conditions, members, sets = _tables(spark)
+    out = event_flags(cohort, conditions, members, sets, until="first_poslab_or_diagnosis_date")
+    assert as_set(out) == {(1, d("2019-01-01"), 1, 1, 0)}  # the 2021 condition is after the index date
+    from pyspark.sql import functions as F
+
+    no_date = cohort.withColumn("first_poslab_or_diagnosis_date", F.lit(None).cast("date"))
+    assert event_flags(no_date, conditions, members, sets, until="first_poslab_or_diagnosis_date").count() == 0
