@@ -33,6 +33,7 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--after", type=int, default=16, help="days after the index date")
     ap.add_argument("--fraction", type=float, default=1.0, help="cohort sample fraction")
     ap.add_argument("--seed", type=int, default=111, help="cohort sample seed")
+    ap.add_argument("--flags-until-index", action="store_true", help="count only conditions up to the index date")
     ap.add_argument("--stay-id", default=None, help="also list the visits of this stay")
     ap.add_argument("--person-id", type=int, default=None, help="also list the stays of this person")
     args = ap.parse_args(argv)
@@ -50,6 +51,7 @@ def main(argv: list[str] | None = None) -> dict:
         days_after=args.after,
         fraction=args.fraction,
         seed=args.seed,
+        flags_until="first_poslab_or_diagnosis_date" if args.flags_until_index else None,
     )
     metrics: dict = {}
     paths = build_outputs(tables, args.out_dir, opts, metrics, stay_id=args.stay_id, person_id=args.person_id)

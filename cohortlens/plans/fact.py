@@ -25,6 +25,7 @@ class FactOptions:
     days_after: int = 16
     fraction: float = 1.0
     seed: int = 111
+    flags_until: str | None = None  # e.g. the index date: only conditions on or before it count
 
 
 def index_cohort(t: Tables, opts: FactOptions = FactOptions()) -> DataFrame:
@@ -39,7 +40,11 @@ def clean_cohort(t: Tables, opts: FactOptions = FactOptions()) -> DataFrame:
 
 
 def cohort_with_flags(
-    t: Tables, clean: DataFrame, names: list[str] | None = None, persons: DataFrame | None = None
+    t: Tables,
+    clean: DataFrame,
+    names: list[str] | None = None,
+    persons: DataFrame | None = None,
+    until: str | None = None,
 ) -> DataFrame:
     """The cleaned cohort with one comorbidity flag per name (T4-T5).
 
@@ -47,7 +52,7 @@ def cohort_with_flags(
     narrow table of the same persons keeps the wide lineage out of that join.
     """
     names = flag_names(t.sets) if names is None else names
-    by_date = event_flags(clean if persons is None else persons, t.conditions, t.members, t.sets, names)
+    by_date = event_flags(clean if persons is None else persons, t.conditions, t.members, t.sets, names, until=until)
     return with_person_flags(clean, by_date, names)
 
 
@@ -59,7 +64,7 @@ def person_fact(t: Tables, opts: FactOptions = FactOptions(), names: list[str] |
     them in two left joins on ``person_id``.
     """
     base = index_cohort(t, opts)
-    flagged = cohort_with_flags(t, clean_cohort(t, opts), names, persons=base)
+    flagged = cohort_with_flags(t, clean_cohort(t, opts), names, persons=base, until=opts.flags_until)
     return index_visits(
         flagged,
         t.visits,

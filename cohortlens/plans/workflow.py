@@ -87,7 +87,9 @@ def build_outputs(
     located = stage("enrich_locations", enrich(sampled, t.persons, t.location, t.manifest))
     clean = stage("clean_demographics", clean_demographics(located))
     persons = sampled.where(F.col(INDEX_DATE).isNotNull())
-    by_date = stage("comorbidity_by_visit", event_flags(persons, t.conditions, t.members, t.sets, names))
+    by_date = stage(
+        "comorbidity_by_visit", event_flags(persons, t.conditions, t.members, t.sets, names, until=opts.flags_until)
+    )
     flagged = stage("person_with_comorbidities", with_person_flags(clean, by_date, names))
     firsts = first_index_visits(
         persons,

@@ -72,3 +72,16 @@ def test_command_line(spark, scratch):
     assert report["person_fact"]["rows"] == spark.read.parquet(report["person_fact"]["path"]).count() > 0
     later = report["stays_after_index"]
     assert later["rows"] == later["with_first_stay"] + later["without_first_stay"]
+
+
+def test_fact_flags_until_index(spark):
+    from pyspark.sql import functions as F
+
+    from cohortlens.plans.fact import FactOptions
+
+    t = bound_tables(spark, SF)
+    anytime = person_fact(t)
+    bounded = person_fact(t, FactOptions(flags_until="first_poslab_or_diagnosis_date"))
+    assert bounded.count() == anytime.count()
+    total = lambda df: df.select(F.sum(F.col("large_flag") + F.col("promo_flag") + F.col("small_flag"))).first()[0]
+    assert total(bounded) <= total(anytime)
