@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.windows import near, within_span
 from cohortlens.operators.concepts import er_concepts, er_members
+from cohortlens.operators.events import events_in_window, first_event
 from cohortlens.operators.joins import bounded_broadcast
 
 LAB, DIAGNOSIS, INDEX = "first_pos_pcr_antigen_date", "first_pos_diagnosis_date", "first_poslab_or_diagnosis_date"
@@ -63,15 +64,22 @@ def stay_rows(visits: DataFrame, key: str = "macrovisit_start_date") -> DataFram
     )
 
 
+def _index_window(event_date: str, *, require_both: bool, before: int, after: int) -> dict:
+    """Arguments of ``events_in_window`` for the ``either`` or ``both`` rule."""
+    if require_both:
+        return dict(index_date=LAB, event_date=event_date, before=before, after=after,
+                    also=near(LAB, DIAGNOSIS, before, after))
+    return dict(index_date=INDEX, event_date=event_date, before=before, after=after)
+
+
 def hospital_stays_near(
     cohort: DataFrame, visits: DataFrame, *, require_both: bool = False, before: int = 1, after: int = 16
 ) -> DataFrame:
     """Stays starting within the window: ``person_id, macrovisit_id`` and stay start and end."""
     span = in_cohort_span("macrovisit_start_date", cohort, require_both=require_both, before=before, after=after)
     stays = stay_rows(visits.where(span))
-    matched = stays.join(index_dates(cohort), "person_id", "inner").where(
-        window_match("macrovisit_start_date", require_both=require_both, before=before, after=after)
-    )
+    window = _index_window("macrovisit_start_date", require_both=require_both, before=before, after=after)
+    matched = events_in_window(index_dates(cohort), stays, prefilter=False, **window)
     return matched.select(
         "person_id",
         "macrovisit_id",
@@ -107,9 +115,8 @@ def er_visits_near(
     """ER-only visit dates within the window: ``person_id, covid_ER_only_start_date``."""
     span = in_cohort_span("visit_start_date", cohort, require_both=require_both, before=before, after=after)
     dates = er_visit_dates(visits.where(span), members, sets)
-    matched = dates.join(index_dates(cohort), "person_id", "inner").where(
-        window_match("visit_start_date", require_both=require_both, before=before, after=after)
-    )
+    window = _index_window("visit_start_date", require_both=require_both, before=before, after=after)
+    matched = events_in_window(index_dates(cohort), dates, prefilter=False, **window)
     return matched.select("person_id", F.col("visit_start_date").alias(ER_DATE)).distinct()
 
 
@@ -120,13 +127,14 @@ def first_stay(stays: DataFrame) -> DataFrame:
     so the result does not depend on partitioning.  ``min_by`` over a struct is
     aggregated partially before any shuffle.
     """
-    order = F.struct(F.col(STAY_START), F.col(STAY_END), F.col("macrovisit_id"))
-    best = F.min_by(F.struct("macrovisit_id", STAY_START, STAY_END), order)
-    return stays.groupBy("person_id").agg(best.alias("s")).select(
+    firsts = first_event(
+        stays, "person_id", order=[STAY_START, STAY_END, "macrovisit_id"], payload=["macrovisit_id", STAY_START, STAY_END]
+    )
+    return firsts.select(
         "person_id",
-        F.col("s.macrovisit_id").alias("macrovisit_id"),
-        F.col(f"s.{STAY_START}").alias(FIRST_STAY_START),
-        F.col(f"s.{STAY_END}").alias(FIRST_STAY_END),
+        "macrovisit_id",
+        F.col(STAY_START).alias(FIRST_STAY_START),
+        F.col(STAY_END).alias(FIRST_STAY_END),
     )
 
 
@@ -190,10 +198,11 @@ def first_index_visits(
     span = in_cohort_span(
         F.coalesce("macrovisit_start_date", "visit_start_date"), cohort, **window
     )
-    near_events = (
-        index_events(visits.where(span), members, sets)
-        .join(index_dates(cohort), "person_id", "inner")
-        .where(window_match("day", **window))
+    near_events = events_in_window(
+        index_dates(cohort),
+        index_events(visits.where(span), members, sets),
+        prefilter=False,
+        **_index_window("day", **window),
     )
     stay = F.col("is_stay")
     best = F.min_by(
