@@ -52,12 +52,14 @@ def event_flags(
     no flags).
 
     Plan: the concept list is broadcast (size checked) into the scan of
-    conditions, the flags are pre-aggregated per (person, date) before the
-    shuffle (keyed by person and date, so a person with a huge share of the
-    events is spread over tasks), and the result is restricted to the cohort
-    by a semi join.  When the cohort's ids are small enough to broadcast,
-    Catalyst moves that semi join below the aggregation into the scan stage;
-    otherwise it stays after the aggregation, on pre-aggregated rows.
+    conditions, so only matched rows leave the map side; they are joined to
+    the cohort's person ids (an inner join, one shuffle by person) and the
+    flags are aggregated per (person, date) in that same stage, then per
+    person without another exchange.  Flags are a ``max``, so a person listed
+    twice in the cohort changes nothing.  (A semi join with the cohort would
+    be moved by the optimizer below the concept join, shuffling every
+    condition row; the inner join keeps the concept filter first.)  A person
+    holding a large share of the rows is split by AQE's skew handling.
     """
     names = flag_names(sets) if names is None else list(names)
     concepts = current_members(members, comorbidity_sets(sets)).where(F.col("column_name").isin(names))
@@ -71,16 +73,14 @@ def event_flags(
         )
         .join(concepts, "concept_id", "inner")
     )
-    if until is not None:
+    if until is None:
+        events = events.join(cohort.select("person_id"), "person_id", "inner")
+    else:
         bound = cohort.select("person_id", F.col(until).alias("__until"))
         events = events.join(bound, "person_id", "inner").where(F.col("comorbidity_start_date") <= F.col("__until"))
     if names:
-        by_date = events.groupBy("person_id", "comorbidity_start_date").agg(*_flag_columns(names))
-    else:
-        by_date = events.select("person_id", "comorbidity_start_date").distinct()
-    if until is not None:
-        return by_date  # already restricted to the cohort by the inner join
-    return by_date.join(cohort.select("person_id"), "person_id", "left_semi")
+        return events.groupBy("person_id", "comorbidity_start_date").agg(*_flag_columns(names))
+    return events.select("person_id", "comorbidity_start_date").distinct()
 
 
 def person_flags(flags_by_date: DataFrame, names: list[str]) -> DataFrame:
