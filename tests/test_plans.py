@@ -98,3 +98,16 @@ def test_read_table_declares_schema(spark, scratch):
     got = read_table(spark, f"{scratch}/death", schemas.DEATH)
     assert got.schema == schemas.DEATH
     assert got.collect()[0].death_date.isoformat() == "2020-01-01"
+
+
+def test_flags_filter_concepts_before_person_shuffle(spark):
+    """On large-table plans the conditions meet the broadcast concept list before any
+    exchange by person: only matched rows are shuffled."""
+    t = bound_tables(spark, SF)
+    plan = _without_broadcast(
+        spark, lambda: _plan(event_flags(index_cohort(t), t.conditions, t.members, t.sets, flag_names(t.sets)))
+    )
+    lines = plan.split("\\nSubquery")[0].splitlines()
+    bhj = next(i for i, line in enumerate(lines) if "BroadcastHashJoin [concept_id" in line)
+    person_exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(person_id" in line]
+    assert person_exchanges and all(i < bhj for i in person_exchanges)
