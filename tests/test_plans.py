@@ -107,7 +107,10 @@ def test_flags_filter_concepts_before_person_shuffle(spark):
     plan = _without_broadcast(
         spark, lambda: _plan(event_flags(index_cohort(t), t.conditions, t.members, t.sets, flag_names(t.sets)))
     )
-    lines = plan.split("\\nSubquery")[0].splitlines()
+    lines = plan.split("\nSubquery")[0].splitlines()
     bhj = next(i for i, line in enumerate(lines) if "BroadcastHashJoin [concept_id" in line)
-    person_exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(person_id" in line]
-    assert person_exchanges and all(i < bhj for i in person_exchanges)
+    scan = next(i for i, line in enumerate(lines) if "lineitem.parquet" in line)
+    person = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(person_id" in line]
+    assert bhj < scan
+    assert any(i < bhj for i in person)  # matched rows are shuffled by person above the concept join
+    assert not any(bhj < i < scan for i in person)  # and nothing is shuffled by person below it
