@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.windows import after_earliest
-from cohortlens.operators.visits import FIRST_STAY_END, FIRST_STAY_START, INDEX, stay_rows
+from cohortlens.operators.visits import FIRST_STAY_END, FIRST_STAY_START, INDEX
 
 ANCHOR_COLUMNS = ["person_id", INDEX, FIRST_STAY_START, FIRST_STAY_END]
 
@@ -25,9 +25,9 @@ def stays_after(fact: DataFrame, visits: DataFrame, *, prefilter: bool = False)
     with several start dates keeps its earliest start after the anchor and
     the end from that row (ties: smaller end, nulls first).
 
-    Visit rows are reduced to distinct stays before the join; the join output
-    is hash-partitioned by ``person_id``, so the per-stay reduction after it
-    needs no exchange.  With ``prefilter`` (for a written ``fact``), stays
+    Visit rows meet the anchors in one shuffle by ``person_id``; the per-stay
+    reduction runs in the same stage (a ``min`` does not depend on duplicate
+    visit rows of one stay).  With ``prefilter`` (for a written ``fact``), stays
     starting before every anchor are dropped in the scan stage first.
     """
     anchors = fact.select(*ANCHOR_COLUMNS).withColumn(
@@ -35,7 +35,9 @@ def stays_after(fact: DataFrame, visits: DataFrame, *, prefilter: bool = False)
     )
     if prefilter:
         visits = visits.where(after_earliest("macrovisit_start_date", anchors, "__anchor"))
-    stays = stay_rows(visits, key="macrovisit_id")
+    stays = visits.where(F.col("macrovisit_id").isNotNull()).select(
+        "person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date"
+    )
     later = anchors.join(stays, "person_id", "inner").where(F.col("__anchor") < F.col("macrovisit_start_date"))
     order = F.struct("macrovisit_start_date", "macrovisit_end_date")
     return (
