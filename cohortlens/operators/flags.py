@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.operators.concepts import comorbidity_sets, current_members
-from cohortlens.operators.joins import bounded_broadcast
+from cohortlens.operators.joins import bounded_broadcast, bounded_key_broadcast
 
 MAX_FLAGS = 10_000
 
@@ -74,9 +74,9 @@ def event_flags(
         .join(concepts, "concept_id", "inner")
     )
     if until is None:
-        events = events.join(cohort.select("person_id"), "person_id", "inner")
+        events = events.join(bounded_key_broadcast(cohort.select("person_id")), "person_id", "inner")
     else:
-        bound = cohort.select("person_id", F.col(until).alias("__until"))
+        bound = bounded_key_broadcast(cohort.select("person_id", F.col(until).alias("__until")))
         events = events.join(bound, "person_id", "inner").where(F.col("comorbidity_start_date") <= F.col("__until"))
     if names:
         return events.groupBy("person_id", "comorbidity_start_date").agg(*_flag_columns(names))

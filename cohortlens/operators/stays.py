@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.windows import after_earliest
+from cohortlens.operators.joins import bounded_key_broadcast
 from cohortlens.operators.visits import FIRST_STAY_END, FIRST_STAY_START, INDEX
 
 ANCHOR_COLUMNS = ["person_id", INDEX, FIRST_STAY_START, FIRST_STAY_END]
@@ -38,7 +39,7 @@ def stays_after(fact: DataFrame, visits: DataFrame, *, prefilter: bool = False)
     stays = visits.where(F.col("macrovisit_id").isNotNull()).select(
         "person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date"
     )
-    later = anchors.join(stays, "person_id", "inner").where(F.col("__anchor") < F.col("macrovisit_start_date"))
+    later = stays.join(bounded_key_broadcast(anchors), "person_id", "inner").where(F.col("__anchor") < F.col("macrovisit_start_date"))
     order = F.struct("macrovisit_start_date", "macrovisit_end_date")
     return (
         later.groupBy(*ANCHOR_COLUMNS, "macrovisit_id")

@@ -75,3 +75,23 @@ def test_hot_person_is_split_and_results_hold(spark):
     ref_firsts, ref_later, _ = _with_conf(spark, {**SKEW_CONF, "spark.sql.adaptive.enabled": "false"}, run)
     assert got_firsts == ref_firsts and got_later == ref_later
     assert len(got_later) > 0 and any(r[0] == 0 for r in got_firsts)
+
+
+def test_opt_in_key_broadcast_same_results(spark):
+    from cohortlens.sources.bindings import bound_tables
+    from cohortlens.plans.fact import person_fact
+    from cohortlens.operators.stays import stays_after
+
+    t = bound_tables(spark, "/root/testdata/sf0.001")
+
+    def run():
+        fact = person_fact(t)
+        later = stays_after(fact, t.visits)
+        rows = as_set(fact, *sorted(fact.columns)), as_set(later, *sorted(later.columns))
+        return rows, fact._jdf.queryExecution().executedPlan().toString()
+
+    off, _ = _with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}, run)
+    on, plan = _with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                                  "cohortlens.broadcast.maxKeyRows": "1000000"}, run)
+    assert on == off
+    assert plan.count("BroadcastHashJoin") >= 3  # flags, visit matching (and the concept lists)
