@@ -95,3 +95,32 @@ def test_opt_in_key_broadcast_same_results(spark):
                                   "cohortlens.broadcast.maxKeyRows": "1000000"}, run)
     assert on == off
     assert plan.count("BroadcastHashJoin") >= 3  # flags, visit matching (and the concept lists)
+
+
+def test_hot_person_in_conditions_is_split(spark):
+    from cohortlens.operators.flags import event_flags
+
+    n = 1800
+    ids = spark.range(n)
+    conditions = ids.select(
+        F.when(F.col("id") < n // 3, F.lit(0)).otherwise(F.col("id") % 200 + 1).cast("long").alias("person_id"),
+        F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 97).cast("int")).alias("condition_start_date"),
+        (F.col("id") % 6).cast("long").alias("condition_concept_id"),
+    )
+    cohort = spark.range(0, 201).select(F.col("id").alias("person_id"))
+    members = frame(spark, "members", [dict(concept_id=c, concept_set_name="S" if c < 3 else "T",
+                                            is_most_recent_version=True) for c in range(6)])
+    sets = frame(spark, "sets", [
+        dict(concept_set_name="S", column_name="fs", domain="condition_occurrence", comorbidity=1, er_only_visit=0),
+        dict(concept_set_name="T", column_name="ft", domain="condition_occurrence", comorbidity=1, er_only_visit=0),
+    ])
+
+    def run():
+        flags = event_flags(cohort, conditions, members, sets)
+        rows = as_set(flags)
+        return rows, flags._jdf.queryExecution().executedPlan().toString()
+
+    got, plan = _with_conf(spark, SKEW_CONF, run)
+    assert "skew=true" in plan
+    ref, _ = _with_conf(spark, {**SKEW_CONF, "spark.sql.adaptive.enabled": "false"}, run)
+    assert got == ref and any(r[0] == 0 for r in got)
