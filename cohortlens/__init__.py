@@ -14,6 +14,20 @@ Layout
 ``streaming``  nothing: the computations are batch only (see its docstring)
 """
 
+from cohortlens.plans.fact import FactOptions, clean_cohort, index_cohort, person_fact
+from cohortlens.plans.workflow import build_outputs
+from cohortlens.session import build_session
+from cohortlens.sources.io import publish, read_tables
 from cohortlens.sources.tables import Tables
 
-__all__ = ["Tables"]
+__all__ = [
+    "FactOptions",
+    "Tables",
+    "build_outputs",
+    "build_session",
+    "clean_cohort",
+    "index_cohort",
+    "person_fact",
+    "publish",
+    "read_tables",
+]
