@@ -40,6 +40,14 @@ def current_members(members: DataFrame, chosen: DataFrame) -> DataFrame:
     return current.join(chosen, "concept_set_name", "inner").drop("concept_set_name")
 
 
+def current_concepts(members: DataFrame, sets: DataFrame, where: Column) -> DataFrame:
+    """Current concept ids (with the sets' other columns) of the sets selected by ``where``.
+
+    ``where`` is a predicate on ``sets``, for example ``F.col("er_only_visit") == 1``.
+    """
+    return current_members(members, sets.where(where))
+
+
 def er_members(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Current concept ids of the ER-only sets, one row per membership (duplicates kept)."""
     return current_members(members, er_sets(sets)).select("concept_id")

@@ -93,3 +93,14 @@ def test_until_bounds_conditions_by_cohort_date(spark):
 
     no_date = cohort.withColumn("first_poslab_or_diagnosis_date", F.lit(None).cast("date"))
     assert event_flags(no_date, conditions, members, sets, until="first_poslab_or_diagnosis_date").count() == 0
+
+
+def test_current_concepts_by_predicate(spark):
+    from pyspark.sql import functions as F
+
+    from cohortlens.operators.concepts import current_concepts
+
+    _, _, members, sets = _tables(spark)
+    got = current_concepts(members, sets, F.col("column_name") == "fa")
+    assert as_set(got, "concept_id", "column_name") == {(10, "fa")}  # 11 is retired; 10 is in both sets
+    assert got.count() == 2  # one row per membership
