@@ -114,3 +114,12 @@ def test_flags_filter_concepts_before_person_shuffle(spark):
     assert bhj < scan
     assert any(i < bhj for i in person)  # matched rows are shuffled by person above the concept join
     assert not any(bhj < i < scan for i in person)  # and nothing is shuffled by person below it
+
+
+def test_span_prefilter_is_one_scalar_subquery(spark):
+    """Visit matching carries the date-span prefilter as a scalar subquery over the
+    cohort (computed once, reused for both bounds), not as rows on the driver."""
+    t = bound_tables(spark, SF)
+    plan = _without_broadcast(spark, lambda: _plan(first_index_visits(index_cohort(t), t.visits, t.members, t.sets)))
+    assert len(set(re.findall(r"scalar-subquery#(\d+)", plan))) == 1  # one subquery, both bounds
+    assert "ReusedSubquery" in plan
