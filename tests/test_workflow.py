@@ -85,3 +85,20 @@ def test_fact_flags_until_index(spark):
     assert bounded.count() == anytime.count()
     total = lambda df: df.select(F.sum(F.col("large_flag") + F.col("promo_flag") + F.col("small_flag"))).first()[0]
     assert total(bounded) <= total(anytime)
+
+
+def test_sampled_fact_is_consistent(spark, scratch):
+    """With a fraction below 1 the cohort is sampled in two branches of the plan; both
+    must pick the same persons, so the fact equals one built on a cohort sampled once."""
+    from cohortlens.operators.enrich import sample_cohort
+    from cohortlens.plans.fact import FactOptions
+
+    t = bound_tables(spark, "/root/testdata/sf0.01")
+    sampled = sample_cohort(t.cohort, 0.5, 7)
+    publish(sampled, f"{scratch}/sampled")
+    once = t.replace(cohort=spark.read.parquet(f"{scratch}/sampled"))
+    a = person_fact(t, FactOptions(fraction=0.5, seed=7))
+    b = person_fact(once, FactOptions(fraction=1.0))
+    cols = sorted(a.columns)
+    assert as_set(a, *cols) == as_set(b, *cols)
+    assert 0 < a.count() < person_fact(t).count()
