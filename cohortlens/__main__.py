@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--fraction", type=float, default=1.0, help="cohort sample fraction")
     ap.add_argument("--seed", type=int, default=111, help="cohort sample seed")
     ap.add_argument("--flags-until-index", action="store_true", help="count only conditions up to the index date")
+    ap.add_argument("--resume", action="store_true", help="keep stages already written in OUT_DIR")
     ap.add_argument("--stay-id", default=None, help="also list the visits of this stay")
     ap.add_argument("--person-id", type=int, default=None, help="also list the stays of this person")
     args = ap.parse_args(argv)
@@ -54,7 +55,9 @@ def main(argv: list[str] | None = None) -> dict:
         flags_until="first_poslab_or_diagnosis_date" if args.flags_until_index else None,
     )
     metrics: dict = {}
-    paths = build_outputs(tables, args.out_dir, opts, metrics, stay_id=args.stay_id, person_id=args.person_id)
+    paths = build_outputs(
+        tables, args.out_dir, opts, metrics, stay_id=args.stay_id, person_id=args.person_id, resume=args.resume
+    )
     report = {name: {"path": paths[name], **metrics.get(name, {})} for name in paths}
     print(json.dumps(report, default=str))
     return report

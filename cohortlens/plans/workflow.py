@@ -15,7 +15,8 @@ reference prints.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.operators.demographics import clean_demographics
@@ -54,6 +55,15 @@ def later_stays_observed(fact: DataFrame, visits: DataFrame) -> tuple[DataFrame,
     return with_row_counts(later, "stays_after_index", with_first_stay=has_first, without_first_stay=~has_first)
 
 
+def committed(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a completed write (Spark's ``_SUCCESS`` marker)."""
+    try:
+        spark.read.text(f"{path}/_SUCCESS")
+        return True
+    except AnalysisException:
+        return False
+
+
 def build_outputs(
     t: Tables,
     out_dir: str,
@@ -62,12 +72,15 @@ def build_outputs(
     *,
     stay_id: str | None = None,
     person_id: int | None = None,
+    resume: bool = False,
 ) -> dict[str, str]:
     """Write every output under ``out_dir`` (a shared folder); return name -> path.
 
-    ``metrics``, when given, receives the observed row counts of each output.
-    ``stay_id`` and ``person_id`` add the two look-ups (visits of one stay,
-    stays of one person).
+    ``metrics``, when given, receives the observed row counts of each output
+    written in this run.  ``stay_id`` and ``person_id`` add the two look-ups
+    (visits of one stay, stays of one person).  With ``resume``, a stage whose
+    output is already committed is read back instead of recomputed, so a run
+    that failed part-way continues from its last written stage.
     """
     spark = t.cohort.sparkSession
     out = out_dir.rstrip("/")
@@ -75,10 +88,12 @@ def build_outputs(
     observed: dict[str, Observation] = {}
 
     def stage(name: str, df: DataFrame, obs: Observation | None = None) -> DataFrame:
+        paths[name] = f"{out}/{name}"
+        if resume and committed(spark, paths[name]):
+            return spark.read.parquet(paths[name])
         if obs is None:
             df, obs = with_row_counts(df, name)
         observed[name] = obs
-        paths[name] = f"{out}/{name}"
         publish(df, paths[name])
         return spark.read.parquet(paths[name])
 

@@ -102,3 +102,24 @@ def test_sampled_fact_is_consistent(spark, scratch):
     cols = sorted(a.columns)
     assert as_set(a, *cols) == as_set(b, *cols)
     assert 0 < a.count() < person_fact(t).count()
+
+
+def test_resume_keeps_committed_stages(spark, scratch):
+    from cohortlens.operators.enrich import sample_cohort
+    from cohortlens.plans.workflow import committed
+
+    t = bound_tables(spark, SF)
+    out = f"{scratch}/resume"
+    assert not committed(spark, f"{out}/sample_cohort")
+    # a run that stopped after its first stage
+    publish(sample_cohort(t.cohort), f"{out}/sample_cohort")
+    assert committed(spark, f"{out}/sample_cohort")
+    metrics = {}
+    paths = build_outputs(t, out, metrics=metrics, resume=True)
+    assert "sample_cohort" not in metrics  # kept, not recomputed
+    assert metrics["person_fact"]["rows"] == spark.read.parquet(paths["person_fact"]).count() > 0
+    again = {}
+    build_outputs(t, out, metrics=again, resume=True)
+    assert again == {}  # everything was committed
+    fresh = person_fact(t)
+    assert as_set(spark.read.parquet(paths["person_fact"]), *sorted(fresh.columns)) == as_set(fresh, *sorted(fresh.columns))
