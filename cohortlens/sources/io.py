@@ -32,6 +32,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 def read_tables(spark: SparkSession, paths: dict[str, str]) -> Tables:
     """Read the nine inputs from Parquet paths keyed like ``Tables``' fields."""
+    missing = [name for name in schemas.BY_NAME if name not in paths]
+    if missing:
+        raise ValueError(f"no path given for input(s): {', '.join(missing)}")
     return Tables(**{name: read_table(spark, paths[name], schemas.BY_NAME[name]) for name in schemas.BY_NAME})
 
 

@@ -77,3 +77,12 @@ def test_death_earliest_option(spark):
     out = with_death(fact, death, earliest=True)
     assert out.columns == ["person_id", "death_date"]
     assert as_set(out) == {(1, d("2021-01-01")), (2, None), (3, d("2022-01-01"))}
+
+
+def test_read_tables_names_missing_inputs(spark):
+    import pytest
+
+    from cohortlens.sources.io import read_tables
+
+    with pytest.raises(ValueError, match="death"):
+        read_tables(spark, {name: "/nowhere" for name in ("cohort", "persons")})
