@@ -12,6 +12,7 @@ from __future__ import annotations
 import argparse
 import json
 
+from cohortlens.operators.joins import MAX_KEY_ROWS_CONF
 from cohortlens.plans.fact import FactOptions
 from cohortlens.plans.workflow import build_outputs
 from cohortlens.session import build_session
@@ -35,11 +36,17 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--seed", type=int, default=111, help="cohort sample seed")
     ap.add_argument("--flags-until-index", action="store_true", help="count only conditions up to the index date")
     ap.add_argument("--resume", action="store_true", help="keep stages already written in OUT_DIR")
+    ap.add_argument("--broadcast-cohort-rows", type=int, default=0,
+                    help="broadcast the cohort side when it has at most this many rows (0: never)")
     ap.add_argument("--stay-id", default=None, help="also list the visits of this stay")
     ap.add_argument("--person-id", type=int, default=None, help="also list the stays of this person")
     args = ap.parse_args(argv)
 
-    spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
+    spark = build_session(
+        args.master,
+        shuffle_partitions=args.shuffle_partitions,
+        extra={MAX_KEY_ROWS_CONF: str(args.broadcast_cohort_rows)},
+    )
     if args.inputs:
         with open(args.inputs) as fh:
             tables = read_tables(spark, json.load(fh))

@@ -123,3 +123,17 @@ def test_resume_keeps_committed_stages(spark, scratch):
     assert again == {}  # everything was committed
     fresh = person_fact(t)
     assert as_set(spark.read.parquet(paths["person_fact"]), *sorted(fresh.columns)) == as_set(fresh, *sorted(fresh.columns))
+
+
+def test_command_line_cohort_broadcast(spark, scratch):
+    from cohortlens.__main__ import main
+
+    try:
+        report = main([f"{scratch}/cli2", "--test-tables", SF, "--shuffle-partitions", "4",
+                       "--broadcast-cohort-rows", "100000"])
+        assert spark.conf.get("cohortlens.broadcast.maxKeyRows") == "100000"
+        plain = person_fact(bound_tables(spark, SF))
+        got = spark.read.parquet(report["person_fact"]["path"])
+        assert as_set(got, *sorted(plain.columns)) == as_set(plain, *sorted(plain.columns))
+    finally:
+        spark.conf.unset("cohortlens.broadcast.maxKeyRows")
