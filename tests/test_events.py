@@ -40,3 +40,32 @@ def test_first_event_whole_row_and_ties(spark):
     assert as_set(got) == {("a", "z", None), ("b", "n", 1)}  # nulls first in the order
     two = first_event(df.where("day is not null"), ["k"], order=["day", "rank"], payload=["tag"])
     assert as_set(two) == {("a", "z"), ("b", "m")}
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_days = st.one_of(st.none(), st.integers(min_value=0, max_value=60))
+
+
+@settings(max_examples=5, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.tuples(st.integers(0, 6), _days), min_size=1, max_size=8, unique_by=lambda r: r[0]),
+    st.lists(st.tuples(st.integers(0, 8), _days), min_size=1, max_size=60),
+    st.integers(0, 5),
+    st.integers(0, 10),
+    st.booleans(),
+)
+def test_events_in_window_against_brute_force(spark, index_rows, event_rows, before, after, prefilter):
+    base = dt.date(2021, 1, 1)
+    day = lambda n: None if n is None else base + dt.timedelta(n)
+    index = spark.createDataFrame([(k, day(n)) for k, n in index_rows], "k long, at date")
+    events = spark.createDataFrame([(k, day(n), i) for i, (k, n) in enumerate(event_rows)], "k long, on date, i int")
+    got = events_in_window(index, events, index_date="at", event_date="on", before=before, after=after,
+                           key="k", prefilter=prefilter)
+    at = {k: n for k, n in index_rows}
+    want = {
+        i for i, (k, n) in enumerate(event_rows)
+        if k in at and at[k] is not None and n is not None and -after <= at[k] - n <= before
+    }
+    assert {r.i for r in got.collect()} == want
