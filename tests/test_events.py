@@ -69,3 +69,20 @@ def test_events_in_window_against_brute_force(spark, index_rows, event_rows, bef
         if k in at and at[k] is not None and n is not None and -after <= at[k] - n <= before
     }
     assert {r.i for r in got.collect()} == want
+
+
+@settings(max_examples=5, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 4), _days, st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 999)),
+                min_size=1, max_size=60, unique_by=lambda r: r[3]))
+def test_first_event_against_brute_force(spark, rows):
+    base = dt.date(2021, 1, 1)
+    day = lambda n: None if n is None else base + dt.timedelta(n)
+    df = spark.createDataFrame([(k, day(d), r, i) for k, d, r, i in rows], "k long, day date, rank int, id int")
+    got = {r.k: r.id for r in first_event(df, "k", order=["day", "rank", "id"], payload=["id"]).collect()}
+    nulls_first = lambda v: (v is not None, v if v is not None else 0)
+    want = {}
+    for k, d, r, i in rows:
+        key = (nulls_first(d), nulls_first(r), i)
+        if k not in want or key < want[k][0]:
+            want[k] = (key, i)
+    assert got == {k: v[1] for k, v in want.items()}
