@@ -30,3 +30,14 @@ def test_entry(spark):
     df = entry_mod.entry(spark)
     assert df.count() > 0
     assert "person_id" in df.columns and "first_COVID_hospitalization_start_date" in df.columns
+
+
+@pytest.mark.parametrize("name", ["clean_demographics", "age_at_index", "birth_date", "person_fact"])
+def test_query_matches_oracle_with_ansi_off(spark, con, name):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = entry_mod.queries()[name](spark, SF)
+        res = compare(df, con, entry_mod.oracle_sql()[name])
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert res["ok"], res
