@@ -186,3 +186,22 @@ def test_span_prefilter_is_exact(spark):
     assert kept == {"2020-06-09", "2020-07-17"}
     empty = cohort.where("first_poslab_or_diagnosis_date is null")
     assert days.where(within_span("day", empty, "first_poslab_or_diagnosis_date", 1, 16)).count() == 0
+
+
+def test_lookups_by_id_are_ordered_and_match_the_registered_queries(spark):
+    import __spark_entry__ as entry_mod
+    from cohortlens.operators.visits import stay_timeline, visits_of_stay
+    from cohortlens.sources.bindings import bound_tables
+
+    sf = "/root/testdata/sf0.01"
+    t = bound_tables(spark, sf)
+    # the ids the survey names for sf0.01
+    stay = visits_of_stay(t.visits, "4379").collect()
+    person = stay_timeline(t.visits, 1242).collect()
+    assert len(stay) == 13 and len(person) == 83
+    assert [r.visit_concept_id for r in stay] == sorted(r.visit_concept_id for r in stay)
+    assert [r.macrovisit_start_date for r in person] == sorted(r.macrovisit_start_date for r in person)
+    assert all(r.macrovisit_id is not None and r.person_id == 1242 for r in person)
+    cols = stay[0].__fields__
+    q_stay = entry_mod.queries()["visits_of_stay"](spark, sf).collect()
+    assert sorted(tuple(r) for r in q_stay) == sorted(tuple(r) for r in stay) and q_stay[0].__fields__ == cols
