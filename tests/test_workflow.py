@@ -164,3 +164,13 @@ def test_command_line_from_input_paths(spark, scratch):
     want = person_fact(t)
     assert got.dtypes == want.dtypes
     assert as_set(got, *sorted(want.columns)) == as_set(want, *sorted(want.columns))
+
+
+def test_publish_partitioned(spark, scratch):
+    t = bound_tables(spark, SF)
+    fact = person_fact(t)
+    publish(fact, f"{scratch}/by_partner", partition_by=["data_partner_id"])
+    back = spark.read.parquet(f"{scratch}/by_partner")
+    assert sorted(back.columns) == sorted(fact.columns)
+    cols = sorted(fact.columns)
+    assert as_set(back.select(*cols), *cols) == as_set(fact.select(*cols), *cols)
