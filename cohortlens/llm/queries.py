@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortlens.llm import toxicity
+from cohortlens.llm import exact_dedup, toxicity
 from cohortlens.llm.common import remainder, ship
 
 
@@ -23,7 +23,25 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.decide(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op8_exact_dedup": op8_exact_dedup,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op8_exact_dedup": """
+        WITH d AS (
+          SELECT doc_id, length(coalesce(text, '')) AS n,
+                 sha256(translate(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS text_sha256
+          FROM documents
+        ), g AS (
+          SELECT *, first_value(doc_id) OVER w AS keep_id,
+                 count(*) OVER (PARTITION BY text_sha256) AS group_size
+          FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
+        )
+        SELECT doc_id, keep_id, group_size, keep_id = doc_id AS kept, text_sha256 FROM g
+    """,
 }
-ORACLE_SQL: dict[str, str] = {}
