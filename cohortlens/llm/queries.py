@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortlens.llm import exact_dedup, toxicity
+from cohortlens.llm import exact_dedup, simhash, toxicity
 from cohortlens.llm.common import remainder, ship
 
 
@@ -23,12 +23,17 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.cluster(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, max_bits=3)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_simhash": op2_simhash,
     "op8_exact_dedup": op8_exact_dedup,
 }
 ORACLE_SQL: dict[str, str] = {
