@@ -74,19 +74,28 @@ def repeated_bits(hashes: DataFrame, bits: int) -> DataFrame:
     return pieces.groupBy("block").applyInArrow(merge, "block long, bits binary")
 
 
-def prober(hashes: DataFrame, hash: str, bits: int) -> Callable[[Column], Column]:
-    """A test of a hash (a long): false only if at most one row of ``hashes`` has it."""
+def prober(hashes: DataFrame, hash: str, bits: int) -> Callable[[np.ndarray], np.ndarray]:
+    """A test, for use in tasks, of hashes (longs): false only if at most one row of ``hashes`` has it."""
     twice = np.zeros(-(-bits // BLOCK_BITS) * BLOCK_BITS, bool)
     for block, found in repeated_bits(hashes.select(col(hash)), bits).toPandas().itertuples(index=False):
-        twice[block * BLOCK_BITS + np.frombuffer(found, np.uint16)] = True
+        twice[block * BLOCK_BITS + np.frombuffer(found, np.uint16).astype(np.int64)] = True
     shared = hashes.sparkSession.sparkContext.broadcast(np.packbits(twice))
+    return lambda values: seen_twice(shared.value, values, bits)
+
+
+def seen_twice(packed: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    at = positions(hashes.astype(np.int64, copy=False).view(np.uint64), bits)
+    return ((packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
+
+
+def probed(test: Callable[[np.ndarray], np.ndarray], hash: Column) -> Column:
+    """A prober's test as a boolean column."""
 
     @F.pandas_udf("boolean")
     def probe(values: pd.Series) -> pd.Series:
-        at = positions(values.to_numpy(np.int64).view(np.uint64), bits)
-        return pd.Series(((shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1))
+        return pd.Series(test(values.to_numpy(np.int64)))
 
-    return probe
+    return probe(hash)
 
 
 def ranges(n_rows: int, bits_a_row: int = BITS_A_ROW, range_bits: int = RANGE_BITS) -> tuple[int, int]:
@@ -105,7 +114,7 @@ def suspects(hashed: DataFrame, n_rows: int, hash: str = "_hash", *, bits_a_row:
     out = None
     for r in range(n):
         rows = hashed if n == 1 else hashed.where(F.pmod(F.xxhash64(col(hash)), F.lit(n)) == r)
-        rows = rows.withColumn("_suspect", prober(rows, hash, bits)(col(hash)))
+        rows = rows.withColumn("_suspect", probed(prober(rows, hash, bits), col(hash)))
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -157,7 +166,7 @@ def deduplicate(documents: DataFrame, *, id: str = "doc_id", text: str = "text",
     hashes = written(signed.select("_hash"), "exact-dedup-hashes")
     n_rows = hashes.count()
     if ranges(n_rows, range_bits=range_bits)[0] == 1:
-        marked = signed.withColumn("_suspect", prober(hashes, "_hash", ranges(n_rows)[1])(F.col("_hash")))
+        marked = signed.withColumn("_suspect", probed(prober(hashes, "_hash", ranges(n_rows)[1]), F.col("_hash")))
     else:
         found = suspects(hashes, n_rows, range_bits=range_bits).where("_suspect").distinct().withColumn("_salt", salts(SALTS))
         marked = signed.withColumn("_salt", spread(SALTS, "_id")).join(found, ["_hash", "_salt"], "left")
