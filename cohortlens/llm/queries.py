@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortlens.llm import exact_dedup, simhash, toxicity
+from cohortlens.llm import exact_dedup, line_dedup, simhash, toxicity
 from cohortlens.llm.common import remainder, ship
 
 
@@ -27,6 +27,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.cluster(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, max_bits=3)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -34,9 +39,28 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
+    "op6_line_dedup": op6_line_dedup,
     "op8_exact_dedup": op8_exact_dedup,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op6_line_dedup": """
+        WITH l AS (
+          SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                 unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS nth
+          FROM documents
+        ), k AS (
+          SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+          FROM l
+        ), r AS (
+          SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20
+          GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+        )
+        SELECT doc_id, count(*) AS n_lines,
+               count(*) FILTER (r.key IS NOT NULL AND doc_id <> last) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (r.key IS NULL OR doc_id = last), '')) AS kept_sha256
+        FROM k LEFT JOIN r ON k.key = r.key GROUP BY doc_id
+    """,
     "op8_exact_dedup": """
         WITH d AS (
           SELECT doc_id, length(coalesce(text, '')) AS n,
