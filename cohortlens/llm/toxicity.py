@@ -249,7 +249,8 @@ def labelled(documents: DataFrame, labels: DataFrame, *, id: str = "doc_id", tex
     """Training rows (id, text, label): those with a label whose remainder isn't 0."""
     marks = labels.where(col(label).isNotNull() & col(id).isNotNull()).groupBy(col(id).alias("id")).agg((F.max(col(label)) > 0).cast("int").alias("y"))
     rows = documents.where(remainder(id, folds) != 0).select(col(id).alias("id"), col(text).alias("x"))
-    return rows.join(marks, "id").select(F.col("id").alias(id), F.col("x").alias(text), F.col("y").alias(label))
+    # one plan at every size: the texts shuffle by id, unsorted, to meet their labels
+    return rows.join(marks.hint("shuffle_hash"), "id").select(F.col("id").alias(id), F.col("x").alias(text), F.col("y").alias(label))
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Model:
