@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortlens.llm import exact_dedup, line_dedup, simhash, toxicity
+from cohortlens.llm import exact_dedup, line_dedup, mixing, simhash, toxicity
 from cohortlens.llm.common import remainder, ship
 
 
@@ -36,11 +36,17 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = mixing.plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return placed.select(F.col("_id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
     "op6_line_dedup": op6_line_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_mixing": op10_mixing,
 }
 ORACLE_SQL: dict[str, str] = {
     "op6_line_dedup": """
