@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortlens.llm import exact_dedup, line_dedup, mixing, simhash, toxicity
+from cohortlens.llm import exact_dedup, line_dedup, mixing, packing, simhash, token_files, toxicity
 from cohortlens.llm.common import remainder, ship
 
 
@@ -27,6 +27,21 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.cluster(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, max_bits=3)
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(), end=0)
+    return token_files.read(spark, manifest)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.tokenize(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(), end=2))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -44,6 +59,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
+    "op3_token_files": op3_token_files,
+    "op5_packing": op5_packing,
     "op6_line_dedup": op6_line_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_mixing": op10_mixing,
