@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortlens.llm import exact_dedup, line_dedup, mixing, packing, simhash, token_files, toxicity
+from cohortlens.llm import exact_dedup, line_dedup, mixing, packing, secret_scan, simhash, token_files, toxicity
 from cohortlens.llm.common import remainder, ship
 
 
@@ -38,6 +38,17 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, manifest)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = secret_scan.KINDS[:3]
+    return rows.select(
+        "doc_id",
+        *[secret_scan.counted("spans", kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(secret_scan.listed("spans", base), 256).alias("base_sha256"),
+        secret_scan.listed("spans", secret_scan.KINDS).alias("spans"),
+    )
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.tokenize(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(), end=2))
 
@@ -60,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
     "op3_token_files": op3_token_files,
+    "op4_secrets": op4_secrets,
     "op5_packing": op5_packing,
     "op6_line_dedup": op6_line_dedup,
     "op8_exact_dedup": op8_exact_dedup,
