@@ -52,23 +52,32 @@ def positions(hashes: np.ndarray, bits: int) -> np.ndarray:
 def repeated_bits(hashes: DataFrame, bits: int) -> DataFrame:
     """Blocks of the filter of bits set twice or more: (block, bits), the bits as sorted int32 offsets."""
 
+    def reduced(parts: list[np.ndarray]) -> np.ndarray:
+        """Sorted positions, none more than twice: more often says no more."""
+        at = np.sort(np.concatenate(parts))
+        return at[np.r_[True, True, at[2:] != at[:-2]][: len(at)]]
+
     def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in batches:
-            at = np.sort(positions(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits).ravel())
-            if len(at):
-                block = at // BLOCK_BITS
-                first = np.flatnonzero(np.r_[True, np.diff(block) > 0])
-                parts = np.split((at % BLOCK_BITS).astype(np.uint16), first[1:])
-                yield pa.RecordBatch.from_arrays([pa.array(block[first]), pa.array([x.tobytes() for x in parts], pa.binary())], names=["block", "bits"])
+            parts.append(positions(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits).ravel())
+            held += len(parts[-1])
+            if held > 1 << 22:
+                parts = [reduced(parts)]
+                held = len(parts[0])
+        at = reduced(parts) if held else np.empty(0, np.int64)
+        for begin in range(0, len(at), 1 << 22):
+            own = at[begin : begin + (1 << 22)]
+            block = own // BLOCK_BITS
+            first = np.flatnonzero(np.r_[True, np.diff(block) > 0])
+            pieces = np.split((own % BLOCK_BITS).astype(np.uint16), first[1:])
+            yield pa.RecordBatch.from_arrays([pa.array(block[first]), pa.array([x.tobytes() for x in pieces], pa.binary())], names=["block", "bits"])
 
     def merge(key: tuple, pieces: pa.Table) -> pa.Table:
-        once, twice = np.zeros(BLOCK_BITS, bool), np.zeros(BLOCK_BITS, bool)
-        for piece in pieces.column("bits"):
-            n = np.bincount(np.frombuffer(piece.as_py(), np.uint16), minlength=BLOCK_BITS)
-            twice |= (n > 1) | (once & (n > 0))
-            once |= n > 0
-        found = np.flatnonzero(twice).astype(np.uint16)
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([found.tobytes()], pa.binary())})
+        """Once-seen and twice-seen bits of a block; the second filter is what pass two needs."""
+        seen = np.bincount(np.frombuffer(b"".join(pieces.column("bits").to_pylist()), np.uint16), minlength=BLOCK_BITS)
+        twice = np.flatnonzero(seen > 1).astype(np.uint16)
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([twice.tobytes()], pa.binary())})
 
     pieces = hashes.mapInArrow(set_bits, "block long, bits binary")
     return pieces.groupBy("block").applyInArrow(merge, "block long, bits binary")
