@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortlens.llm import exact_dedup, line_dedup, mixing, packing, secret_scan, simhash, token_files, toxicity
+from cohortlens.llm import exact_dedup, line_dedup, mixing, packing, secret_scan, simhash, token_files, topk, toxicity
 from cohortlens.llm.common import remainder, ship
 
 
@@ -62,6 +62,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=5, every=50)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = mixing.plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return placed.select(F.col("_id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -75,9 +79,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_line_dedup": op6_line_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_topk": op9_topk,
     "op10_mixing": op10_mixing,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op9_topk": """
+        WITH v AS (
+          SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS x FROM embeddings
+          WHERE len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+        ), s AS (
+          SELECT q.vec_id AS query_id, c.vec_id, list_sum([a[1] * a[2] FOR a IN list_zip(q.x, c.x)])::BIGINT AS score
+          FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        ), r AS (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
     "op6_line_dedup": """
         WITH l AS (
           SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
