@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortlens.llm import exact_dedup, line_dedup, mixing, packing, secret_scan, simhash, token_files, topk, toxicity
+from cohortlens.llm import exact_dedup, langid, line_dedup, mixing, packing, secret_scan, simhash, token_files, topk, toxicity
 from cohortlens.llm.common import remainder, ship
 
 
@@ -58,6 +58,13 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.identify(docs, langid.train(docs))
+    held_out = (remainder("doc_id", 4) == 2).alias("held_out")
+    return found.select("doc_id", held_out, F.col("language.language").alias("lang_pred"), F.col("language.score").alias("score"), F.col("language.ambiguous").alias("ambiguous"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -78,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op5_packing": op5_packing,
     "op6_line_dedup": op6_line_dedup,
+    "op7_language": op7_language,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_topk": op9_topk,
     "op10_mixing": op10_mixing,
