@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from cohortlens.llm import exact_dedup, langid, line_dedup, mixing, packing, secret_scan, simhash, token_files, topk, toxicity
 from cohortlens.llm.common import remainder, ship
+from cohortlens.llm.tokens import public_vocabulary
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,14 +28,8 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.cluster(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, max_bits=3)
 
 
-def vocabulary() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(), end=0)
+    manifest = token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text"), public_vocabulary(), end=0)
     return token_files.read(spark, manifest)
 
 
@@ -50,7 +45,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.tokenize(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(), end=2))
+    return packing.pack(packing.tokenize(table(spark, sf_dir, "documents").select("doc_id", "text"), public_vocabulary(), end=2))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,8 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_topk": op9_topk,
     "op10_mixing": op10_mixing,
+    "pipeline": corpus_pipeline.run,
 }
-ORACLE_SQL: dict[str, str] = {
+ORACLE_SQL: dict[str, str] = ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}) | {
     "op9_topk": """
         WITH v AS (
           SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS x FROM embeddings

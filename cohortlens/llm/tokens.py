@@ -114,3 +114,10 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a vocabulary file."""
     return Encoder(path)
+
+
+def public_vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Where the installed package of public tokenizers has a vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -1 +1,72 @@
-STAGES = []
+"""A training corpus from raw documents, in five stages.
+
+Each stage takes the documents that its predecessor kept and returns the
+columns of documents; the last returns the pieces of packed sequences.  Stages
+read nothing else but the table ``labels``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cohortlens.llm import exact_dedup, mixing, packing, simhash, toxicity
+from cohortlens.llm.common import ship, written
+from cohortlens.llm.tokens import public_vocabulary
+
+#: Documents with a score of this or more are rejected.
+TOXIC = 0.5
+SHINGLE_WORDS, MAX_BITS = 3, 3
+END_ID = 2
+
+
+def keep_ordinary(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the models, trained on the labelled ones outside the held-out fold, don't reject."""
+    labels = ship(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    packed = docs.select(F.struct("*").alias("_doc"), F.col("text").alias("_text"))
+    return toxicity.score(packed, model, text="_text", name="_score").where(F.col("_score") < TOXIC).select("_doc.*")
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    ship(spark)
+    return exact_dedup.deduplicate(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints."""
+    ship(spark)
+    return simhash.representatives(docs, width=SHINGLE_WORDS, max_bits=MAX_BITS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row for each copy of a document, or of the part of it, that the targets take."""
+    ship(spark)
+    return mixing.mix(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the packed sequences: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    ship(spark)
+    return packing.pack(packing.tokenize(docs, public_vocabulary(), end=END_ID))
+
+
+STAGES = [
+    ("toxicity", keep_ordinary),
+    ("exact_dedup", drop_copies),
+    ("simhash", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+
+#: Models, fingerprints and token ids aren't SQL; tests compare the stages with brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, from ``documents``; each stage's result is written before the next reads it."""
+    docs = ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
