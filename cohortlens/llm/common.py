@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 #: The white space of every contract: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\x0c\r"
 #: Text handled in one numpy pass; a single longer text is handled in one pass of its own size.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 
 @functools.cache
