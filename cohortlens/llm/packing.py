@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import col, spread, written
-from cohortlens.llm.tokens import encoder
+from cohortlens.llm.common import chunks, col, spread, written
+from cohortlens.llm.tokens import ENCODE_CHARS, encoder
 
 CAPACITY = 1024
 SHARD_PIECES = 8192
@@ -52,10 +52,10 @@ def tokenize(documents: DataFrame, vocabulary: str, *, id: str = "doc_id", text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(vocabulary)
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
+            texts = [x or "" for x in batch.column(1).to_pylist()]
+            for a, b in chunks(texts, ENCODE_CHARS):
                 rows, out = [], []
-                for i, ids in enumerate(own.encode([x or "" for x in part.column(1).to_pylist()])):
+                for i, ids in enumerate(own.encode(texts[a:b]), a):
                     ids += last
                     start = 0
                     for nth, n in enumerate(piece_lengths(len(ids) // 4, capacity)):
@@ -64,7 +64,7 @@ def tokenize(documents: DataFrame, vocabulary: str, *, id: str = "doc_id", text:
                         out.append((nth, start, n, zlib.crc32(data), data))
                         start += n
                 columns = list(zip(*out))
-                arrays = [part.column(0).take(pa.array(rows)), pa.array(columns[0], pa.int32()), *(pa.array(x, pa.int64()) for x in columns[1:4])]
+                arrays = [batch.column(0).take(pa.array(rows)), pa.array(columns[0], pa.int32()), *(pa.array(x, pa.int64()) for x in columns[1:4])]
                 names = [id, "piece", "start", "length", "ids_crc32"]
                 if keep_ids:
                     arrays, names = [*arrays, pa.array(columns[4], pa.binary())], [*names, "ids"]

@@ -38,8 +38,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import col, shared_path, written
-from cohortlens.llm.tokens import encoder
+from cohortlens.llm.common import chunks, col, shared_path, written
+from cohortlens.llm.tokens import ENCODE_CHARS, encoder
 
 MAGIC = b"PFR1"
 BLOCK = 512
@@ -48,6 +48,8 @@ PERCENTILE = 90
 PASS = 512
 _HEAD = struct.Struct("<IBH")
 _TAIL = struct.Struct("<QQQQ4s")
+#: Bit lengths of the numbers that ids of a usual vocabulary come to.
+_LENGTH = np.frexp(np.arange(1 << 17, dtype=np.float64))[1].astype(np.uint8)
 MANIFEST = "part int, path string, n_documents long, n_ids long"
 
 
@@ -55,26 +57,38 @@ MANIFEST = "part int, path string, n_documents long, n_ids long"
 
 
 def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
-    """Rows of unsigned numbers below 2 ** width as rows of packed bytes."""
-    kind = "<u2" if width <= 16 else "<u4"
-    bits = np.unpackbits(np.ascontiguousarray(values.astype(kind)).view(np.uint8), axis=1, bitorder="little")
-    bits = bits.reshape(*values.shape, -1)[:, :, :width]
-    return np.packbits(bits.reshape(len(values), -1), axis=1, bitorder="little")
+    """Rows of unsigned numbers below 2 ** width as rows of packed bytes: eight numbers take ``width`` bytes."""
+    n = -(-values.shape[1] // 8)
+    eights = np.zeros((len(values), n * 8), np.uint64)
+    eights[:, : values.shape[1]] = values
+    eights = np.ascontiguousarray(eights.reshape(len(values), n, 8).transpose(2, 0, 1))
+    out = np.zeros((len(values), n, width), np.uint8)
+    for k in range(8):
+        byte, shift = divmod(k * width, 8)
+        shifted = eights[k] << np.uint64(shift)
+        for t in range((shift + width + 7) // 8):
+            out[:, :, byte + t] |= (shifted >> np.uint64(8 * t)).astype(np.uint8)
+    return out.reshape(len(values), -1)
 
 
 def unpack_bits(data: np.ndarray, n: int, width: int) -> np.ndarray:
     """The inverse: ``n`` numbers of each row of bytes."""
-    kind, size = ("<u2", 16) if width <= 16 else ("<u4", 32)
-    bits = np.zeros((len(data), n, size), np.uint8)
-    bits[:, :, :width] = np.unpackbits(data, axis=1, count=n * width, bitorder="little").reshape(len(data), n, width)
-    return np.packbits(bits.reshape(len(data), -1), axis=1, bitorder="little").view(kind).astype(np.uint32)
+    groups = np.ascontiguousarray(data.reshape(len(data), -1, width).transpose(2, 0, 1)).astype(np.uint64)
+    out = np.empty((len(data), groups.shape[2], 8), np.uint32)
+    for k in range(8):
+        byte, shift = divmod(k * width, 8)
+        value = groups[byte] >> np.uint64(shift)
+        for t in range(1, (shift + width + 7) // 8):
+            value |= groups[byte + t] << np.uint64(8 * t - shift)
+        out[:, :, k] = value & np.uint64((1 << width) - 1)
+    return out.reshape(len(data), -1)[:, :n]
 
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
     """Rows of ids (uint32), each as an encoded block."""
     low = ids.min(axis=1)
     rest = ids - low[:, None]
-    bits = np.frexp(rest.astype(np.float64))[1].astype(np.uint8)
+    bits = _LENGTH[rest] if rest.max(initial=0) < len(_LENGTH) else np.frexp(rest.astype(np.float64))[1].astype(np.uint8)
     at = -(-ids.shape[1] * PERCENTILE // 100) - 1
     width = np.partition(bits, at, axis=1)[:, at]
     packed: list[bytes] = [b""] * len(ids)
@@ -100,13 +114,13 @@ def decode_blocks(data: bytes, offsets: np.ndarray, n: int) -> np.ndarray:
     width = np.array([h[1] for h in heads])
     for w in np.unique(width):
         if w:
-            size = -(-n * int(w) // 8)
+            size = -(-n // 8) * int(w)
             rows = np.flatnonzero(width == w)
             packed = np.frombuffer(b"".join([data[offsets[i] + _HEAD.size : offsets[i] + _HEAD.size + size] for i in rows]), np.uint8)
             out[rows] = unpack_bits(packed.reshape(len(rows), size), n, int(w))
     for i, (low, w, exceptions) in enumerate(heads):
         if exceptions:
-            at = int(offsets[i]) + _HEAD.size + -(-n * w // 8)
+            at = int(offsets[i]) + _HEAD.size + -(-n // 8) * w
             place = np.frombuffer(data, "<u2", exceptions, at)
             out[i, place] |= np.frombuffer(data, "<u4", exceptions, at + 2 * exceptions) << np.uint32(w)
         out[i] += np.uint32(low)
@@ -236,12 +250,12 @@ def write(documents: DataFrame, vocabulary: str, *, id: str = "doc_id", text: st
         own, writer, part = encoder(vocabulary), None, TaskContext.get().partitionId()
         path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.pfr"
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                rows = batch.slice(a, 512)
-                if writer is None:
-                    filesystem, name = _filesystem(path)
-                    writer = Writer(filesystem.open_output_stream(name))
-                for x, ids in zip(rows.column(0).to_pylist(), own.encode([x or "" for x in rows.column(1).to_pylist()])):
+            if writer is None:
+                filesystem, name = _filesystem(path)
+                writer = Writer(filesystem.open_output_stream(name))
+            names, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
+            for a, b in chunks(texts, ENCODE_CHARS):
+                for x, ids in zip(names[a:b], own.encode(texts[a:b])):
                     writer.add(x, ids + last)
         if writer is not None:
             n, n_ids = writer.close()

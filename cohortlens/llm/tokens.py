@@ -16,8 +16,10 @@ import re
 
 import numpy as np
 
-#: Parts that one generation of the memory holds (about 100 MB); the memory is two generations.
-REMEMBERED = 500_000
+#: Parts that one generation of the memory holds (about 130 MB); the memory is two generations.
+REMEMBERED = 800_000
+#: Characters of texts that callers encode in one call: enough for many new parts at once.
+ENCODE_CHARS = 1 << 22
 #: New parts that are encoded in one text.
 TOGETHER = 4_000
 #: A space that isn't followed by a visible character: rare, and not a place to cut.
@@ -53,10 +55,10 @@ class Encoder:
     def _encode_new(self, parts: list[str]) -> None:
         for i in range(0, len(parts), TOGETHER):
             some = [x if x[0] == "\n" else " " + x for x in parts[i : i + TOGETHER]]
-            ids = np.array(self._tokenizer.encode(" a" + "".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self._tokenizer.encode_batch_fast([" a" + "".join(some)], add_special_tokens=False)[0].ids, "<u4")
             first = len(self._ids(" a")) // 4
             ends = np.cumsum(self._bytes[ids[first:]])
-            cuts = np.searchsorted(ends, np.cumsum([len(x.encode()) for x in some])) + 1
+            cuts = np.searchsorted(ends, np.cumsum([len(x) if x.isascii() else len(x.encode()) for x in some])) + 1
             data, a = ids[first:].tobytes(), 0
             for part, b in zip(parts[i : i + TOGETHER], cuts.tolist()):
                 self._young[part] = data[4 * a : 4 * b]
@@ -68,11 +70,12 @@ class Encoder:
             self._old, self._young = self._young, {}
         young, old, marks = self._young, self._old, self._marks
         made: list[tuple[str, list[str]]] = []
+        plain = [x for x in parts if x.isalpha()]  # most parts, and known to be lacking
         words: list[str] = []
-        for part in parts:
+        for part in parts if len(plain) < len(parts) else ():
             if part.isalpha():
-                words.append(part)
-            elif "\n" in part[1:] and not _ODD_LINE.search(part):
+                continue
+            if "\n" in part[1:] and not _ODD_LINE.search(part):
                 head, *lines = part.split("\n")
                 own = [head, *["\n" + x for x in lines]]
                 made.append((part, own))
@@ -82,15 +85,14 @@ class Encoder:
                 words.append(part[:-1])
             else:
                 words.append(part)
-        new = []
-        for word in dict.fromkeys(words):
-            if word not in young:
-                if word in old:
-                    young[word] = old[word]
-                else:
-                    new.append(word)
+        plain += {x for x in words if x not in young}.difference(plain)
+        again = [x for x in plain if x in old]
+        young.update(zip(again, map(old.__getitem__, again)))
+        new = [x for x in plain if x not in old] if again else plain
         self._encode_new(new)
-        return {part: b"".join([young[x] if x in young else young[x[:-1]] + marks[x[-1]] for x in own]) for part, own in made}
+        ids = {part: b"".join([young[x] if x in young else young[x[:-1]] + marks[x[-1]] for x in own]) for part, own in made}
+        young.update((part, ids[part]) for part, own in made if len(own) == 1)  # lines of two words hardly recur
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [_CUT.split(x) if _ODD_SPACE.search(x) else x.split(" ") for x in texts]
