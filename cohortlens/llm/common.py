@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 WHITE = " \t\n\x0b\x0c\r"
 #: Text handled in one numpy pass; a single longer text is handled in one pass of its own size.
 CHUNK_BYTES = 1 << 19
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 
 
 @functools.cache
@@ -37,8 +38,14 @@ def shared_path(spark: SparkSession) -> str:
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Let the session's Python workers import this package, once per session (as ``--py-files`` would)."""
+    """Let the session's Python workers import this package, once per session (as ``--py-files`` would).
+
+    Batches of texts for them are kept to ``BATCH_BYTES`` unless the session
+    says otherwise: a worker holds several forms of a batch at a time.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(BATCH_CONF, None) is None:
+        spark.conf.set(BATCH_CONF, BATCH_BYTES)
     if not getattr(sc, "_cohortlens_shipped", False):
         root = Path(__file__).resolve().parents[1]
         archive = Path(tempfile.mkdtemp(prefix="run-")) / "cohortlens.zip"
@@ -94,7 +101,7 @@ def encoded(values: pa.Array) -> list[bytes]:
     return [x or b"" for x in values.cast(pa.large_binary()).to_pylist()]
 
 
-def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+def chunks(texts: list[bytes] | list[str], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Index ranges of neighbouring texts of about ``limit`` bytes in all; one text is never split."""
     start, held = 0, 0
     for i, text in enumerate(texts):
