@@ -10,8 +10,7 @@ Layout
 ``sources``    input schemas, readers, the sink, bindings of the test tables
 ``functions``  Column functions (demographic cleaning, day windows)
 ``operators``  DataFrame operators (enrich, concepts, flags, visits, stays)
-``plans``      compositions (person fact, workflow), literal forms, plan checks
-``streaming``  nothing: the computations are batch only (see its docstring)
+``plans``      compositions (person fact, workflow)
 """
 
 from cohortlens.plans.fact import FactOptions, clean_cohort, index_cohort, person_fact

@@ -12,7 +12,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from cohortlens.operators.joins import MAX_KEY_ROWS_CONF
+from cohortlens.operators.flags import MAX_FLAGS
 from cohortlens.plans.fact import FactOptions
 from cohortlens.plans.workflow import build_outputs
 from cohortlens.session import build_session
@@ -27,7 +27,7 @@ def main(argv: list[str] | None = None) -> dict:
     src.add_argument("--inputs", help="JSON file: input name -> Parquet path")
     src.add_argument("--test-tables", metavar="SF_DIR", help="bind the driver's test tables in SF_DIR")
     ap.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
-    ap.add_argument("--shuffle-partitions", type=int, default=200)
+    ap.add_argument("--shuffle-partitions", type=int, default=None, help="default: the session's")
     ap.add_argument("--no-er", action="store_true", help="first stays only, no ER visits")
     ap.add_argument("--both", action="store_true", help="require lab and diagnosis dates both near")
     ap.add_argument("--before", type=int, default=1, help="days before the index date")
@@ -36,17 +36,12 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--seed", type=int, default=111, help="cohort sample seed")
     ap.add_argument("--flags-until-index", action="store_true", help="count only conditions up to the index date")
     ap.add_argument("--resume", action="store_true", help="keep stages already written in OUT_DIR")
-    ap.add_argument("--broadcast-cohort-rows", type=int, default=0,
-                    help="broadcast the cohort side when it has at most this many rows (0: never)")
+    ap.add_argument("--max-flags", type=int, default=MAX_FLAGS, help="how many flag columns are allowed")
     ap.add_argument("--stay-id", default=None, help="also list the visits of this stay")
     ap.add_argument("--person-id", type=int, default=None, help="also list the stays of this person")
     args = ap.parse_args(argv)
 
-    spark = build_session(
-        args.master,
-        shuffle_partitions=args.shuffle_partitions,
-        extra={MAX_KEY_ROWS_CONF: str(args.broadcast_cohort_rows)},
-    )
+    spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
     if args.inputs:
         with open(args.inputs) as fh:
             tables = read_tables(spark, json.load(fh))
@@ -59,6 +54,7 @@ def main(argv: list[str] | None = None) -> dict:
         days_after=args.after,
         fraction=args.fraction,
         seed=args.seed,
+        max_flags=args.max_flags,
         flags_until="first_poslab_or_diagnosis_date" if args.flags_until_index else None,
     )
     metrics: dict = {}

@@ -1,11 +1,11 @@
 """DataFrame operators: joins, aggregates and windows on person-keyed tables."""
 
-from cohortlens.operators.concepts import current_concepts, current_members, er_concepts
+from cohortlens.operators.concepts import comorbidity_concepts, current_members, er_concepts
 from cohortlens.operators.demographics import clean_demographics
 from cohortlens.operators.enrich import enrich, sample_cohort, with_death
 from cohortlens.operators.events import events_in_window, first_event
 from cohortlens.operators.flags import event_flags, flag_names, person_flags, with_person_flags
-from cohortlens.operators.joins import bounded_broadcast, fits
+from cohortlens.operators.joins import left_lookup, split_hot_keys
 from cohortlens.operators.stays import stays_after
 from cohortlens.operators.visits import (
     er_visits_near,
@@ -22,9 +22,8 @@ from cohortlens.operators.visits import (
 )
 
 __all__ = [
-    "bounded_broadcast",
     "clean_demographics",
-    "current_concepts",
+    "comorbidity_concepts",
     "current_members",
     "enrich",
     "er_concepts",
@@ -36,12 +35,13 @@ __all__ = [
     "first_index_visits",
     "first_stay",
     "first_visits",
-    "fits",
     "flag_names",
     "hospital_stays_near",
     "index_visits",
+    "left_lookup",
     "person_flags",
     "sample_cohort",
+    "split_hot_keys",
     "stay_date_variants",
     "stay_timeline",
     "stays_after",

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-
 def is_current(members: DataFrame) -> Column:
     """``is_most_recent_version`` as a predicate, stored as boolean or as text 'true'."""
     col = F.col("is_most_recent_version")
@@ -29,23 +28,20 @@ def er_sets(sets: DataFrame) -> DataFrame:
 
 
 def current_members(members: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Current concept ids of the chosen sets, with the chosen sets' other columns.
+    """Current (concept_id, concept_set_name) of the chosen sets.
 
-    The chosen sets are a filtered scan of a short list, so the planner's
-    size check broadcasts them; the result is a derived table whose size
-    the planner cannot bound, so callers that join it to a large table
-    check its size (``bounded_broadcast``) before hinting.
+    A semi join: the result is at most as large as ``members``, and the
+    planner knows it, so its byte-based check decides whether a join with a
+    large table broadcasts the list.
     """
     current = members.where(is_current(members)).select("concept_id", "concept_set_name")
-    return current.join(chosen, "concept_set_name", "inner").drop("concept_set_name")
-
+    return current.join(chosen.select("concept_set_name"), "concept_set_name", "left_semi")
 
-def current_concepts(members: DataFrame, sets: DataFrame, where: Column) -> DataFrame:
-    """Current concept ids (with the sets' other columns) of the sets selected by ``where``.
 
-    ``where`` is a predicate on ``sets``, for example ``F.col("er_only_visit") == 1``.
-    """
-    return current_members(members, sets.where(where))
+def comorbidity_concepts(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(concept_id, column_name) of the comorbidity flags (repeats do no harm to a flag)."""
+    chosen = comorbidity_sets(sets)
+    return current_members(members, chosen).join(chosen, "concept_set_name").select("concept_id", "column_name")
 
 
 def er_members(members: DataFrame, sets: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.operators.joins import left_lookup
 
 PERSON_COLUMNS = [
     "year_of_birth", "month_of_birth", "day_of_birth",
@@ -18,21 +19,16 @@ SUPERSEDED_DATE = "first_antigen_or_poslab_or_diagnosis_date"
 
 
 def sample_cohort(cohort: DataFrame, fraction: float = 1.0, seed: int = 111) -> DataFrame:
-    """Seeded Bernoulli sample without replacement (fraction 1.0 keeps every row)."""
-    return cohort.sample(withReplacement=False, fraction=fraction, seed=seed)
+    """A reproducible sample without replacement (fraction 1.0 keeps every row).
 
-
-def _left_lookup(df: DataFrame, dim: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Left join on ``key`` keeping ``df``'s key column in place and appending ``columns``.
-
-    No hint: the dimension is a plain scan, so the planner's own size check
-    (``autoBroadcastJoinThreshold`` on the file size) broadcasts it when it is
-    small and plans a sort-merge join otherwise.  A null or hot key (one
-    partner or location holding a large share of persons) overfills one
-    partition of the sort-merge join; AQE splits it.
+    A person is in the sample if the first 32 bits of the MD5 of
+    "seed:person_id" are below that fraction of their range: the rule depends
+    on nothing else, so every branch of a plan picks the same persons.
     """
-    right = dim.select(F.col(key).alias("__k"), *columns)
-    return df.join(right, F.col(key) == F.col("__k"), "left").drop("__k")
+    if fraction >= 1.0:
+        return cohort
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("person_id").cast("string")))
+    return cohort.where(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") < F.lit(int(fraction * 2**32)))
 
 
 def enrich(cohort: DataFrame, persons: DataFrame, location: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -40,8 +36,8 @@ def enrich(cohort: DataFrame, persons: DataFrame, location: DataFrame, manifest:
     with_index = cohort.where(F.col(INDEX_DATE).isNotNull()).drop(SUPERSEDED_DATE)
     person_side = persons.select(F.col("person_id").alias("__k"), *PERSON_COLUMNS)
     with_person = with_index.join(person_side, F.col("person_id") == F.col("__k"), "left").drop("__k")
-    with_location = _left_lookup(with_person, location, "location_id", LOCATION_COLUMNS)
-    return _left_lookup(with_location, manifest, "data_partner_id", MANIFEST_COLUMNS)
+    with_location = left_lookup(with_person, location, "location_id", LOCATION_COLUMNS, spread_by="person_id")
+    return left_lookup(with_location, manifest, "data_partner_id", MANIFEST_COLUMNS, spread_by="person_id")
 
 
 def with_death(fact: DataFrame, death: DataFrame, *, earliest: bool = False) -> DataFrame:

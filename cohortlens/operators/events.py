@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.windows import near, within_span
-from cohortlens.operators.joins import bounded_key_broadcast
+from cohortlens.operators.joins import split_hot_keys
 
 
 def events_in_window(
@@ -37,18 +37,15 @@ def events_in_window(
     dates never match.  ``prefilter`` drops events outside the span of all
     index dates before the join (exact; one scalar subquery over ``index``).
 
-    With the opt-in key-table bound (``cohortlens.broadcast.maxKeyRows``), an
-    index side within it is broadcast: the events are matched in their scan
-    stage and never shuffled for the join.  Otherwise both sides are shuffled
-    by the key (a sort-merge join; AQE splits a hot key).
+    Both sides are shuffled by the key unless the planner finds the index side
+    small; AQE splits a hot key.
     """
-    index = bounded_key_broadcast(index)
     if prefilter:
         events = events.where(within_span(event_date, index, index_date, before, after))
     cond = near(index_date, event_date, before, after)
     if also is not None:
         cond = cond & also
-    return events.join(index, key, "inner").where(cond)
+    return split_hot_keys(events).join(index, key, "inner").where(cond)
 
 
 def first_event(df: DataFrame, key: str | Sequence[str], order: Sequence[str], payload: Sequence[str]) -> DataFrame:

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.operators.concepts import comorbidity_sets, current_members
-from cohortlens.operators.joins import bounded_broadcast, bounded_key_broadcast
+from cohortlens.operators.concepts import comorbidity_concepts, comorbidity_sets
+from cohortlens.operators.joins import split_hot_keys
 
 MAX_FLAGS = 10_000
 
@@ -20,13 +20,14 @@ MAX_FLAGS = 10_000
 def flag_names(sets: DataFrame, max_flags: int = MAX_FLAGS) -> list[str]:
     """Sorted distinct non-null flag names of the comorbidity sets.
 
-    These become column names, so they are schema, not data: the list is
-    fetched to the driver only after checking that it is short.
+    These become column names, so they are schema, not data.  ``max_flags``
+    (``FactOptions.max_flags``, ``--max-flags``) is how many columns the
+    caller allows; more raise an error, none is dropped.
     """
     names = comorbidity_sets(sets).where(F.col("column_name").isNotNull()).select("column_name").distinct()
     rows = names.limit(max_flags + 1).collect()
     if len(rows) > max_flags:
-        raise ValueError(f"more than {max_flags} comorbidity flags; pass flag_names explicitly")
+        raise ValueError(f"more than {max_flags} comorbidity flags; raise max_flags")
     return sorted(r[0] for r in rows)
 
 
@@ -42,6 +43,7 @@ def event_flags(
     names: list[str] | None = None,
     *,
     until: str | None = None,
+    concepts: DataFrame | None = None,
 ) -> DataFrame:
     """One row per cohort person and condition date with at least one matched concept.
 
@@ -51,19 +53,20 @@ def event_flags(
     on or before the person's date count (a person without that date gets
     no flags).
 
-    Plan: the concept list is broadcast (size checked) into the scan of
-    conditions, so only matched rows leave the map side; they are joined to
-    the cohort's person ids (an inner join, one shuffle by person) and the
-    flags are aggregated per (person, date) in that same stage, then per
-    person without another exchange.  Flags are a ``max``, so a person listed
-    twice in the cohort changes nothing.  (A semi join with the cohort would
-    be moved by the optimizer below the concept join, shuffling every
-    condition row; the inner join keeps the concept filter first.)  A person
-    holding a large share of the rows is split by AQE's skew handling.
+    ``concepts``: the resolved list (``comorbidity_concepts``), if it has been
+    written as a stage; its bytes then decide whether the planner broadcasts
+    it into the scan of conditions, so that only matched rows leave the map
+    side.  They are joined to the cohort's person ids (an inner join, one
+    shuffle by person) and the flags are aggregated per (person, date) in that
+    same stage, then per person without another exchange.  Flags are a
+    ``max``, so a person listed twice in the cohort changes nothing.  (A semi
+    join with the cohort would be moved by the optimizer below the concept
+    join, shuffling every condition row; the inner join keeps the concept
+    filter first.)  AQE splits a person holding a large share of the rows.
     """
     names = flag_names(sets) if names is None else list(names)
-    concepts = current_members(members, comorbidity_sets(sets)).where(F.col("column_name").isin(names))
-    concepts = bounded_broadcast(concepts)
+    listed = comorbidity_concepts(members, sets) if concepts is None else concepts
+    concepts = listed.where(F.col("column_name").isin(names))
     events = (
         conditions.where(F.col("condition_start_date").isNotNull())
         .select(
@@ -73,10 +76,11 @@ def event_flags(
         )
         .join(concepts, "concept_id", "inner")
     )
+    events = split_hot_keys(events)
     if until is None:
-        events = events.join(bounded_key_broadcast(cohort.select("person_id")), "person_id", "inner")
+        events = events.join(cohort.select("person_id"), "person_id", "inner")
     else:
-        bound = bounded_key_broadcast(cohort.select("person_id", F.col(until).alias("__until")))
+        bound = cohort.select("person_id", F.col(until).alias("__until"))
         events = events.join(bound, "person_id", "inner").where(F.col("comorbidity_start_date") <= F.col("__until"))
     if names:
         return events.groupBy("person_id", "comorbidity_start_date").agg(*_flag_columns(names))

@@ -2,8 +2,7 @@
 
 The anchor is the start of the person's first index stay, or the index date
 for a person without one.  The two cases are disjoint, so one equi join on
-``person_id`` with ``anchor < stay start`` covers both in a single pass
-(the literal two-branch form is kept in ``plans.literal`` as a check).
+``person_id`` with ``anchor < stay start`` covers both in a single pass.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.windows import after_earliest
-from cohortlens.operators.joins import bounded_key_broadcast
+from cohortlens.operators.joins import split_hot_keys
 from cohortlens.operators.visits import FIRST_STAY_END, FIRST_STAY_START, INDEX
 
 ANCHOR_COLUMNS = ["person_id", INDEX, FIRST_STAY_START, FIRST_STAY_END]
@@ -39,7 +38,7 @@ def stays_after(fact: DataFrame, visits: DataFrame, *, prefilter: bool = False)
     stays = visits.where(F.col("macrovisit_id").isNotNull()).select(
         "person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date"
     )
-    later = stays.join(bounded_key_broadcast(anchors), "person_id", "inner").where(F.col("__anchor") < F.col("macrovisit_start_date"))
+    later = split_hot_keys(stays).join(anchors, "person_id", "inner").where(F.col("__anchor") < F.col("macrovisit_start_date"))
     order = F.struct("macrovisit_start_date", "macrovisit_end_date")
     return (
         later.groupBy(*ANCHOR_COLUMNS, "macrovisit_id")

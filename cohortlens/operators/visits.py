@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.windows import near, within_span
-from cohortlens.operators.concepts import er_concepts, er_members
+from cohortlens.operators.concepts import er_concepts
 from cohortlens.operators.events import events_in_window, first_event
-from cohortlens.operators.joins import bounded_broadcast
+from cohortlens.operators.joins import split_hot_keys
 
+# The column names of the output contract.
 LAB, DIAGNOSIS, INDEX = "first_pos_pcr_antigen_date", "first_pos_diagnosis_date", "first_poslab_or_diagnosis_date"
 STAY_START, STAY_END = "covid_hospitalization_start_date", "covid_hospitalization_end_date"
 ER_DATE = "covid_ER_only_start_date"
@@ -78,27 +79,19 @@ def hospital_stays_near(
     ).distinct()
 
 
-def er_visit_rows(visits: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
+def er_visit_rows(visits: DataFrame, members: DataFrame, sets: DataFrame, er_ids: DataFrame | None = None) -> DataFrame:
     """(person, date) of every ER-only visit row: no stay start, a current ER concept.
 
-    The ER concept ids are broadcast (size checked) into the scan as a semi join.
+    ``er_ids``: the resolved list (``er_concepts``), if it has been written as a stage.
     """
-    er_ids = bounded_broadcast(
-        er_concepts(members, sets).withColumnRenamed("concept_id", "visit_concept_id"),
-        superset=er_members(members, sets),
-    )
+    listed = er_concepts(members, sets) if er_ids is None else er_ids
     return (
         visits.where(F.col("macrovisit_start_date").isNull())
-        .join(er_ids, "visit_concept_id", "left_semi")
+        .join(listed.withColumnRenamed("concept_id", "visit_concept_id"), "visit_concept_id", "left_semi")
         .select("person_id", "visit_start_date")
     )
 
 
-def er_visit_dates(visits: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Distinct (person, date) of ER-only visits."""
-    return er_visit_rows(visits, members, sets).distinct()
-
-
 def er_visits_near(
     cohort: DataFrame,
     visits: DataFrame,
@@ -147,16 +140,17 @@ def first_visits(first_stays: DataFrame, first_ers: DataFrame | None) -> DataFra
     return first_stays.join(first_ers, "person_id", "full_outer")
 
 
-def index_events(visits: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
+def index_events(visits: DataFrame, members: DataFrame, sets: DataFrame, er_ids: DataFrame | None = None) -> DataFrame:
     """Stays and ER-only visits from one scan of ``visits``, one row per visit row.
 
     Columns: ``person_id``, ``is_stay``, ``macrovisit_id`` and ``end`` (null
     for ER rows), ``day`` (stay start, or ER visit date).  The ER concept ids
-    are broadcast (size checked) into the scan as a marker column, so stay
-    rows are kept whatever their concept.
+    are joined as a marker column, so stay rows are kept whatever their
+    concept; ``er_ids`` is the resolved list, if it has been written.
     """
-    er_ids = er_concepts(members, sets).select(F.col("concept_id").alias("visit_concept_id"), F.lit(True).alias("__er"))
-    marked = visits.join(bounded_broadcast(er_ids, superset=er_members(members, sets)), "visit_concept_id", "left")
+    listed = er_concepts(members, sets) if er_ids is None else er_ids
+    marks = listed.select(F.col("concept_id").alias("visit_concept_id"), F.lit(True).alias("__er"))
+    marked = split_hot_keys(visits).join(marks, "visit_concept_id", "left")
     is_stay = F.col("macrovisit_start_date").isNotNull()
     return (
         marked.where(is_stay | F.col("__er").isNotNull())
@@ -180,6 +174,7 @@ def first_index_visits(
     require_both: bool = False,
     before: int = 1,
     after: int = 16,
+    er_ids: DataFrame | None = None,
 ) -> DataFrame:
     """Per person of ``cohort``: first stay (id, start, end) and, with ``with_er``, first ER date.
 
@@ -196,7 +191,7 @@ def first_index_visits(
     )
     near_events = events_in_window(
         index_dates(cohort),
-        index_events(visits.where(span), members, sets),
+        index_events(visits.where(span), members, sets, er_ids),
         prefilter=False,
         **_index_window("day", **window),
     )
@@ -249,6 +244,7 @@ def index_visits(
 
 # ---- look-ups and checks on visits -------------------------------------------------
 
+# The columns of the look-ups.
 VISIT_COLUMNS = [
     "person_id", "macrovisit_id", "visit_occurrence_id", "visit_concept_id", "visit_concept_name",
     "visit_start_date", "visit_end_date", "macrovisit_start_date", "macrovisit_end_date",
@@ -273,13 +269,6 @@ def stay_date_variants(visits: DataFrame) -> DataFrame:
     )
 
 
-def visits_of_stays(visits: DataFrame, stay_ids: DataFrame) -> DataFrame:
-    """Visit rows of the stays listed in ``stay_ids`` (column ``macrovisit_id``), by visit code."""
-    return visits.join(stay_ids.select("macrovisit_id"), "macrovisit_id", "left_semi").select(
-        *VISIT_COLUMNS
-    ).orderBy("visit_concept_id")
-
-
 def visits_of_stay(visits: DataFrame, stay_id: str) -> DataFrame:
     """Visit rows of one stay, ordered by visit code."""
     return visits.select(*VISIT_COLUMNS).where(F.col("macrovisit_id") == stay_id).orderBy("visit_concept_id")
@@ -294,16 +283,6 @@ def stay_timeline(visits: DataFrame, person_id) -> DataFrame:
     )
 
 
-def stay_timelines(visits: DataFrame, person_ids: DataFrame) -> DataFrame:
-    """As ``stay_timeline`` for the persons listed in ``person_ids``."""
-    return (
-        visits.where(F.col("macrovisit_id").isNotNull())
-        .join(person_ids.select("person_id"), "person_id", "left_semi")
-        .select(*VISIT_COLUMNS)
-        .orderBy("macrovisit_start_date")
-    )
-
-
 def busiest(df: DataFrame, key: str) -> DataFrame:
     """The ``key`` value with the most rows, smallest value on a tie (a top-1 report)."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))

@@ -1 +1 @@
-"""Compositions of operators, literal forms kept for checks, plan inspection."""
+"""Compositions of operators."""

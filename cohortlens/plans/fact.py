@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators.demographics import clean_demographics
 from cohortlens.operators.enrich import INDEX_DATE, enrich, sample_cohort, with_death
-from cohortlens.operators.flags import event_flags, flag_names, with_person_flags
+from cohortlens.operators.flags import MAX_FLAGS, event_flags, flag_names, with_person_flags
 from cohortlens.operators.stays import stays_after
-from cohortlens.operators.visits import index_visits
+from cohortlens.operators.visits import first_index_visits, index_visits
 from cohortlens.sources.tables import Tables
 
 
@@ -25,6 +25,7 @@ class FactOptions:
     days_after: int = 16
     fraction: float = 1.0
     seed: int = 111
+    max_flags: int = MAX_FLAGS  # how many flag columns are allowed
     flags_until: str | None = None  # e.g. the index date: only conditions on or before it count
 
 
@@ -64,6 +65,7 @@ def person_fact(t: Tables, opts: FactOptions = FactOptions(), names: list[str] |
     them in two left joins on ``person_id``.
     """
     base = index_cohort(t, opts)
+    names = flag_names(t.sets, opts.max_flags) if names is None else names
     flagged = cohort_with_flags(t, clean_cohort(t, opts), names, persons=base, until=opts.flags_until)
     return index_visits(
         flagged,
@@ -82,5 +84,13 @@ def person_death(t: Tables, fact: DataFrame) -> DataFrame:
     return with_death(fact, t.death)
 
 
-def later_stays(t: Tables, fact: DataFrame) -> DataFrame:
-    return stays_after(fact, t.visits)
+def stay_anchors(t: Tables, opts: FactOptions = FactOptions()) -> DataFrame:
+    """Person, index date, start and end of the first index stay: what later stays need of the fact."""
+    base = index_cohort(t, opts)
+    window = dict(require_both=opts.require_both, before=opts.days_before, after=opts.days_after)
+    return base.join(first_index_visits(base, t.visits, t.members, t.sets, with_er=False, **window), "person_id", "left")
+
+
+def later_stays(t: Tables, fact: DataFrame | None = None, opts: FactOptions = FactOptions()) -> DataFrame:
+    """Later stays, from a written fact or from the narrow anchors alone."""
+    return stays_after(stay_anchors(t, opts) if fact is None else fact, t.visits)

@@ -15,7 +15,6 @@ from cohortlens.functions.demographics import age_in_years, birth_date, race_eth
 from cohortlens.operators.concepts import er_concepts
 from cohortlens.operators.enrich import enrich, sample_cohort, with_death
 from cohortlens.operators.flags import event_flags, flag_names, person_flags
-from cohortlens.operators.stays import stays_after
 from cohortlens.operators.visits import (
     busiest,
     er_visits_near,
@@ -26,12 +25,11 @@ from cohortlens.operators.visits import (
     hospital_stays_near,
     index_visits,
     stay_date_variants,
-    stay_timelines,
+    stay_timeline,
     visit_code_counts,
-    visits_of_stays,
+    visits_of_stay,
 )
-from cohortlens.plans import literal
-from cohortlens.plans.fact import FactOptions, clean_cohort, cohort_with_flags, person_fact
+from cohortlens.plans.fact import FactOptions, clean_cohort, cohort_with_flags, index_cohort, later_stays, person_fact
 from cohortlens.sources.bindings import INPATIENT, bound_tables
 from cohortlens.sources.tables import Tables
 
@@ -54,6 +52,10 @@ def q_sample_cohort(spark, sf_dir):
     return sample_cohort(_t(spark, sf_dir).cohort)
 
 
+def q_sample_cohort_half(spark, sf_dir):
+    return sample_cohort(_t(spark, sf_dir).cohort, 0.5)
+
+
 def q_enrich_locations(spark, sf_dir):
     t = _t(spark, sf_dir)
     return enrich(sample_cohort(t.cohort), t.persons, t.location, t.manifest)
@@ -102,18 +104,13 @@ def q_zip5(spark, sf_dir):
 
 def _flags_by_date(t: Tables):
     names = flag_names(t.sets)
-    return event_flags(clean_cohort(t), t.conditions, t.members, t.sets, names), names
+    return event_flags(index_cohort(t), t.conditions, t.members, t.sets, names), names
 
 
 def q_comorbidity_by_visit(spark, sf_dir):
     return _flags_by_date(_t(spark, sf_dir))[0]
 
 
-def q_comorbidity_by_visit_pivot(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    return literal.event_flags_pivot(clean_cohort(t), t.conditions, t.members, t.sets)
-
-
 def q_comorbidity_by_person(spark, sf_dir):
     by_date, names = _flags_by_date(_t(spark, sf_dir))
     return person_flags(by_date, names)
@@ -121,7 +118,7 @@ def q_comorbidity_by_person(spark, sf_dir):
 
 def q_person_with_comorbidities(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return cohort_with_flags(t, clean_cohort(t))
+    return cohort_with_flags(t, clean_cohort(t), persons=index_cohort(t))
 
 
 def q_er_concepts(spark, sf_dir):
@@ -131,7 +128,7 @@ def q_er_concepts(spark, sf_dir):
 
 def _er(spark, sf_dir, **window):
     t = _t(spark, sf_dir)
-    return er_visits_near(clean_cohort(t), t.visits, t.members, t.sets, **window)
+    return er_visits_near(index_cohort(t), t.visits, t.members, t.sets, **window)
 
 
 def q_er_visits_either(spark, sf_dir):
@@ -144,7 +141,7 @@ def q_er_visits_both(spark, sf_dir):
 
 def _hosp(spark, sf_dir, **window):
     t = _t(spark, sf_dir)
-    return hospital_stays_near(clean_cohort(t), t.visits, **window)
+    return hospital_stays_near(index_cohort(t), t.visits, **window)
 
 
 def q_hosp_either(spark, sf_dir):
@@ -159,31 +156,28 @@ def q_first_hosp(spark, sf_dir):
     return first_stay(_hosp(spark, sf_dir))
 
 
-def q_first_hosp_window(spark, sf_dir):
-    return literal.first_stay_window(_hosp(spark, sf_dir))
-
-
 def q_first_er(spark, sf_dir):
     return first_er(_er(spark, sf_dir))
 
 
 def q_first_visits(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return first_index_visits(clean_cohort(t), t.visits, t.members, t.sets)
+    return first_index_visits(index_cohort(t), t.visits, t.members, t.sets)
 
 
 def q_first_visits_full_outer(spark, sf_dir):
     t = _t(spark, sf_dir)
-    clean = clean_cohort(t)
+    base = index_cohort(t)
     return first_visits(
-        first_stay(hospital_stays_near(clean, t.visits)),
-        first_er(er_visits_near(clean, t.visits, t.members, t.sets)),
+        first_stay(hospital_stays_near(base, t.visits)),
+        first_er(er_visits_near(base, t.visits, t.members, t.sets)),
     )
 
 
 def q_first_visits_hosp_only(spark, sf_dir):
     t = _t(spark, sf_dir)
-    out = index_visits(clean_cohort(t), t.visits, t.members, t.sets, with_er=False)
+    base = index_cohort(t)
+    out = index_visits(base, t.visits, t.members, t.sets, with_er=False)
     return out.select(
         "person_id", "macrovisit_id", "first_COVID_hospitalization_start_date", "first_COVID_hospitalization_end_date"
     )
@@ -191,30 +185,21 @@ def q_first_visits_hosp_only(spark, sf_dir):
 
 def q_covid_visits(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return index_visits(cohort_with_flags(t, clean_cohort(t)), t.visits, t.members, t.sets)
+    base = index_cohort(t)
+    return index_visits(cohort_with_flags(t, clean_cohort(t), persons=base), t.visits, t.members, t.sets, index_cohort=base)
 
 
 def q_person_fact(spark, sf_dir):
     return person_fact(_t(spark, sf_dir), FactOptions())
 
 
-def q_person_fact_literal(spark, sf_dir):
-    return literal.person_fact_literal(_t(spark, sf_dir))
-
-
 def q_person_death(spark, sf_dir):
     t = _t(spark, sf_dir)
     return with_death(person_fact(t), t.death)
 
 
 def q_stays_after_index(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    return stays_after(person_fact(t), t.visits)
-
-
-def q_stays_after_two_branch(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    return literal.stays_after_two_branch(person_fact(t), t.visits)
+    return later_stays(_t(spark, sf_dir))
 
 
 def q_inpatient_codes_per_stay(spark, sf_dir):
@@ -227,12 +212,12 @@ def q_distinct_dates_per_stay(spark, sf_dir):
 
 def q_visits_of_stay(spark, sf_dir):
     v = _t(spark, sf_dir).visits
-    return visits_of_stays(v, busiest(v, "macrovisit_id"))
+    return visits_of_stay(v, busiest(v, "macrovisit_id").first()[0])
 
 
 def q_stay_timeline(spark, sf_dir):
     v = _t(spark, sf_dir).visits
-    return stay_timelines(v, busiest(v.where(F.col("macrovisit_id").isNotNull()), "person_id"))
+    return stay_timeline(v, busiest(v.where(F.col("macrovisit_id").isNotNull()), "person_id").first()[0])
 
 
 QUERIES: dict[str, Query] = {

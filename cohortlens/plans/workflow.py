@@ -15,10 +15,15 @@ reference prints.
 
 from __future__ import annotations
 
+import dataclasses
+import hashlib
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.operators.concepts import comorbidity_concepts, er_concepts
 from cohortlens.operators.demographics import clean_demographics
 from cohortlens.operators.enrich import INDEX_DATE, enrich, sample_cohort, with_death
 from cohortlens.operators.flags import event_flags, flag_names, with_person_flags
@@ -64,6 +69,28 @@ def committed(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def recipe(t: Tables, opts: FactOptions, name: str, **more) -> str:
+    """What a stage's rows depend on: its name, the options, and each input's files and columns."""
+    inputs = {}
+    for table in t.names():
+        df = getattr(t, table)
+        files = hashlib.sha256("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
+        inputs[table] = {"files": files, "columns": df.dtypes}
+    return json.dumps({"stage": name, "options": dataclasses.asdict(opts), "inputs": inputs, **more}, sort_keys=True)
+
+
+def read_recipe(spark: SparkSession, path: str) -> str | None:
+    try:
+        row = spark.read.text(path, wholetext=True).first()
+    except AnalysisException:
+        return None
+    return row[0].strip() if row else None
+
+
+def write_recipe(spark: SparkSession, path: str, text: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def build_outputs(
     t: Tables,
     out_dir: str,
@@ -79,7 +106,8 @@ def build_outputs(
     ``metrics``, when given, receives the observed row counts of each output
     written in this run.  ``stay_id`` and ``person_id`` add the two look-ups
     (visits of one stay, stays of one person).  With ``resume``, a stage whose
-    output is already committed is read back instead of recomputed, so a run
+    output is already committed by the same recipe (options, inputs, written
+    beside it under ``_recipes``) is read back instead of recomputed, so a run
     that failed part-way continues from its last written stage.
     """
     spark = t.cohort.sparkSession
@@ -87,23 +115,32 @@ def build_outputs(
     paths: dict[str, str] = {}
     observed: dict[str, Observation] = {}
 
+    wanted = recipe(t, opts, "", stay_id=stay_id, person_id=person_id)
+
     def stage(name: str, df: DataFrame, obs: Observation | None = None) -> DataFrame:
         paths[name] = f"{out}/{name}"
-        if resume and committed(spark, paths[name]):
+        own, note = wanted.replace('"stage": ""', f'"stage": "{name}"'), f"{out}/_recipes/{name}"
+        if resume and read_recipe(spark, note) == own and committed(spark, paths[name]):
             return spark.read.parquet(paths[name])
+        write_recipe(spark, note, "being written")
         if obs is None:
             df, obs = with_row_counts(df, name)
         observed[name] = obs
         publish(df, paths[name])
+        write_recipe(spark, note, own)
         return spark.read.parquet(paths[name])
 
-    names = flag_names(t.sets)
+    names = flag_names(t.sets, opts.max_flags)
+    # written, so that their bytes decide whether the planner broadcasts them
+    flag_concepts = stage("comorbidity_concepts", comorbidity_concepts(t.members, t.sets).distinct())
+    er_ids = stage("er_concepts", er_concepts(t.members, t.sets)) if opts.with_er else None
     sampled = stage("sample_cohort", sample_cohort(t.cohort, opts.fraction, opts.seed))
     located = stage("enrich_locations", enrich(sampled, t.persons, t.location, t.manifest))
     clean = stage("clean_demographics", clean_demographics(located))
     persons = sampled.where(F.col(INDEX_DATE).isNotNull())
     by_date = stage(
-        "comorbidity_by_visit", event_flags(persons, t.conditions, t.members, t.sets, names, until=opts.flags_until)
+        "comorbidity_by_visit",
+        event_flags(persons, t.conditions, t.members, t.sets, names, until=opts.flags_until, concepts=flag_concepts),
     )
     flagged = stage("person_with_comorbidities", with_person_flags(clean, by_date, names))
     firsts = first_index_visits(
@@ -115,6 +152,7 @@ def build_outputs(
         require_both=opts.require_both,
         before=opts.days_before,
         after=opts.days_after,
+        er_ids=er_ids,
     )
     fact = stage(FACT, flagged.join(firsts, "person_id", "left"))
     stage("stays_after_index", *later_stays_observed(fact, t.visits))

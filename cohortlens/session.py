@@ -13,6 +13,7 @@ scratch folder only because none is set there.
 
 from __future__ import annotations
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -35,19 +36,34 @@ def build_session(
     master: str | None = "local[*]",
     *,
     app: str = "cohortlens",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     checkpoint_dir: str | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
-    if master:  # None: keep the master given by spark-submit or the cluster
-        builder = builder.master(master)
-    conf = dict(SETTINGS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for key, value in conf.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    """A session with ``SETTINGS`` where neither the cluster nor the caller has set them.
+
+    What ``spark-submit --conf``, ``spark-defaults.conf`` or an active session
+    say stays.  ``shuffle_partitions`` and ``extra`` are the caller's own and
+    override; without the former, the cluster's count holds.
+    """
+    asked = dict(extra or {})
+    if shuffle_partitions is not None:
+        asked["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        given = SparkConf()  # system properties, and so spark-submit's
+        builder = SparkSession.builder.appName(app)
+        if master and not given.contains("spark.master"):
+            builder = builder.master(master)
+        for key, value in ({k: v for k, v in SETTINGS.items() if not given.contains(k)} | asked).items():
+            builder = builder.config(key, value)
+        spark = builder.getOrCreate()
+    else:
+        for key, value in SETTINGS.items():
+            if spark.conf.get(key, None) is None and spark.conf.isModifiable(key):
+                spark.conf.set(key, value)
+        for key, value in asked.items():
+            spark.conf.set(key, value)
     if checkpoint_dir and not spark.conf.get("spark.checkpoint.dir", None):
         spark.conf.set("spark.checkpoint.dir", checkpoint_dir)
     spark.sparkContext.setLogLevel("ERROR")

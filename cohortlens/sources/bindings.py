@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortlens.sources.io import conform
 from cohortlens.sources.tables import Tables
 
 # The columns of the test tables that the bindings read, with
@@ -58,10 +59,9 @@ CONCEPT_SETS = [
     ("ER", "er_visit", "visit_occurrence", 0, 1),
 ]
 
-# Visit concept ids (inpatient, outpatient, emergency room) and
-# the ER concept rows added to the members, (concept_id, name, current).
-INPATIENT, OUTPATIENT, EMERGENCY = 9201, 9202, 9203
-ER_MEMBERS = [(EMERGENCY, "ER", True), (OUTPATIENT, "ER", False)]
+# Visit concept ids (inpatient, outpatient), and the first of the
+# ten emergency room concepts.
+INPATIENT, OUTPATIENT, EMERGENCY = 9201, 9202, 9300
 
 
 def read_test_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -113,8 +113,8 @@ def persons(customer: DataFrame) -> DataFrame:
         ethnicity.alias("ethnicity_concept_name"),
         race.alias("race_concept_name"),
         gender.alias("gender_concept_name"),
-        _null_if(k % 29 == 0, F.col("c_nationkey")).cast("int").alias("location_id"),
-        (F.col("c_nationkey") % 6).cast("int").alias("data_partner_id"),
+        _null_if(k % 29 == 0, F.col("c_nationkey")).alias("location_id"),
+        (F.col("c_nationkey") % 6).alias("data_partner_id"),
     )
 
 
@@ -128,7 +128,7 @@ def location(nation: DataFrame) -> DataFrame:
         .when(n % 6 == 4, "50A01")
     )
     return nation.select(
-        n.cast("int").alias("location_id"),
+        n.alias("location_id"),
         F.col("n_name").alias("city"),
         F.concat(F.lit("S"), F.col("n_regionkey").cast("string")).alias("state"),
         zip_.alias("zip"),
@@ -139,7 +139,7 @@ def location(nation: DataFrame) -> DataFrame:
 def manifest(region: DataFrame) -> DataFrame:
     r = F.col("r_regionkey")
     return region.select(
-        r.cast("int").alias("data_partner_id"),
+        r.alias("data_partner_id"),
         F.lit("2022-06-10").cast("date").alias("run_date"),
         F.col("r_name").alias("cdm_name"),
         F.lit("5.3").alias("cdm_version"),
@@ -157,7 +157,7 @@ def visits(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     line = F.col("l_linenumber")
     open_order = F.col("o_orderstatus") == "O"
     concept = (
-        F.when(open_order, F.when(line == 1, OUTPATIENT).otherwise(EMERGENCY))
+        F.when(open_order, F.when(line == 1, OUTPATIENT).otherwise(EMERGENCY + F.col("l_partkey") % 10))
         .when(line % 3 == 0, INPATIENT)
         .otherwise(OUTPATIENT)
     )
@@ -177,14 +177,14 @@ def visits(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def members(spark: SparkSession, part: DataFrame) -> DataFrame:
-    from_parts = part.select(
-        F.col("p_partkey").alias("concept_id"),
-        F.col("p_type").alias("concept_set_name"),
-        (F.col("p_size") % 2 == 0).alias("is_most_recent_version"),
+def members(part: DataFrame) -> DataFrame:
+    """Each part is a concept of its type; each medium part also lists an ER concept, by its size."""
+    current = (F.col("p_size") % 2 == 0).alias("is_most_recent_version")
+    concepts = part.select(F.col("p_partkey").alias("concept_id"), F.col("p_type").alias("concept_set_name"), current)
+    er = part.where(F.col("p_type") == "MEDIUM").select(
+        (EMERGENCY + F.col("p_size") % 10).cast("long").alias("concept_id"), F.lit("ER").alias("concept_set_name"), current
     )
-    extra = spark.createDataFrame(ER_MEMBERS, "concept_id long, concept_set_name string, is_most_recent_version boolean")
-    return from_parts.unionByName(extra)
+    return concepts.unionByName(er)
 
 
 def sets(spark: SparkSession) -> DataFrame:
@@ -207,23 +207,24 @@ def death(orders: DataFrame) -> DataFrame:
     """Finished low-priority orders are death records; a person may have several."""
     return orders.where((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "5-LOW")).select(
         F.col("o_custkey").alias("person_id"),
-        (F.col("o_orderkey") % 6).cast("int").alias("data_partner_id"),
+        (F.col("o_orderkey") % 6).alias("data_partner_id"),
         _date("o_orderdate").alias("death_date"),
     )
 
 
 def bind(spark: SparkSession, raw: dict[str, DataFrame]) -> Tables:
-    return Tables(
+    t = Tables(
         cohort=cohort(raw["customer"], raw["orders"]),
         persons=persons(raw["customer"]),
         location=location(raw["nation"]),
         manifest=manifest(raw["region"]),
         visits=visits(raw["lineitem"], raw["orders"]),
-        members=members(spark, raw["part"]),
+        members=members(raw["part"]),
         sets=sets(spark),
         conditions=conditions(raw["lineitem"], raw["orders"]),
         death=death(raw["orders"]),
     )
+    return Tables(**{name: conform(getattr(t, name), name) for name in t.names()})  # as ``read_table`` does
 
 
 def bound_tables(spark: SparkSession, sf_dir: str) -> Tables:

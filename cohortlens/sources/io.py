@@ -1,7 +1,7 @@
 """Readers and the sink.
 
-Inputs are Parquet directories read with a declared schema (no inference);
-timestamp columns that hold dates are cast on the way in.  Outputs are
+Inputs are Parquet directories; their declared columns are checked and cast
+(timestamp columns that hold dates become dates).  Outputs are
 written whole, ``overwrite``, to a shared path: a written table is also the
 way to cut a long lineage, since a lost executor then re-reads the table
 instead of re-running the plan.
@@ -9,8 +9,6 @@ instead of re-running the plan.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,15 +17,29 @@ from cohortlens.sources import schemas
 from cohortlens.sources.tables import Tables
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read one input; keep only the declared columns, cast to the declared types."""
-    df = spark.read.parquet(path)
-    present = set(df.columns)
-    cols = [
-        (F.col(f.name).cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema.fields
-    ]
-    return df.select(*cols)
+def conform(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as input ``name``: its declared columns, cast; for ``schemas.OPEN`` inputs also all others.
+
+    Raises if declared columns are missing, naming all of them.  A person id
+    that is stored as text stays text.
+    """
+    schema = schemas.BY_NAME[name]
+    stored = {f.name: f.dataType for f in df.schema.fields}
+    missing = [f.name for f in schema.fields if f.name not in stored]
+    if missing:
+        raise ValueError(f"input {name} lacks column(s): {', '.join(missing)}")
+
+    def declared(f: T.StructField):
+        kind = T.StringType() if f.name == "person_id" and isinstance(stored[f.name], T.StringType) else f.dataType
+        return F.col(f.name).cast(kind).alias(f.name)
+
+    others = [F.col(f"`{c}`") for c in df.columns if c not in schema.names] if name in schemas.OPEN else []
+    return df.select(*[declared(f) for f in schema.fields], *others)
+
+
+def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Read input ``name`` from Parquet (see ``conform``)."""
+    return conform(spark.read.parquet(path), name)
 
 
 def read_tables(spark: SparkSession, paths: dict[str, str]) -> Tables:
@@ -35,7 +47,7 @@ def read_tables(spark: SparkSession, paths: dict[str, str]) -> Tables:
     missing = [name for name in schemas.BY_NAME if name not in paths]
     if missing:
         raise ValueError(f"no path given for input(s): {', '.join(missing)}")
-    return Tables(**{name: read_table(spark, paths[name], schemas.BY_NAME[name]) for name in schemas.BY_NAME})
+    return Tables(**{name: read_table(spark, paths[name], name) for name in schemas.BY_NAME})
 
 
 def publish(df: DataFrame, path: str, *, partition_by: list[str] | None = None) -> None:
@@ -44,23 +56,3 @@ def publish(df: DataFrame, path: str, *, partition_by: list[str] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder for lineage cuts: ``spark.checkpoint.dir``."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for lineage cuts")
-    return path
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table under the shared folder and read it back.
-
-    The result has a lineage of one Parquet scan, so the plans built on it do
-    not re-run (or re-plan) everything upstream after an executor loss.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    publish(df, path)
-    return spark.read.parquet(path)

@@ -1,8 +1,8 @@
 """Declared schemas of the nine clinical inputs.
 
-Columns are read by name; declaring the types up front keeps the output
-schema fixed and lets ``spark.read.schema(...)`` skip inference.  Date
-columns are ``DateType``; readers cast timestamps to dates on the way in.
+Columns are read by name and cast to these types (timestamps become dates);
+a declared column that an input lacks is an error.  Inputs in ``OPEN`` pass
+their other columns on.
 """
 
 from pyspark.sql import types as T
@@ -30,12 +30,12 @@ PERSONS = _struct(
     ("ethnicity_concept_name", _S),
     ("race_concept_name", _S),
     ("gender_concept_name", _S),
-    ("location_id", _I),
-    ("data_partner_id", _I),
+    ("location_id", _L),
+    ("data_partner_id", _L),
 )
 
 LOCATION = _struct(
-    ("location_id", _I),
+    ("location_id", _L),
     ("city", _S),
     ("state", _S),
     ("zip", _S),
@@ -43,7 +43,7 @@ LOCATION = _struct(
 )
 
 MANIFEST = _struct(
-    ("data_partner_id", _I),
+    ("data_partner_id", _L),
     ("run_date", _D),
     ("cdm_name", _S),
     ("cdm_version", _S),
@@ -85,7 +85,7 @@ CONDITIONS = _struct(
 
 DEATH = _struct(
     ("person_id", _L),
-    ("data_partner_id", _I),
+    ("data_partner_id", _L),
     ("death_date", _D),
 )
 
@@ -100,3 +100,6 @@ BY_NAME = {
     "conditions": CONDITIONS,
     "death": DEATH,
 }
+
+# Inputs whose further columns reach the outputs.
+OPEN = frozenset({"cohort", "death"})

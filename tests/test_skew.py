@@ -77,26 +77,6 @@ def test_hot_person_is_split_and_results_hold(spark):
     assert len(got_later) > 0 and any(r[0] == 0 for r in got_firsts)
 
 
-def test_opt_in_key_broadcast_same_results(spark):
-    from cohortlens.sources.bindings import bound_tables
-    from cohortlens.plans.fact import person_fact
-    from cohortlens.operators.stays import stays_after
-
-    t = bound_tables(spark, "/root/testdata/sf0.001")
-
-    def run():
-        fact = person_fact(t)
-        later = stays_after(fact, t.visits)
-        rows = as_set(fact, *sorted(fact.columns)), as_set(later, *sorted(later.columns))
-        return rows, fact._jdf.queryExecution().executedPlan().toString()
-
-    off, _ = _with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}, run)
-    on, plan = _with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1",
-                                  "cohortlens.broadcast.maxKeyRows": "1000000"}, run)
-    assert on == off
-    assert plan.count("BroadcastHashJoin") >= 3  # flags, visit matching (and the concept lists)
-
-
 def test_hot_person_in_conditions_is_split(spark):
     from cohortlens.operators.flags import event_flags
 
@@ -124,3 +104,39 @@ def test_hot_person_in_conditions_is_split(spark):
     assert "skew=true" in plan
     ref, _ = _with_conf(spark, {**SKEW_CONF, "spark.sql.adaptive.enabled": "false"}, run)
     assert got == ref and any(r[0] == 0 for r in got)
+
+
+def test_hot_person_is_split_in_a_plain_session(spark):
+    """The operators themselves allow the split; the session need not."""
+    key = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    old = spark.conf.get(key, None)
+    spark.conf.unset(key)
+    try:
+        test_hot_person_is_split_and_results_hold(spark)
+        assert spark.conf.get(key) == "true"
+        spark.conf.unset(key)
+        test_hot_person_in_conditions_is_split(spark)
+    finally:
+        spark.conf.set(key, old) if old is not None else spark.conf.unset(key)
+
+
+def test_rows_without_a_location_are_spread(spark):
+    """A third of the persons have no location id: no task of the sort-merge join gets them all."""
+    from cohortlens.operators.joins import left_lookup
+
+    n = 3000
+    persons = spark.range(n).select(
+        F.col("id").alias("person_id"), F.when(F.col("id") % 3 > 0, F.col("id") % 900).alias("location_id")
+    )
+    location = spark.range(900).select(F.col("id").alias("location_id"), F.col("id").cast("string").alias("city"))
+
+    def run():
+        out = left_lookup(persons, location, "location_id", ["city"], spread_by="person_id")
+        sizes = out.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+        return as_set(out), [r["count"] for r in sizes], out.columns
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false"}
+    rows, sizes, columns = _with_conf(spark, conf, run)
+    assert columns == ["person_id", "location_id", "city"]
+    assert rows == {(i, i % 900 if i % 3 else None, str(i % 900) if i % 3 else None) for i in range(n)}
+    assert max(sizes) < n // 6

@@ -3,7 +3,7 @@
 from cohortlens.plans.fact import person_fact
 from cohortlens.plans.workflow import build_outputs
 from cohortlens.sources.bindings import bound_tables
-from cohortlens.sources.io import materialize, publish
+from cohortlens.sources.io import publish
 from tests.util import as_set
 
 SF = "/root/testdata/sf0.001"
@@ -24,7 +24,7 @@ def test_build_outputs(spark, scratch):
     t = bound_tables(spark, SF)
     paths = build_outputs(t, f"{scratch}/out", stay_id="1102", person_id=54)
     assert set(paths) == {
-        "sample_cohort", "enrich_locations", "clean_demographics", "comorbidity_by_visit",
+        "comorbidity_concepts", "er_concepts", "sample_cohort", "enrich_locations", "clean_demographics", "comorbidity_by_visit",
         "person_with_comorbidities", "person_fact", "stays_after_index", "person_death",
         "inpatient_codes_per_stay", "distinct_dates_per_stay", "visits_of_stay", "stay_timeline",
     }
@@ -40,28 +40,18 @@ def test_build_outputs(spark, scratch):
     assert spark.read.parquet(paths["visits_of_stay"]).count() > 0
 
 
-def test_materialize_uses_checkpoint_dir(spark):
-    df = spark.range(5)
-    cut = materialize(df, "probe")
-    assert sorted(r.id for r in cut.collect()) == list(range(5))
-    assert spark.conf.get("spark.checkpoint.dir") in cut.inputFiles()[0]
-
-
-def test_observed_counts_match_the_reference_counts(spark, scratch):
+def test_observed_counts_match(spark, scratch):
     from pyspark.sql import functions as F
 
-    from cohortlens.plans.literal import stays_after_two_branch
-
     t = bound_tables(spark, SF)
     metrics = {}
     paths = build_outputs(t, f"{scratch}/out", metrics=metrics)
     fact = spark.read.parquet(paths["person_fact"])
     later = metrics["stays_after_index"]
     assert later["rows"] == spark.read.parquet(paths["stays_after_index"]).count()
-    # the reference counts each branch separately
-    two = stays_after_two_branch(fact, t.visits)
-    has = two.where(F.col("first_COVID_hospitalization_start_date").isNotNull()).count()
-    assert (later["with_first_stay"], later["without_first_stay"]) == (has, two.count() - has)
+    stays = spark.read.parquet(paths["stays_after_index"])
+    has = stays.where(F.col("first_COVID_hospitalization_start_date").isNotNull()).count()
+    assert (later["with_first_stay"], later["without_first_stay"]) == (has, stays.count() - has)
     assert metrics["person_fact"]["rows"] == fact.count()
 
 
@@ -111,12 +101,11 @@ def test_resume_keeps_committed_stages(spark, scratch):
     t = bound_tables(spark, SF)
     out = f"{scratch}/resume"
     assert not committed(spark, f"{out}/sample_cohort")
-    # a run that stopped after its first stage
-    publish(sample_cohort(t.cohort), f"{out}/sample_cohort")
+    publish(sample_cohort(t.cohort).limit(0), f"{out}/sample_cohort")
     assert committed(spark, f"{out}/sample_cohort")
     metrics = {}
     paths = build_outputs(t, out, metrics=metrics, resume=True)
-    assert "sample_cohort" not in metrics  # kept, not recomputed
+    assert metrics["sample_cohort"]["rows"] > 0  # a table without its recipe isn't reused
     assert metrics["person_fact"]["rows"] == spark.read.parquet(paths["person_fact"]).count() > 0
     again = {}
     build_outputs(t, out, metrics=again, resume=True)
@@ -125,20 +114,6 @@ def test_resume_keeps_committed_stages(spark, scratch):
     assert as_set(spark.read.parquet(paths["person_fact"]), *sorted(fresh.columns)) == as_set(fresh, *sorted(fresh.columns))
 
 
-def test_command_line_cohort_broadcast(spark, scratch):
-    from cohortlens.__main__ import main
-
-    try:
-        report = main([f"{scratch}/cli2", "--test-tables", SF, "--shuffle-partitions", "4",
-                       "--broadcast-cohort-rows", "100000"])
-        assert spark.conf.get("cohortlens.broadcast.maxKeyRows") == "100000"
-        plain = person_fact(bound_tables(spark, SF))
-        got = spark.read.parquet(report["person_fact"]["path"])
-        assert as_set(got, *sorted(plain.columns)) == as_set(plain, *sorted(plain.columns))
-    finally:
-        spark.conf.unset("cohortlens.broadcast.maxKeyRows")
-
-
 def test_command_line_from_input_paths(spark, scratch):
     """The production path: nine Parquet inputs (dates stored as timestamps) read by
     ``read_tables`` through ``--inputs`` give the same fact as the bound test tables."""
@@ -174,3 +149,34 @@ def test_publish_partitioned(spark, scratch):
     assert sorted(back.columns) == sorted(fact.columns)
     cols = sorted(fact.columns)
     assert as_set(back.select(*cols), *cols) == as_set(fact.select(*cols), *cols)
+
+
+def test_resume_with_other_options_recomputes(spark, scratch):
+    from cohortlens.plans.fact import FactOptions
+
+    t = bound_tables(spark, "/root/testdata/sf0.01")
+    out = f"{scratch}/options"
+    build_outputs(t, out)
+    wide = FactOptions(require_both=True, days_before=90, days_after=180)
+    metrics = {}
+    paths = build_outputs(t, out, wide, metrics, resume=True)
+    cols = ["person_id", "macrovisit_id", "first_covid_er_only_start_date"]
+    got = spark.read.parquet(paths["person_fact"])
+    assert as_set(got, *cols) == as_set(person_fact(t, wide), *cols)
+    assert got.where("macrovisit_id IS NOT NULL").count() == 134
+    again = {}
+    build_outputs(t, out, wide, again, resume=True)
+    assert again == {}
+
+
+def test_session_keeps_what_is_set(spark):
+    from cohortlens.session import build_session
+
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old, parts = spark.conf.get(key), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(key, "77m")
+    try:
+        again = build_session(None)
+        assert again.conf.get(key) == "77m" and again.conf.get("spark.sql.shuffle.partitions") == parts
+    finally:
+        spark.conf.set(key, old)
