@@ -3,11 +3,11 @@
 A document longer than a sequence is cut into full pieces, the first of which
 may be shorter.  Pieces are dealt into shards of about ``SHARD_PIECES`` by
 row, so no shard is large whatever repeats.  Within a shard the longest piece
-goes first, into the sequence that it fills best.  Then the local search takes
-the emptiest sequence and hands its pieces on to other sequences that have
-room: by a move, by an exchange of one for one, of one for two or of two for
-one.  Every step makes a fuller sequence fuller, so the sum of squared fills
-grows, until the sequence is empty or no step is left.
+goes first, into the sequence that it fills best.  Then the local search lets
+the emptiest sequences hand pieces on to fuller ones that have room: by a
+move, by an exchange of one for one, of one for two or of two for one.  Every
+step makes a fuller sequence fuller, so the sum of squared fills grows, until
+sequences are empty, no step is left, or the search has looked long enough.
 
 Scale: texts become rows of five numbers before anything shuffles; full pieces
 never shuffle.  A shard is one bounded group.  Each shard leaves at most a few
@@ -19,6 +19,7 @@ are documents of their own; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -34,8 +35,10 @@ from cohortlens.llm.tokens import ENCODE_CHARS, encoder
 
 CAPACITY = 1024
 SHARD_PIECES = 8192
-#: Sequences, emptiest first, that the local search tries to empty before it stops at the first it cannot.
-TRIES = 16
+#: Sequences, emptiest first, that may give pieces in a step of the local search.
+GIVERS = 16
+#: How many times for each piece the search may look at another sequence: its effort is linear in the shard.
+PROBES = 200
 
 
 def piece_lengths(n: int, capacity: int) -> list[int]:
@@ -106,30 +109,30 @@ class LocalSearch:
         #: Items of each underfull bin, as sorted (length, item).
         self.items = {b: sorted((lengths[i], i) for i in bins[b]) for b in self.room}
         self.bins = bins
+        #: Looks at another bin that are left; the search ends with them.
+        self.probes = PROBES * len(lengths)
 
     def run(self) -> list[list[int]]:
         total = sum(self.lengths)
         n = len(self.bins)
-        failed = 0
-        for donor in sorted(self.room, key=lambda b: -self.room[b]):
-            if n * self.capacity - total < self.capacity or failed >= TRIES:
-                break  # no bin less is possible, or the emptiest bins resist
-            if self.empty(donor):
-                n -= 1
-                del self.room[donor], self.items[donor]
-                self.bins[donor] = []
-            else:
-                failed += 1
+        moved = True
+        while moved and n * self.capacity - total >= self.capacity and self.probes > 0:
+            moved = False
+            for giver in heapq.nlargest(GIVERS, self.room, key=self.room.__getitem__):
+                if self.give(giver):
+                    moved = True
+                    if not self.items[giver]:
+                        n -= 1
+                        del self.room[giver], self.items[giver]
+                        self.bins[giver] = []
+                    break
         for b, own in self.items.items():
             self.bins[b] = [i for _, i in own]
         return [b for b in self.bins if b]
 
-    def empty(self, donor: int) -> bool:
-        """Hand on what the donor holds, step by step; true once it is empty."""
-        while self.items[donor]:
-            if not any(self.hand_on(donor, x) for x in sorted(self.items[donor], reverse=True)) and not self.two_for_one(donor):
-                return False
-        return True
+    def give(self, giver: int) -> bool:
+        """One step that makes a fuller bin fuller at the cost of this one, if there is any."""
+        return any(self.hand_on(giver, x) for x in sorted(self.items[giver], reverse=True)) or self.two_for_one(giver)
 
     def swap(self, donor: int, given: list, taker: int, taken: list) -> bool:
         moved = sum(x[0] for x in given) - sum(x[0] for x in taken)
@@ -144,6 +147,7 @@ class LocalSearch:
     def hand_on(self, donor: int, x: tuple[int, int]) -> bool:
         """Move x, or exchange it for a shorter item or two of a fuller bin, whichever fills that bin most."""
         size, best = x[0], None
+        self.probes -= len(self.room)
         for taker, room in self.room.items():
             if taker == donor or room > self.room[donor]:
                 continue
@@ -168,6 +172,9 @@ class LocalSearch:
         for j, first in enumerate(own):
             for second in own[j + 1 :]:
                 size = first[0] + second[0]
+                self.probes -= len(self.room)
+                if self.probes <= 0:
+                    return False
                 for taker, room in self.room.items():
                     if taker != donor and room <= self.room[donor]:
                         theirs = self.items[taker]
