@@ -36,7 +36,7 @@ class Encoder:
     feed and the word after it.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -46,6 +46,7 @@ class Encoder:
         for token, i in vocabulary.items():
             self._bytes[i] = len(token)  # a character stands for a byte; added tokens are ASCII
         self._marks = {x: self._ids(x) for x in _MARKS}
+        self._remembered = remembered or REMEMBERED
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
@@ -66,7 +67,7 @@ class Encoder:
 
     def _learn(self, parts: list[str]) -> dict[str, bytes]:
         """Remember the words of parts that the young generation lacks; returns the ids of parts made of several."""
-        if len(self._young) + len(parts) > REMEMBERED:
+        if len(self._young) + len(parts) > self._remembered:
             self._old, self._young = self._young, {}
         young, old, marks = self._young, self._old, self._marks
         made: list[tuple[str, list[str]]] = []

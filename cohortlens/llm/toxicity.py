@@ -20,7 +20,8 @@ shuffle.  Joining labels shuffles the training texts by id.
 
 Cases: null and empty texts have no event, so their features are 0; a null id takes part in no training;
 if an id has several label rows, it is toxic if one of them says so; null
-labels are ignored; without labels of both classes every score is 0.
+labels are ignored; without labels of both classes every score
+is (next to) 0.
 """
 
 from __future__ import annotations

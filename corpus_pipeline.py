@@ -18,6 +18,8 @@ from cohortlens.llm.tokens import public_vocabulary
 TOXIC = 0.5
 SHINGLE_WORDS, MAX_BITS = 3, 3
 END_ID = 2
+#: Words that a tokenizing task remembers: little, since workers serve all the stages.
+REMEMBERED_WORDS = 100_000
 
 
 def keep_ordinary(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the packed sequences: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     ship(spark)
-    return packing.pack(packing.tokenize(docs, public_vocabulary(), end=END_ID))
+    return packing.pack(packing.tokenize(docs, public_vocabulary(), end=END_ID, remembered=REMEMBERED_WORDS))
 
 
 STAGES = [
