@@ -1,0 +1,53 @@
+"""The pipeline's stages, each judged on its own input, against brute force."""
+
+import __spark_entry__ as entry_mod
+import corpus_pipeline
+from cohortlens.llm import toxicity
+from cohortlens.llm.queries import ORACLE_SQL, QUERIES
+from tests.llm.test_dedup import brute_components, brute_print, squeezed
+from tests.llm.test_scans import toxic_rows
+from tests.llm.util import CLASHES, documents, rows, words
+
+
+def test_queries_are_registered():
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(ORACLE_SQL) <= set(entry_mod.oracle_sql())
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES if q != "pipeline") == list(range(1, 11))
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash", "mixing", "packing"]
+
+
+def test_stages(spark, scratch):
+    data, labels = toxic_rows(300)
+    documents(spark, data + [(r[0] and r[0] + 5000, *r[1:]) for r in rows()], **CLASHES).write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{scratch}/labels.parquet")
+    docs = spark.read.parquet(f"{scratch}/documents.parquet")
+    columns, held = docs.dtypes, {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs.collect()
+        out = stage(spark, docs, scratch)
+        assert name == "packing" or out.dtypes == columns
+        out.write.parquet(f"{scratch}/{name}")
+        docs = spark.read.parquet(f"{scratch}/{name}")
+        after = docs.collect()
+        held[name] = (before, after)
+    before, after = held["toxicity"]
+    scored = toxicity.score(spark.read.parquet(f"{scratch}/documents.parquet").drop("score"), toxicity.train(spark.createDataFrame(before, docs.sparkSession.read.parquet(f"{scratch}/documents.parquet").schema), spark.read.parquet(f"{scratch}/labels.parquet")))
+    assert sorted(str(r.doc_id) for r in scored.where("score < 0.5").collect()) == sorted(str(r.doc_id) for r in after)
+    bad = {i for i, _, y in labels if y}
+    assert len(bad & {r.doc_id for r in after}) < 0.1 * len(bad) and len(after) > 0.9 * (len(before) - len(bad))
+    before, after = held["exact_dedup"]
+    assert sorted(squeezed(r.text) for r in after) == sorted({squeezed(r.text) for r in before})
+    before, after = held["simhash"]
+    components = brute_components([brute_print(r.text) for r in before])
+    place = {(r.doc_id, r.text): c for r, c in zip(before, components)}
+    assert sorted(place[r.doc_id, r.text] for r in after) == sorted(set(components))
+    before, after = held["mixing"]
+    size, taken = (sum(len(words(r.text)) for r in x) for x in (before, after))
+    assert abs(size - taken) < 0.05 * size
+    texts = {r.doc_id: r.text for r in before}
+    assert all(r.text in texts[r.doc_id] and r.score == 7.5 for r in after)
+    before, after = held["packing"]
+    fill = {}
+    for r in sorted(after, key=lambda r: (r.sequence_id, r.offset)):
+        assert fill.get(r.sequence_id, 0) == r.offset
+        fill[r.sequence_id] = r.offset + r.length
+    assert max(fill.values()) <= 1024 and sum(r.piece == 0 for r in after) == len(before)
