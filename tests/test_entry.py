@@ -22,3 +22,17 @@ def test_query_columns_unique(spark):
     for name, fn in QUERIES.items():
         cols = fn(spark, "/root/testdata/sf0.001").columns
         assert len(cols) == len(set(cols)), name
+
+
+def test_entry_works_without_the_llm_subpackage(tmp_path):
+    import pathlib
+    import shutil
+    import subprocess
+    import sys
+
+    root = pathlib.Path(entry_mod.__file__).parent
+    skip = shutil.ignore_patterns(".git", "__pycache__", "llm", "corpus_pipeline.py", "*.md", "*.json")
+    shutil.copytree(root, tmp_path / "repo", ignore=skip)
+    code = "import __spark_entry__ as e; print(len(e.queries()), sorted(e.queries()) == sorted(e.oracle_sql()))"
+    found = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", capture_output=True, text=True, check=True)
+    assert found.stdout.split() == [str(len(QUERIES)), "True"]
