@@ -184,7 +184,7 @@ def reliabilities(model: Model, sample: DataFrame, text: str, lang: str) -> np.n
 
 
 def identify(documents: DataFrame, model: Model, *, text: str = "text", name: str = "language") -> DataFrame:
-    """All rows and columns, with a last column ``name``: struct (language, score, ambiguous)."""
+    """All rows and columns, with a column ``name`` (in place of one of that name): struct (language, score, ambiguous)."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("language string, score double, ambiguous boolean")

@@ -74,7 +74,8 @@ def suspect_lines(min_chars: int, test: Callable[[np.ndarray], np.ndarray] | Non
 def drop_repeated_lines(
     documents: DataFrame, *, id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS, range_bits: int = RANGE_BITS
 ) -> DataFrame:
-    """All rows and columns, with ``kept_text``, ``n_lines`` and ``n_dropped`` in last columns."""
+    """All rows and columns, with ``kept_text``, ``n_lines`` and ``n_dropped`` in last columns (in place of any of those names)."""
+    documents = documents.drop("kept_text", "n_lines", "n_dropped")
     packed = documents.select(F.struct("*").alias("_doc"), col(id).alias("_id"), col(text).alias("_text"))
     schema = f"_id {packed.schema['_id'].dataType.simpleString()}, _line binary, _hash long"
     read = packed.select("_id", "_text")

@@ -137,7 +137,7 @@ def spans(text: str) -> list[tuple[int, int, str, float]]:
 
 
 def scan(documents: DataFrame, *, text: str = "text", name: str = "spans") -> DataFrame:
-    """All rows and columns, with the spans of the text in a last column ``name``: array of (start, end, kind, score)."""
+    """All rows and columns, with the spans of the text in a column ``name`` (in place of one of that name): array of (start, end, kind, score)."""
 
     @F.pandas_udf("array<struct<start:long,end:long,kind:string,score:double>>")
     def of(texts: pd.Series) -> pd.Series:

@@ -236,7 +236,7 @@ def curve(model: Model, training: DataFrame, text: str, label: str) -> tuple[flo
 
 
 def score(documents: DataFrame, model: Model, *, text: str = "text", name: str = "score") -> DataFrame:
-    """All rows and columns, with the score (0 to 1) in a last column ``name``."""
+    """All rows and columns, with the score (0 to 1) in a column ``name`` (in place of one of that name)."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
