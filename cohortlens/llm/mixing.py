@@ -14,8 +14,8 @@ The highest quotients are found by their threshold: a claimant with weight w
 gets every seat whose quotient is above it, round(w / d) seats for a divisor
 d, and d is searched for the right total.
 
-Scale: each text becomes a row (id, source, size); a source is spread over
-``SHARDS`` shards whatever its size, so no window or join meets a whole
+Scale: each text becomes a row (id, source, size); every source is spread over
+shards whose number grows with the table, so no window or join meets a whole
 source.  The list of sources (a mixture's configuration: name, size) is the
 only thing that the driver holds, one row a source and at most
 ``max_sources``; it goes back out as quotas by shard through a join, not a
@@ -23,8 +23,8 @@ broadcast.  Blocks are never rows: the copies of any range of blocks are a
 closed formula.
 
 Cases: null and empty texts have size 0 and take 0; a null source is a source
-of its own, after all others; a null id is hashed as an empty text; rows that
-repeat an id are texts of their own (ties in the order are broken by size); an
+of its own, after all others; a null id is hashed as an empty text, with the
+row's text; rows that repeat an id are texts of their own; an
 empty table gives an empty result; a source of size 0 has target 0.
 """
 
@@ -40,7 +40,8 @@ from pyspark.sql import types as T
 
 from cohortlens.llm.common import col, id_text, written
 
-SHARDS = 64
+#: Shards of each source, at least; as many more as keep a shard below so many of all rows.
+SHARDS, SHARD_ROWS = 64, 1_000_000
 MOST = 3
 #: Blocks that the smallest source is cut into at least, and words of a block at most.
 BLOCKS, BLOCK_WORDS = 4096, 1024
@@ -102,15 +103,19 @@ def words(text: Column) -> Column:
 
 
 def sized(documents: DataFrame, id: str, text: str, source: str, seed: int) -> DataFrame:
-    """Narrow rows: _id, _key (the source, null last in code point order), _shard, _place (seeded hash), size."""
+    """Narrow rows: _id, _key (the source, null last in code point order), _shard, _place (seeded hashes), size."""
     name = col(source).cast("string")
-    return documents.select(
+    own = [id_text(id), col(text)]  # the text spreads rows that share an id, or have none
+    rows = documents.select(
         col(id).alias("_id"),
         F.when(name.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), name)).alias("_key"),
-        F.pmod(F.xxhash64(id_text(id), F.lit(seed)), F.lit(SHARDS)).cast("int").alias("_shard"),
-        F.xxhash64(F.lit(seed + 1), id_text(id)).alias("_place"),
+        F.xxhash64(F.lit(seed), *own).alias("_shard"),
+        F.xxhash64(F.lit(seed + 1), *own).alias("_place"),
         words(col(text)).alias("size"),
     )
+    rows = written(rows, "mixing-sizes")
+    n_shards = max(SHARDS, -(-rows.count() // SHARD_ROWS))
+    return rows.withColumn("_shard", F.pmod("_shard", F.lit(n_shards)).cast("int"))
 
 
 _QUOTAS = T.StructType(
@@ -163,7 +168,7 @@ def plan(
     most: int = MOST,
 ) -> DataFrame:
     """One narrow row a document: _id, size, source_size, target, taken, and where it lies in its shard's blocks."""
-    rows = written(sized(documents, id, text, source, seed), "mixing-sizes")
+    rows = sized(documents, id, text, source, seed)
     shard = quotas(rows, weights, max_sources, most).hint("shuffle_hash")
     running = Window.partitionBy("_key", "_shard").orderBy("_place", "size", "_id").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.withColumn("_end", F.sum("size").over(running)).withColumn("_start", F.col("_end") - F.col("size"))
