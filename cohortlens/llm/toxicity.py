@@ -13,10 +13,13 @@ curve fitted on training rows turns the three into a score.
 Scale: events (at most six bytes) are packed into one long, so counting is one
 hash aggregate over distinct events of the training rows, and every window of
 the model groups at most 65,536 rows (the last two bytes of a key).  What is
-sent to executors is a table of ``2 ** table_bits`` log-ratios for events and
-as many for contexts, whatever the size of the corpus; if two events share a
-slot, the more frequent one owns it.  Scoring reads each text once, with no
-shuffle.  Joining labels shuffles the training texts by id.
+sent to executors is the log-ratio of every event and of every context, each
+found by its whole key, so none is lost to another at any size of the corpus
+(some 12 bytes an event).  Above ``PART_EVENTS`` events the tables are sent in
+parts, divided by context; a worker then holds one part at a time, and adds up
+what the parts give to each word of some ``GROUP_BYTES`` of texts.  Scoring
+reads each text once, with no shuffle.  Joining labels shuffles the training
+texts by id.
 
 Cases: null and empty texts have no event, so their features are 0; a null id takes part in no training;
 if an id has several label rows, it is toxic if one of them says so; null
@@ -27,12 +30,13 @@ is (next to) 0.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +50,8 @@ DISCOUNT = 0.75
 #: Words of a passage, and the words without evidence that its mean counts in besides.
 PASSAGE_WORDS, PRIOR_WORDS = 32, 8
 RIDGE = 1e-3
-TABLE_BITS = 20
+#: Events, about, of one part of the tables; texts (bytes) that go through the parts at a time if there are several.
+PART_EVENTS, GROUP_BYTES = 1 << 22, 1 << 25
 #: Training rows, at most, that fit the two numbers of the logistic curve (chosen by hash, so evenly).
 CURVE_ROWS = 20_000
 
@@ -86,43 +91,153 @@ def lower(values: pa.Array) -> list[bytes]:
     return encoded(pc.utf8_lower(values.cast(pa.large_string())))
 
 
+def part_of(contexts: np.ndarray, n_parts: int) -> np.ndarray:
+    """The part of the tables that has these contexts and the events after them."""
+    return slots(contexts, 32) % np.uint64(n_parts)
+
+
 @dataclass
-class Model:
-    """Log-ratios by slot (NaN: no training event there) and the logistic curve."""
+class Table:
+    """Values by key.  A key is spread one to one over 48 bits: the first ``bits`` are its slot, the rest the tag that tells it from others there."""
 
-    event: np.ndarray
-    context: np.ndarray
+    starts: np.ndarray
+    tags: np.ndarray
+    values: np.ndarray
     bits: int
+
+    @classmethod
+    def of(cls, keys: np.ndarray, values: np.ndarray) -> Table:
+        bits = max(16, len(keys).bit_length())
+        slot, tag = cls.places(keys, bits)
+        order = np.argsort(slot, kind="stable")
+        starts = np.searchsorted(slot[order], np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+        return cls(starts, tag[order], values[order].astype(np.float32), bits)
+
+    @staticmethod
+    def places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        rest = 8 * ORDER - bits
+        spread = (keys * _SPREAD) & np.uint64((1 << 8 * ORDER) - 1)
+        return spread >> np.uint64(rest), (spread & np.uint64((1 << rest) - 1)).astype(np.uint32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key (NaN: it has none)."""
+        slot, tag = self.places(keys, self.bits)
+        at, end = self.starts[slot], self.starts[slot + np.uint64(1)]
+        out = np.full(len(keys), np.nan, np.float32)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            here = at[left]
+            hit = self.tags[here] == tag[left]
+            out[left[hit]] = self.values[here[hit]]
+            left = left[~hit]
+            at[left] += 1
+            left = left[at[left] < end[left]]
+        return out
+
+
+@dataclass
+class Model:
+    """Log-ratios of events and contexts, in ``parts`` that were sent out, or by slot (NaN: no training event there); the logistic curve."""
+
+    event: np.ndarray | None = None
+    context: np.ndarray | None = None
+    bits: int = 0
     weights: tuple[float, ...] = (0.0, 0.0, 0.0, -1e3)
+    parts: list[Broadcast] = field(default_factory=list)
+
+    def ratios(self, keys: np.ndarray, nth: int = 0) -> np.ndarray:
+        """Log-ratio of each event, as far as the nth part has it; an unseen event has that of its context."""
+        if not self.parts:
+            ratio = self.event[slots(keys, self.bits)]
+            unseen = np.isnan(ratio)
+            ratio[unseen] = self.context[slots(keys[unseen] >> np.uint64(8), self.bits)]
+            return ratio
+        if len(self.parts) > 1:
+            ratio, own = np.zeros(len(keys), np.float32), part_of(keys >> np.uint64(8), len(self.parts)) == nth
+            ratio[own] = self.looked_up(keys[own], nth)
+            return ratio
+        return self.looked_up(keys, 0)
+
+    def looked_up(self, keys: np.ndarray, nth: int) -> np.ndarray:
+        event, context = self.tables(nth)
+        ratio = event.find(keys)
+        unseen = np.flatnonzero(np.isnan(ratio))
+        ratio[unseen] = np.nan_to_num(context.find(keys[unseen] >> np.uint64(8)))
+        return ratio
+
+    def tables(self, nth: int) -> tuple[Table, Table]:
+        """The nth part; of several, only the last one used stays in memory."""
+        part = self.parts[nth]
+        path = getattr(part, "_path", None)
+        if len(self.parts) == 1 or path is None:
+            return part.value
+        held = self.__dict__.get("_held")
+        if not held or held[0] != nth:
+            self._held = held = None
+            self._held = held = (nth, part.load_from_path(path))
+        return held[1]
 
     def features(self, values: pa.Array) -> np.ndarray:
         """Length-normalised log-ratios of each whole text, its most toxic passage and its most toxic word."""
         texts = lower(values)
         out = np.zeros((len(texts), 3))
-        for a, b in chunks(texts):
-            keys, of, words = events(texts[a:b])
-            if not len(keys):
-                continue
-            ratio = self.event[slots(keys, self.bits)]
-            unseen = np.isnan(ratio)
-            ratio[unseen] = self.context[slots(keys[unseen] >> np.uint64(8), self.bits)]
-            first = np.flatnonzero((keys >> np.uint64(8) == MARK) & (keys & np.uint64(255) != MARK))
-            word, of = np.add.reduceat(ratio.astype(float), first), of[first]
-            nth = np.arange(len(word)) - (np.cumsum(words) - words)[of]
-            start = np.flatnonzero((nth % PASSAGE_WORDS) == 0)
-            passage = np.add.reduceat(word, start) / (np.diff(np.append(start, len(word))) + PRIOR_WORDS)
-            best = np.full((2, b - a), -np.inf)
-            np.maximum.at(best[0], of[start], passage)
-            np.maximum.at(best[1], of, word)
-            mean = np.bincount(of, word, b - a) / np.maximum(words, 1)
-            out[a:b] = np.where(words[:, None] > 0, np.stack([mean, *best], axis=1), 0.0)
+        if len(self.parts) <= 1:
+            for a, b in chunks(texts):
+                out[a:b] = measures(*self.words(texts[a:b], 0))
+            return out
+        passes, sums = list(chunks(texts)), []
+        for nth in range(len(self.parts)):
+            for i, (a, b) in enumerate(passes):
+                word, *where = self.words(texts[a:b], nth)
+                if nth:
+                    sums[i][0] += word
+                else:
+                    sums.append([word, *where])
+        for (a, b), own in zip(passes, sums):
+            out[a:b] = measures(*own)
         return out
 
+    def words(self, texts: list[bytes], nth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log-ratio of each word, as far as the nth part has it; the text of each word; the words of each text."""
+        keys, of, words = events(texts)
+        if not len(keys):
+            return np.empty(0), of, words
+        first = np.flatnonzero((keys >> np.uint64(8) == MARK) & (keys & np.uint64(255) != MARK))
+        return np.add.reduceat(self.ratios(keys, nth).astype(float), first), of[first], words
+
+    def features_of(self, batches: Iterator[pa.Array]) -> Iterator[np.ndarray]:
+        """Features of each batch; several parts are read once for about ``GROUP_BYTES`` of texts."""
+        held: list[pa.Array] = []
+        for batch in batches:
+            held.append(batch)
+            if len(self.parts) <= 1 or sum(x.nbytes for x in held) >= GROUP_BYTES:
+                yield from self.grouped(held)
+                held = []
+        if held:
+            yield from self.grouped(held)
+
+    def grouped(self, held: list[pa.Array]) -> Iterator[np.ndarray]:
+        found = self.features(pa.chunked_array(held).combine_chunks() if len(held) > 1 else held[0])
+        yield from np.split(found, np.cumsum([len(x) for x in held])[:-1])
+
     def scores(self, features: np.ndarray) -> np.ndarray:
         *w, shift = self.weights
         return 1 / (1 + np.exp(-np.clip(features @ np.array(w) + shift, -700, 700)))
 
 
+def measures(word: np.ndarray, of: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Log-ratio a word of each text, of its most toxic passage and of its most toxic word (0 without words)."""
+    n = len(words)
+    nth = np.arange(len(word)) - (np.cumsum(words) - words)[of]
+    start = np.flatnonzero((nth % PASSAGE_WORDS) == 0)
+    passage = np.add.reduceat(word, start) / (np.diff(np.append(start, len(word))) + PRIOR_WORDS) if len(word) else word
+    best = np.full((2, n), -np.inf)
+    np.maximum.at(best[0], of[start], passage)
+    np.maximum.at(best[1], of, word)
+    mean = np.bincount(of, word, n) / np.maximum(words, 1)
+    return np.where(words[:, None] > 0, np.stack([mean, *best], axis=1), 0.0)
+
+
 def count_events(training: DataFrame, text: str, label: str) -> DataFrame:
     """Distinct events of the training rows: key, and how often each class has it (n0, n1)."""
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("n0", T.LongType()), T.StructField("n1", T.LongType())])
@@ -184,27 +299,29 @@ def log_ratios(counted: DataFrame, discount: float = DISCOUNT) -> DataFrame:
 
 
 def fit(
-    training: DataFrame, *, n_rows: int, id: str = "doc_id", text: str = "text", label: str = "toxic", table_bits: int = TABLE_BITS, curve_rows: int = CURVE_ROWS
+    training: DataFrame, *, n_rows: int, id: str = "doc_id", text: str = "text", label: str = "toxic", part_events: int = PART_EVENTS, curve_rows: int = CURVE_ROWS
 ) -> Model:
     """Count the events of all training rows; fit the curve on about ``curve_rows`` of the ``n_rows`` rows, picked by hash of the id."""
-    ratios = written(log_ratios(written(count_events(training, text, label), "toxicity-events")), "toxicity-ratios")
+    counted = written(count_events(training, text, label), "toxicity-events")
+    n_parts = max(1, -(-counted.count() // part_events))
 
-    def fill(keys: str, value: str) -> np.ndarray:
-        """The value of the most frequent key of each slot."""
+    def divide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = part_of(batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint64), n_parts)
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), *batch.columns], names=["part", "key", "context", "event", "unseen"])
 
-        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                key = batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)
-                yield pa.RecordBatch.from_arrays([pa.array(slots(key, table_bits).astype(np.int32)), *batch.columns], names=["slot", "key", "n", "value"])
-
-        placed = ratios.groupBy(F.col(keys).alias("key")).agg(F.sum("n").alias("n"), F.first(value).alias("value"))
-        placed = placed.mapInArrow(place, "slot int, key long, n long, value double")
-        rows = placed.groupBy("slot").agg(F.max(F.struct("n", "key", "value")).alias("top")).select("slot", "top.value").toPandas()
-        out = np.full(1 << table_bits, np.nan, np.float32)
-        out[rows["slot"].to_numpy(int)] = rows["value"].to_numpy(float)
-        return out
+    ratios = log_ratios(counted).select("key", "context", F.col("event").cast("float"), F.col("unseen").cast("float"))
+    ratios = written(ratios.mapInArrow(divide, "part int, key long, context long, event float, unseen float"), "toxicity-ratios")
 
-    model = Model(fill("key", "event"), np.nan_to_num(fill("context", "unseen")), table_bits)
+    def table(rows: DataFrame) -> Table:
+        found = rows.toPandas()
+        return Table.of(found.iloc[:, 0].to_numpy(np.uint64), found.iloc[:, 1].to_numpy(np.float32))
+
+    model = Model()
+    for nth in range(n_parts):
+        own = ratios.where(F.col("part") == nth)
+        tables = table(own.select("key", "event")), table(own.groupBy("context").agg(F.first("unseen")))
+        model.parts.append(training.sparkSession.sparkContext.broadcast(tables))
     part = min(1.0, curve_rows / max(n_rows, 1))
     model.weights = curve(model, training.where(F.pmod(F.xxhash64(id_text(id)), F.lit(1 << 20)) < F.lit(int(part * (1 << 20)))), text, label)
     return model
@@ -212,12 +329,17 @@ def fit(
 
 def curve(model: Model, training: DataFrame, text: str, label: str) -> tuple[float, ...]:
     """Newton steps of a logistic regression of the label on the features."""
-    shared = training.sparkSession.sparkContext.broadcast(model)
 
     def feature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = shared.value.features(batch.column(0))
-            yield pa.RecordBatch.from_arrays([*map(pa.array, x.T), batch.column(1)], names=["a", "b", "c", "y"])
+        labels: list[pa.Array] = []
+
+        def texts() -> Iterator[pa.Array]:
+            for batch in batches:
+                labels.append(batch.column(1))
+                yield batch.column(0)
+
+        for x in model.features_of(texts()):
+            yield pa.RecordBatch.from_arrays([*map(pa.array, x.T), labels.pop(0)], names=["a", "b", "c", "y"])
 
     found = training.select(col(text).alias("text"), col(label).cast("int").alias("y")).mapInArrow(feature, "a double, b double, c double, y int").toPandas()
     y = found.pop("y").to_numpy(float)
@@ -237,11 +359,11 @@ def curve(model: Model, training: DataFrame, text: str, label: str) -> tuple[flo
 
 def score(documents: DataFrame, model: Model, *, text: str = "text", name: str = "score") -> DataFrame:
     """All rows and columns, with the score (0 to 1) in a column ``name`` (in place of one of that name)."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def toxic(values: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.scores(shared.value.features(pa.Array.from_pandas(values, type=pa.string()))))
+    def toxic(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for x in model.features_of(pa.Array.from_pandas(values, type=pa.string()) for values in batches):
+            yield pd.Series(model.scores(x))
 
     return documents.withColumn(name, toxic(col(text)))
 

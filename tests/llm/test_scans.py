@@ -155,6 +155,42 @@ def test_passes_do_not_change_features(monkeypatch):
     assert whole[60].tolist() == [0, 0, 0]  # a null text
 
 
+@pytest.mark.parametrize("n_parts", [1, 3])
+def test_every_event_keeps_its_own_ratio(spark, n_parts):
+    """Rare and frequent spellings alike, and no unseen event gets a stranger's ratio."""
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    texts = [(i, " ".join("".join(rng.choices(letters, k=9)) for _ in range(30)), i % 2) for i in range(400)]
+    training = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
+    wanted = toxicity.log_ratios(toxicity.count_events(training, "text", "toxic")).toPandas()
+    model = toxicity.fit(training, n_rows=len(texts), part_events=-(-len(wanted) // n_parts))
+    assert len(model.parts) == n_parts and len(wanted) > 50_000
+
+    def found(keys):
+        return sum(model.ratios(keys, nth) for nth in range(n_parts))
+
+    keys = wanted["key"].to_numpy(np.uint64)
+    assert np.allclose(found(keys), wanted["event"], atol=1e-5)
+    contexts = wanted.groupby("context")["unseen"].first()
+    other = np.setdiff1d(contexts.index.to_numpy(np.uint64) << np.uint64(8) | np.uint64(255), keys)  # no text has this byte
+    assert np.allclose(found(other), contexts[(other >> np.uint64(8)).astype(np.int64)], atol=1e-5)
+    strangers = np.array([int.from_bytes(bytes(rng.choices(range(128, 255), k=6)), "big") for _ in range(5000)], np.uint64)
+    assert not found(strangers).any()
+
+
+def test_parts_of_a_model_do_not_change_scores(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "GROUP_BYTES", 20_000)
+    data, labels = toxic_rows(120)
+    docs = documents(spark, data + rows()).repartition(3)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    training = toxicity.labelled(docs, marks)
+    whole, parted = (toxicity.fit(training, n_rows=120, part_events=n) for n in (1 << 22, 500))
+    assert len(whole.parts) == 1 and len(parted.parts) > 3
+    assert np.allclose(whole.weights, parted.weights, rtol=1e-3)
+    a, b = (sorted((str(r.doc_id), r.score) for r in toxicity.score(docs, m).collect()) for m in (whole, parted))
+    assert [x[0] for x in a] == [x[0] for x in b] and np.allclose([x[1] for x in a], [x[1] for x in b], atol=1e-4)
+
+
 # ---- language
 
 
