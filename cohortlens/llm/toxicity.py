@@ -7,7 +7,8 @@ back off to one shared distribution, made of continuation counts pooled over
 the classes, so an expression that is rare in a class gets nearly the same
 likelihood from either and cannot sway a score by chance.  The difference
 of the two log-likelihoods, divided by the length in words, is taken of the
-whole text, of its most toxic passage and of its most toxic word; a logistic
+whole text, of its most toxic passage (of all that start at any word) and of
+its most toxic word; a logistic
 curve fitted on training rows turns the three into a score.
 
 Scale: events (at most six bytes) are packed into one long, so counting is one
@@ -227,15 +228,19 @@ class Model:
 
 def measures(word: np.ndarray, of: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Log-ratio a word of each text, of its most toxic passage and of its most toxic word (0 without words)."""
-    n = len(words)
-    nth = np.arange(len(word)) - (np.cumsum(words) - words)[of]
-    start = np.flatnonzero((nth % PASSAGE_WORDS) == 0)
-    passage = np.add.reduceat(word, start) / (np.diff(np.append(start, len(word))) + PRIOR_WORDS) if len(word) else word
-    best = np.full((2, n), -np.inf)
-    np.maximum.at(best[0], of[start], passage)
-    np.maximum.at(best[1], of, word)
-    mean = np.bincount(of, word, n) / np.maximum(words, 1)
-    return np.where(words[:, None] > 0, np.stack([mean, *best], axis=1), 0.0)
+    out = np.zeros((len(words), 3))
+    some, ends = words > 0, np.cumsum(words)
+    if not len(word):
+        return out
+    # a passage starts at every word and ends PASSAGE_WORDS later or with its text
+    first = np.arange(len(word))
+    stop = np.minimum(first + PASSAGE_WORDS, ends[of])
+    running = np.concatenate([[0.0], np.cumsum(word)])
+    passage = (running[stop] - running[:-1]) / (stop - first + PRIOR_WORDS)
+    starts = (ends - words)[some]
+    out[:, 0] = np.bincount(of, word, len(words)) / np.maximum(words, 1)
+    out[some, 1], out[some, 2] = np.maximum.reduceat(passage, starts), np.maximum.reduceat(word, starts)
+    return out
 
 
 def count_events(training: DataFrame, text: str, label: str) -> DataFrame:

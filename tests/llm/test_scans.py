@@ -155,6 +155,24 @@ def test_passes_do_not_change_features(monkeypatch):
     assert whole[60].tolist() == [0, 0, 0]  # a null text
 
 
+def test_most_toxic_passage_starts_at_any_word():
+    rng = np.random.default_rng(5)
+    words = np.array([0, 1, 31, 32, 33, 200, 0, 90, 0])
+    word = rng.normal(size=words.sum())
+    of = np.repeat(np.arange(len(words)), words)
+    found = toxicity.measures(word, of, words)
+    for i, n in enumerate(words):
+        own = word[of == i]
+        wanted = [own[j : j + toxicity.PASSAGE_WORDS] for j in range(n)]
+        assert np.isclose(found[i, 1], max((x.sum() / (len(x) + toxicity.PRIOR_WORDS) for x in wanted), default=0.0))
+        assert np.isclose(found[i, 0], own.mean() if n else 0.0) and np.isclose(found[i, 2], own.max(initial=-np.inf) if n else 0.0)
+    # ordinary words before a toxic passage don't change what it counts
+    passage = np.r_[np.full(16, 2.0), np.full(300, -0.1)]
+    for before in (0, 1, 16, 24, 31):
+        own = np.r_[np.full(before, -0.1), np.full(64, -0.1), passage]
+        assert np.isclose(toxicity.measures(own, np.zeros(len(own), int), np.array([len(own)]))[0, 1], (16 * 2.0 - 16 * 0.1) / 40)
+
+
 @pytest.mark.parametrize("n_parts", [1, 3])
 def test_every_event_keeps_its_own_ratio(spark, n_parts):
     """Rare and frequent spellings alike, and no unseen event gets a stranger's ratio."""
