@@ -4,14 +4,15 @@ A document longer than a sequence is cut into full pieces, the first of which
 may be shorter.  Pieces are dealt into shards of about ``SHARD_PIECES`` by
 row, so no shard is large whatever repeats.  Within a shard the longest piece
 goes first, into the sequence that it fills best.  Then the local search lets
-the emptiest sequences hand pieces on to fuller ones that have room: by a
-move, by an exchange of one for one, of one for two or of two for one.  Every
-step makes a fuller sequence fuller, so the sum of squared fills grows, until
-sequences are empty, no step is left, or the search has looked long enough.
+underfull sequences, emptiest first, hand pieces on to fuller ones that have
+room: by a move, by an exchange of one for one, of one for two or of two for
+one.  Every step makes a fuller sequence fuller, so the sum of squared fills
+grows, until no underfull sequence of the shard has a step or there are as few
+sequences as the tokens need.  Then the sequences that shards leave underfull
+are dealt into groups of about as many pieces, and searched once more.
 
 Scale: texts become rows of five numbers before anything shuffles; full pieces
-never shuffle.  A shard is one bounded group.  Each shard leaves at most a few
-sequences underfull, however many shards there are.
+never shuffle.  A shard is one bounded group, and so is a group of leftovers.
 
 Cases: null and empty texts are their end id alone; null ids and repeated rows
 are documents of their own; an empty table gives an empty result.
@@ -19,7 +20,6 @@ are documents of their own; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import heapq
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -35,10 +35,8 @@ from cohortlens.llm.tokens import ENCODE_CHARS, Encoder, encoder
 
 CAPACITY = 1024
 SHARD_PIECES = 8192
-#: Sequences, emptiest first, that may give pieces in a step of the local search.
-GIVERS = 16
-#: How many times for each piece the search may look at another sequence: its effort is linear in the shard.
-PROBES = 200
+#: How many times for each piece the search may look at another sequence (None: until no step is left).
+PROBES: int | None = None
 
 
 def piece_lengths(n: int, capacity: int) -> list[int]:
@@ -108,8 +106,24 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def widened(bits: int, n: int) -> int:
+    """The numbers above each of a set (as bits) by 1 to ``n``."""
+    out, width = bits << 1 if n else 0, 1
+    while width < n:
+        step = min(width, n - width)
+        out |= out << step
+        width += step
+    return out
+
+
 class LocalSearch:
-    """Hands the items of the emptiest bins on to underfull ones."""
+    """Hands the items of underfull bins, emptiest first, on to fuller ones, until none of them can.
+
+    What a bin may give (an item, two items) and what it may take against
+    nothing, an item or two items are sets of sizes, kept as bits, so a look at
+    another bin is one or two ands.  A bin that has no step is looked at again
+    only if it or a bin that it can give to has changed.
+    """
 
     def __init__(self, lengths: list[int], bins: list[list[int]], capacity: int):
         self.lengths, self.capacity = lengths, capacity
@@ -117,30 +131,76 @@ class LocalSearch:
         #: Items of each underfull bin, as sorted (length, item).
         self.items = {b: sorted((lengths[i], i) for i in bins[b]) for b in self.room}
         self.bins = bins
+        #: Of each underfull bin: sizes of an item, of two items, and sizes taken for at most one item, for at most two.
+        self.sizes: dict[int, tuple[int, int, int, int]] = {}
+        for b in self.room:
+            self.measure(b)
         #: Looks at another bin that are left; the search ends with them.
-        self.probes = PROBES * len(lengths)
+        self.probes = float("inf") if PROBES is None else PROBES * len(lengths)
+
+    def measure(self, b: int) -> None:
+        one = two = 0
+        for size, _ in self.items[b]:
+            two |= one << size
+            one |= 1 << size
+        for_one = widened(one | 1, self.room[b])
+        self.sizes[b] = one, two, for_one, for_one | widened(two, self.room[b])
+
+    def able(self) -> set[int]:
+        """The bins that have a step: what one may give meets what all others of no more room take."""
+        out: set[int] = set()
+        order = sorted(self.room, key=self.room.__getitem__)
+        for bins in (order, order[::-1]):  # the second time for bins of the same room that come later
+            for_one = for_two = 0
+            last = -1
+            for b in bins:
+                if bins is not order and self.room[b] != last:
+                    for_one, for_two, last = 0, 0, self.room[b]
+                one, two, own_one, own_two = self.sizes[b]
+                if one & for_two or two & for_one:
+                    out.add(b)
+                for_one, for_two = for_one | own_one, for_two | own_two
+        return out
+
+    def takers(self, donor: int) -> list[int]:
+        """Bins that this one can give to."""
+        one, two, *_ = self.sizes[donor]
+        most, room = self.room[donor], self.room
+        return [b for b, (_, _, for_one, for_two) in self.sizes.items() if (one & for_two or two & for_one) and room[b] <= most and b != donor]
+
+    def givers(self, taker: int) -> list[int]:
+        """Bins that can give to this one."""
+        *_, for_one, for_two = self.sizes[taker]
+        least, room = self.room[taker], self.room
+        return [b for b, (one, two, _, _) in self.sizes.items() if (one & for_two or two & for_one) and room[b] >= least and b != taker]
 
     def run(self) -> list[list[int]]:
         total = sum(self.lengths)
         n = len(self.bins)
-        moved = True
-        while moved and n * self.capacity - total >= self.capacity and self.probes > 0:
-            moved = False
-            for giver in heapq.nlargest(GIVERS, self.room, key=self.room.__getitem__):
-                if self.give(giver):
-                    moved = True
-                    if not self.items[giver]:
-                        n -= 1
-                        del self.room[giver], self.items[giver]
-                        self.bins[giver] = []
-                    break
+        waiting = self.able()
+        while waiting and n * self.capacity - total >= self.capacity and self.probes > 0:
+            giver = max(waiting, key=lambda b: (self.room[b], -b))
+            if not self.give(giver):
+                waiting.remove(giver)
+                continue
+            for b in self.changed:
+                if self.items[b] and self.room[b]:
+                    waiting.add(b)
+                    waiting.update(self.givers(b))
+                    continue
+                n -= not self.items[b]
+                self.bins[b] = [i for _, i in self.items[b]]
+                waiting.discard(b)
+                del self.room[b], self.items[b], self.sizes[b]
         for b, own in self.items.items():
             self.bins[b] = [i for _, i in own]
         return [b for b in self.bins if b]
 
     def give(self, giver: int) -> bool:
         """One step that makes a fuller bin fuller at the cost of this one, if there is any."""
-        return any(self.hand_on(giver, x) for x in sorted(self.items[giver], reverse=True)) or self.two_for_one(giver)
+        self.probes -= len(self.room)
+        takers = self.takers(giver)
+        return bool(takers) and (any(self.hand_on(giver, x, takers) for x in sorted(self.items[giver], reverse=True)) or self.two_for_one(giver, takers))
 
     def swap(self, donor: int, given: list, taker: int, taken: list) -> bool:
         moved = sum(x[0] for x in given) - sum(x[0] for x in taken)
@@ -150,15 +210,18 @@ class LocalSearch:
                 insort(self.items[b], x)
         self.room[taker] -= moved
         self.room[donor] += moved
+        self.changed = donor, taker
+        self.measure(donor)
+        self.measure(taker)
         return True
 
-    def hand_on(self, donor: int, x: tuple[int, int]) -> bool:
+    def hand_on(self, donor: int, x: tuple[int, int], takers: list[int]) -> bool:
         """Move x, or exchange it for a shorter item or two of a fuller bin, whichever fills that bin most."""
         size, best = x[0], None
-        self.probes -= len(self.room)
-        for taker, room in self.room.items():
-            if taker == donor or room > self.room[donor]:
+        for taker in takers:
+            if not self.sizes[taker][3] >> size & 1:
                 continue
+            room = self.room[taker]
             if size <= room:
                 gain, taken = size, []
             else:
@@ -174,34 +237,44 @@ class LocalSearch:
                 best = (gain, taker, taken)
         return best is not None and self.swap(donor, [x], best[1], best[2])
 
-    def two_for_one(self, donor: int) -> bool:
+    def two_for_one(self, donor: int, takers: list[int]) -> bool:
         """Give two items for one of a fuller bin that is shorter than both together."""
         own = self.items[donor]
         for j, first in enumerate(own):
             for second in own[j + 1 :]:
                 size = first[0] + second[0]
-                self.probes -= len(self.room)
-                if self.probes <= 0:
-                    return False
-                for taker, room in self.room.items():
-                    if taker != donor and room <= self.room[donor]:
+                for taker in takers:
+                    if self.sizes[taker][2] >> size & 1:
                         theirs = self.items[taker]
-                        at = bisect_left(theirs, (size - room,))
+                        at = bisect_left(theirs, (size - self.room[taker],))
                         if at < len(theirs) and theirs[at][0] < size:
                             return self.swap(donor, [first, second], taker, [theirs[at]])
         return False
 
 
-def pack_shard(lengths: list[int], capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """The bin of each item, and its place there."""
-    bins = LocalSearch(lengths, best_fit(lengths, capacity), capacity).run()
-    of, at = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+def places(lengths: list[int], bins: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bin of each item, its place there, and what the bin holds in all."""
+    of, at, fill = (np.zeros(len(lengths), np.int64) for _ in range(3))
     for b, own in enumerate(bins):
         offset = 0
         for i in own:
             of[i], at[i] = b, offset
             offset += lengths[i]
-    return of, at
+        fill[own] = offset
+    return of, at, fill
+
+
+def pack_shard(lengths: list[int], capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bin of each item, and its place there."""
+    return places(lengths, LocalSearch(lengths, best_fit(lengths, capacity), capacity).run())[:2]
+
+
+def repack(lengths: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:
+    """The search over bins that exist, or over best fit of their items if that needs fewer."""
+    found = LocalSearch(lengths, bins, capacity).run()
+    if len(found) * capacity - sum(lengths) >= capacity:
+        found = min(found, LocalSearch(lengths, best_fit(lengths, capacity), capacity).run(), key=len)
+    return found
 
 
 def pack(pieces: DataFrame, *, length: str = "length", capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
@@ -213,17 +286,38 @@ def pack(pieces: DataFrame, *, length: str = "length", capacity: int = CAPACITY,
 
     def place(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("_row", ignore_index=True)
-        of, at = pack_shard(group["_length"].tolist(), capacity)
-        return pd.DataFrame({"_row": group["_row"], "sequence_id": (int(key[0]) << 32) + of, "offset": at})
+        lengths = group["_length"].tolist()
+        of, at, fill = places(lengths, LocalSearch(lengths, best_fit(lengths, capacity), capacity).run())
+        return pd.DataFrame({"_row": group["_row"], "_length": group["_length"], "sequence_id": (int(key[0]) << 32) + of, "offset": at, "_fill": fill})
+
+    def place_again(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["sequence_id", "offset"], ignore_index=True)
+        lengths = group["_length"].tolist()
+        bins = [x.tolist() for x in group.groupby("sequence_id").indices.values()]
+        of, at, _ = places(lengths, repack(lengths, bins, capacity))
+        return pd.DataFrame({"_row": group["_row"], "sequence_id": (1 << 61) + (int(key[0]) << 32) + of, "offset": at})
 
     full = rows.where(F.col("_length") >= capacity)
     full = full.select("_piece", (F.lit(1 << 62) + F.col("_row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     dealt = part.withColumn("_shard", spread(n_shards, "_row"))
-    placed = dealt.select("_shard", "_row", "_length").groupBy("_shard").applyInPandas(place, "_row long, sequence_id long, offset long")
-    part = part.join(placed, "_row").select("_piece", "sequence_id", "offset")
+    placed = dealt.select("_shard", "_row", "_length").groupBy("_shard").applyInPandas(place, "_row long, _length long, sequence_id long, offset long, _fill long")
+    if n_shards > 1:
+        placed = written(placed, "packing-placed")
+        left = placed.where(F.col("_fill") < capacity)
+        n_groups = max(1, -(-left.count() // shard_pieces))
+        left = left.withColumn("_group", spread(n_groups, "sequence_id")).select("_group", "_row", "_length", "sequence_id", "offset")
+        # few bytes but long to search: a number of partitions that is given isn't made smaller
+        again = left.repartition(n_groups, "_group").groupBy("_group").applyInPandas(place_again, "_row long, sequence_id long, offset long")
+        placed = placed.where(F.col("_fill") >= capacity).select("_row", "sequence_id", "offset").unionByName(again)
+    part = part.join(placed.select("_row", "sequence_id", "offset"), "_row").select("_piece", "sequence_id", "offset")
     return full.unionByName(part).select(*[F.col("_piece").getField(c).alias(c) for c in columns], "sequence_id", "offset")
 
 
+def report(packed: DataFrame, *, length: str = "length", capacity: int = CAPACITY) -> DataFrame:
+    """One row: sequences, and the fewest that could hold the tokens (least)."""
+    return packed.agg(F.count_distinct("sequence_id").alias("sequences"), F.ceil(F.coalesce(F.sum(col(length)), F.lit(0)) / capacity).alias("least"))
+
+
 def sequences(packed: DataFrame) -> DataFrame:
     """The token ids of each sequence: sequence_id, input_ids; ``packed`` has the ids of its pieces (``keep_ids``)."""
 

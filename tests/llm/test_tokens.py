@@ -150,6 +150,53 @@ def test_each_step_of_the_search():
     assert search.give(0) and search.room == {0: 9, 1: 0}
 
 
+def step_left(search):
+    """Whether brute force finds a step between two underfull bins."""
+    for d, mine in search.items.items():
+        ones = [x for x, _ in mine]
+        twos = [a + b for j, a in enumerate(ones) for b in ones[j + 1 :]]
+        for t, theirs in search.items.items():
+            if t != d and search.room[t] <= search.room[d]:
+                single = [0] + [x for x, _ in theirs]
+                pairs = [a + b for j, a in enumerate(single[1:]) for b in single[j + 2 :]]
+                if any(0 < s - y <= search.room[t] for s in ones for y in single + pairs) or any(0 < s - y <= search.room[t] for s in twos for y in single[1:]):
+                    return True
+    return False
+
+
+def test_search_ends_when_no_bin_has_a_step():
+    rng = np.random.default_rng(3)
+    for low, high, n in ((256, 600, 300), (300, 700, 300), (400, 1023, 150), (200, 420, 400), (1, 1024, 300)):
+        for _ in range(3):
+            lengths = rng.integers(low, high, n).tolist()
+            search = packing.LocalSearch(lengths, packing.best_fit(lengths, 1024), 1024)
+            bins = search.run()
+            assert sorted(i for b in bins for i in b) == list(range(n)) and max(sum(lengths[i] for i in b) for b in bins) <= 1024
+            assert len(bins) == -(-sum(lengths) // 1024) or not step_left(search)
+
+
+def test_bins_after_the_emptiest_sixteen_may_give():
+    # twenty bins that can give nothing, then a pair that has a step
+    lengths = [51] * 20 + [60, 30, 58, 33]
+    search = packing.LocalSearch(lengths, [[i] for i in range(20)] + [[20, 21], [22, 23]], 100)
+    before = {b: r for b, r in search.room.items() if b >= 20}
+    search.run()
+    assert before == {20: 10, 21: 9} and search.room != {**dict.fromkeys(range(20), 49), **before}
+
+
+def test_leftovers_of_shards_are_packed_together(spark):
+    rng = np.random.default_rng(8)
+    lengths = rng.integers(1, 500, 4000).tolist() + [1024, 1024]
+    pieces = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, length long").repartition(3)
+    packed = packing.pack(pieces, shard_pieces=200).cache()
+    found = packed.collect()
+    bins = check_bins([r.length for r in found], [r.sequence_id for r in found], [r.offset for r in found], 1024)
+    assert sorted((r.doc_id, r.length) for r in found) == list(enumerate(lengths))
+    least = -(-sum(lengths) // 1024)
+    assert packing.report(packed).collect() == [(bins, least)]
+    assert bins <= least + 8  # 20 shards, each of which alone leaves part of a sequence
+
+
 def test_search_effort_is_bounded(monkeypatch):
     monkeypatch.setattr(packing, "PROBES", 0)
     lengths = [60, 50, 30, 20, 20, 20]
