@@ -2,15 +2,19 @@
 
 The base patterns are those of the contract.  The lexer reads source and
 configuration syntax (``name = "literal"``, ``name: literal``, ``"name":
-"literal"``, ``name := 'literal'``, concatenations) into pairs of a target
-name and a literal.  Constants are carried forward: a literal that is given to
+"literal"``, ``name := 'literal'``, ``x["name"] = "literal"``, ``name: type =
+"literal"``, ``name string = "literal"``, ``name[] = "literal"``,
+concatenations) into pairs of a target name and a literal.  Constants are carried forward: a literal that is given to
 a harmless name and from there to a sensitive one is found where it stands.  A
 literal's score is the sensitivity of the target's name times how much the
-literal looks like a secret (variety of characters, no placeholder).
+literal looks like a secret (variety of characters, no placeholder).  Several
+words count as a passphrase unless they read like a message; the target of a
+name that ends in "passphrase" may hold any words.
 
 Scale: one pass over whole texts, no shuffle.  The lexer runs only on texts
-in which some sensitive name is followed by an assignment sign; every pattern
-is linear in the text.
+in which a sensitive word has an assignment sign somewhere after it in its
+line, which all that it can find has; every pattern is linear in the text, but for
+long runs of escaped quotes that nothing closes (quadratic in the run).
 
 Cases: a null text counts as empty and has no span; positions are code points
 of the whole text, ends exclusive; rows are independent, so repeats and null
@@ -46,8 +50,15 @@ SENSITIVE = {
 }
 #: Parts that make "key" (or "auth") a secret one.
 STRENGTHEN = {"api", "access", "private", "secret", "signing", "encryption", "account", "storage", "client", "master"}
-_SENSITIVE_HINT = re.compile(r"(?:pass|pwd|secret|token|key|credential|bearer|auth|salt|signature|pin)[\w$.\-]*[\"'\]]*\s{0,8}(?::=|=>|=|:)", re.IGNORECASE)
+#: From a sensitive word to the next sign, or to the end of the line: matches don't overlap, so all of them take one pass.
+_SENSITIVE_HINT = re.compile(r"(?:pass|pwd|secret|token|key|credential|bearer|auth|salt|signature|pin)[^\n:=]*+(?P<sign>[:=])?", re.IGNORECASE)
 _PLACEHOLDER = re.compile(r"example|sample|change.?me|placeholder|your[_\-.]|dummy|redacted|xxxx|\*\*\*|\.\.\.|^[<{$%]|^(?:true|false|none|null|undefined|password|secret|token)$", re.IGNORECASE)
+#: Words of messages and labels, and ends of sentences: not a passphrase.
+_MESSAGE = re.compile(
+    r"\b(?:the|an?|is|are|was|be|to|of|in|on|at|for|from|with|and|or|not|no|this|that|it|has|have|you|your|please|enter|type|choose|must|should|can|cannot|"
+    r"forgot(?:ten)?|reset|change|confirm|repeat|new|old|invalid|incorrect|wrong|missing|required|expired|password|passphrase|secret|token|key|field|value)\b|[.?:,;]\s|[.?:]$",
+    re.IGNORECASE,
+)
 _LEX = re.compile(
     r"""(?P<string>"(?:[^"\\\n]|\\.)*"|(?<!\w)'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)"""
     r"""|(?P<name>[A-Za-z_$][\w$]*(?:[.\-][\w$]+)*)"""
@@ -56,6 +67,8 @@ _LEX = re.compile(
     r"""|(?P<line>\n|;)"""
     r"""|(?P<other>[^\s])"""
 )
+_IDENTIFIER = re.compile(r"[A-Za-z_$][\w$.\-]*\Z")
+_SIGNS = ("=", ":", ":=", "=>")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
@@ -69,14 +82,65 @@ def sensitivity(name: str) -> float:
     return 1.0 if best and STRENGTHEN & set(parts) else best
 
 
-def secrecy(literal: str) -> float:
-    """0 to 1: how much a literal looks like a secret."""
-    if len(literal) < MIN_LITERAL or any(c.isspace() for c in literal) or _PLACEHOLDER.search(literal):
+def secrecy(literal: str, phrase: bool = False) -> float:
+    """0 to 1: how much a literal looks like a secret; ``phrase``: words of any kind are expected."""
+    if len(literal) < MIN_LITERAL or _PLACEHOLDER.search(literal):
+        return 0.0
+    words = literal.split()
+    if not words or len(words) > 1 and not phrase and _MESSAGE.search(literal):
         return 0.0
+    if len(words) == 1 and len(words[0]) < len(literal):
+        return 0.0  # white space around one word
     n = len(literal)
     entropy = -sum(k / n * math.log2(k / n) for k in Counter(literal).values())
     kinds = sum(any(t(c) for c in literal) for t in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
-    return min(1.0, entropy / 3.5) * (0.55 if kinds == 1 else 1.0)
+    return min(1.0, entropy / 3.5) * (0.55 if kinds == 1 else 1.0 if len(words) == 1 else 0.8)
+
+
+def typed(tokens: list[tuple[str, str, int, int]], at: int) -> int:
+    """Where the sign stands that ends a type which starts here (``str =``, ``Optional[str] =``, ``&str =``); 0: no such type."""
+    depth, before = 0, ""
+    for j in range(at, len(tokens)):
+        kind, word = tokens[j][:2]
+        if word == "=" and not depth:
+            return j if before and j > at else 0
+        if word in ("[", "<"):
+            depth += 1
+        elif word in ("]", ">"):
+            depth -= 1
+        elif kind == "name":
+            if before == "name" and not depth:
+                return 0
+        elif not (word in ("|", "?", "&", "*") or depth > 0 and (kind in ("string", "bare") or word == ",")):
+            return 0
+        if depth < 0:
+            return 0
+        before = kind
+    return 0
+
+
+def assigned(tokens: list[tuple[str, str, int, int]], i: int) -> tuple[list[str], int]:
+    """Names that the token here gives to an assignment, the target first, and where its expression starts (0: there is none)."""
+
+    def word(j: int) -> str:
+        return tokens[j][1] if 0 <= j < len(tokens) else ""
+
+    kind, name = tokens[i][:2]
+    target = name if kind == "name" else name[1:-1] if kind == "string" else ""
+    if not target or not _IDENTIFIER.match(target):
+        return [], 0
+    if word(i - 1) == "[" and word(i + 1) == "]" and word(i + 2) in _SIGNS:
+        return [target], i + 3
+    if kind == "name" and word(i + 1) == "[":
+        end = i + 2 + (i + 2 < len(tokens) and tokens[i + 2][0] == "bare")
+        return ([target], end + 2) if word(end) == "]" and word(end + 1) == "=" else ([], 0)
+    if word(i + 1) not in _SIGNS:
+        return [], 0
+    if word(i + 1) == ":" and (sign := typed(tokens, i + 2)):
+        return [target, *[x[1] for x in tokens[i + 2 : sign] if x[0] == "name"]], sign + 1
+    if kind == "name" and i and tokens[i - 1][0] == "name" and target in ("string", "str", "String"):
+        return [tokens[i - 1][1], target], i + 2
+    return [target], i + 2
 
 
 def lexed(text: str) -> list[tuple[int, int, float]]:
@@ -86,14 +150,12 @@ def lexed(text: str) -> list[tuple[int, int, float]]:
     found: dict[tuple[int, int], float] = {}
     i, n = 0, len(tokens)
     while i + 2 < n:
-        kind, word, _, _ = tokens[i]
-        target = word if kind == "name" else word[1:-1] if kind == "string" else ""
-        if not target or tokens[i + 1][1] not in ("=", ":", ":=", "=>") or not re.match(r"[A-Za-z_$][\w$.\-]*\Z", target):
+        names, j = assigned(tokens, i)
+        if not j:
             i += 1
             continue
         # the expression: literals and names joined by plus signs
         parts: list[tuple[int, int, str]] = []
-        j = i + 2
         while j < n:
             kind, word, start, end = tokens[j]
             after = tokens[j + 1] if j + 1 < n else ("line", "\n", end, end)
@@ -112,8 +174,9 @@ def lexed(text: str) -> list[tuple[int, int, float]]:
                 break
             j += 1
         if parts:
-            constants[target] = parts
-            score = sensitivity(target) * secrecy("".join(x[2] for x in parts))
+            constants[names[0]] = parts
+            phrase = any(x.lower().endswith("passphrase") for x in names)
+            score = max(map(sensitivity, names)) * secrecy("".join(x[2] for x in parts), phrase)
             if score >= THRESHOLD:
                 for start, end, _ in parts:
                     if end > start:
@@ -130,7 +193,7 @@ def spans(text: str) -> list[tuple[int, int, str, float]]:
     if "AKIA" in text:
         out += [(m.start(), m.end(), "access", 1.0) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
     out += [(m.start(), m.end(), "hex", 1.0) for m in _HEX.finditer(text)]
-    if ("=" in text or ":" in text) and _SENSITIVE_HINT.search(text):
+    if ("=" in text or ":" in text) and any(m["sign"] for m in _SENSITIVE_HINT.finditer(text)):
         known = [x[:2] for x in out]
         out += [(a, b, "lexed", s) for a, b, s in lexed(text) if not any(x <= a and b <= y for x, y in known)]
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))

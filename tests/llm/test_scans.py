@@ -31,6 +31,38 @@ def test_lexer(text, literals):
     assert [text[a:b] for a, b, kind, _ in secret_scan.spans(text) if kind == "lexed"] == literals
 
 
+@pytest.mark.parametrize(
+    "text, literals",
+    [
+        ('private_key            = "Zx81kLmn2QpR"', ["Zx81kLmn2QpR"]),  # aligned, more than 8 blanks
+        ("db_pwd" + "\t" * 300 + ': "Zx81kLmn2QpR"', ["Zx81kLmn2QpR"]),
+        ('config["db_pwd"] = "Zx81kLmn2QpR"', ["Zx81kLmn2QpR"]),
+        ("$cfg['a']['clientPwd'] = 'Zx81kLmn2QpR';", ["Zx81kLmn2QpR"]),
+        ('config["color"] = "Zx81kLmn2QpR"', []),
+        ('dbPwd: str = "Zx81kLmn2QpR"', ["Zx81kLmn2QpR"]),
+        ('const clientPwd: string = "Zx81kLmn2QpR"', ["Zx81kLmn2QpR"]),
+        ('db_pwd: Optional[Dict[str, str]] | None = "Zx81kLmn2QpR"', ["Zx81kLmn2QpR"]),
+        ('let db_pwd: &str = "Zx81kLmn2QpR";', ["Zx81kLmn2QpR"]),
+        ('var dbPwd string = "Zx81kLmn2QpR"', ["Zx81kLmn2QpR"]),
+        ('char db_pwd[] = "Zx81kLmn2QpR"; char db_pwd[32] = "Yx81kLmn2QpR";', ["Zx81kLmn2QpR", "Yx81kLmn2QpR"]),
+        ('color: str = "Zx81kLmn2QpR"', []),
+        ('note: the db_pwd = "Zx81kLmn2QpR"', ["Zx81kLmn2QpR"]),  # words aren't a type
+        ('mode: db_pwd = "Zx81kLmn2QpR"', ["Zx81kLmn2QpR"]),
+        ('db_pwd = "Correct horse battery staple"', ["Correct horse battery staple"]),
+        ('backup_passphrase: "over the hills and 7 seas"', ["over the hills and 7 seas"]),
+        ('db_pwd = "Please enter your password"', []),
+        ('title = "Correct horse battery staple"', []),
+    ],
+)
+def test_assignment_syntax(text, literals):
+    assert [text[a:b] for a, b, kind, _ in secret_scan.spans(text) if kind == "lexed"] == literals
+
+
+def test_gate_and_types_are_linear_on_long_texts():
+    for text in ("key" * 100_000 + "\n=", "key " * 80_000 + "\n:", "pwd: a<" * 40_000, "pwd[" * 80_000 + "=", "pwd: " + "a|" * 100_000, "pwd" + " " * 300_000 + "\n="):
+        secret_scan.spans(text)
+
+
 def test_lexer_is_linear_on_long_texts():
     for text in ("key = " * 40_000, "pass='" * 40_000, 'token: "' + "a" * 300_000, "\\'" * 100_000 + " pwd="):
         secret_scan.spans(text)
