@@ -11,7 +11,7 @@ from tests.llm.util import CLASHES, documents, rows, words
 
 def test_queries_are_registered():
     assert set(QUERIES) <= set(entry_mod.queries()) and set(ORACLE_SQL) <= set(entry_mod.oracle_sql())
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES if q != "pipeline") == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES if q != "pipeline") == list(range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash", "mixing", "packing"]
 
 

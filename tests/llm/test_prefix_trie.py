@@ -1,0 +1,126 @@
+"""Prefix tries of conversations against a dictionary of prefixes."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from cohortlens.llm import prefix_trie
+from cohortlens.llm.prefix_trie import DoubleArray
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def key(role, text):
+    return hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()[:32]
+
+
+def truncated(c):
+    return c - (abs(c) % 5) * (1 if c >= 0 else -1)
+
+
+def brute(data):
+    turns = {}
+    for c, turn, role, text in data:
+        if c is not None:
+            turns.setdefault(c, []).append((turn is not None, turn or 0, key(role or "", text or ""), (role or "", text or "")))
+    turns = {c: [x[3] for x in sorted(own)] for c, own in turns.items()}
+    whole = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        whole[c] = tuple(turns.get(truncated(c), [])[:h] + own[h:])
+    nodes = {}
+    for c, seq in whole.items():
+        for d in range(len(seq) + 1):
+            nodes.setdefault(seq[:d], []).append(c)
+    kids = {x: [] for x in nodes}
+    for x in nodes:
+        if x:
+            kids[x[:-1]].append(x)
+    leaves, saved = {}, {}
+    for x in sorted(nodes, key=len, reverse=True):
+        own = (len(nodes[x]) - 1) * (len(x[-1][1].encode()) if x else 0)
+        leaves[x] = sum(leaves[k] for k in kids[x]) if kids[x] else 1
+        saved[x] = own + sum(saved[k] for k in kids[x])
+    out = []
+    for x, members in nodes.items():
+        ends = ",".join(map(str, sorted(c for c in members if len(whole[c]) == len(x))))
+        parent = min(nodes[x[:-1]]) if x else None
+        out.append((min(members), len(x), parent, len(members), len(kids[x]), leaves[x], saved[x], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def conversations(seed=3, n=300):
+    rng = random.Random(seed)
+    texts = ["", "hi", "größe", "a b c", "same words", "x" * 50]
+    data = []
+    for c in range(n):
+        if c % 11 == 7:
+            continue
+        if c % 3 == 0:  # a conversation that many repeat
+            own = [("system", "hot"), ("user", "hot"), ("assistant", "hot"), *[("user", f"deep {i}") for i in range(12)]]
+        else:
+            own = [("system", "hot")] * (c % 2) + [(rng.choice(["user", "assistant"]), rng.choice(texts)) for _ in range(rng.randint(0, 14))]
+        data += [(c, i if rng.random() < 0.97 else None, *x) for i, x in enumerate(own)]
+    data += [(1000, i % 3, "user", f"t{i}") for i in range(9)]  # ties
+    data += [(1001, 1, None, None), (1001, 1, None, None), (1001, None, None, "x"), (None, 1, "user", "lost"), (-7, 0, "user", "below"), (-5, 0, "user", "zero"), (5003, 1, "a", "bc"), (5004, 1, "ab", "c")]
+    data += [(7000, i, "user", f"long {i}") for i in range(2000)]
+    rng.shuffle(data)
+    return data
+
+
+def found(df):
+    return sorted((tuple(r[c] for c in prefix_trie.RESULT) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("shard_turns", [1, 40, 1 << 15])
+def test_nodes_match_brute_force(spark, shard_turns):
+    data = conversations()
+    df = spark.createDataFrame(data, SCHEMA).withColumn("depth", F.lit("d")).withColumn("_seq", F.lit(1))
+    got = prefix_trie.trie(df.repartition(5), shard_turns=shard_turns)
+    assert got.columns == prefix_trie.RESULT and {t for c, t in got.dtypes if c != "ends_sha256"} == {"bigint"}
+    assert found(got) == brute(data)
+
+
+def test_small_tables(spark):
+    for data in ([], [(None, 1, "user", "x")], [(3, 0, "user", "x")], [(5, 0, None, None)], [(10, 0, "u", "a"), (11, 0, "u", "a"), (12, 0, "u", "b")]):
+        assert found(prefix_trie.trie(spark.createDataFrame(data, SCHEMA))) == brute(data) * bool([x for x in data if x[0] is not None])
+
+
+def test_many_ranges_of_ids_are_digested_in_order(spark):
+    ids = [*range(0, 40_000, 5)]
+    rows = spark.createDataFrame([(i,) for i in ids], "conv_id long").select("conv_id", F.lit(0).cast("long").alias("turn"), F.lit("u").alias("role"), F.lit("t").alias("text"))
+    got = found(prefix_trie.trie(rows))
+    assert got == brute([(i, 0, "u", "t") for i in ids])
+
+
+def test_double_array_holds_exactly_its_sequences():
+    rng = random.Random(8)
+    rows = sorted({tuple(rng.choices(range(40), k=rng.randint(0, 6))) for _ in range(800)} | {tuple(range(30)), tuple(rng.choices(range(40), k=500))})
+    trie = DoubleArray.of([list(x) for x in rows])
+    prefixes = {x[:d] for x in rows for d in range(len(x) + 1)}
+
+    def walk(ids):
+        state = 0
+        for c in ids:
+            there = trie.base[state] + c
+            if there >= len(trie.check) or trie.check[there] != state:
+                return None
+            state = there
+        return state
+
+    states = [walk(x) for x in prefixes]
+    assert None not in states and len(set(states)) == len(prefixes)
+    for x in list(prefixes)[:300]:
+        for c in range(40):
+            assert (walk((*x, c)) is not None) == ((*x, c) in prefixes)
+    assert len(trie.check) < 3 * len(prefixes) + 100
+
+
+def test_turns_dont_shuffle_their_texts(spark):
+    rows = spark.createDataFrame(conversations(n=20), SCHEMA)
+    plan = prefix_trie.sequences(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") + plan.count("Exchange REPARTITION") <= 1 and plan.count("Exchange") == 1
+    assert "text" not in plan.split("Exchange")[0]
