@@ -43,9 +43,11 @@ def within_span(event_date: ColumnOrName, index: DataFrame, index_date: str, bef
     return _c(event_date).between(bounds.getField("lo"), bounds.getField("hi"))
 
 
-
-def after_earliest(event_date: ColumnOrName, anchors: DataFrame, anchor: ColumnOrName) -> Column:
-    """Exact prefilter for ``anchor < event_date`` per person: the event is after the
-    earliest anchor of all persons.  One scalar subquery over ``anchors``; cheap
-    when ``anchors`` is a written table, costly when it is a long lazy plan."""
-    return _c(event_date) > anchors.select(F.min(_c(anchor))).scalar()
+def within_bounds(event_date: ColumnOrName, index: DataFrame, index_date: str, before: int, after: int) -> Column:
+    """The filter of ``within_span`` as two comparisons with a scalar subquery each: of a stored column,
+    Spark pushes them down to the scan, which then skips row groups outside the span."""
+    # first and last by order, not min and max: Spark would merge two aggregates into one struct, and push down neither
+    known = index.where(F.col(index_date).isNotNull())
+    lo = known.orderBy(index_date).limit(1).select(F.date_sub(index_date, before)).scalar()
+    hi = known.orderBy(F.desc(index_date)).limit(1).select(F.date_add(index_date, after)).scalar()
+    return (_c(event_date) >= lo) & (_c(event_date) <= hi)

@@ -1,6 +1,6 @@
 """T4/T5: concept flags per date and per person."""
 
-from cohortlens.operators.flags import event_flags, flag_names, with_person_flags
+from cohortlens.operators.flags import coded_events, event_flags, flag_names, person_words, with_flags, with_person_flags
 from tests.util import as_set, d, frame
 
 SETS = [
@@ -101,3 +101,46 @@ def test_flag_bound_is_an_argument(spark):
     with pytest.raises(ValueError, match="max_flags"):
         flag_names(sets, 2)
     assert len(flag_names(sets, 3)) == 3
+
+
+def test_two_thousand_flags_in_generated_code(spark, scratch):
+    """Thirty-two words instead of 2,000 conditional aggregates; equal to a plain count."""
+    import random
+    import re
+
+    rng = random.Random(2)
+    names = [f"f{i:04d}" for i in range(2000)]
+    sets = frame(spark, "sets", [dict(concept_set_name=n, column_name=n, domain="condition_occurrence", comorbidity=1) for n in names])
+    of = {c: rng.sample(names, rng.randint(1, 3)) for c in range(3000)}
+    members = frame(spark, "members", [dict(concept_id=c, concept_set_name=n, is_most_recent_version=True) for c, own in of.items() for n in own])
+    seen = [(rng.randint(1, 20), f"2020-01-{rng.randint(1, 9):02d}", rng.randrange(3100)) for _ in range(4000)]
+    conditions = frame(spark, "conditions", [dict(person_id=p, condition_start_date=d(x), condition_concept_id=c) for p, x, c in seen])
+    cohort = frame(spark, "cohort", [dict(person_id=p) for p in range(1, 16)])
+    out = event_flags(cohort, conditions, members, sets, names)
+    got = {(r[0], r[1]): {n for n, v in zip(names, r[2:]) if v} for r in out.collect()}
+    want = {}
+    for p, x, c in seen:
+        if p < 16 and c in of:
+            want.setdefault((p, d(x)), set()).update(of[c])
+    assert got == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    aggregates = re.findall(r"(\*\(\d+\) )?HashAggregate\(keys=\[person_id", plan.split("Initial Plan")[0])
+    assert aggregates and all(aggregates)  # all within whole-stage code generation
+    assert len(re.findall(r"bit_or", plan)) < 2000
+    out.write.parquet(f"{scratch}/flags")
+    whole = with_person_flags(cohort, spark.read.parquet(f"{scratch}/flags"), names)
+    by_person = {p: set().union(*[own for (q, _), own in want.items() if q == p]) for p in range(1, 16)}
+    assert {r["person_id"]: {n for n in names if r[n]} for r in whole.collect()} == by_person
+    lazy = with_flags(cohort, person_words(coded_events(cohort, conditions, members, sets, names), names), names)
+    assert {r["person_id"]: {n for n in names if r[n]} for r in lazy.collect()} == by_person
+
+
+def test_flags_at_the_edges_of_words(spark):
+    names = [f"g{i}" for i in range(127)]
+    sets = frame(spark, "sets", [dict(concept_set_name=n, column_name=n, domain="condition_occurrence", comorbidity=1) for n in names])
+    members = frame(spark, "members", [dict(concept_id=i, concept_set_name=n, is_most_recent_version=True) for i, n in enumerate(names)])
+    chosen = sorted(names)
+    for picked in ([0, 62], [63], [62, 63, 125, 126], list(range(127))):
+        conditions = frame(spark, "conditions", [dict(person_id=1, condition_start_date=d("2020-01-01"), condition_concept_id=int(chosen[i][1:])) for i in picked])
+        row = event_flags(frame(spark, "cohort", [dict(person_id=1)]), conditions, members, sets).collect()[0]
+        assert [row[n] for n in chosen] == [int(i in picked) for i in range(127)]
