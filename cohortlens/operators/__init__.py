@@ -1,8 +1,9 @@
 """DataFrame operators: joins, aggregates and windows on person-keyed tables."""
 
+from cohortlens.operators.checks import unique
 from cohortlens.operators.concepts import comorbidity_concepts, current_members, er_concepts
 from cohortlens.operators.demographics import clean_demographics
-from cohortlens.operators.enrich import enrich, sample_cohort, with_death
+from cohortlens.operators.enrich import enrich, sample_cohort, sample_rows, with_death
 from cohortlens.operators.events import events_in_window, first_event
 from cohortlens.operators.flags import event_flags, flag_names, person_flags, with_person_flags
 from cohortlens.operators.joins import left_lookup, split_hot_keys
@@ -41,10 +42,12 @@ __all__ = [
     "left_lookup",
     "person_flags",
     "sample_cohort",
+    "sample_rows",
     "split_hot_keys",
     "stay_date_variants",
     "stay_timeline",
     "stays_after",
+    "unique",
     "visit_code_counts",
     "visits_of_stay",
     "with_death",

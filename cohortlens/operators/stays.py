@@ -10,14 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions.windows import after_earliest
+from cohortlens.functions.keys import KEY_BITS, may_hold, summary
 from cohortlens.operators.joins import split_hot_keys
 from cohortlens.operators.visits import FIRST_STAY_END, FIRST_STAY_START, INDEX
 
 ANCHOR_COLUMNS = ["person_id", INDEX, FIRST_STAY_START, FIRST_STAY_END]
 
 
-def stays_after(fact: DataFrame, visits: DataFrame, *, prefilter: bool = False) -> DataFrame:
+def stays_after(
+    fact: DataFrame, visits: DataFrame, *, prefilter: bool = False, persons: DataFrame | None = None, key_bits: int = KEY_BITS
+) -> DataFrame:
     """One row per person and later stay.
 
     Columns: ``person_id``, the index date, the first stay's start and end,
@@ -28,13 +30,19 @@ def stays_after(fact: DataFrame, visits: DataFrame, *, prefilter: bool = False)
     Visit rows meet the anchors in one shuffle by ``person_id``; the per-stay
     reduction runs in the same stage (a ``min`` does not depend on duplicate
     visit rows of one stay).  With ``prefilter`` (for a written ``fact``), stays
-    starting before every anchor are dropped in the scan stage first.
+    starting before every anchor, and stays of other persons, are dropped in
+    the scan stage first (one scalar subquery, see ``functions.keys``).  For a
+    lazy ``fact``, ``persons`` may name its persons (a cheap table): then rows
+    of others are dropped by that.
     """
     anchors = fact.select(*ANCHOR_COLUMNS).withColumn(
         "__anchor", F.coalesce(F.col(FIRST_STAY_START), F.col(INDEX))
     )
     if prefilter:
-        visits = visits.where(after_earliest("macrovisit_start_date", anchors, "__anchor"))
+        held = summary(anchors, date="__anchor", bits=key_bits)
+        visits = visits.where((F.col("macrovisit_start_date") > held.getField("lo")) & may_hold(held, "person_id", key_bits))
+    elif persons is not None:
+        visits = visits.where(may_hold(summary(persons, bits=key_bits), "person_id", key_bits))
     stays = visits.where(F.col("macrovisit_id").isNotNull()).select(
         "person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date"
     )

@@ -4,8 +4,9 @@ A *stay* is a visit row with a stay start date; an *ER-only* visit has no
 stay start and an ER concept.  Both are matched to the index dates of each
 person within a day window, then reduced to the first one per person.
 
-Plan shape: visit rows outside the span of all index dates are dropped in
-the scan stage (an exact prefilter, one scalar subquery over the cohort);
+Plan shape: visit rows outside the span of all index dates, and rows of persons
+outside the cohort, are dropped in the scan stage (one scalar subquery over
+the cohort gives the span and a bitmap of its ids, see ``functions.keys``);
 the rest are shuffled once, by ``person_id``, to meet the index dates (AQE
 broadcasts the index side when it is small and splits a person key that
 holds a large share of rows), filtered by the window, and made distinct or
@@ -21,10 +22,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions.windows import near, within_span
+from cohortlens.functions.keys import KEY_BITS, may_be_near, may_hold, summary
+from cohortlens.functions.windows import near, within_bounds, within_span
 from cohortlens.operators.concepts import er_concepts
 from cohortlens.operators.events import events_in_window, first_event
 from cohortlens.operators.joins import split_hot_keys
+from cohortlens.sources.layout import EVENT_DAY
 
 # The column names of the output contract.
 LAB, DIAGNOSIS, INDEX = "first_pos_pcr_antigen_date", "first_pos_diagnosis_date", "first_poslab_or_diagnosis_date"
@@ -48,9 +51,21 @@ def window_match(event_date: str, *, require_both: bool, before: int, after: int
     return near(INDEX, event_date, before, after)
 
 
-def in_cohort_span(event_date, cohort: DataFrame, *, require_both: bool, before: int, after: int):
-    """Exact date-span prefilter for a window match (see ``functions.windows.within_span``)."""
-    return within_span(event_date, index_dates(cohort), LAB if require_both else INDEX, before, after)
+def in_cohort_reach(event_date, cohort, *, require_both: bool, before: int, after: int, key_bits: int | None = KEY_BITS):
+    """Prefilter for a window match: the event's date lies in the span of all index dates, and its
+    person is in the cohort as far as a bitmap of ``key_bits`` tells (None: dates only)."""
+    date = LAB if require_both else INDEX
+    if not key_bits:
+        return within_span(event_date, index_dates(cohort), date, before, after)
+    held = summary(index_dates(cohort).where(F.col(date).isNotNull()), date=date, bits=key_bits)
+    return may_be_near(held, event_date, before, after) & may_hold(held, "person_id", key_bits)
+
+
+def skipping_days(visits: DataFrame, cohort: DataFrame, *, require_both: bool, before: int, after: int) -> DataFrame:
+    """Visits laid out by day (``sources.layout.by_day``) without the days outside the span, skipped in the scan; others as they are."""
+    if EVENT_DAY not in visits.columns:
+        return visits
+    return visits.where(within_bounds(EVENT_DAY, index_dates(cohort), LAB if require_both else INDEX, before, after))
 
 
 def _index_window(event_date: str, *, require_both: bool, before: int, after: int) -> dict:
@@ -62,10 +77,17 @@ def _index_window(event_date: str, *, require_both: bool, before: int, after: in
 
 
 def hospital_stays_near(
-    cohort: DataFrame, visits: DataFrame, *, require_both: bool = False, before: int = 1, after: int = 16
+    cohort: DataFrame,
+    visits: DataFrame,
+    *,
+    require_both: bool = False,
+    before: int = 1,
+    after: int = 16,
+    key_bits: int | None = KEY_BITS,
 ) -> DataFrame:
     """Stays starting within the window: ``person_id, macrovisit_id`` and stay start and end."""
-    span = in_cohort_span("macrovisit_start_date", cohort, require_both=require_both, before=before, after=after)
+    span = in_cohort_reach("macrovisit_start_date", cohort, require_both=require_both, before=before, after=after, key_bits=key_bits)
+    visits = skipping_days(visits, cohort, require_both=require_both, before=before, after=after)
     stays = visits.where(span & F.col("macrovisit_start_date").isNotNull()).select(
         "person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date"
     )
@@ -101,9 +123,11 @@ def er_visits_near(
     require_both: bool = False,
     before: int = 1,
     after: int = 16,
+    key_bits: int | None = KEY_BITS,
 ) -> DataFrame:
     """ER-only visit dates within the window: ``person_id, covid_ER_only_start_date``."""
-    span = in_cohort_span("visit_start_date", cohort, require_both=require_both, before=before, after=after)
+    span = in_cohort_reach("visit_start_date", cohort, require_both=require_both, before=before, after=after, key_bits=key_bits)
+    visits = skipping_days(visits, cohort, require_both=require_both, before=before, after=after)
     dates = er_visit_rows(visits.where(span), members, sets)
     window = _index_window("visit_start_date", require_both=require_both, before=before, after=after)
     matched = events_in_window(index_dates(cohort), dates, prefilter=False, **window)
@@ -175,6 +199,7 @@ def first_index_visits(
     before: int = 1,
     after: int = 16,
     er_ids: DataFrame | None = None,
+    key_bits: int | None = KEY_BITS,
 ) -> DataFrame:
     """Per person of ``cohort``: first stay (id, start, end) and, with ``with_er``, first ER date.
 
@@ -185,13 +210,11 @@ def first_index_visits(
     """
     window = dict(require_both=require_both, before=before, after=after)
     if not with_er:
-        return first_stay(hospital_stays_near(cohort, visits, **window))
-    span = in_cohort_span(
-        F.coalesce("macrovisit_start_date", "visit_start_date"), cohort, **window
-    )
+        return first_stay(hospital_stays_near(cohort, visits, **window, key_bits=key_bits))
+    span = in_cohort_reach(F.coalesce("macrovisit_start_date", "visit_start_date"), cohort, **window, key_bits=key_bits)
     near_events = events_in_window(
         index_dates(cohort),
-        index_events(visits.where(span), members, sets, er_ids),
+        index_events(skipping_days(visits, cohort, **window).where(span), members, sets, er_ids),
         prefilter=False,
         **_index_window("day", **window),
     )
@@ -222,6 +245,7 @@ def index_visits(
     before: int = 1,
     after: int = 16,
     index_cohort: DataFrame | None = None,
+    key_bits: int | None = KEY_BITS,
 ) -> DataFrame:
     """The cohort with its first stay (id, start, end) and, with ``with_er``, its first ER date.
 
@@ -238,6 +262,7 @@ def index_visits(
         require_both=require_both,
         before=before,
         after=after,
+        key_bits=key_bits,
     )
     return cohort.join(firsts, "person_id", "left")
 

@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.functions.keys import KEY_BITS
 from cohortlens.operators.demographics import clean_demographics
 from cohortlens.operators.enrich import INDEX_DATE, enrich, sample_cohort, with_death
-from cohortlens.operators.flags import MAX_FLAGS, event_flags, flag_names, with_person_flags
+from cohortlens.operators.flags import MAX_FLAGS, coded_events, flag_names, person_words, with_flags
 from cohortlens.operators.stays import stays_after
 from cohortlens.operators.visits import first_index_visits, index_visits
 from cohortlens.sources.tables import Tables
@@ -27,6 +28,8 @@ class FactOptions:
     seed: int = 111
     max_flags: int = MAX_FLAGS  # how many flag columns are allowed
     flags_until: str | None = None  # e.g. the index date: only conditions on or before it count
+    key_bits: int | None = KEY_BITS  # bits of the map of the cohort's ids that events are filtered by (None: without)
+    check_keys: bool = True  # the workflow fails if a person id repeats in the cohort or among the persons
 
 
 def index_cohort(t: Tables, opts: FactOptions = FactOptions()) -> DataFrame:
@@ -46,6 +49,7 @@ def cohort_with_flags(
     names: list[str] | None = None,
     persons: DataFrame | None = None,
     until: str | None = None,
+    key_bits: int | None = KEY_BITS,
 ) -> DataFrame:
     """The cleaned cohort with one comorbidity flag per name (T4-T5).
 
@@ -53,8 +57,8 @@ def cohort_with_flags(
     narrow table of the same persons keeps the wide lineage out of that join.
     """
     names = flag_names(t.sets) if names is None else names
-    by_date = event_flags(clean if persons is None else persons, t.conditions, t.members, t.sets, names, until=until)
-    return with_person_flags(clean, by_date, names)
+    events = coded_events(clean if persons is None else persons, t.conditions, t.members, t.sets, names, until=until, key_bits=key_bits)
+    return with_flags(clean, person_words(events, names), names) if names else clean
 
 
 def person_fact(t: Tables, opts: FactOptions = FactOptions(), names: list[str] | None = None) -> DataFrame:
@@ -66,7 +70,7 @@ def person_fact(t: Tables, opts: FactOptions = FactOptions(), names: list[str] |
     """
     base = index_cohort(t, opts)
     names = flag_names(t.sets, opts.max_flags) if names is None else names
-    flagged = cohort_with_flags(t, clean_cohort(t, opts), names, persons=base, until=opts.flags_until)
+    flagged = cohort_with_flags(t, clean_cohort(t, opts), names, persons=base, until=opts.flags_until, key_bits=opts.key_bits)
     return index_visits(
         flagged,
         t.visits,
@@ -77,6 +81,7 @@ def person_fact(t: Tables, opts: FactOptions = FactOptions(), names: list[str] |
         before=opts.days_before,
         after=opts.days_after,
         index_cohort=base,
+        key_bits=opts.key_bits,
     )
 
 
@@ -87,10 +92,12 @@ def person_death(t: Tables, fact: DataFrame) -> DataFrame:
 def stay_anchors(t: Tables, opts: FactOptions = FactOptions()) -> DataFrame:
     """Person, index date, start and end of the first index stay: what later stays need of the fact."""
     base = index_cohort(t, opts)
-    window = dict(require_both=opts.require_both, before=opts.days_before, after=opts.days_after)
+    window = dict(require_both=opts.require_both, before=opts.days_before, after=opts.days_after, key_bits=opts.key_bits)
     return base.join(first_index_visits(base, t.visits, t.members, t.sets, with_er=False, **window), "person_id", "left")
 
 
 def later_stays(t: Tables, fact: DataFrame | None = None, opts: FactOptions = FactOptions()) -> DataFrame:
     """Later stays, from a written fact or from the narrow anchors alone."""
-    return stays_after(stay_anchors(t, opts) if fact is None else fact, t.visits)
+    if fact is None:
+        return stays_after(stay_anchors(t, opts), t.visits, persons=index_cohort(t, opts) if opts.key_bits else None)
+    return stays_after(fact, t.visits)

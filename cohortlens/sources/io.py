@@ -1,10 +1,9 @@
-"""Readers and the sink.
+"""Readers.
 
 Inputs are Parquet directories; their declared columns are checked and cast
-(timestamp columns that hold dates become dates).  Outputs are
-written whole, ``overwrite``, to a shared path: a written table is also the
-way to cut a long lineage, since a lost executor then re-reads the table
-instead of re-running the plan.
+(timestamp columns that hold dates become dates).  Outputs are written by
+``sources.versions``: a written table is also the way to cut a long lineage,
+since a lost executor then re-reads the table instead of re-running the plan.
 """
 
 from __future__ import annotations
@@ -34,7 +33,8 @@ def conform(df: DataFrame, name: str) -> DataFrame:
         return F.col(f.name).cast(kind).alias(f.name)
 
     others = [F.col(f"`{c}`") for c in df.columns if c not in schema.names] if name in schemas.OPEN else []
-    return df.select(*[declared(f) for f in schema.fields], *others)
+    optional = [declared(f) for f in schemas.OPTIONAL.get(name, []) if f.name in stored]
+    return df.select(*[declared(f) for f in schema.fields], *optional, *others)
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -48,11 +48,3 @@ def read_tables(spark: SparkSession, paths: dict[str, str]) -> Tables:
     if missing:
         raise ValueError(f"no path given for input(s): {', '.join(missing)}")
     return Tables(**{name: read_table(spark, paths[name], name) for name in schemas.BY_NAME})
-
-
-def publish(df: DataFrame, path: str, *, partition_by: list[str] | None = None) -> None:
-    """Write a result table (the sink of every transform)."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)

@@ -103,3 +103,6 @@ BY_NAME = {
 
 # Inputs whose further columns reach the outputs.
 OPEN = frozenset({"cohort", "death"})
+
+# Columns that an input may have besides: its layout (``sources.layout``).
+OPTIONAL = {"visits": _struct(("event_day", _D))}

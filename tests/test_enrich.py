@@ -132,3 +132,32 @@ def test_reader_keeps_wide_ids_and_text_person_ids(spark, scratch):
         assert (row.location_id, row.city, row.cdm_name) == (far, None, "right")
     spark.createDataFrame([("p-7", far, d("2021-01-01"))], "person_id string, data_partner_id long, death_date date").write.parquet(f"{scratch}/text")
     assert read_table(spark, f"{scratch}/text", "death").first().person_id == "p-7"
+
+
+def test_row_sample_is_by_row_and_the_same_on_any_partitioning(spark):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from cohortlens.operators.enrich import sample_rows
+
+    rows = [(i % 7, None if i % 5 else f"x{i % 3}") for i in range(4000)] + [(99, "hot")] * 10_000
+    df = spark.createDataFrame(rows, "person_id long, x string")
+    kept = Counter(tuple(r) for r in sample_rows(df, 0.3, 5).collect())
+    again = Counter(tuple(r) for r in sample_rows(df.repartition(9).orderBy(F.rand(1)), 0.3, 5).collect())
+    assert kept == again and kept != Counter(tuple(r) for r in sample_rows(df, 0.3, 6).collect())
+    whole = Counter(rows)
+    assert all(n <= whole[x] for x, n in kept.items())
+    assert abs(sum(kept.values()) / len(rows) - 0.3) < 0.02 and abs(kept[99, "hot"] / 10_000 - 0.3) < 0.03  # not all or none of equal rows
+    assert sample_rows(df, 1.0).count() == len(rows) and sample_rows(df, 0.0).count() == 0 and sample_rows(df.limit(0), 0.5).count() == 0
+
+
+def test_unique_names_what_repeats(spark):
+    import pytest
+
+    from cohortlens.operators.checks import unique
+
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (None, "d")], "person_id long, x string")
+    assert unique(df, "person_id", "cohort").count() == 4
+    with pytest.raises(Exception, match="REPEATED_KEY: cohort.person_id repeats for 1 value.s., from 2 to 2"):
+        unique(df.unionByName(df.where("person_id = 2")), "person_id", "cohort").collect()

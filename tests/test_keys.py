@@ -1,0 +1,177 @@
+"""Key maps: never a false no, few false yes, small; and where they stand in plans."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from cohortlens.functions.keys import KEY_BITS, MAX_BYTES, key_bits, may_hold, summary
+from cohortlens.operators.events import events_in_window, first_event
+from cohortlens.operators.flags import event_flags, flag_names
+from cohortlens.operators.stays import stays_after
+from cohortlens.operators.visits import first_index_visits, in_cohort_reach
+from cohortlens.plans.fact import index_cohort, stay_anchors
+from cohortlens.sources.bindings import bound_tables
+from cohortlens.sources.layout import EVENT_DAY, by_day
+from tests.util import as_set, d, frame
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_no_key_is_lost_and_few_others_pass(spark, kind):
+    rng = random.Random(4)
+    ids = [rng.randint(-(1 << 63), (1 << 63) - 1) for _ in range(500)] + list(range(300))
+    held = spark.createDataFrame([(x,) for x in ids] + [(None,)], "k long").select(F.col("k").cast(kind).alias("k"))
+    bits = key_bits(len(ids))
+    assert bits == 8192
+    test = may_hold(summary(held, key="k", bits=bits), "k", bits)
+    assert held.where(test).count() == len(ids)  # all but the null
+    others = spark.range(10_000, 60_000).select(F.col("id").cast(kind).alias("k"))
+    assert others.where(test).count() < 0.06 * 50_000
+    none = may_hold(summary(held.limit(0), key="k", bits=bits), "k", bits)
+    assert held.where(none).count() == 0
+
+
+def test_size_is_bounded():
+    assert key_bits(0) == 64 and key_bits(10**12) == 8 * MAX_BYTES and key_bits(400_000) == KEY_BITS
+    for bits in (63, 100, 16 * MAX_BYTES):
+        with pytest.raises(ValueError):
+            summary(None, bits=bits)
+
+
+def few_persons(t):
+    """A cohort of some persons only; the visits and conditions of all others are there, too."""
+    return t.replace(cohort=t.cohort.where("person_id % 10 = 3"))
+
+
+def test_same_results_with_and_without(spark):
+    t = few_persons(bound_tables(spark, SF))
+    base, names = index_cohort(t), flag_names(t.sets)
+    found = 0
+    for make in (
+        lambda bits: event_flags(base, t.conditions, t.members, t.sets, names, key_bits=bits),
+        lambda bits: first_index_visits(base, t.visits, t.members, t.sets, key_bits=bits),
+        lambda bits: first_index_visits(base, t.visits, t.members, t.sets, key_bits=bits, with_er=False, require_both=True, before=90, after=180),
+        lambda bits: stays_after(stay_anchors(t), t.visits, persons=base if bits else None, key_bits=bits or KEY_BITS),
+    ):
+        want = as_set(make(None))
+        assert want == as_set(make(KEY_BITS)) == as_set(make(64))
+        found += len(want)
+    assert found
+
+
+def test_other_persons_dont_reach_the_shuffle(spark):
+    t = few_persons(bound_tables(spark, SF))
+    base = index_cohort(t)
+    reach = in_cohort_reach("visit_start_date", base, require_both=False, before=1000, after=1000)
+    passed = t.visits.where(reach)
+    own = t.visits.join(base.select("person_id"), "person_id", "left_semi").count()
+    assert own <= passed.count() <= own + 0.02 * t.visits.count() < 0.2 * t.visits.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (event_flags(base, t.conditions, t.members, t.sets, flag_names(t.sets)), first_index_visits(base, t.visits, t.members, t.sets)):
+            lines = df._jdf.queryExecution().executedPlan().toString().split("\nSubquery")[0].splitlines()
+            tests = [i for i, x in enumerate(lines) if re.search(r"(Filter|Join).*getbit", x)]
+            shuffles = [i for i, x in enumerate(lines) if "Exchange hashpartitioning(person_id" in x]
+            scans = [i for i, x in enumerate(lines) if "lineitem.parquet" in x]
+            # from the top: exchange by person, then the test, then the scan
+            assert any(a < b for a in shuffles for b in tests) and not any(b < a < c for b in tests for a in shuffles for c in scans if c > b)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_one_key_with_many_index_rows_and_many_events(spark):
+    """Brute force, and the rows that the join itself makes: bound by the result, not by all pairs of the key."""
+    rng = random.Random(6)
+    day = lambda n: d("2020-01-01").toordinal() + n
+    import datetime as dt
+
+    index = [(1, dt.date.fromordinal(day(7 * i))) for i in range(400)] + [(2, d("2020-01-01")), (2, d("2020-01-02")), (3, None), (None, d("2020-01-01")), (4, d("1960-05-05"))]
+    events = [(1, dt.date.fromordinal(day(rng.randint(-50, 2900))), i) for i in range(3000)]
+    events += [(2, d("2020-01-03"), 1), (2, None, 2), (3, d("2020-01-01"), 3), (None, d("2020-01-01"), 4), (4, d("1960-05-03"), 5), (4, d("1960-05-08"), 6)]
+    a = spark.createDataFrame(index, "person_id long, at date")
+    b = spark.createDataFrame(events, "person_id long, seen date, n long")
+    for before, after in ((2, 3), (0, 0), (-1, 2), (30, -20), (10, 0)):
+        window = dict(index_date="at", event_date="seen", before=before, after=after)
+        many = events_in_window(a, b, many=True, **window)
+        got = sorted(tuple(r) for r in many.select("person_id", "at", "seen", "n").collect())
+        want = sorted((p, x, y, n) for p, x in index for q, y, n in events if p is not None and p == q and x and y and -after <= (x - y).days <= before)
+        assert got == want
+        assert as_set(events_in_window(a, b, **window)) == {(p, y, n, x) for p, x, y, n in want}
+    window = dict(index_date="at", event_date="seen", before=2, after=3)
+    want = events_in_window(a, b, many=True, **window).count()
+    assert pairs(events_in_window(a, b, many=True, **window), ["person_id", "__bucket"]) <= 3 * want
+    assert pairs(events_in_window(a, b, **window), ["person_id"]) >= 2500 * 400
+    with pytest.raises(ValueError, match="empty"):
+        events_in_window(a, b, index_date="at", event_date="seen", before=2, after=-3)
+
+
+def pairs(df, keys):
+    """The rows that the join makes by its equi keys alone, counted from its two sides."""
+    join = df._jdf.queryExecution().analyzed()
+    while "Join" not in join.nodeName():
+        join = join.children().head()
+    from pyspark.sql import DataFrame
+
+    side = lambda i: DataFrame(df.sparkSession._jvm.org.apache.spark.sql.classic.Dataset.ofRows(df.sparkSession._jsparkSession, join.children().apply(i)), df.sparkSession)
+    a, b = (side(i).groupBy(*keys).count() for i in (0, 1))
+    return a.withColumnRenamed("count", "m").join(b, keys).agg(F.sum(F.col("m") * F.col("count"))).first()[0] or 0
+
+
+def test_first_event_after_a_window(spark):
+    a = spark.createDataFrame([(1, d("2020-01-01"))], "person_id long, at date")
+    b = spark.createDataFrame([(1, d("2020-01-03"), 2), (1, d("2020-01-02"), 1)], "person_id long, seen date, n long")
+    found = events_in_window(a, b, index_date="at", event_date="seen", before=0, after=5, many=True)
+    assert as_set(first_event(found, "person_id", ["seen", "n"], ["n"])) == {(1, 1)}
+
+
+def test_visits_by_day_are_skipped_in_the_scan(spark, scratch):
+    """Visits of many years, index dates of one: the scan gives only row groups near them, with the same result."""
+    days = 20_000
+    stays = spark.range(days).select(
+        (F.col("id") % 50).alias("person_id"), F.col("id").alias("visit_occurrence_id"), F.lit(9201).alias("visit_concept_id"), F.lit("v").alias("visit_concept_name"),
+        F.date_add(F.lit("1970-01-01").cast("date"), F.col("id").cast("int")).alias("visit_start_date"), F.lit(None).cast("date").alias("visit_end_date"),
+        F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("macrovisit_id"),
+        F.when(F.col("id") % 2 == 0, F.date_add(F.lit("1970-01-01").cast("date"), F.col("id").cast("int"))).alias("macrovisit_start_date"), F.lit(None).cast("date").alias("macrovisit_end_date"),
+    )
+    by_day(stays, 8).write.option("parquet.block.size", 16384).parquet(f"{scratch}/days")
+    stays.repartition(8).write.parquet(f"{scratch}/plain")
+    cohort = frame(spark, "cohort", [dict(person_id=p, first_poslab_or_diagnosis_date=d("2000-06-01")) for p in range(50)])
+    from cohortlens.sources.io import read_table
+
+    members = frame(spark, "members", [dict(concept_id=9201, concept_set_name="ER", is_most_recent_version=True)])
+    sets = frame(spark, "sets", [dict(concept_set_name="ER", column_name="er", domain="visit_occurrence", comorbidity=0, er_only_visit=1)])
+    found, scanned = {}, {}
+    for name in ("days", "plain"):
+        visits = read_table(spark, f"{scratch}/{name}", "visits")
+        assert (EVENT_DAY in visits.columns) == (name == "days")
+        df = first_index_visits(cohort, visits, members, sets, before=20, after=20)
+        found[name] = as_set(df)
+        scanned[name] = scan_rows(df)
+    assert found["days"] == found["plain"] and len(found["days"]) > 20
+    assert scanned["plain"] == days and scanned["days"] <= days / 4
+
+
+def scan_rows(df):
+    """Rows that the scan of visits gave, from the plan's own metrics."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    total, waiting = 0, [plan]
+    while waiting:
+        node = waiting.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            waiting.append(node.executedPlan())
+            continue
+        if "QueryStage" in name:
+            waiting.append(node.plan())
+            continue
+        if name.startswith("Scan parquet"):
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+    return total
