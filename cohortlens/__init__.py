@@ -16,8 +16,9 @@ Layout
 from cohortlens.plans.fact import FactOptions, clean_cohort, index_cohort, person_fact
 from cohortlens.plans.workflow import build_outputs
 from cohortlens.session import build_session
-from cohortlens.sources.io import publish, read_tables
+from cohortlens.sources.io import read_tables
 from cohortlens.sources.tables import Tables
+from cohortlens.sources.versions import publish, read_published
 
 __all__ = [
     "FactOptions",
@@ -28,5 +29,6 @@ __all__ = [
     "index_cohort",
     "person_fact",
     "publish",
+    "read_published",
     "read_tables",
 ]

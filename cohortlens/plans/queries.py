@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.demographics import age_in_years, birth_date, race_ethnicity, standard_gender, zip5
 from cohortlens.operators.concepts import er_concepts
-from cohortlens.operators.enrich import enrich, sample_cohort, with_death
+from cohortlens.operators.enrich import INDEX_DATE, enrich, sample_cohort, sample_rows, with_death
+from cohortlens.operators.events import events_in_window
 from cohortlens.operators.flags import event_flags, flag_names, person_flags
 from cohortlens.operators.visits import (
     busiest,
@@ -30,7 +31,7 @@ from cohortlens.operators.visits import (
     visits_of_stay,
 )
 from cohortlens.plans.fact import FactOptions, clean_cohort, cohort_with_flags, index_cohort, later_stays, person_fact
-from cohortlens.sources.bindings import INPATIENT, bound_tables
+from cohortlens.sources.bindings import INPATIENT, bound_tables, index_rows, read_test_tables
 from cohortlens.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +57,10 @@ def q_sample_cohort_half(spark, sf_dir):
     return sample_cohort(_t(spark, sf_dir).cohort, 0.5)
 
 
+def q_sample_rows_half(spark, sf_dir):
+    return sample_rows(_t(spark, sf_dir).conditions, 0.5)
+
+
 def q_enrich_locations(spark, sf_dir):
     t = _t(spark, sf_dir)
     return enrich(sample_cohort(t.cohort), t.persons, t.location, t.manifest)
@@ -111,6 +116,11 @@ def q_comorbidity_by_visit(spark, sf_dir):
     return _flags_by_date(_t(spark, sf_dir))[0]
 
 
+def q_comorbidity_until_index(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return event_flags(index_cohort(t), t.conditions, t.members, t.sets, until=INDEX_DATE)
+
+
 def q_comorbidity_by_person(spark, sf_dir):
     by_date, names = _flags_by_date(_t(spark, sf_dir))
     return person_flags(by_date, names)
@@ -198,6 +208,17 @@ def q_person_death(spark, sf_dir):
     return with_death(person_fact(t), t.death)
 
 
+def q_person_death_earliest(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return with_death(index_cohort(t), t.death, earliest=True)
+
+
+def q_visits_near_any_index(spark, sf_dir):
+    index = index_rows(read_test_tables(spark, sf_dir)["orders"])
+    visits = _t(spark, sf_dir).visits.select("person_id", "visit_occurrence_id", "visit_start_date")
+    return events_in_window(index, visits, index_date="index_date", event_date="visit_start_date", before=1, after=16, many=True)
+
+
 def q_stays_after_index(spark, sf_dir):
     return later_stays(_t(spark, sf_dir))
 

@@ -16,13 +16,14 @@ reference prints.
 from __future__ import annotations
 
 import dataclasses
-import hashlib
+import functools
 import json
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from cohortlens.functions.keys import KEY_BITS, key_bits as bits_for
+from cohortlens.operators.checks import unique
 from cohortlens.operators.concepts import comorbidity_concepts, er_concepts
 from cohortlens.operators.demographics import clean_demographics
 from cohortlens.operators.enrich import INDEX_DATE, enrich, sample_cohort, with_death
@@ -37,8 +38,8 @@ from cohortlens.operators.visits import (
     visits_of_stay,
 )
 from cohortlens.plans.fact import FactOptions
-from cohortlens.sources.io import publish
 from cohortlens.sources.tables import Tables
+from cohortlens.sources.versions import Version, current, fingerprint, in_buckets, n_buckets, publish, read_version
 
 FACT = "person_fact"
 
@@ -51,46 +52,20 @@ def with_row_counts(df: DataFrame, name: str, **conditions) -> tuple[DataFrame,
     return df.observe(obs, *metrics), obs
 
 
-def later_stays_observed(fact: DataFrame, visits: DataFrame) -> tuple[DataFrame, Observation]:
+def fitting_bits(persons: DataFrame, asked: int | None) -> int | None:
+    """Bits for the map of a written cohort's ids: as asked, or, if that is the default, as many as its rows need."""
+    return bits_for(persons.count()) if asked == KEY_BITS else asked
+
+
+def later_stays_observed(fact: DataFrame, visits: DataFrame, key_bits: int | None = KEY_BITS) -> tuple[DataFrame, Observation]:
     """Later stays with the counts the reference prints: all rows, rows of persons with a
     first index stay, rows of persons without one.  ``fact`` is the written table, so
     the earliest-anchor prefilter is one cheap aggregate over it."""
     has_first = F.col(FIRST_STAY_START).isNotNull()
-    later = stays_after(fact, visits, prefilter=True)
+    later = stays_after(fact, visits, prefilter=True, key_bits=key_bits or KEY_BITS)
     return with_row_counts(later, "stays_after_index", with_first_stay=has_first, without_first_stay=~has_first)
 
 
-def committed(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a completed write (Spark's ``_SUCCESS`` marker)."""
-    try:
-        spark.read.text(f"{path}/_SUCCESS")
-        return True
-    except AnalysisException:
-        return False
-
-
-def recipe(t: Tables, opts: FactOptions, name: str, **more) -> str:
-    """What a stage's rows depend on: its name, the options, and each input's files and columns."""
-    inputs = {}
-    for table in t.names():
-        df = getattr(t, table)
-        files = hashlib.sha256("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
-        inputs[table] = {"files": files, "columns": df.dtypes}
-    return json.dumps({"stage": name, "options": dataclasses.asdict(opts), "inputs": inputs, **more}, sort_keys=True)
-
-
-def read_recipe(spark: SparkSession, path: str) -> str | None:
-    try:
-        row = spark.read.text(path, wholetext=True).first()
-    except AnalysisException:
-        return None
-    return row[0].strip() if row else None
-
-
-def write_recipe(spark: SparkSession, path: str, text: str) -> None:
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
-
-
 def build_outputs(
     t: Tables,
     out_dir: str,
@@ -100,49 +75,75 @@ def build_outputs(
     stay_id: str | None = None,
     person_id: int | None = None,
     resume: bool = False,
+    buckets: int | None = None,
+    plans: dict | None = None,
 ) -> dict[str, str]:
-    """Write every output under ``out_dir`` (a shared folder); return name -> path.
+    """Write every output under ``out_dir`` (a shared folder); return name -> folder of the version written.
 
     ``metrics``, when given, receives the observed row counts of each output
-    written in this run.  ``stay_id`` and ``person_id`` add the two look-ups
-    (visits of one stay, stays of one person).  With ``resume``, a stage whose
-    output is already committed by the same recipe (options, inputs, written
-    beside it under ``_recipes``) is read back instead of recomputed, so a run
-    that failed part-way continues from its last written stage.
+    written in this run, and ``plans`` the physical plan of each.  ``stay_id``
+    and ``person_id`` add the two look-ups (visits of one stay, stays of one
+    person).
+
+    Each output is a table in versions (``sources.versions``); readers of the
+    last good one are never disturbed.  Tables by person are bucketed by
+    person, so the joins between stages need no exchange.  (Where raw visits
+    and conditions meet the cohort, its few columns are shuffled with them:
+    only then can AQE split a person that holds a large share of the rows.)
+
+    With ``resume``, a stage is read back instead of recomputed if its last
+    version was made by the same recipe: the options, the files (names, sizes,
+    times) and columns of the inputs that it reads itself, and the versions of
+    the stages that it reads.  A changed input file makes anew the stages that
+    read it, and those that read these.
     """
     spark = t.cohort.sparkSession
     out = out_dir.rstrip("/")
-    paths: dict[str, str] = {}
+    versions: dict[str, Version] = {}
     observed: dict[str, Observation] = {}
+    options = dataclasses.asdict(opts)
 
-    wanted = recipe(t, opts, "", stay_id=stay_id, person_id=person_id)
-
-    def stage(name: str, df: DataFrame, obs: Observation | None = None) -> DataFrame:
-        paths[name] = f"{out}/{name}"
-        own, note = wanted.replace('"stage": ""', f'"stage": "{name}"'), f"{out}/_recipes/{name}"
-        if resume and read_recipe(spark, note) == own and committed(spark, paths[name]):
-            return spark.read.parquet(paths[name])
-        write_recipe(spark, note, "being written")
-        if obs is None:
-            df, obs = with_row_counts(df, name)
-        observed[name] = obs
-        publish(df, paths[name])
-        write_recipe(spark, note, own)
-        return spark.read.parquet(paths[name])
+    @functools.cache
+    def state_of(table: str) -> dict:
+        df = getattr(t, table)
+        return {"files": fingerprint(df), "columns": df.dtypes}
+
+    def stage(name: str, df: DataFrame, inputs: str = "", stages: str = "", *, obs: Observation | None = None, by_person: bool = False, aligned: bool = False, **more) -> DataFrame:
+        read = {"inputs": {x: state_of(x) for x in inputs.split()}, "stages": {x: versions[x].folder for x in stages.split()}}
+        recipe = json.dumps({"stage": name, "options": options, **read, **more}, sort_keys=True)
+        last = current(spark, f"{out}/{name}") if resume else None
+        if last is None or last.recipe != recipe:
+            if obs is None:
+                df, obs = with_row_counts(df, name)
+            observed[name] = obs
+            if plans is not None:
+                written = in_buckets(df, "person_id", n_buckets(spark, buckets), aligned) if by_person else df
+                plans[name] = written._jdf.queryExecution().executedPlan().toString()
+            key = "person_id" if by_person else None
+            last = publish(df, f"{out}/{name}", bucket_by=key, buckets=buckets, aligned=aligned, recipe=recipe)
+        versions[name] = last
+        return read_version(spark, last)
 
     names = flag_names(t.sets, opts.max_flags)
     # written, so that their bytes decide whether the planner broadcasts them
-    flag_concepts = stage("comorbidity_concepts", comorbidity_concepts(t.members, t.sets).distinct())
-    er_ids = stage("er_concepts", er_concepts(t.members, t.sets)) if opts.with_er else None
-    sampled = stage("sample_cohort", sample_cohort(t.cohort, opts.fraction, opts.seed))
-    located = stage("enrich_locations", enrich(sampled, t.persons, t.location, t.manifest))
-    clean = stage("clean_demographics", clean_demographics(located))
-    persons = sampled.where(F.col(INDEX_DATE).isNotNull())
+    flag_concepts = stage("comorbidity_concepts", comorbidity_concepts(t.members, t.sets).distinct(), "members sets")
+    er_ids = stage("er_concepts", er_concepts(t.members, t.sets), "members sets") if opts.with_er else None
+    cohort, people = (unique(x, "person_id", n) if opts.check_keys else x for x, n in ((t.cohort, "cohort"), (t.persons, "persons")))
+    sampled = stage("sample_cohort", sample_cohort(cohort, opts.fraction, opts.seed), "cohort", by_person=True)
+    located = stage("enrich_locations", enrich(sampled, people, t.location, t.manifest), "persons location manifest", "sample_cohort", by_person=True)
+    clean = stage("clean_demographics", clean_demographics(located), "", "enrich_locations", by_person=True, aligned=True)
+    # the same rows, read without their buckets
+    persons = spark.read.parquet(versions["sample_cohort"].folder).where(F.col(INDEX_DATE).isNotNull())
+    key_bits = fitting_bits(persons, opts.key_bits)
     by_date = stage(
         "comorbidity_by_visit",
-        event_flags(persons, t.conditions, t.members, t.sets, names, until=opts.flags_until, concepts=flag_concepts),
+        event_flags(persons, t.conditions, t.members, t.sets, names, until=opts.flags_until, concepts=flag_concepts, key_bits=key_bits),
+        "conditions",
+        "sample_cohort comorbidity_concepts",
+        by_person=True,
+        names=names,
     )
-    flagged = stage("person_with_comorbidities", with_person_flags(clean, by_date, names))
+    flagged = stage("person_with_comorbidities", with_person_flags(clean, by_date, names), "", "clean_demographics comorbidity_by_visit", by_person=True)
     firsts = first_index_visits(
         persons,
         t.visits,
@@ -153,16 +154,20 @@ def build_outputs(
         before=opts.days_before,
         after=opts.days_after,
         er_ids=er_ids,
+        key_bits=key_bits,
     )
-    fact = stage(FACT, flagged.join(firsts, "person_id", "left"))
-    stage("stays_after_index", *later_stays_observed(fact, t.visits))
-    stage("person_death", with_death(fact, t.death))
-    stage("inpatient_codes_per_stay", visit_code_counts(t.visits))
-    stage("distinct_dates_per_stay", stay_date_variants(t.visits))
+    er_stage = " er_concepts" if opts.with_er else ""
+    fact = stage(FACT, flagged.join(firsts, "person_id", "left"), "visits", "sample_cohort person_with_comorbidities" + er_stage, by_person=True)
+    anchors = spark.read.parquet(versions[FACT].folder)
+    later, counts = later_stays_observed(anchors, t.visits, key_bits)
+    stage("stays_after_index", later, "visits", FACT, obs=counts)
+    stage("person_death", with_death(fact, t.death), "death", FACT)
+    stage("inpatient_codes_per_stay", visit_code_counts(t.visits), "visits")
+    stage("distinct_dates_per_stay", stay_date_variants(t.visits), "visits")
     if stay_id is not None:
-        stage("visits_of_stay", visits_of_stay(t.visits, stay_id))
+        stage("visits_of_stay", visits_of_stay(t.visits, stay_id), "visits", id=stay_id)
     if person_id is not None:
-        stage("stay_timeline", stay_timeline(t.visits, person_id))
+        stage("stay_timeline", stay_timeline(t.visits, person_id), "visits", id=person_id)
     if metrics is not None:
         metrics.update({name: obs.get for name, obs in observed.items()})
-    return paths
+    return {name: version.folder for name, version in versions.items()}

@@ -97,6 +97,12 @@ def cohort(customer: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def index_rows(orders: DataFrame) -> DataFrame:
+    """Every urgent or high-priority order of a person as an index date: many rows a person."""
+    chosen = orders.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    return chosen.select(F.col("o_custkey").alias("person_id"), _date("o_orderdate").alias("index_date")).distinct()
+
+
 def persons(customer: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
     race = F.element_at(F.array(*[F.lit(r).cast("string") for r in RACE_NAMES]), (k % 38 + 1).cast("int"))

@@ -299,6 +299,13 @@ def oracle_sql() -> dict[str, str]:
         "sample_cohort_half": _q(
             "SELECT * FROM cohort WHERE ('0x' || substr(md5('111:' || person_id), 1, 8))::BIGINT < 2147483648"
         ),
+        "sample_rows_half": _q(
+            "SELECT person_id, condition_start_date, condition_concept_id FROM (SELECT *, row_number() OVER "
+            "(PARTITION BY person_id, condition_start_date, condition_concept_id ORDER BY person_id) AS n FROM conditions) "
+            "WHERE ('0x' || substr(md5('111|' || coalesce(CAST(person_id AS VARCHAR), '\\N') || '|' || "
+            "coalesce(CAST(condition_start_date AS VARCHAR), '\\N') || '|' || coalesce(CAST(condition_concept_id AS VARCHAR), '\\N') "
+            "|| '|' || n), 1, 8))::BIGINT < 2147483648"
+        ),
         "enrich_locations": _q("SELECT * FROM enriched"),
         "clean_demographics": _q("SELECT * FROM clean"),
         "birth_date": _q(
@@ -322,6 +329,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "zip5": _q(f"SELECT location_id, zip, {ZIP.format(z='zip')} AS zip_code FROM location"),
         "comorbidity_by_visit": _q("SELECT * FROM by_visit"),
+        "comorbidity_until_index": _q(
+            f"SELECT c.person_id, c.condition_start_date AS comorbidity_start_date, {_flag_max(FLAGS)} "
+            "FROM conditions c JOIN comorbidity_concepts k ON k.concept_id = c.condition_concept_id "
+            "JOIN idx i ON i.person_id = c.person_id WHERE c.condition_start_date <= i.idx "
+            "GROUP BY c.person_id, c.condition_start_date"
+        ),
         "comorbidity_by_person": _q("SELECT * FROM by_person"),
         "person_with_comorbidities": _q("SELECT * FROM with_flags"),
         "er_concepts": _q("SELECT concept_id FROM er_ids"),
@@ -342,6 +355,15 @@ def oracle_sql() -> dict[str, str]:
         "person_death": _q(
             "SELECT f.*, d.death_date FROM fact f LEFT JOIN death d ON d.person_id = f.person_id"
         ),
+        "person_death_earliest": _q(
+            "SELECT c.*, d.death_date FROM cohort c LEFT JOIN (SELECT person_id, min(death_date) AS death_date FROM death "
+            "GROUP BY person_id) d ON d.person_id = c.person_id WHERE c.first_poslab_or_diagnosis_date IS NOT NULL"
+        ),
+        "visits_near_any_index": _q(
+            "SELECT v.person_id, v.visit_occurrence_id, v.visit_start_date, i.index_date FROM visits v JOIN "
+            "(SELECT DISTINCT o_custkey AS person_id, o_date AS index_date FROM o_d WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) i "
+            "ON i.person_id = v.person_id WHERE date_diff('day', v.visit_start_date, i.index_date) BETWEEN -16 AND 1"
+        ),
         "stays_after_index": _q("SELECT * FROM later"),
         "inpatient_codes_per_stay": _q(
             "SELECT macrovisit_id, count(visit_concept_id) AS multi_inpatient_codes FROM visits "

@@ -3,7 +3,7 @@
 from cohortlens.plans.fact import person_fact
 from cohortlens.plans.workflow import build_outputs
 from cohortlens.sources.bindings import bound_tables
-from cohortlens.sources.io import publish
+from cohortlens.sources.versions import current, publish, read_published
 from tests.util import as_set
 
 SF = "/root/testdata/sf0.001"
@@ -13,7 +13,7 @@ def test_publish_round_trip(spark, scratch):
     t = bound_tables(spark, SF)
     fact = person_fact(t)
     publish(fact, f"{scratch}/fact")
-    back = spark.read.parquet(f"{scratch}/fact")
+    back = read_published(spark, f"{scratch}/fact")
     assert back.dtypes == fact.dtypes
     assert as_set(back) == as_set(fact)
 
@@ -86,7 +86,7 @@ def test_sampled_fact_is_consistent(spark, scratch):
     t = bound_tables(spark, "/root/testdata/sf0.01")
     sampled = sample_cohort(t.cohort, 0.5, 7)
     publish(sampled, f"{scratch}/sampled")
-    once = t.replace(cohort=spark.read.parquet(f"{scratch}/sampled"))
+    once = t.replace(cohort=read_published(spark, f"{scratch}/sampled"))
     a = person_fact(t, FactOptions(fraction=0.5, seed=7))
     b = person_fact(once, FactOptions(fraction=1.0))
     cols = sorted(a.columns)
@@ -96,13 +96,12 @@ def test_sampled_fact_is_consistent(spark, scratch):
 
 def test_resume_keeps_committed_stages(spark, scratch):
     from cohortlens.operators.enrich import sample_cohort
-    from cohortlens.plans.workflow import committed
 
     t = bound_tables(spark, SF)
     out = f"{scratch}/resume"
-    assert not committed(spark, f"{out}/sample_cohort")
+    assert current(spark, f"{out}/sample_cohort") is None
     publish(sample_cohort(t.cohort).limit(0), f"{out}/sample_cohort")
-    assert committed(spark, f"{out}/sample_cohort")
+    assert current(spark, f"{out}/sample_cohort").number == 1
     metrics = {}
     paths = build_outputs(t, out, metrics=metrics, resume=True)
     assert metrics["sample_cohort"]["rows"] > 0  # a table without its recipe isn't reused
@@ -131,7 +130,7 @@ def test_command_line_from_input_paths(spark, scratch):
         as_ts = [F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, T.DateType) else F.col(f.name)
                  for f in df.schema.fields]
         paths[name] = f"{scratch}/in/{name}"
-        publish(df.select(*as_ts), paths[name])
+        df.select(*as_ts).write.parquet(paths[name])
     with open(f"{scratch}/inputs.json", "w") as fh:
         json.dump(paths, fh)
     report = main([f"{scratch}/out", "--inputs", f"{scratch}/inputs.json", "--shuffle-partitions", "4"])
@@ -145,7 +144,7 @@ def test_publish_partitioned(spark, scratch):
     t = bound_tables(spark, SF)
     fact = person_fact(t)
     publish(fact, f"{scratch}/by_partner", partition_by=["data_partner_id"])
-    back = spark.read.parquet(f"{scratch}/by_partner")
+    back = read_published(spark, f"{scratch}/by_partner")
     assert sorted(back.columns) == sorted(fact.columns)
     cols = sorted(fact.columns)
     assert as_set(back.select(*cols), *cols) == as_set(fact.select(*cols), *cols)
@@ -180,3 +179,92 @@ def test_session_keeps_what_is_set(spark):
         assert again.conf.get(key) == "77m" and again.conf.get("spark.sql.shuffle.partitions") == parts
     finally:
         spark.conf.set(key, old)
+
+
+def test_a_changed_input_makes_anew_the_stages_that_read_it(spark, scratch):
+    """One Parquet file is put in the place of another of the same name: only what reads it is made again."""
+    import os
+
+    import pyarrow.parquet as pq
+
+    from cohortlens.sources.io import read_tables
+
+    t = bound_tables(spark, SF)
+    paths = {name: f"{scratch}/in/{name}" for name in t.names()}
+    for name, path in paths.items():
+        getattr(t, name).coalesce(1).write.parquet(path)
+    build = lambda: build_outputs(read_tables(spark, paths), f"{scratch}/out", metrics=again, resume=True)
+    again = {}
+    build()
+    first = {x: current(spark, f"{scratch}/out/{x}") for x in again}
+
+    def replace(name, change):
+        file = next(f"{paths[name]}/{x}" for x in os.listdir(paths[name]) if x.endswith(".parquet"))
+        table = change(pq.read_table(file))
+        pq.write_table(table, f"{scratch}/new.parquet")
+        os.remove(os.path.join(os.path.dirname(file), "." + os.path.basename(file) + ".crc"))
+        os.replace(f"{scratch}/new.parquet", file)
+
+    replace("death", lambda x: x.slice(0, 3))
+    again = {}
+    out = build()
+    assert set(again) == {"person_death"}
+    assert spark.read.parquet(out["person_death"]).where("death_date IS NOT NULL").count() <= 3
+    replace("conditions", lambda x: x.slice(0, x.num_rows // 2))
+    again = {}
+    build()
+    assert set(again) == {"comorbidity_by_visit", "person_with_comorbidities", "person_fact", "stays_after_index", "person_death"}
+    again = {}
+    build()
+    assert again == {}
+    assert current(spark, f"{scratch}/out/clean_demographics") == first["clean_demographics"]
+
+
+def test_stage_tables_meet_without_an_exchange(spark, scratch):
+    """Joins between written stages read their buckets: no exchange by person is above a stage table."""
+    import re
+
+    t = bound_tables(spark, SF)
+    plans = {}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8000")  # locations and partners only
+    try:
+        out = build_outputs(t, f"{scratch}/out", plans=plans, buckets=4)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+    def exchanges_above_stages(plan):
+        lines = plan.split("\nSubquery")[0].splitlines()
+        depth = [re.match(r"[\s:+|-]*", x).end() for x in lines]
+        found = 0
+        for i, line in enumerate(lines):
+            if "Bucketed: true" in line:
+                above, least = [], depth[i]
+                for j in range(i, -1, -1):
+                    if depth[j] < least:
+                        above.append(lines[j])
+                        least = depth[j]
+                found += any("Exchange hashpartitioning(person_id" in x for x in above)
+        return plan.count("Bucketed: true"), found
+
+    reading = {"enrich_locations": 1, "person_with_comorbidities": 2, "person_fact": 1, "person_death": 1}
+    for name, n in reading.items():
+        assert exchanges_above_stages(plans[name]) == (n, 0), plans[name]
+    assert "SortMergeJoin" in plans["person_with_comorbidities"] and "Exchange" not in plans["person_with_comorbidities"]
+    assert "Exchange" not in plans["clean_demographics"]
+    import os
+
+    files = [x for x in os.listdir(out["person_fact"].removeprefix("file:")) if x.endswith(".parquet")]
+    assert 0 < len(files) <= 4  # a file a bucket
+
+
+def test_a_repeated_person_fails_the_run_by_name(spark, scratch):
+    import pytest
+
+    from cohortlens.plans.fact import FactOptions
+
+    t = bound_tables(spark, SF)
+    twice = t.replace(persons=t.persons.unionByName(t.persons.where("person_id IN (7, 11)")))
+    with pytest.raises(Exception, match="REPEATED_KEY: persons.person_id repeats for 2 value.s., from 7 to 11"):
+        build_outputs(twice, f"{scratch}/out")
+    build_outputs(twice, f"{scratch}/out", FactOptions(check_keys=False))
+
