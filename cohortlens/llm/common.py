@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 #: The white space of every contract: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\x0c\r"
-#: Text handled in one numpy pass; a single longer text is handled in one pass of its own size.
+#: Text handled in one numpy pass; a single longer text goes through in tiles of this size.
 CHUNK_BYTES = 1 << 19
 BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 
@@ -69,6 +69,13 @@ def col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """The name, with more underscores if a column has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def id_text(name: str) -> Column:
     """An id as text; null counts as the empty text."""
     return F.coalesce(col(name).cast("string"), F.lit(""))
@@ -119,3 +126,10 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     starts = np.zeros(len(texts) + 1, np.int64)
     np.cumsum(lengths, out=starts[1:])
     return np.frombuffer(b" ".join([*texts, b""]), np.uint8), starts
+
+
+def tiles(text: bytes, overlap: int, limit: int = CHUNK_BYTES) -> Iterator[tuple[bytes, int, bool]]:
+    """A long text in pieces: each with up to ``overlap`` bytes before it, how many these are, and whether it is the last."""
+    for at in range(0, max(len(text), 1), limit):
+        context = min(at, overlap)
+        yield text[at - context : at + limit], context, at + limit >= len(text)

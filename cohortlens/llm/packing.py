@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import chunks, col, spread, written
-from cohortlens.llm.tokens import ENCODE_CHARS, Encoder, encoder
+from cohortlens.llm.common import chunks, col, encoded, spread, written
+from cohortlens.llm.tokens import ENCODE_CHARS, encoder
 
 CAPACITY = 1024
 SHARD_PIECES = 8192
@@ -49,19 +49,18 @@ def tokenize(
 ) -> DataFrame:
     """A row for each piece: ``id``, piece, start, length, ids_crc32 and, if wanted, ids (little-endian unsigned 32-bit).
 
-    Workers keep one encoder, with a large memory of words, from task to task.
-    With ``remembered``, each task has an encoder of its own that remembers
-    about so many words: slower, but it leaves nothing in the workers of a
-    long job.
+    Workers keep one encoder, with a large memory of words, from task to task;
+    with ``remembered``, a memory of about so many words (for workers that
+    serve other stages, too).
     """
     source = documents.select(col(id).alias(id), col(text).alias("_text"))
     schema = f"`{id}` {source.schema[0].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else "")
     last = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Encoder(vocabulary, remembered) if remembered else encoder(vocabulary)
+        own = encoder(vocabulary, remembered)
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
+            texts = encoded(batch.column(1))
             for a, b in chunks(texts, ENCODE_CHARS // 4 if remembered else ENCODE_CHARS):
                 rows, out = [], []
                 for i, ids in enumerate(own.encode(texts[a:b]), a):

@@ -22,7 +22,7 @@ or repeated attempts are never read.  The driver holds one row a file.
 
 Cases: null and empty texts hold the end id alone; null ids come first; rows
 that repeat an id are ordered by a hash of the text; an empty table has no
-file and gives an empty result.
+file and gives an empty result; ids of another kind than integers are refused.
 """
 
 from __future__ import annotations
@@ -37,8 +37,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cohortlens.llm.common import chunks, col, shared_path, written
+from cohortlens.llm.common import chunks, col, encoded, shared_path, written
 from cohortlens.llm.tokens import ENCODE_CHARS, encoder
 
 MAGIC = b"PFR1"
@@ -253,7 +254,7 @@ def write(documents: DataFrame, vocabulary: str, *, id: str = "doc_id", text: st
             if writer is None:
                 filesystem, name = _filesystem(path)
                 writer = Writer(filesystem.open_output_stream(name))
-            names, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
+            names, texts = batch.column(0).to_pylist(), encoded(batch.column(1))
             for a, b in chunks(texts, ENCODE_CHARS):
                 for x, ids in zip(names[a:b], own.encode(texts[a:b])):
                     writer.add(x, ids + last)
@@ -261,6 +262,9 @@ def write(documents: DataFrame, vocabulary: str, *, id: str = "doc_id", text: st
             n, n_ids = writer.close()
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([path]), pa.array([n]), pa.array([n_ids])], names=["part", "path", "n_documents", "n_ids"])
 
+    kind = documents.schema[id].dataType
+    if not isinstance(kind, (T.IntegralType, T.NullType)):
+        raise TypeError(f"ids are stored as 64-bit integers; {id} is {kind.simpleString()}")
     rows = documents.select(col(id).cast("long").alias("_id"), col(text).alias("_text"))
     rows = rows.repartitionByRange(F.col("_id"), F.xxhash64("_text")).sortWithinPartitions(F.col("_id"), F.xxhash64("_text"))
     return written(rows.mapInArrow(run, MANIFEST), "token-files-manifest")
