@@ -15,8 +15,8 @@ partitions as a stream; a bucket of more than ``BUCKET`` fingerprints is cut
 into parts whose pairs are separate units of work on other tasks.  A unit
 emits a spanning forest of its links, never all pairs.  Components come from
 alternating star contraction over those links; hot nodes are joined salted.
-Broadcast: only the list of buckets above ``BUCKET``; there are at most
-(number of bucket tables) * (fingerprints) / ``BUCKET`` of them.
+Broadcast: the list of buckets above ``BUCKET``, and that of rows to drop, if
+their counted size is small; longer ones are joined by a shuffle.
 
 Cases: null counts as empty; a text without words has fingerprint zero and
 links like any other; null ids take part in links, but a component's id is
@@ -44,6 +44,8 @@ SMALL = 256
 #: Pairs of a fingerprint and a word of 64 others that are compared in one pass.
 PASS = 1 << 18
 SALTS = 16
+#: Lists up to this size are broadcast: row hashes of ``MARK_BYTES``, hot buckets of ``HOT_BYTES``.
+BROADCAST_BYTES, MARK_BYTES, HOT_BYTES = 64 << 20, 64, 48
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -276,8 +278,8 @@ def links(prints: DataFrame, max_bits: int = 3, *, name: str = "_print", bucket:
     """A forest (a, b) of the links between different fingerprints; ``prints`` has each of them once."""
     rows = prints.select(F.explode(bucket_keys(name, max_bits)).alias("unit"), col(name).alias("print"))
     hot = rows.groupBy("unit").count().where(F.col("count") > bucket)
-    hot = hot.select("unit", F.ceil(F.col("count") / bucket).cast("int").alias("parts"))
-    rows = rows.join(F.broadcast(hot), "unit", "left")
+    hot = written(hot.select("unit", F.ceil(F.col("count") / bucket).cast("int").alias("parts")), "simhash-hot")
+    rows = rows.join(F.broadcast(hot) if hot.count() * HOT_BYTES <= BROADCAST_BYTES else hot, "unit", "left")
     mine = F.pmod(F.xxhash64("print"), F.col("parts"))
     # a part meets every other part: the pair is named by the smaller and the larger of the two
     pairs = F.transform(
@@ -339,13 +341,32 @@ def cluster(documents: DataFrame, *, id: str = "doc_id", text: str = "text", wid
 
 
 def representatives(documents: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = 3, max_bits: int = 3) -> DataFrame:
-    """One row of each component, with all its columns: that of the smallest id (and fingerprint)."""
-    packed = documents.select(F.struct("*").alias("_doc"), col(id).alias("_id"), fingerprint(text, width).alias("_print"))
-    prints = written(packed.select("_id", "_print"), "simhash")
-    found = written(groups(prints, max_bits), "simhash-groups").withColumn("_salt", salts(SALTS))
-    rows = prints.withColumn("_salt", spread(SALTS, "_id")).join(found, ["_print", "_salt"])
-    known = F.coalesce(F.col("_id").cast("string"), F.lit(""))
-    same = F.col("_id").eqNullSafe(F.col("top.id")) & (F.col("_print") == F.col("top.print"))
-    lost = rows.where(~same).select(known.alias("k"), F.col("_print").alias("p")).distinct()
-    kept = packed.select("_doc", known.alias("k"), F.col("_print").alias("p")).join(lost, ["k", "p"], "left_anti")
-    return kept.groupBy("k", "p").agg(F.min_by("_doc", F.xxhash64("_doc")).alias("_doc")).select("_doc.*")
+    """One row of each component, with all its columns: that of the smallest id (and fingerprint, and hashes of the row).
+
+    Fingerprints are computed once, into a narrow table in which two hashes of
+    all columns stand for the row.  The rows to drop come back as such hashes:
+    whole rows meet them in a join, by broadcast if the list is at most
+    ``BROADCAST_BYTES``, and don't shuffle then.  Rows that are equal in all columns are one
+    pair of hashes; only where such a pair stays do its rows shuffle, to
+    become one.
+    """
+    row = F.struct("*")
+    keys = F.xxhash64(row).alias("_a"), F.xxhash64(F.lit(1), row).alias("_b")
+    prints = written(documents.select(col(id).alias("_id"), fingerprint(text, width).alias("_print"), *keys), "simhash")
+    found = written(groups(prints.select("_id", "_print"), max_bits), "simhash-groups").withColumn("_salt", salts(SALTS))
+    order = F.struct(F.col("_id").isNull().alias("no"), F.col("_id").alias("id"), F.col("_print").alias("print"))
+    linked = prints.withColumn("_salt", spread(SALTS, "_a")).join(found, ["_print", "_salt"])
+    # of a component's first rows (same id, same print) one pair of hashes stays; all others go
+    is_top = order == F.col("top")
+    first = linked.where(is_top).groupBy("top").agg(F.min(F.struct("_a", "_b")).alias("kept"), F.count("*").alias("n")).withColumn("_salt", salts(SALTS))
+    marked = linked.withColumn("_salt", spread(SALTS, "_b")).join(first, ["top", "_salt"]).withColumn("_stays", is_top & (F.struct("_a", "_b") == F.col("kept")))
+    marks = marked.where(~F.col("_stays") | (F.col("n") > 1)).groupBy("_a", "_b").agg(F.bool_or("_stays").alias("_stays"))
+    marks = written(marks, "simhash-marks")
+    n, n_several = marks.agg(F.count("*"), F.count_if("_stays")).first()
+    packed = documents.select(row.alias("_doc"), *keys)
+    rows = packed.join(F.broadcast(marks) if n * MARK_BYTES <= BROADCAST_BYTES else marks, ["_a", "_b"], "left")
+    alone = rows.where("_stays IS NULL").select("_doc.*")
+    if not n_several:
+        return alone
+    several = rows.where("_stays").groupBy("_a", "_b").agg(F.first("_doc").alias("_doc"))
+    return alone.unionByName(several.select("_doc.*"))
