@@ -94,20 +94,16 @@ def targets(sizes: np.ndarray, weights: np.ndarray, most: float = MOST) -> np.nd
 
 def words(text: Column) -> Column:
     """How many runs of anything but the contract's white space."""
-
-    @F.pandas_udf("long")
-    def count(texts: pd.Series) -> pd.Series:
-        return pd.Series([len(x.encode().split()) if x else 0 for x in texts], dtype="int64")  # of bytes: splits at that white space only
-
-    return count(text)
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
 def sized(documents: DataFrame, id: str, text: str, source: str, seed: int) -> DataFrame:
-    """Narrow rows: _id, _key (the source, null last in code point order), _shard, _place (seeded hashes), size."""
+    """Narrow rows: _id, _text (a hash of it), _key (the source, null last in code point order), _shard, _place (seeded hashes), size."""
     name = col(source).cast("string")
     own = [id_text(id), col(text)]  # the text spreads rows that share an id, or have none
     rows = documents.select(
         col(id).alias("_id"),
+        F.xxhash64(col(text)).alias("_text"),
         F.when(name.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), name)).alias("_key"),
         F.xxhash64(F.lit(seed), *own).alias("_shard"),
         F.xxhash64(F.lit(seed + 1), *own).alias("_place"),
@@ -167,7 +163,7 @@ def plan(
     max_sources: int = MAX_SOURCES,
     most: int = MOST,
 ) -> DataFrame:
-    """One narrow row a document: _id, size, source_size, target, taken, and where it lies in its shard's blocks."""
+    """One narrow row a document: _id, _text (a hash of it), size, source_size, target, taken, and where it lies in its shard's blocks."""
     rows = sized(documents, id, text, source, seed)
     shard = quotas(rows, weights, max_sources, most).hint("shuffle_hash")
     running = Window.partitionBy("_key", "_shard").orderBy("_place", "size", "_id").rowsBetween(Window.unboundedPreceding, 0)
@@ -184,7 +180,7 @@ def plan(
         return F.expr(f"_base * {at} + {drawn(j)} * _len + ({drawn(j + ' + 1')} - {drawn(j)}) * ({at} % _len)")
 
     placed = placed.withColumn("taken", before("_end") - before("_start"))
-    return placed.select("_id", "size", "source_size", "target", "taken", "_start", F.struct("_len", "_n", "_phase", "_base", "_more").alias("_draw"))
+    return placed.select("_id", "_text", "size", "source_size", "target", "taken", "_start", F.struct("_len", "_n", "_phase", "_base", "_more").alias("_draw"))
 
 
 def pieces(start: int, size: int, draw: dict) -> list[tuple[int, int]]:
@@ -220,19 +216,21 @@ def cut(text: str, ranges: list[tuple[int, int]]) -> list[str]:
 def mix(documents: DataFrame, *, id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars", **options) -> DataFrame:
     """The mix itself, with the columns of ``documents``: a row for each copy of a text or of a part of it.
 
-    A column ``n_chars`` is set to the length of the row's text.  Rows that
-    share id and size share one place in the blocks.
+    A column ``n_chars`` is set to the length of the row's text.  Rows of the
+    same id and text share one place in the blocks.
     """
     placed = plan(documents, id=id, text=text, **options).where("taken > 0")
-    placed = placed.groupBy(id_text("_id").alias("_k"), "size").agg(F.min(F.struct("_start", "_draw")).alias("_at"))
+    placed = placed.groupBy(id_text("_id").alias("_k"), F.col("_text").alias("_h")).agg(F.min(F.struct("_start", "_draw", "size")).alias("_at"))
 
     @F.pandas_udf("array<string>")
-    def texts(values: pd.Series, size: pd.Series, at: pd.DataFrame) -> pd.Series:
+    def texts(values: pd.Series, at: pd.DataFrame) -> pd.Series:
         draws = at["_draw"].to_dict("records") if isinstance(at["_draw"], pd.DataFrame) else [dict(x) for x in at["_draw"]]
-        return pd.Series([cut(x or "", pieces(int(a), int(n), d)) for x, n, a, d in zip(values, size, at["_start"], draws)])
+        return pd.Series([cut(x or "", pieces(int(a), int(n), d)) for x, n, a, d in zip(values, at["size"], at["_start"], draws)])
 
-    packed = documents.select(F.struct("*").alias("_doc"), id_text(id).alias("_k"), col(text).alias("_text"), words(col(text)).alias("size"))
-    rows = packed.join(placed, ["_k", "size"]).select("_doc", F.explode(texts("_text", "size", "_at")).alias("_text"))
+    # the other columns and the text go apart, so that no row holds its text twice; texts shuffle unsorted
+    others = F.struct(F.lit(0).alias("_0"), *[col(c).alias(c) for c in documents.columns if c != text])
+    packed = documents.select(others.alias("_doc"), id_text(id).alias("_k"), col(text).alias("_text"), F.xxhash64(col(text)).alias("_h"))
+    rows = packed.join(placed.hint("shuffle_hash"), ["_k", "_h"]).select("_doc", F.explode(texts("_text", "_at")).alias("_text"))
     own = {text: F.col("_text")} | ({n_chars: F.length("_text")} if n_chars in documents.columns else {})
     kinds = dict(documents.dtypes)
     return rows.select(*[own[c].cast(kinds[c]).alias(c) if c in own else F.col("_doc").getField(c).alias(c) for c in documents.columns])
