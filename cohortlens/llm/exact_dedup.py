@@ -7,13 +7,15 @@ it has set cannot have an equal and passes straight through; only the rest,
 the suspects, shuffle for the exact comparison.
 
 Scale: texts are never shuffled by ``decide``; it works on one narrow row a
-document (id, length, hash).  Bits are kept in blocks, sparse, and merged by
-block on the executors; a filter has about ``BITS_A_ROW`` bits a row.  What is
-sent to executors is one range of the filter, of ``RANGE_BITS`` bits at most;
-a larger filter is split into ranges of the hash, each a job over its own rows
-of the narrow table, so every row is probed once at any size.  Groups of
-copies are reduced before the shuffle (partial aggregates), and the join that
-gives each copy its group spreads a group over ``SALTS`` tasks.
+document (id, length, hash).  All bits of a hash lie in one block; blocks are
+kept sparse and merged on the executors; a filter has about ``BITS_A_ROW`` bits
+a row.  A filter of at most ``RANGE_BITS`` goes through the driver to the
+executors as packed bytes (32 MB).  A larger one stays on Spark: its blocks are
+a written table, hashes (equal ones reduced within a task first) meet the
+block that they lie in, and rows learn by a salted join whether their hash is
+suspect.  Groups of copies are reduced before the shuffle (partial
+aggregates), and the join that gives each copy its group spreads a group over
+``SALTS`` tasks.
 
 Cases: a null text counts as empty, and empty texts equal each other and
 white-space texts; null ids sort last among texts of the same length; of rows
@@ -35,22 +37,35 @@ from cohortlens.llm.common import WHITE, col, salts, spread, written
 HASHES = 4
 BITS_A_ROW = 48
 BLOCK_BITS = 1 << 16
-#: Bits of the filter that are sent to executors at once (256 MB).
-RANGE_BITS = 1 << 31
+#: Bits of a filter that is sent to executors whole.
+RANGE_BITS = 1 << 28
 SALTS = 16
 
 
-def positions(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """The bits of each 64-bit hash (double hashing), a row for each."""
-    a = hashes & np.uint64(0xFFFFFFFF)
-    b = (hashes >> np.uint64(32)) | np.uint64(1)
-    steps = np.arange(HASHES, dtype=np.uint64)
-    mixed = (a[:, None] + steps * b[:, None]) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(24)) % np.uint64(bits)).astype(np.int64)
+def blocks_for(n_rows: int, bits_a_row: int = BITS_A_ROW) -> int:
+    """How many blocks the filter for a number of rows has."""
+    return max(1, -(-n_rows * bits_a_row // BLOCK_BITS))
 
 
-def repeated_bits(hashes: DataFrame, bits: int) -> DataFrame:
-    """Blocks of the filter of bits set twice or more: (block, bits), the bits as sorted int32 offsets."""
+def block_of(hash: Column, n_blocks: int) -> Column:
+    """The block of a 64-bit hash (a long)."""
+    return F.shiftrightunsigned(hash, 20) % F.lit(n_blocks)
+
+
+def offsets(hashes: np.ndarray) -> np.ndarray:
+    """The bits of each 64-bit hash within its block, a row for each."""
+    mixed = ((hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)).astype("<u8")
+    return mixed.view("<u2").reshape(len(hashes), HASHES)
+
+
+def positions(hashes: np.ndarray, n_blocks: int) -> np.ndarray:
+    """The bits of each hash (unsigned) in the whole filter."""
+    block = ((hashes >> np.uint64(20)) % np.uint64(n_blocks)).astype(np.int64)
+    return block[:, None] * BLOCK_BITS + offsets(hashes)
+
+
+def repeated_bits(hashes: DataFrame, n_blocks: int) -> DataFrame:
+    """Blocks of the filter of bits set twice or more: (block, bits), the bits as sorted 16-bit offsets."""
 
     def reduced(parts: list[np.ndarray]) -> np.ndarray:
         """Sorted positions, none more than twice: more often says no more."""
@@ -60,7 +75,7 @@ def repeated_bits(hashes: DataFrame, bits: int) -> DataFrame:
     def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
-            parts.append(positions(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits).ravel())
+            parts.append(positions(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), n_blocks).ravel())
             held += len(parts[-1])
             if held > 1 << 22:
                 parts = [reduced(parts)]
@@ -83,17 +98,24 @@ def repeated_bits(hashes: DataFrame, bits: int) -> DataFrame:
     return pieces.groupBy("block").applyInArrow(merge, "block long, bits binary")
 
 
-def prober(hashes: DataFrame, hash: str, bits: int) -> Callable[[np.ndarray], np.ndarray]:
+def packed_block(bits: bytes) -> np.ndarray:
+    """A block's sparse bits as packed bytes."""
+    out = np.zeros(BLOCK_BITS, bool)
+    out[np.frombuffer(bits, np.uint16)] = True
+    return np.packbits(out)
+
+
+def prober(hashes: DataFrame, hash: str, n_blocks: int) -> Callable[[np.ndarray], np.ndarray]:
     """A test, for use in tasks, of hashes (longs): false only if at most one row of ``hashes`` has it."""
-    twice = np.zeros(-(-bits // BLOCK_BITS) * BLOCK_BITS, bool)
-    for block, found in repeated_bits(hashes.select(col(hash)), bits).toPandas().itertuples(index=False):
-        twice[block * BLOCK_BITS + np.frombuffer(found, np.uint16).astype(np.int64)] = True
-    shared = hashes.sparkSession.sparkContext.broadcast(np.packbits(twice))
-    return lambda values: seen_twice(shared.value, values, bits)
+    size = BLOCK_BITS // 8
+    twice = np.zeros(n_blocks * size, np.uint8)
+    for block, found in repeated_bits(hashes.select(col(hash)), n_blocks).toPandas().itertuples(index=False):
+        twice[block * size : (block + 1) * size] = packed_block(found)
+    shared = hashes.sparkSession.sparkContext.broadcast(twice)
+    return lambda values: all_set(shared.value, positions(values.astype(np.int64, copy=False).view(np.uint64), n_blocks))
 
 
-def seen_twice(packed: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
-    at = positions(hashes.astype(np.int64, copy=False).view(np.uint64), bits)
+def all_set(packed: np.ndarray, at: np.ndarray) -> np.ndarray:
     return ((packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
 
 
@@ -107,25 +129,67 @@ def probed(test: Callable[[np.ndarray], np.ndarray], hash: Column) -> Column:
     return probe(hash)
 
 
-def ranges(n_rows: int, bits_a_row: int = BITS_A_ROW, range_bits: int = RANGE_BITS) -> tuple[int, int]:
-    """How many ranges of hashes, and the bits of the filter of each."""
-    bits = max(BLOCK_BITS, n_rows * bits_a_row)
-    n = -(-bits // range_bits)
-    return n, -(-bits // n)
+def fits(n_rows: int, range_bits: int = RANGE_BITS) -> bool:
+    """Whether the filter for a number of rows is sent to executors whole."""
+    return blocks_for(n_rows) * BLOCK_BITS <= max(range_bits, BLOCK_BITS)
+
 
+def suspect_hashes(hashes: DataFrame, n_rows: int, hash: str = "_hash") -> DataFrame:
+    """The different hashes (longs, in a column of the same name) that several rows may have; the filter stays on Spark."""
+    n_blocks = blocks_for(n_rows)
+    blocks = written(repeated_bits(hashes.select(col(hash)), n_blocks), "filter-blocks")
 
-def suspects(hashed: DataFrame, n_rows: int, hash: str = "_hash", *, bits_a_row: int = BITS_A_ROW, range_bits: int = RANGE_BITS) -> DataFrame:
+    def different(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch.column(0).to_numpy(zero_copy_only=False))
+            n += len(held[-1])
+            if n > 1 << 21:
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)))], names=["hash"])
+                held, n = [], 0
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)))], names=["hash"])
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Over rows (block, hash, bits), each block's bits before its hashes."""
+        packed = np.zeros(BLOCK_BITS // 8, np.uint8)
+        for batch in batches:
+            block, bits = batch.column(0).to_numpy(), batch.column(2)
+            values = batch.column(1).fill_null(0).to_numpy().view(np.uint64)
+            is_bits, found = bits.is_valid().to_numpy(zero_copy_only=False), np.zeros(len(block), bool)
+            edges = np.r_[0, np.flatnonzero(np.r_[False, np.diff(block) != 0] | is_bits), len(block)]
+            for a, b in zip(edges, edges[1:]):
+                if a == b:
+                    continue
+                if is_bits[a]:
+                    packed = packed_block(bits[int(a)].as_py())
+                    a += 1
+                found[a:b] = all_set(packed, offsets(values[a:b]).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(values[found].view(np.int64))], names=[hash])
+
+    none = F.lit(None)
+    own = hashes.select(col(hash).alias("hash")).mapInArrow(different, "hash long")
+    own = own.select(block_of(F.col("hash"), n_blocks).alias("block"), "hash", none.cast("binary").alias("bits"))
+    rows = own.unionByName(blocks.select("block", none.cast("long").alias("hash"), "bits"))
+    rows = rows.repartition("block").sortWithinPartitions("block", F.col("bits").isNull())
+    return rows.mapInArrow(probe, f"`{hash}` long").distinct()
+
+
+def suspects(hashed: DataFrame, n_rows: int, hash: str = "_hash", spread_by: str = "_row", *, range_bits: int = RANGE_BITS) -> DataFrame:
     """All rows with a boolean ``_suspect``: false only if no other row has the same hash (a long).
 
-    ``hashed`` should be a written table: each range reads it once more.
+    ``hashed`` should be a written table: it is read once more.
     """
-    n, bits = ranges(n_rows, bits_a_row, range_bits)
-    out = None
-    for r in range(n):
-        rows = hashed if n == 1 else hashed.where(F.pmod(F.xxhash64(col(hash)), F.lit(n)) == r)
-        rows = rows.withColumn("_suspect", probed(prober(rows, hash, bits), col(hash)))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    if fits(n_rows, range_bits):
+        return hashed.withColumn("_suspect", probed(prober(hashed, hash, blocks_for(n_rows)), col(hash)))
+    return told(hashed, suspect_hashes(hashed, n_rows, hash), hash, spread_by)
+
+
+def told(rows: DataFrame, found: DataFrame, hash: str, spread_by: str) -> DataFrame:
+    """Rows with ``_suspect``: whether their hash is among those found; rows that share one meet it in ``SALTS`` tasks."""
+    found = found.withColumn("_suspect", F.lit(True)).withColumn("_salt", salts(SALTS))
+    rows = rows.withColumn("_salt", spread(SALTS, spread_by)).join(found, [hash, "_salt"], "left").drop("_salt")
+    return rows.withColumn("_suspect", F.coalesce("_suspect", F.lit(False)))
 
 
 def normalised(text: str = "text") -> Column:
@@ -139,12 +203,12 @@ def signatures(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("_hash", F.xxhash64("_sha")).withColumn("_length", F.coalesce(F.length(col(text)), F.lit(0)))
 
 
-def decide(documents: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+def decide(documents: DataFrame, *, id: str = "doc_id", text: str = "text", range_bits: int = RANGE_BITS) -> DataFrame:
     """One row a document: ``id``, keep_id, group_size, kept, text_sha256 (the operator's decisions, without texts)."""
     narrow = signatures(documents.select(col(id).alias("_id"), col(text).alias("_text")), "_text")
     narrow = narrow.select("_id", "_length", "_sha", "_hash", F.monotonically_increasing_id().alias("_row"))
     narrow = written(narrow, "exact-dedup")
-    marked = suspects(narrow, narrow.count())
+    marked = suspects(narrow, narrow.count(), range_bits=range_bits)
     one = F.lit(1).cast("long")
     alone = marked.where(~F.col("_suspect")).select("_id", F.col("_id").alias("keep_id"), one.alias("group_size"), F.lit(True).alias("kept"), "_sha")
     rows = marked.where("_suspect").drop("_suspect", "_hash")
@@ -167,19 +231,18 @@ def deduplicate(documents: DataFrame, *, id: str = "doc_id", text: str = "text",
     Rows that are no suspects pass straight through; only whole suspect rows
     shuffle, and the copies that a task holds of a text are reduced to one
     before they do.  A filter of more than ``range_bits`` bits is not sent out
-    whole: the suspects are then found on the narrow hashes, range by range,
+    whole: the suspects are then found on the narrow hashes, block by block,
     and rows learn by a join on the hash whether they are among them.
     """
     packed = documents.select(F.struct("*").alias("_doc"), col(id).alias("_id"), col(text).alias("_text"))
     signed = signatures(packed, "_text").drop("_text")
     hashes = written(signed.select("_hash"), "exact-dedup-hashes")
     n_rows = hashes.count()
-    if ranges(n_rows, range_bits=range_bits)[0] == 1:
-        marked = signed.withColumn("_suspect", probed(prober(hashes, "_hash", ranges(n_rows)[1]), F.col("_hash")))
+    if fits(n_rows, range_bits):
+        marked = signed.withColumn("_suspect", probed(prober(hashes, "_hash", blocks_for(n_rows)), F.col("_hash")))
     else:
-        found = suspects(hashes, n_rows, range_bits=range_bits).where("_suspect").distinct().withColumn("_salt", salts(SALTS))
-        marked = signed.withColumn("_salt", spread(SALTS, "_id")).join(found, ["_hash", "_salt"], "left")
-        marked = marked.withColumn("_suspect", F.coalesce("_suspect", F.lit(False)))
-    order = F.struct(F.col("_length").alias("n"), F.col("_id").isNotNull().alias("known"), (-F.col("_id")).alias("id"), F.xxhash64("_doc").alias("row"))
-    one = marked.where("_suspect").groupBy("_sha").agg(F.max_by("_doc", order).alias("_doc"))
+        marked = told(signed, suspect_hashes(hashes, n_rows), "_hash", "_id")
+    # the longest text first, then the smallest id (null last), then the first by its hash
+    order = F.struct((-F.col("_length")).alias("n"), F.col("_id").isNull().alias("no"), F.col("_id").alias("id"), F.xxhash64("_doc").alias("row"))
+    one = marked.where("_suspect").groupBy("_sha").agg(F.min_by("_doc", order).alias("_doc"))
     return marked.where(~F.col("_suspect")).select("_doc").unionByName(one.select("_doc")).select("_doc.*")

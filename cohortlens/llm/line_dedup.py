@@ -9,8 +9,9 @@ line pass straight through; the others meet the list of lines they lose.
 
 Scale: equal lines are reduced before the shuffle (partial aggregates), and a
 line that is in a third of all documents meets its documents in ``SALTS``
-tasks.  The filter is split into hash ranges as in ``exact_dedup`` when it
-outgrows what is sent to executors at once.  A document's list of lost lines
+tasks.  A filter that outgrows what is sent to executors stays on Spark, as in
+``exact_dedup``: the suspect hashes then meet the lines, and the lists of lost
+lines the documents, in joins.  A document's list of lost lines
 is no longer than the document.
 
 Cases: null and empty texts are one empty line; rows are documents, so a
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import col, encoded, id_text, salts, spread, written
-from cohortlens.llm.exact_dedup import BITS_A_ROW, RANGE_BITS, prober, ranges, suspects
+from cohortlens.llm.exact_dedup import RANGE_BITS, blocks_for, fits, prober, suspect_hashes
 
 MIN_CHARS, MIN_DOCUMENTS = 20, 3
 SALTS = 16
@@ -54,7 +55,7 @@ def first_bytes(hashes: list[bytes]) -> np.ndarray:
 
 
 def suspect_lines(min_chars: int, test: Callable[[np.ndarray], np.ndarray] | None = None):
-    """Over rows (id, text): a row (_id, _line, _hash) for each different line hash that the test lets through."""
+    """Over rows (id, text, key): a row (_id, _key, _line, _hash) for each different line hash that the test lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,7 +67,8 @@ def suspect_lines(min_chars: int, test: Callable[[np.ndarray], np.ndarray] | Non
             if test is not None and len(flat):
                 keep = np.flatnonzero(test(first))
                 rows, lines, first = rows[keep], lines.take(pa.array(keep)), first[keep]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), lines, pa.array(first)], names=["_id", "_line", "_hash"])
+            of = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(2).take(of), lines, pa.array(first)], names=["_id", "_key", "_line", "_hash"])
 
     return run
 
@@ -76,14 +78,16 @@ def drop_repeated_lines(
 ) -> DataFrame:
     """All rows and columns, with ``kept_text``, ``n_lines`` and ``n_dropped`` in last columns (in place of any of those names)."""
     documents = documents.drop("kept_text", "n_lines", "n_dropped")
-    packed = documents.select(F.struct("*").alias("_doc"), col(id).alias("_id"), col(text).alias("_text"))
-    schema = f"_id {packed.schema['_id'].dataType.simpleString()}, _line binary, _hash long"
-    read = packed.select("_id", "_text")
+    others = F.struct(F.lit(0).alias("_0"), *[col(c).alias(c) for c in documents.columns if c != text])  # no row holds its text twice
+    # rows that share an id lose the same lines; those without one are told apart by their text
+    key = F.when(col(id).isNull(), F.concat(F.lit("\0"), F.hex(F.xxhash64(col(text))))).otherwise(id_text(id))
+    packed = documents.select(others.alias("_doc"), col(id).alias("_id"), col(text).alias("_text"), key.alias("_key"))
+    schema = f"_id {packed.schema['_id'].dataType.simpleString()}, _key string, _line binary, _hash long"
+    read = packed.select("_id", "_text", "_key")
     hashes = written(read.mapInArrow(suspect_lines(min_chars), schema).select("_hash"), "line-hashes")
     n_rows = hashes.count()
-    n, bits = ranges(n_rows, BITS_A_ROW, range_bits)
-    if n == 1:
-        test = prober(hashes, "_hash", bits)
+    if fits(n_rows, range_bits):
+        test = prober(hashes, "_hash", blocks_for(n_rows))
         suspect = read.mapInArrow(suspect_lines(min_chars, test), schema)
 
         @F.pandas_udf("boolean")
@@ -92,16 +96,16 @@ def drop_repeated_lines(
             return pd.Series([bool(len(x)) and bool(test(first_bytes(x)).any()) for x in hashes])
 
         packed = packed.withColumn("_any", any_suspect("_text"))
-    else:  # the filter is probed on the narrow hashes, range by range, and every document meets its list
-        found = suspects(hashes, n_rows, range_bits=range_bits).where("_suspect").select("_hash").distinct()
+    else:  # the filter is probed on the narrow hashes, block by block, and every document meets its list
+        found = suspect_hashes(hashes, n_rows)
         suspect = read.mapInArrow(suspect_lines(min_chars), schema).join(found, "_hash", "left_semi")
         packed = packed.withColumn("_any", F.lit(True))
-    suspect = written(suspect.select("_id", "_line"), "line-suspects")
+    suspect = written(suspect.select("_id", "_key", "_line"), "line-suspects")
     order = F.struct(F.col("_id").isNotNull().alias("known"), F.col("_id").alias("id"))
     repeated = suspect.groupBy("_line").agg(F.count("*").alias("n"), F.max(order).alias("last")).where(F.col("n") >= min_documents)
     repeated = repeated.select("_line", "last").withColumn("_salt", salts(SALTS))
-    lost = suspect.withColumn("_salt", spread(SALTS, "_id")).join(repeated, ["_line", "_salt"])
-    lost = lost.where(~F.col("_id").eqNullSafe(F.col("last.id"))).groupBy(id_text("_id").alias("_key")).agg(F.collect_set("_line").alias("_lost"))
+    lost = suspect.withColumn("_salt", spread(SALTS, "_key")).join(repeated, ["_line", "_salt"])
+    lost = lost.where(~F.col("_id").eqNullSafe(F.col("last.id"))).groupBy("_key").agg(F.collect_set("_line").alias("_lost"))
 
     @F.pandas_udf("kept string, n_lines long, n_dropped long")
     def cut(texts: pd.Series, lost: pd.Series) -> pd.DataFrame:
@@ -116,10 +120,11 @@ def drop_repeated_lines(
             out.append(("\n".join(kept), len(own), len(own) - len(kept)))
         return pd.DataFrame(out, columns=["kept", "n_lines", "n_dropped"])
 
-    rows = packed.where("_any").withColumn("_key", id_text("_id")).join(lost, "_key", "left").withColumn("_cut", cut("_text", "_lost"))
+    rows = packed.where("_any").join(lost, "_key", "left").withColumn("_cut", cut("_text", "_lost"))
     whole = F.coalesce("_text", F.lit(""))
     straight = packed.where("NOT _any").select(
-        "_doc", F.struct(whole.alias("kept"), (F.length(whole) - F.length(F.translate(whole, "\n", "")) + 1).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped")).alias("_cut")
+        "_doc", "_text", F.struct(whole.alias("kept"), (F.length(whole) - F.length(F.translate(whole, "\n", "")) + 1).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped")).alias("_cut")
     )
-    rows = straight.unionByName(rows.select("_doc", "_cut"))
-    return rows.select("_doc.*", F.col("_cut.kept").alias("kept_text"), F.col("_cut.n_lines").alias("n_lines"), F.col("_cut.n_dropped").alias("n_dropped"))
+    rows = straight.unionByName(rows.select("_doc", "_text", "_cut"))
+    own = [F.col("_text").alias(c) if c == text else F.col("_doc").getField(c).alias(c) for c in documents.columns]
+    return rows.select(*own, F.col("_cut.kept").alias("kept_text"), F.col("_cut.n_lines").alias("n_lines"), F.col("_cut.n_dropped").alias("n_dropped"))
