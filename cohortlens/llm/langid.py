@@ -13,7 +13,9 @@ Scale: n-grams are counted over all training rows, first within a task and
 then in one aggregate of at most 2 ** ``SLOT_BITS`` rows a language.  What is
 sent to executors is a weight for each slot and bit, whatever the corpus.
 Only the bits' reliabilities use a sample of training rows, of about
-``SAMPLE_ROWS``, chosen by hash.  Prediction reads each text once, no shuffle.
+``SAMPLE_ROWS``, chosen by hash.  Prediction reads each text once, no shuffle;
+a text's answer depends on it alone, and a long one goes through in tiles.
+N-grams share 2 ** ``SLOT_BITS`` slots at any size of the corpus.
 
 Cases: a null text, and a text without a letter, are ``und`` with score 0;
 rows with a null language train nothing; a null id counts as the empty text
@@ -34,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import chunks, col, encoded, id_text, joined, remainder
+from cohortlens.llm.common import CHUNK_BYTES, chunks, col, encoded, id_text, joined, remainder, tiles
 
 SLOT_BITS = 15
 GRAM = 4
@@ -51,18 +53,36 @@ _LETTER[128:] = True
 
 def grams(texts: list[bytes], bits: int = SLOT_BITS) -> tuple[np.ndarray, np.ndarray]:
     """The slot of each n-gram of lower-case texts (other bytes are spaces), and the text of each."""
-    data, starts = joined(texts)
+    keys, at, starts = keyed(texts, bits)
+    of = np.searchsorted(starts, at, "right") - 1
+    inside = at - starts[of] >= GRAM - 2  # not across texts, but for the space before each
+    return keys[inside], of[inside]
+
+
+def keyed(texts: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The slot of the n-gram that ends at each letter or after a word, where it ends, and where the texts start."""
+    data, starts = joined([b"", *texts])  # a space before the first text, as before all others
     letter = _LETTER[data]
     symbols = np.where(letter, data, 0x20).astype(np.uint32)
     key = symbols.copy()
     for j in range(1, GRAM):
         key[j:] |= symbols[:-j] << np.uint32(8 * j)
-    before = np.r_[False, letter[:-1]]
-    at = np.flatnonzero(letter | before)
-    at = at[at >= GRAM - 1]
-    of = np.searchsorted(starts, at, "right") - 1
-    inside = at - starts[of] >= GRAM - 2  # not across texts, but for the space between them
-    return ((key[at[inside]] * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)).astype(np.int64), of[inside]
+    at = np.flatnonzero(letter | np.r_[False, letter[:-1]])
+    return ((key[at] * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)).astype(np.int64), at, starts[1:]
+
+
+def passes(texts: list[bytes], bits: int = SLOT_BITS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Slots of texts from, to, and the text (from 0) of each; the n-grams of a long text come in several passes."""
+    for a, b in chunks(texts):
+        if len(texts[a]) <= CHUNK_BYTES:
+            slots, of = grams(texts[a:b], bits)
+            yield a, b, slots, of
+            continue
+        for tile, context, last in tiles(texts[a], GRAM):
+            keys, at, starts = keyed([tile], bits)
+            place = at - starts[0]
+            own = (place >= max(context, 0 if context else GRAM - 2)) & (place < len(tile) + last)
+            yield a, b, keys[own], np.zeros(int(own.sum()), np.int64)
 
 
 def codewords(n: int, seed: int = 42) -> np.ndarray:
@@ -93,13 +113,12 @@ class Model:
 
     def margins(self, values: pa.Array) -> np.ndarray:
         texts = encoded(pc.utf8_lower(values.cast(pa.large_string())))
-        out = np.zeros((len(texts), self.weights.shape[1]))
-        for a, b in chunks(texts):
-            slots, of = grams(texts[a:b])
-            n = np.bincount(of, minlength=b - a)
+        out, n = np.zeros((len(texts), self.weights.shape[1])), np.zeros(len(texts))
+        for a, b, slots, of in passes(texts):
+            n[a:b] += np.bincount(of, minlength=b - a)
             for bit in range(out.shape[1]):
-                out[a:b, bit] = np.bincount(of, self.weights[slots, bit], b - a) / np.sqrt(n + 1)
-        return np.clip(out, -30, 30)
+                out[a:b, bit] += np.bincount(of, self.weights[slots, bit], b - a)
+        return np.clip(out / np.sqrt(n + 1)[:, None], -30, 30)
 
     def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The nearest codeword of each row of margins, and its share of the weight of all."""
@@ -131,8 +150,8 @@ def count_grams(training: DataFrame, text: str, lang: str) -> DataFrame:
             for name in set(names):
                 own = [texts[i] for i in np.flatnonzero(names == name)]
                 total = held.setdefault(name, np.zeros(1 << SLOT_BITS, np.int64))
-                for a, b in chunks(own):
-                    total += np.bincount(grams(own[a:b])[0], minlength=1 << SLOT_BITS)
+                for *_, slots, _ in passes(own):
+                    total += np.bincount(slots, minlength=1 << SLOT_BITS)
         for name, total in held.items():
             slot = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(slot), pa.string()), pa.array(slot.astype(np.int32)), pa.array(total[slot])], names=["lang", "slot", "n"])

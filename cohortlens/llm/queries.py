@@ -128,33 +128,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}) | {
     "op9_topk": """
         WITH v AS (
-          SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS x FROM embeddings
+          SELECT row_number() OVER () AS n, vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS x FROM embeddings
           WHERE len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
         ), s AS (
-          SELECT q.vec_id AS query_id, c.vec_id, list_sum([a[1] * a[2] FOR a IN list_zip(q.x, c.x)])::BIGINT AS score
-          FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+          SELECT q.n, q.vec_id AS query_id, c.vec_id, list_sum([a[1] * a[2] FOR a IN list_zip(q.x, c.x)])::BIGINT AS score
+          FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.n <> c.n
         ), r AS (
-          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s
+          SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id)::INT AS rank FROM s
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
     "op6_line_dedup": """
-        WITH l AS (
-          SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+        WITH d AS (
+          SELECT row_number() OVER () AS r, * FROM documents
+        ), l AS (
+          SELECT r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                  unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS nth
-          FROM documents
+          FROM d
         ), k AS (
           SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
           FROM l
-        ), r AS (
+        ), m AS (
           SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20
-          GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+          GROUP BY key HAVING count(DISTINCT r) >= 3
         )
-        SELECT doc_id, count(*) AS n_lines,
-               count(*) FILTER (r.key IS NOT NULL AND doc_id <> last) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (r.key IS NULL OR doc_id = last), '')) AS kept_sha256
-        FROM k LEFT JOIN r ON k.key = r.key GROUP BY doc_id
+        SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines,
+               count(*) FILTER (m.key IS NOT NULL AND doc_id IS DISTINCT FROM last) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (m.key IS NULL OR doc_id IS NOT DISTINCT FROM last), '')) AS kept_sha256
+        FROM k LEFT JOIN m ON k.key = m.key GROUP BY r
     """,
     "op8_exact_dedup": """
         WITH d AS (

@@ -10,16 +10,18 @@ bound falls below its k-th score so far; the result is exact.
 
 Scale: queries start in the shard they lie in, which gives a k-th score before
 any other shard is looked at; a chunk of queries then travels only to shards
-whose summed maxima can still reach it.  What is sent to executors is one pair
-of maxima a shard (2 values a component for each ``SHARD`` rows).  A task
-holds one shard and streams query chunks past it.
+whose summed maxima can still reach it.  The maxima of ``GROUP`` shards are one
+row; a chunk meets these rows in a join and finds its shards in one product
+with each.  A task holds one shard and streams query chunks past it.  Nothing
+is broadcast or sent to the driver.
 
 Cases: a row whose id or vector is null, or whose vector is empty or has a
 null or non-finite component, takes no part; vectors of different lengths are
-compared as if padded with zeros; of rows that repeat an id, the one with the
-largest vector (in order of components) takes part; fewer than k candidates give fewer
-ranks; ties go to the smaller id; an empty table gives an empty result.
-Components of 2 ** 31 and more, after scaling, are refused.
+compared as if padded with zeros; rows that repeat an id are rows of their
+own, as candidates and as queries, and only the query's own row is left out;
+fewer than k candidates give fewer ranks; ties go to the smaller id; an empty
+table gives an empty result.  Scores are exact as long as they are longs;
+components beyond a long after scaling, and scores beyond one, are clipped.
 """
 
 from __future__ import annotations
@@ -33,12 +35,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import col, written
+from cohortlens.llm.common import col, salts, spread, written
 
 BLOCK, SHARD = 256, 8192
+#: Shards whose maxima are one row.
+GROUP = 1024
 SIGNS = 12
 NONE = np.iinfo(np.int64).min + 1  # its negative is a long, too
-_INDEX = "kind int, shard long, nth int, n int, ids binary, vectors binary, low binary, high binary, kth binary"
+_LONG = np.iinfo(np.int64)
+_INDEX = "kind int, shard long, nth int, n int, wide boolean, rows binary, ids binary, vectors binary, low binary, high binary, kth binary"
 
 
 class Best:
@@ -61,23 +66,34 @@ class Best:
         self.kth[rows] = np.maximum(self.kth[rows], self.scores[rows, -1])
 
 
+def largest(x: np.ndarray) -> float:
+    return max(float(x.max()), -float(x.min())) if x.size else 0.0
+
+
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer a @ b.T, through floating point where its 53 bits hold every sum."""
+    """Exact integer a @ b.T: through floating point where its 53 bits hold every sum, as longs, or as Python's integers."""
     width = min(a.shape[1], b.shape[1])
     a, b = a[:, :width], b[:, :width]
-    bound = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, width)
+    bound = largest(a) * largest(b) * max(1, width)
     if bound < 2**53:
         return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    return a.astype(np.int64) @ b.T.astype(np.int64)
+    return a.astype(np.int64) @ b.T.astype(np.int64) if bound < 2**62 else a.astype(object) @ b.T.astype(object)
+
+
+def as_long(x: np.ndarray) -> np.ndarray:
+    return np.clip(x, NONE + 1, _LONG.max).astype(np.int64) if x.dtype == object else x
 
 
 def bounds(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """The summed term maxima of each query (rows) in each block (columns)."""
-    return product(np.maximum(queries, 0), high) + product(np.minimum(queries, 0), low)
+    return as_long(product(np.maximum(queries, 0), high) + product(np.minimum(queries, 0), low))
 
 
-def search(best: Best, ids: np.ndarray, queries: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray]], low: np.ndarray, high: np.ndarray) -> int:
-    """Score the queries in these blocks, each query from its highest bound down; returns how many (query, block) were scored."""
+Block = tuple[np.ndarray, np.ndarray, np.ndarray]  # row numbers, ids, vectors
+
+
+def search(best: Best, numbers: np.ndarray, queries: np.ndarray, blocks: list[Block], low: np.ndarray, high: np.ndarray) -> int:
+    """Score the queries (row numbers, vectors) in these blocks, each from its highest bound down; returns how many (query, block) were scored."""
     bound = bounds(queries, low, high)
     order = np.argsort(-bound, axis=1, kind="stable")
     live, scored = np.arange(len(queries)), 0
@@ -90,46 +106,44 @@ def search(best: Best, ids: np.ndarray, queries: np.ndarray, blocks: list[tuple[
         scored += len(live)
         by_block = np.argsort(nth, kind="stable")
         for rows in np.split(live[by_block], np.flatnonzero(np.diff(nth[by_block])) + 1):
-            own, vectors = blocks[order[rows[0], turn]]
-            scores = product(queries[rows], vectors)
-            scores[ids[rows][:, None] == own[None, :]] = NONE
-            best.add(rows, scores, own)
+            there, ids, vectors = blocks[order[rows[0], turn]]
+            scores = as_long(product(queries[rows], vectors))
+            scores[numbers[rows][:, None] == there[None, :]] = NONE
+            best.add(rows, scores, ids)
     return scored
 
 
 def matrix(rows: pa.Array) -> np.ndarray:
-    """Lists of longs as rows, padded with zeros."""
+    """Lists of longs as rows, padded with zeros; 32 bits a component if that is enough."""
     lengths = np.diff(rows.offsets.to_numpy())
     flat = rows.flatten().to_numpy(zero_copy_only=False)
-    if len(flat) and np.abs(flat).max() >= 2**31:
-        raise ValueError("a scaled component is 2 ** 31 or more")
-    out = np.zeros((len(rows), int(lengths.max(initial=0))), np.int32)
+    out = np.zeros((len(rows), int(lengths.max(initial=0))), np.int32 if largest(flat) < 2**31 else np.int64)
     out[np.arange(out.shape[1]) < lengths[:, None]] = flat
     return out
 
 
-def _results(ids: np.ndarray, best: Best) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _results(numbers: np.ndarray, ids: np.ndarray, best: Best) -> tuple[np.ndarray, ...]:
     row, rank = np.nonzero(best.scores > NONE)
-    return ids[row], best.ids[row, rank], best.scores[row, rank]
+    return numbers[row], ids[row], best.ids[row, rank], best.scores[row, rank]
 
 
 def build(every: int, k: int):
-    """Over sorted rows (id, vector): block rows (kind 0), a row of the shard's queries with their k-th scores (1), their results here (2)."""
-
-    def shard_rows(number: int, ids: np.ndarray, vectors: np.ndarray) -> Iterator[tuple]:
-        cuts = range(0, len(ids), BLOCK)
-        blocks = [(ids[a : a + BLOCK], vectors[a : a + BLOCK]) for a in cuts]
-        low, high = (np.stack([f(v, axis=0) for _, v in blocks]) for f in (np.min, np.max))
-        for nth, (own, v) in enumerate(blocks):
-            yield (0, number, nth, len(own), own.tobytes(), v.tobytes(), low[nth].tobytes(), high[nth].tobytes(), None)
+    """Over sorted rows (row number, id, vector): block rows (kind 0), a row of the shard's queries with their k-th scores (1), their results here (2)."""
+
+    def shard_rows(number: int, numbers: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> Iterator[tuple]:
+        wide = vectors.dtype == np.int64
+        blocks = [(numbers[a : a + BLOCK], ids[a : a + BLOCK], vectors[a : a + BLOCK]) for a in range(0, len(ids), BLOCK)]
+        low, high = (np.stack([f(v, axis=0) for *_, v in blocks]) for f in (np.min, np.max))
+        for nth, (rows, own, v) in enumerate(blocks):
+            yield (0, number, nth, len(own), wide, rows.tobytes(), own.tobytes(), v.tobytes(), low[nth].tobytes(), high[nth].tobytes(), None)
         asked = np.flatnonzero(ids % every == 0)
         if len(asked):
-            own, queries = ids[asked], vectors[asked]
+            rows, own, queries = numbers[asked], ids[asked], vectors[asked]
             best = Best(len(own), k)
-            search(best, own, queries, blocks, low, high)
-            yield (1, number, 0, len(own), own.tobytes(), queries.tobytes(), None, None, best.kth.tobytes())
-            q, i, s = _results(own, best)
-            yield (2, number, 0, len(q), q.tobytes(), i.tobytes(), s.tobytes(), None, None)
+            search(best, rows, queries, blocks, low, high)
+            yield (1, number, 0, len(own), wide, rows.tobytes(), own.tobytes(), queries.tobytes(), None, None, best.kth.tobytes())
+            r, q, i, s = _results(rows, own, best)
+            yield (2, number, 0, len(q), wide, r.tobytes(), q.tobytes(), i.tobytes(), s.tobytes(), None, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -138,9 +152,9 @@ def build(every: int, k: int):
 
         def emit(rows: pa.Table) -> Iterator[pa.RecordBatch]:
             nonlocal number
-            ids = rows.column(0).to_numpy().astype(np.int64)
-            out = list(zip(*shard_rows(number, ids, matrix(rows.column(1).combine_chunks()))))
-            kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32()] + [pa.binary()] * 5
+            numbers, ids = (rows.column(i).to_numpy().astype(np.int64) for i in (0, 1))
+            out = list(zip(*shard_rows(number, numbers, ids, matrix(rows.column(2).combine_chunks()))))
+            kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()] + [pa.binary()] * 6
             names = [x.split()[0] for x in _INDEX.split(", ")]
             number += 1
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], names=names)
@@ -158,12 +172,12 @@ def build(every: int, k: int):
     return run
 
 
-def _vectors(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, np.int32).reshape(n, -1)
+def _vectors(data: bytes, n: int, wide: bool) -> np.ndarray:
+    return np.frombuffer(data, np.int64 if wide else np.int32).reshape(n, -1)
 
 
 def visit(k: int):
-    """Over rows of one shard after another, its blocks first, then query chunks: results (query_id, vec_id, score)."""
+    """Over rows of one shard after another, its blocks first, then query chunks: results (query_row, query_id, vec_id, score)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, blocks, low, high = None, [], [], []
@@ -171,27 +185,28 @@ def visit(k: int):
             for row in batch.to_pylist():
                 if row["shard"] != shard:
                     shard, blocks, low, high = row["shard"], [], [], []
-                vectors = _vectors(row["vectors"], row["n"])
-                ids = np.frombuffer(row["ids"], np.int64)
+                vectors = _vectors(row["vectors"], row["n"], row["wide"])
+                numbers, ids = (np.frombuffer(row[x], np.int64) for x in ("rows", "ids"))
                 if row["kind"] == 0:
-                    blocks.append((ids, vectors))
-                    low.append(np.frombuffer(row["low"], np.int32))
-                    high.append(np.frombuffer(row["high"], np.int32))
+                    blocks.append((numbers, ids, vectors))
+                    low.append(_vectors(row["low"], 1, row["wide"])[0])
+                    high.append(_vectors(row["high"], 1, row["wide"])[0])
                 else:
                     best = Best(len(ids), k, np.frombuffer(row["kth"], np.int64))
-                    search(best, ids, vectors, blocks, np.stack(low), np.stack(high))
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in _results(ids, best)], names=["query_id", "vec_id", "score"])
+                    search(best, numbers, vectors, blocks, np.stack(low), np.stack(high))
+                    names = ["query_row", "query_id", "vec_id", "score"]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in _results(numbers, ids, best)], names=names)
 
     return run
 
 
 def usable(vectors: DataFrame, id: str, vector: str, scale: int) -> DataFrame:
-    """Rows (_id, _vector of longs) that take part."""
+    """Rows (_row, a number of their own, _id, _vector of longs) that take part."""
     value = col(vector)
     bad = F.exists(value, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     rows = vectors.where(col(id).isNotNull() & value.isNotNull() & (F.size(value) > 0)).where(~bad)
-    rows = rows.select(col(id).cast("long").alias("_id"), F.transform(value, lambda x: F.floor(F.lit(scale) * x.cast("double"))).alias("_vector"))
-    return rows.groupBy("_id").agg(F.max("_vector").alias("_vector"))
+    scaled = F.transform(value, lambda x: F.floor(F.greatest(F.least(F.lit(scale) * x.cast("double"), F.lit(9.2e18)), F.lit(-9.2e18))))
+    return rows.select(F.monotonically_increasing_id().alias("_row"), col(id).cast("long").alias("_id"), scaled.alias("_vector"))
 
 
 def signs(vector: str) -> Column:
@@ -201,41 +216,50 @@ def signs(vector: str) -> Column:
 
 def top_k(vectors: DataFrame, *, k: int = 5, every: int = 50, id: str = "vec_id", vector: str = "embedding", scale: int = 256) -> DataFrame:
     """query_id, rank, vec_id, score: of each row whose id is divisible by ``every``, the ``k`` rows of highest integer inner product."""
-    spark = vectors.sparkSession
     rows = written(usable(vectors, id, vector, scale), "topk-rows")
     n_shards = max(1, -(-rows.count() // SHARD))
-    rows = rows.withColumn("_signs", signs("_vector")).repartitionByRange(n_shards, "_signs", "_id").sortWithinPartitions("_signs", "_id")
-    index = written(rows.select("_id", "_vector").mapInArrow(build(every, k), _INDEX), "topk-index")
+    rows = rows.withColumn("_signs", signs("_vector")).repartitionByRange(n_shards, "_signs", "_id", "_row").sortWithinPartitions("_signs", "_id", "_row")
+    index = written(rows.select("_row", "_id", "_vector").mapInArrow(build(every, k), _INDEX), "topk-index")
     blocks, asked = index.where("kind = 0"), index.where("kind = 1")
 
-    # one pair of maxima a shard, and the shards that a chunk of queries must travel to
+    # the maxima of each shard, those of GROUP shards in a row, and the shards that a chunk of queries must travel to
     def extremes(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        low, high = (np.stack([np.frombuffer(x, np.int32) for x in group[c]]) for c in ("low", "high"))
-        return pd.DataFrame({"shard": [key[0]], "low": [low.min(axis=0).tobytes()], "high": [high.max(axis=0).tobytes()]})
+        low, high = ([_vectors(x, 1, w)[0] for x, w in zip(group[c], group["wide"])] for c in ("low", "high"))
+        low, high = np.min(np.stack(low), axis=0).astype(np.int64), np.max(np.stack(high), axis=0).astype(np.int64)
+        return pd.DataFrame({"shard": [key[0]], "low": [low.tobytes()], "high": [high.tobytes()]})
+
+    def stacked(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        width = max(map(len, group["low"]))
+        parts = {c: b"".join(x.ljust(width, b"\0") for x in group[c]) for c in ("low", "high")}
+        return pd.DataFrame({"group": [key[0]], "shards": [group["shard"].to_numpy(np.int64).tobytes()], "lows": [parts["low"]], "highs": [parts["high"]]})
 
-    summary = blocks.select("shard", "low", "high").groupBy("shard").applyInPandas(extremes, "shard long, low binary, high binary").toPandas()
-    shared = spark.sparkContext.broadcast([(int(s), np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)) for s, a, b in summary.itertuples(index=False)])
+    n_groups = -(-n_shards // GROUP)
+    summary = blocks.select("shard", "wide", "low", "high").groupBy("shard").applyInPandas(extremes, "shard long, low binary, high binary")
+    summary = summary.withColumn("group", spread(n_groups, "shard")).groupBy("group").applyInPandas(stacked, "group int, shards binary, lows binary, highs binary")
 
     @F.pandas_udf("array<long>")
-    def reach(home: pd.Series, n: pd.Series, data: pd.Series, kth: pd.Series) -> pd.Series:
+    def reach(home: pd.Series, n: pd.Series, wide: pd.Series, data: pd.Series, kth: pd.Series, shards: pd.Series, lows: pd.Series, highs: pd.Series) -> pd.Series:
         out = []
-        for own, size, v, least in zip(home, n, data, kth):
-            queries, least = _vectors(v, size), np.frombuffer(least, np.int64)
-            out.append([s for s, low, high in shared.value if s != own and (bounds(queries, low[None], high[None])[:, 0] >= least).any()])
+        for own, size, w, v, least, there, low, high in zip(home, n, wide, data, kth, shards, lows, highs):
+            there = np.frombuffer(there, np.int64)
+            low, high = (np.frombuffer(x, np.int64).reshape(len(there), -1) for x in (low, high))
+            hit = (bounds(_vectors(v, size, w), low, high) >= np.frombuffer(least, np.int64)[:, None]).any(axis=0)
+            out.append(there[hit & (there != own)])
         return pd.Series(out, dtype=object)
 
-    travel = asked.withColumn("to", F.explode(reach("shard", "n", "vectors", "kth")))
-    travel = travel.select("kind", F.col("to").alias("shard"), F.col("nth"), "n", "ids", "vectors", "low", "high", "kth")
+    travel = asked.withColumn("group", salts(n_groups)).join(summary, "group")
+    travel = travel.withColumn("to", F.explode(reach("shard", "n", "wide", "vectors", "kth", "shards", "lows", "highs")))
+    travel = travel.select("kind", F.col("to").alias("shard"), *[F.col(x) for x in asked.columns if x not in ("kind", "shard")])
     both = blocks.unionByName(travel).repartition(n_shards, "shard").sortWithinPartitions("shard", "kind", "nth")
-    away = both.mapInArrow(visit(k), "query_id long, vec_id long, score long")
+    away = both.mapInArrow(visit(k), "query_row long, query_id long, vec_id long, score long")
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                arrays = [pa.array(np.frombuffer(row[x], np.int64)) for x in ("ids", "vectors", "low")]
-                yield pa.RecordBatch.from_arrays(arrays, names=["query_id", "vec_id", "score"])
+                arrays = [pa.array(np.frombuffer(row[x], np.int64)) for x in ("rows", "ids", "vectors", "low")]
+                yield pa.RecordBatch.from_arrays(arrays, names=["query_row", "query_id", "vec_id", "score"])
 
-    home = index.where("kind = 2").select("ids", "vectors", "low").mapInArrow(unpack, "query_id long, vec_id long, score long")
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    home = index.where("kind = 2").select("rows", "ids", "vectors", "low").mapInArrow(unpack, "query_row long, query_id long, vec_id long, score long")
+    ranked = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     out = home.unionByName(away).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
     return out.select("query_id", "rank", "vec_id", "score")

@@ -17,10 +17,12 @@ the model groups at most 65,536 rows (the last two bytes of a key).  What is
 sent to executors is the log-ratio of every event and of every context, each
 found by its whole key, so none is lost to another at any size of the corpus
 (some 12 bytes an event).  Above ``PART_EVENTS`` events the tables are sent in
-parts, divided by context; a worker then holds one part at a time, and adds up
-what the parts give to each word of some ``GROUP_BYTES`` of texts.  Scoring
-reads each text once, with no shuffle.  Joining labels shuffles the training
-texts by id.
+parts, divided by context; a worker then holds one part at a time, and looks up
+in it the events of some ``GROUP_BYTES`` of texts that lie there.  Events are
+computed once whatever the number of parts, and scores are the same to the
+bit.  Scoring reads each text once, with no shuffle; a long text goes through
+in tiles, of which only a number a word stays.  Joining labels shuffles the
+training texts by id.
 
 Cases: null and empty texts have no event, so their features are 0; a null id takes part in no training;
 if an id has several label rows, it is toxic if one of them says so; null
@@ -43,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from cohortlens.llm.common import chunks, col, encoded, id_text, joined, remainder, written
+from cohortlens.llm.common import CHUNK_BYTES, chunks, col, encoded, id_text, joined, remainder, tiles, written
 
 ORDER = 6
 MARK = 0x20
@@ -52,7 +54,7 @@ DISCOUNT = 0.75
 PASSAGE_WORDS, PRIOR_WORDS = 32, 8
 RIDGE = 1e-3
 #: Events, about, of one part of the tables; texts (bytes) that go through the parts at a time if there are several.
-PART_EVENTS, GROUP_BYTES = 1 << 22, 1 << 25
+PART_EVENTS, GROUP_BYTES = 1 << 22, 1 << 23
 #: Training rows, at most, that fit the two numbers of the logistic curve (chosen by hash, so evenly).
 CURVE_ROWS = 20_000
 
@@ -62,8 +64,8 @@ _LETTER[128:] = True
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def events(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Packed events of lower-case texts, the text of each event, and the words of each text."""
+def spelled(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Packed events of lower-case texts, where each one's byte is, and where the texts start (all joined)."""
     data, starts = joined(texts)
     letter = _LETTER[data]
     before = np.empty_like(letter)
@@ -71,17 +73,34 @@ def events(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     before[1:] = letter[:-1]
     first = np.flatnonzero(letter & ~before)
     at = np.flatnonzero(letter | before)
-    n_words = np.diff(np.searchsorted(first, starts))
     if not len(at):
-        return np.empty(0, np.uint64), np.empty(0, np.int64), n_words
+        return np.empty(0, np.uint64), at, starts
     symbols = np.where(letter, data, MARK).astype(np.uint64)
     since = at - first[np.searchsorted(first, at, "right") - 1]
     keys = symbols[at]
     for j in range(1, ORDER):
         earlier = np.where(since >= j, symbols[np.maximum(at - j, 0)], np.where(since == j - 1, MARK, 0).astype(np.uint64))
         keys |= earlier << np.uint64(8 * j)
+    return keys, at, starts
+
+
+def events(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Packed events of lower-case texts, the text of each event, and the words of each text."""
+    keys, at, starts = spelled(texts)
     of = np.searchsorted(starts, at, "right") - 1
-    return keys, of, n_words
+    return keys, of, np.bincount(of[begins(keys)], minlength=len(texts))
+
+
+def begins(keys: np.ndarray) -> np.ndarray:
+    """Which events are a word's first."""
+    return (keys >> np.uint64(8) == MARK) & (keys & np.uint64(255) != MARK)
+
+
+def event_tiles(text: bytes) -> Iterator[np.ndarray]:
+    """The events of one long text, in order, each once; a tile sees as much before it as a context is long."""
+    for tile, context, last in tiles(text, ORDER):
+        keys, at, _ = spelled([tile])
+        yield keys[(at >= context) & (at < len(tile) + last)]
 
 
 def slots(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -138,26 +157,22 @@ class Table:
 
 @dataclass
 class Model:
-    """Log-ratios of events and contexts, in ``parts`` that were sent out, or by slot (NaN: no training event there); the logistic curve."""
+    """Log-ratios of events and contexts, in ``parts`` that were sent out; the logistic curve."""
 
-    event: np.ndarray | None = None
-    context: np.ndarray | None = None
-    bits: int = 0
-    weights: tuple[float, ...] = (0.0, 0.0, 0.0, -1e3)
     parts: list[Broadcast] = field(default_factory=list)
+    weights: tuple[float, ...] = (0.0, 0.0, 0.0, -1e3)
 
-    def ratios(self, keys: np.ndarray, nth: int = 0) -> np.ndarray:
-        """Log-ratio of each event, as far as the nth part has it; an unseen event has that of its context."""
-        if not self.parts:
-            ratio = self.event[slots(keys, self.bits)]
-            unseen = np.isnan(ratio)
-            ratio[unseen] = self.context[slots(keys[unseen] >> np.uint64(8), self.bits)]
-            return ratio
-        if len(self.parts) > 1:
-            ratio, own = np.zeros(len(keys), np.float32), part_of(keys >> np.uint64(8), len(self.parts)) == nth
-            ratio[own] = self.looked_up(keys[own], nth)
-            return ratio
-        return self.looked_up(keys, 0)
+    def ratios(self, keys: list[np.ndarray]) -> list[np.ndarray]:
+        """Log-ratio of each event; an unseen event has that of its context.  Each part is opened once."""
+        if len(self.parts) == 1:
+            return [self.looked_up(x, 0) for x in keys]
+        out = [np.zeros(len(x), np.float32) for x in keys]
+        part = [part_of(x >> np.uint64(8), len(self.parts)) for x in keys]
+        for nth in range(len(self.parts)):
+            for ratio, x, own in zip(out, keys, part):
+                here = np.flatnonzero(own == nth)
+                ratio[here] = self.looked_up(x[here], nth)
+        return out
 
     def looked_up(self, keys: np.ndarray, nth: int) -> np.ndarray:
         event, context = self.tables(nth)
@@ -182,29 +197,52 @@ class Model:
         """Length-normalised log-ratios of each whole text, its most toxic passage and its most toxic word."""
         texts = lower(values)
         out = np.zeros((len(texts), 3))
-        if len(self.parts) <= 1:
-            for a, b in chunks(texts):
-                out[a:b] = measures(*self.words(texts[a:b], 0))
-            return out
-        passes, sums = list(chunks(texts)), []
-        for nth in range(len(self.parts)):
-            for i, (a, b) in enumerate(passes):
-                word, *where = self.words(texts[a:b], nth)
-                if nth:
-                    sums[i][0] += word
-                else:
-                    sums.append([word, *where])
-        for (a, b), own in zip(passes, sums):
-            out[a:b] = measures(*own)
+        group: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def done() -> None:
+            for (a, b, keys, of, words), ratio in zip(group, self.ratios([x[2] for x in group])):
+                first = np.flatnonzero(begins(keys))
+                word = np.add.reduceat(ratio.astype(float), first) if len(first) else np.empty(0)
+                out[a:b] = measures(word, of[first], words)
+
+        for a, b in chunks(texts):
+            if len(texts[a]) > CHUNK_BYTES:
+                word = self.long_words(texts[a])
+                out[a] = measures(word, np.zeros(len(word), np.int64), np.array([len(word)]))[0]
+                continue
+            group.append((a, b, *events(texts[a:b])))
+            size += sum(map(len, texts[a:b]))
+            if len(self.parts) == 1 or size >= GROUP_BYTES:
+                done()
+                group, size = [], 0
+        done()
         return out
 
-    def words(self, texts: list[bytes], nth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Log-ratio of each word, as far as the nth part has it; the text of each word; the words of each text."""
-        keys, of, words = events(texts)
-        if not len(keys):
-            return np.empty(0), of, words
-        first = np.flatnonzero((keys >> np.uint64(8) == MARK) & (keys & np.uint64(255) != MARK))
-        return np.add.reduceat(self.ratios(keys, nth).astype(float), first), of[first], words
+    def long_words(self, text: bytes) -> np.ndarray:
+        """Log-ratio of each word of one long text."""
+        out: list[np.ndarray] = []
+        going, some = 0.0, False  # the word that the last tile left open
+        held: list[np.ndarray] = []
+
+        def done() -> None:
+            nonlocal going, some
+            for keys, ratio in zip(held, self.ratios(held)):
+                first, ratio = np.flatnonzero(begins(keys)), ratio.astype(float)
+                if not len(first):
+                    going += ratio.sum()
+                    continue
+                sums = np.add.reduceat(ratio, first)
+                out.append(np.r_[[going + ratio[: first[0]].sum()] if some else [], sums[:-1]])
+                going, some = sums[-1], True
+
+        for keys in event_tiles(text):
+            held.append(keys)
+            if len(self.parts) == 1 or len(held) * CHUNK_BYTES >= GROUP_BYTES:
+                done()
+                held = []
+        done()
+        return np.concatenate([*out, [going] if some else []])
 
     def features_of(self, batches: Iterator[pa.Array]) -> Iterator[np.ndarray]:
         """Features of each batch; several parts are read once for about ``GROUP_BYTES`` of texts."""
@@ -258,12 +296,16 @@ def count_events(training: DataFrame, text: str, label: str) -> DataFrame:
         for batch in batches:
             texts, labels = lower(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False)
             for a, b in chunks(texts):
-                keys, of, _ = events(texts[a:b])
-                toxic = labels[a:b][of] == 1
-                found, index = np.unique(keys, return_inverse=True)
-                parts.append((found, np.stack([np.bincount(index[toxic == y], minlength=len(found)) for y in (False, True)], axis=1)))
-                if len(parts) >= 16:
-                    parts = merge(parts)
+                if len(texts[a]) > CHUNK_BYTES:
+                    passes = ((keys, np.full(len(keys), labels[a] == 1)) for keys in event_tiles(texts[a]))
+                else:
+                    keys, of, _ = events(texts[a:b])
+                    passes = [(keys, labels[a:b][of] == 1)]
+                for keys, toxic in passes:
+                    found, index = np.unique(keys, return_inverse=True)
+                    parts.append((found, np.stack([np.bincount(index[toxic == y], minlength=len(found)) for y in (False, True)], axis=1)))
+                    if len(parts) >= 16:
+                        parts = merge(parts)
         if parts:
             keys, counts = merge(parts)[0]
             for i in range(0, len(keys), 100_000):

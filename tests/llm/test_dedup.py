@@ -40,16 +40,46 @@ def test_exact_decisions(spark):
     check_decisions(exact_dedup.decide(documents(spark, **CLASHES).repartition(5)).collect())
 
 
-def test_exact_decisions_with_a_filter_in_ranges(spark, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "ranges", lambda n, *a, **k: (3, 1 << 16))
-    check_decisions(exact_dedup.decide(documents(spark).repartition(3)).collect())
+def small_filters(monkeypatch):
+    """A filter of several blocks that is above what is sent out."""
+    monkeypatch.setattr(exact_dedup, "blocks_for", lambda n, *a: 3)
+    monkeypatch.setattr(exact_dedup, "RANGE_BITS", 1 << 16)
 
 
-@pytest.mark.parametrize("ranges", [1, 3])
-def test_exact_copies_go(spark, monkeypatch, ranges):
-    monkeypatch.setattr(exact_dedup, "ranges", lambda n, *a, **k: (ranges, 1 << 16))
+def test_exact_decisions_with_the_filter_on_spark(spark, monkeypatch):
+    small_filters(monkeypatch)
+    check_decisions(exact_dedup.decide(documents(spark).repartition(3), range_bits=1 << 16).collect())
+
+
+def test_text_ids(spark):
+    docs = documents(spark).withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    kept = exact_dedup.deduplicate(docs)
+    assert sorted(squeezed(r.text) for r in kept.collect()) == sorted(exact_groups())
+    assert {r.keep_id for r in exact_dedup.decide(docs).collect()} == {r.doc_id for r in kept.collect()}
+    assert simhash.representatives(docs).count() == len(set(brute_components([brute_print(r[1]) for r in rows()])))
+
+
+def test_hashes_that_meet_their_filter_block(spark, monkeypatch):
+    """Every repeated hash is found, few others, and a hash that a third of all rows have is one row where blocks meet."""
+    rng = np.random.default_rng(11)
+    values = [int(x) for x in rng.integers(-(2**62), 2**62, 30_000)]
+    values += values[:5000] + [values[7]] * 15_000
+    hashes = spark.createDataFrame([(x,) for x in values], "_hash long").repartition(6)
+    monkeypatch.setattr(exact_dedup, "blocks_for", lambda n, *a: 40)
+    found = [r[0] for r in exact_dedup.suspect_hashes(hashes, len(values)).collect()]
+    assert len(found) == len(set(found)) and set(values[:5000]) <= set(found) and len(found) < 5600
+
+
+def test_filter_on_the_driver_is_packed(spark):
+    assert exact_dedup.RANGE_BITS // 8 == 32 << 20 and not exact_dedup.fits(10_000_000) and exact_dedup.fits(5_000_000)
+    assert exact_dedup.packed_block(np.array([0, 9, 65535], np.uint16).tobytes()).nbytes == exact_dedup.BLOCK_BITS // 8
+
+
+@pytest.mark.parametrize("range_bits", [1 << 28, 1 << 16])
+def test_exact_copies_go(spark, monkeypatch, range_bits):
+    monkeypatch.setattr(exact_dedup, "blocks_for", lambda n, *a: 3)
     docs = documents(spark, **CLASHES).repartition(4)
-    out = exact_dedup.deduplicate(docs)
+    out = exact_dedup.deduplicate(docs, range_bits=range_bits)
     assert out.dtypes == docs.dtypes
     found = out.collect()
     texts = [squeezed(r.text) for r in found]
@@ -63,7 +93,7 @@ def test_bloom_filter_has_no_false_negative(spark):
     values = rng.integers(-(2**62), 2**62, 20_000)
     values[:4000] = values[4000:8000]
     hashes = spark.createDataFrame([(int(x),) for x in values], "h long").repartition(7)
-    test = exact_dedup.prober(hashes, "h", exact_dedup.ranges(len(values))[1])
+    test = exact_dedup.prober(hashes, "h", exact_dedup.blocks_for(len(values)))
     assert test(values[:8000]).all()
     assert test(values[8000:]).mean() < 0.01
 
@@ -187,10 +217,10 @@ def brute_lines(data):
     return sorted(out)
 
 
-@pytest.mark.parametrize("ranges", [1, 3])
-def test_repeated_lines(spark, monkeypatch, ranges):
-    monkeypatch.setattr(line_dedup, "ranges", lambda n, *a, **k: (ranges, 1 << 16))
-    monkeypatch.setattr(exact_dedup, "ranges", lambda n, *a, **k: (ranges, 1 << 16))
-    out = line_dedup.drop_repeated_lines(documents(spark, **CLASHES).repartition(4))
+@pytest.mark.parametrize("range_bits", [1 << 28, 1 << 16])
+def test_repeated_lines(spark, monkeypatch, range_bits):
+    for module in (exact_dedup, line_dedup):
+        monkeypatch.setattr(module, "blocks_for", lambda n, *a: 3)
+    out = line_dedup.drop_repeated_lines(documents(spark, **CLASHES).repartition(4), range_bits=range_bits)
     got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in out.collect())
     assert got == brute_lines(rows()) and sum(x[2] for x in got) > 0

@@ -51,3 +51,12 @@ def test_stages(spark, scratch):
         assert fill.get(r.sequence_id, 0) == r.offset
         fill[r.sequence_id] = r.offset + r.length
     assert max(fill.values()) <= 1024 and sum(r.piece == 0 for r in after) == len(before)
+
+
+def test_run_on_whole_and_on_empty_tables(spark, scratch):
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    assert len(out) > 100 and {r.piece for r in out} >= {0} and max(r.offset + r.length for r in out) <= 1024
+    source = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
+    source.write.parquet(f"{scratch}/documents.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/labels.parquet").limit(0).write.parquet(f"{scratch}/labels.parquet")
+    assert corpus_pipeline.run(spark, scratch).count() == 0

@@ -5,10 +5,11 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
-from cohortlens.llm import langid, secret_scan, topk, toxicity
+from cohortlens.llm import common, langid, secret_scan, topk, toxicity
 from tests.llm.util import CLASHES, documents, empty, prose, rows
 
 # ---- secrets
@@ -177,14 +178,62 @@ def test_no_labels_no_texts(spark):
     assert toxicity.score(empty(spark), toxicity.train(empty(spark), marks)).count() == 0
 
 
-def test_passes_do_not_change_features(monkeypatch):
-    rng = np.random.default_rng(1)
-    model = toxicity.Model(rng.normal(size=1 << 10).astype(np.float32), rng.normal(size=1 << 10).astype(np.float32), 10)
+class Sent:
+    """A part that was sent out."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def made_up_model(n_parts=1, seed=1):
+    """Ratios for the events of the fixture's texts, in parts by context."""
+    keys = np.unique(toxicity.events([(r[1] or "").lower().encode() for r in rows()])[0])[::2]
+    rng = np.random.default_rng(seed)
+    event, contexts = rng.normal(size=len(keys)), np.unique(keys >> np.uint64(8))
+    context = rng.normal(size=len(contexts))
+    part, of = (toxicity.part_of(x, n_parts) for x in (contexts, keys >> np.uint64(8)))
+    parts = [Sent((toxicity.Table.of(keys[of == i], event[of == i]), toxicity.Table.of(contexts[part == i], context[part == i]))) for i in range(n_parts)]
+    return toxicity.Model(parts)
+
+
+def test_passes_tiles_and_parts_do_not_change_features(monkeypatch):
     values = pa.array([r[1] for r in rows()])
-    whole = model.features(values)
-    monkeypatch.setattr(toxicity, "chunks", lambda texts: [(i, i + 1) for i in range(len(texts))])
-    assert np.allclose(model.features(values), whole)
-    assert whole[60].tolist() == [0, 0, 0]  # a null text
+    whole = made_up_model().features(values)
+    assert whole[60].tolist() == [0, 0, 0] and np.abs(whole).max() > 0  # a null text
+    assert np.array_equal(made_up_model(5).features(values), whole)
+    for size in (1 << 19, 64, 7, 1):
+        monkeypatch.setattr(toxicity, "CHUNK_BYTES", size)
+        monkeypatch.setattr(toxicity, "tiles", lambda text, overlap, size=size: common.tiles(text, overlap, size))
+        monkeypatch.setattr(toxicity, "chunks", lambda texts: [(i, i + 1) for i in range(len(texts))])
+        few = values.take(pa.array([i for i, x in enumerate(values.to_pylist()) if len(x or "") < (10**9 if size > 64 else 300)]))
+        want = made_up_model().features(few) if size > 64 else whole[[i for i, x in enumerate(values.to_pylist()) if len(x or "") < 300]]
+        for n_parts in (1, 3):
+            assert np.allclose(made_up_model(n_parts).features(few), want, rtol=1e-6)
+
+
+def test_long_texts_take_little_room():
+    """Texts of 20 MB, of words and of one word, in a process of their own."""
+    code = """
+import resource, numpy as np, pyarrow as pa
+from cohortlens.llm import langid, toxicity
+class Sent: pass
+sent = Sent(); sent.value = tuple(toxicity.Table.of(np.arange(1000, dtype=np.uint64), np.ones(1000)) for _ in range(2))
+tox = toxicity.Model([sent])
+lang = langid.Model(["a", "b"], langid.codewords(2), np.ones((1 << langid.SLOT_BITS, 1), np.float32))
+texts = [pa.array(["some words " * 2_000_000]), pa.array(["x" * 20_000_000])]
+for text in texts:
+    tox.features(text.slice(0, 0)), lang.margins(text.slice(0, 0))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for text in texts:
+    assert np.isfinite(tox.features(text)).all() and np.isfinite(lang.margins(text)).all()
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    import pathlib
+    import subprocess
+    import sys
+
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=pathlib.Path(__file__).parents[2])
+    assert int(out.stdout) < 500
 
 
 def test_most_toxic_passage_starts_at_any_word():
@@ -217,7 +266,7 @@ def test_every_event_keeps_its_own_ratio(spark, n_parts):
     assert len(model.parts) == n_parts and len(wanted) > 50_000
 
     def found(keys):
-        return sum(model.ratios(keys, nth) for nth in range(n_parts))
+        return model.ratios([keys])[0]
 
     keys = wanted["key"].to_numpy(np.uint64)
     assert np.allclose(found(keys), wanted["event"], atol=1e-5)
@@ -236,9 +285,43 @@ def test_parts_of_a_model_do_not_change_scores(spark, monkeypatch):
     training = toxicity.labelled(docs, marks)
     whole, parted = (toxicity.fit(training, n_rows=120, part_events=n) for n in (1 << 22, 500))
     assert len(whole.parts) == 1 and len(parted.parts) > 3
-    assert np.allclose(whole.weights, parted.weights, rtol=1e-3)
+    assert whole.weights == parted.weights
     a, b = (sorted((str(r.doc_id), r.score) for r in toxicity.score(docs, m).collect()) for m in (whole, parted))
-    assert [x[0] for x in a] == [x[0] for x in b] and np.allclose([x[1] for x in a], [x[1] for x in b], atol=1e-4)
+    assert a == b  # to the bit
+
+
+# ---- secrets, long chains
+
+
+def test_chains_of_constants_are_linear():
+    """Doubling chains, appended literals and long texts: what they find, in time in proportion to the text."""
+    import time
+
+    chain = 'x0 = "aB3$"\n' + "".join(f"x{i + 1} = x{i} + x{i}\n" for i in range(200)) + "password_key = x200\n"
+    found = secret_scan.lexed(chain)
+    assert [(a, b) for a, b, _ in found] == [(6, 10)]
+    text = 'x0 = "aB"\nx1 = x0 + x0\nx2 = x1 + x1 + "9$"\ntoken = x2 + "zz"'
+    assert [text[a:b] for a, b, _ in secret_scan.lexed(text)] == ["aB", "9$", "zz"]
+
+    def seconds(text):
+        start = time.process_time()
+        secret_scan.spans(text)
+        return time.process_time() - start
+
+    appended = lambda n: 'token = "q1"\n' + 'token = token + "aB3$x9"\n' * n
+    text = appended(2000)
+    assert len(secret_scan.lexed(text)) == 2001
+    for make, n in ((appended, 20_000), (lambda n: "key = 1\n" + "a = b; " * n, 100_000), (lambda n: "secret: " + '"k", ' * n, 100_000), (lambda n: 'password = "Zx81kLmn2Qp"; h="0123456789abcdef01234567"\n' * n, 8_000)):
+        short, long = seconds(make(n)), seconds(make(4 * n))
+        assert long < 8 * short + 0.5, (make(3), short, long)
+
+
+def test_tokens_of_a_long_text_are_not_held():
+    tokens = secret_scan.Tokens("a = b; " * 200_000)
+    for i in range(0, 790_000):
+        assert tokens[i + 3][0]
+        tokens.forget(i - 1)
+        assert len(tokens._held) < 5000
 
 
 # ---- language
@@ -278,6 +361,60 @@ def test_few_languages(spark):
     assert langid.identify(empty(spark), langid.train(empty(spark))).count() == 0
 
 
+def plain_margin(model, text):
+    """The mean weight of each bit, by loops over the letters of one text."""
+    data = b" " + "".join(c.lower() for c in text or "").encode() + b" "
+    shown = bytes(c if c in b"abcdefghijklmnopqrstuvwxyz'" or c >= 128 else 32 for c in data)
+    slots = []
+    for at in range(len(shown)):
+        if at >= 1 + langid.GRAM - 2 and (shown[at] != 32 or shown[at - 1] != 32):
+            key = sum(shown[at - j] << 8 * j for j in range(langid.GRAM))
+            slots.append((key * 0x9E3779B1 % 2**32) >> (32 - langid.SLOT_BITS))
+    return slots, sum((model.weights[x] for x in slots), np.zeros(model.weights.shape[1])) / math.sqrt(len(slots) + 1)
+
+
+def test_counts_weights_and_decoding_against_plain_python(spark):
+    texts = [(i, x, y, "a", 0) for i, (x, y) in enumerate([("an", "xa"), ("the an", "xa"), ("die der ü", "xb"), ("de la", "xc"), ("n", "xb"), ("An'the!! on", "xc"), (None, "xa"), ("", "xb"), ("12", "xc"), ("zzzz", "xb")] * 3)]
+    training = documents(spark, texts).repartition(3)
+    model = langid.fit(training, n_rows=len(texts))
+    counts = {}
+    for _, x, y, *_ in texts:
+        for slot in plain_margin(model, x)[0]:
+            counts.setdefault(y, {}).setdefault(slot, 0)
+            counts[y][slot] += 1
+    assert {(r.lang, r.slot): r.n for r in langid.count_grams(training, "text", "lang").collect()} == {(y, s): n for y, own in counts.items() for s, n in own.items()}
+    size = 1 << langid.SLOT_BITS
+    p = {y: [(counts[y].get(s, 0) + langid.SMOOTHING) / (sum(counts[y].values()) + langid.SMOOTHING * size) for s in range(size)] for y in model.languages}
+    for bit in range(model.code.shape[1]):
+        on, off = ([y for y, word in zip(model.languages, model.code) if word[bit] == v] for v in (1, 0))
+        for s in (plain_margin(model, "the an")[0] + [5]):
+            assert np.isclose(model.weights[s, bit], math.log(np.mean([p[y][s] for y in on]) / np.mean([p[y][s] for y in off])), rtol=1e-4)
+    found = model.predict(pd.Series([x for _, x, *_ in texts], dtype=object))
+    for i, (_, x, *_) in enumerate(texts):
+        margin = np.clip(plain_margin(model, x)[1], -30, 30)
+        loss = [sum(r * math.log1p(math.exp(-m * (1 if b else -1))) for r, m, b in zip(model.reliability, margin, word)) for word in model.code]
+        known = x is not None and any(map(str.isalpha, x))
+        best = min(range(len(loss)), key=loss.__getitem__)
+        share = 1 / sum(math.exp(loss[best] - z) for z in loss)
+        assert found["language"][i] == (model.languages[best] if known else "und") and np.isclose(found["score"][i], share if known else 0.0)
+
+
+def test_an_answer_does_not_depend_on_neighbours(spark, monkeypatch):
+    training = documents(spark, [(i, x, y, "a", 0) for i, (x, y) in enumerate([("an the on", "en"), ("der die das", "de"), ("zz top", "de")] * 4)])
+    model = langid.fit(training, n_rows=12)
+    texts = ["an", "on", "zzzz", "n", "", "der an", "x" * 40, "the die das on an " * 9]
+    alone = pd.concat([model.predict(pd.Series([x])) for x in texts], ignore_index=True)
+    for order in (range(8), range(7, -1, -1), (2, 0, 1, 3, 4, 5, 6, 7)):
+        together = model.predict(pd.Series([texts[i] for i in order]))
+        assert together.equals(alone.iloc[list(order)].reset_index(drop=True))
+    for size in (64, 16, 5):
+        monkeypatch.setattr(langid, "CHUNK_BYTES", size)
+        monkeypatch.setattr(langid, "tiles", lambda text, overlap, size=size: common.tiles(text, overlap, size))
+        monkeypatch.setattr(langid, "chunks", lambda texts: [(i, i + 1) for i in range(len(texts))])
+        tiled = model.predict(pd.Series(texts))
+        assert list(tiled["language"]) == list(alone["language"]) and np.allclose(tiled["score"], alone["score"])
+
+
 # ---- top-k
 
 
@@ -290,35 +427,50 @@ def vectors(n=900, d=10):
 
 
 def brute_top(data, k, every):
-    scaled = {i: [math.floor(256 * x) for x in v] for i, v in data}
-    out = set()
-    for q, v in scaled.items():
+    scaled = [(i, [math.floor(256 * x) for x in v]) for i, v in data]
+    out = []
+    for n, (q, v) in enumerate(scaled):
         if q % every == 0:
-            best = sorted((-sum(a * b for a, b in zip(v, w)), c) for c, w in scaled.items() if c != q)[:k]
-            out |= {(q, rank, c, -s) for rank, (s, c) in enumerate(best, 1)}
-    return out
+            best = sorted((-sum(a * b for a, b in zip(v, w)), c) for m, (c, w) in enumerate(scaled) if m != n)[:k]
+            out += [(q, rank, c, -s) for rank, (s, c) in enumerate(best, 1)]
+    return sorted(out)
 
 
-def test_top_k(spark, monkeypatch):
+@pytest.mark.parametrize("group", [1024, 2])
+def test_top_k(spark, monkeypatch, group):
     monkeypatch.setattr(topk, "SHARD", 150)
     monkeypatch.setattr(topk, "BLOCK", 20)
+    monkeypatch.setattr(topk, "GROUP", group)
     good = vectors()
+    good += [good[5], good[5], (good[5][0], good[6][1]), (100, good[7][1]), (100, good[8][1])]  # ids that repeat, with one vector and with others
     odd = [(2000, None), (2050, [1.0, None]), (2100, [float("nan")] * 10), (2150, [float("inf")] * 10), (None, [1.0] * 10), (2200, [])]
-    df = spark.createDataFrame([(*r, "c") for r in good + odd + [good[5]]], "vec_id long, embedding array<float>, score string").repartition(5)
+    df = spark.createDataFrame([(*r, "c") for r in good + odd], "vec_id long, embedding array<float>, score string").repartition(5)
     found = topk.top_k(df, k=5, every=50)
-    assert {tuple(r) for r in found.collect()} == brute_top(good, 5, 50)
+    assert sorted(tuple(r) for r in found.collect()) == brute_top(good, 5, 50)
     few = spark.createDataFrame(good[:3] + [(50, [0.5] * 10)], "vec_id long, embedding array<float>")
-    assert {tuple(r) for r in topk.top_k(few, k=5, every=50).collect()} == brute_top([*good[:3], (50, [0.5] * 10)], 5, 50)
+    assert sorted(tuple(r) for r in topk.top_k(few, k=5, every=50).collect()) == brute_top([*good[:3], (50, [0.5] * 10)], 5, 50)
     assert topk.top_k(few.limit(0)).count() == 0
 
 
+def test_large_components_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD", 40)
+    monkeypatch.setattr(topk, "BLOCK", 8)
+    rng = np.random.default_rng(3)
+    data = [(i, [(1e7 if i % 3 else -1.0) * (-1) ** i, *[float(x) for x in rng.normal(size=3)]]) for i in range(200)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    assert sorted(tuple(r) for r in topk.top_k(df, k=5, every=50).collect()) == brute_top(data, 5, 50)
+    huge = spark.createDataFrame([(0, [1e300, 1.0]), (1, [1e300, 1.0]), (2, [-1e300, 1.0]), (3, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    got = topk.top_k(huge, k=5, every=50).orderBy("rank").collect()
+    assert [(r.vec_id, r.score > 0) for r in got] == [(1, True), (3, True), (2, False)]  # clipped, not an error
+
+
 def test_blocks_are_left_out():
     rng = np.random.default_rng(1)
-    blocks = [(np.arange(20) + 20 * b, rng.integers(b, b + 3, (20, 8)).astype(np.int32)) for b in range(30)]
-    low, high = (np.stack([f(v, axis=0) for _, v in blocks]) for f in (np.min, np.max))
+    blocks = [(np.arange(20) + 20 * b, np.arange(20) + 20 * b, rng.integers(b, b + 3, (20, 8)).astype(np.int32)) for b in range(30)]
+    low, high = (np.stack([f(v, axis=0) for *_, v in blocks]) for f in (np.min, np.max))
     queries = rng.integers(1, 5, (7, 8)).astype(np.int32)
     best = topk.Best(7, 5)
     scored = topk.search(best, np.full(7, -1), queries, blocks, low, high)
     assert scored < 7 * 30 / 4
-    whole = queries.astype(int) @ np.concatenate([v for _, v in blocks]).T
+    whole = queries.astype(int) @ np.concatenate([v for *_, v in blocks]).T
     assert np.array_equal(best.scores, -np.sort(-whole, axis=1)[:, :5])
