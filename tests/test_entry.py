@@ -1,5 +1,7 @@
 """The driver contract of __spark_entry__."""
 
+import pytest
+
 import __spark_entry__ as entry_mod
 from cohortlens.plans.queries import QUERIES
 
@@ -24,14 +26,15 @@ def test_query_columns_unique(spark):
         assert len(cols) == len(set(cols)), name
 
 
-def test_entry_works_without_the_llm_subpackage(tmp_path):
+@pytest.mark.parametrize("also", [(), ("corpus_pipeline.py",)])
+def test_entry_works_without_the_llm_subpackage(tmp_path, also):
     import pathlib
     import shutil
     import subprocess
     import sys
 
     root = pathlib.Path(entry_mod.__file__).parent
-    skip = shutil.ignore_patterns(".git", "__pycache__", "llm", "corpus_pipeline.py", "*.md", "*.json")
+    skip = shutil.ignore_patterns(".git", "__pycache__", "llm", *also, "*.md", "*.json")
     shutil.copytree(root, tmp_path / "repo", ignore=skip)
     code = "import __spark_entry__ as e; print(len(e.queries()), sorted(e.queries()) == sorted(e.oracle_sql()))"
     found = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", capture_output=True, text=True, check=True)
