@@ -23,6 +23,8 @@ from cohortlens.operators.joins import split_hot_keys
 MAX_FLAGS = 10_000
 #: Flags of one word: the sign bit stays clear.
 WORD_FLAGS = 63
+#: Names that are searched in a literal list for each concept.
+SEARCHED = 256
 
 
 def flag_names(sets: DataFrame, max_flags: int = MAX_FLAGS) -> list[str]:
@@ -40,12 +42,20 @@ def flag_names(sets: DataFrame, max_flags: int = MAX_FLAGS) -> list[str]:
 
 
 def concept_words(concepts: DataFrame, names: list[str]) -> DataFrame:
-    """Of each concept: ``concept_id``, ``word`` and ``bits``, a row for each word that it has flags in."""
-    listed = concepts.sparkSession.range(1).select(F.posexplode(F.from_json(F.lit(json.dumps(names)), "array<string>")).alias("number", "column_name"))
-    rows = concepts.join(listed, "column_name").select(
-        "concept_id", F.floor(F.col("number") / WORD_FLAGS).cast("int").alias("word"), F.expr(f"1L << (number % {WORD_FLAGS})").alias("bit")
-    )
-    return rows.groupBy("concept_id", "word").agg(F.bit_or("bit").alias("bits"))
+    """Rows (concept_id, word, bits): the bit of each of a concept's flags that are among ``names``.
+
+    The list of names is a literal: a few are searched in place, more are
+    joined.  (A concept with several flags may have several rows; ``bit_or``
+    puts them together with those of its events.)
+    """
+    listed = F.from_json(F.lit(json.dumps(names)), "array<string>")
+    if len(names) <= SEARCHED:
+        rows = concepts.select("concept_id", (F.array_position(listed, F.col("column_name")) - 1).alias("number")).where("number >= 0")
+    else:
+        numbered = concepts.sparkSession.range(1).select(F.posexplode(listed).alias("number", "column_name"))
+        rows = concepts.join(numbered, "column_name")
+    word = F.floor(F.col("number") / WORD_FLAGS).cast("int")
+    return rows.select("concept_id", word.alias("word"), F.expr(f"1L << cast(number % {WORD_FLAGS} AS int)").alias("bits"))
 
 
 def n_words(names: list[str]) -> int:
@@ -74,7 +84,7 @@ def packed(names: list[str]) -> list[Column]:
 
 def coded_events(
     cohort: DataFrame, conditions: DataFrame, members: DataFrame, sets: DataFrame, names: list[str], *,
-    until: str | None = None, concepts: DataFrame | None = None, key_bits: int | None = KEY_BITS,
+    until: str | None = None, concepts: DataFrame | None = None, key_bits: int | None = KEY_BITS, held: Column | None = None,
 ) -> DataFrame:
     """Rows (person_id, comorbidity_start_date, word, bits): the cohort's dated conditions that have a flag.
 
@@ -82,7 +92,8 @@ def coded_events(
     written as a stage; its bytes then decide whether the planner broadcasts
     it into the scan of conditions, so that only matched rows leave the map
     side.  Rows of persons outside the cohort are dropped in the scan stage by
-    a bitmap of its ids (``functions.keys``; None: without).  The rest is
+    a bitmap of its ids (``functions.keys``; None: without; ``held``: a summary
+    of the same persons that the plan has already).  The rest is
     joined to the cohort's person ids (an inner join, one shuffle by person).
     (A semi join with the cohort would be moved by the optimizer below the
     concept join, shuffling every condition row; the inner join keeps the
@@ -92,7 +103,8 @@ def coded_events(
     listed = comorbidity_concepts(members, sets) if concepts is None else concepts
     events = conditions.where(F.col("condition_start_date").isNotNull())
     if key_bits:
-        events = events.where(may_hold(summary(cohort, bits=key_bits), "person_id", key_bits))
+        held = summary(cohort, bits=key_bits) if held is None else held
+        events = events.where(may_hold(held, "person_id", key_bits))
     events = events.select(
         "person_id",
         F.col("condition_start_date").alias("comorbidity_start_date"),

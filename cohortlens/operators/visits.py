@@ -51,13 +51,18 @@ def window_match(event_date: str, *, require_both: bool, before: int, after: int
     return near(INDEX, event_date, before, after)
 
 
+def cohort_summary(cohort: DataFrame, date: str = INDEX, key_bits: int = KEY_BITS):
+    """The persons with that date, and the span of it, as one value (``functions.keys.summary``)."""
+    return summary(index_dates(cohort).where(F.col(date).isNotNull()), date=date, bits=key_bits)
+
+
 def in_cohort_reach(event_date, cohort, *, require_both: bool, before: int, after: int, key_bits: int | None = KEY_BITS):
     """Prefilter for a window match: the event's date lies in the span of all index dates, and its
     person is in the cohort as far as a bitmap of ``key_bits`` tells (None: dates only)."""
     date = LAB if require_both else INDEX
     if not key_bits:
         return within_span(event_date, index_dates(cohort), date, before, after)
-    held = summary(index_dates(cohort).where(F.col(date).isNotNull()), date=date, bits=key_bits)
+    held = cohort_summary(cohort, date, key_bits)
     return may_be_near(held, event_date, before, after) & may_hold(held, "person_id", key_bits)
 
 

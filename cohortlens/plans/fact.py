@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.keys import KEY_BITS
@@ -12,7 +12,7 @@ from cohortlens.operators.demographics import clean_demographics
 from cohortlens.operators.enrich import INDEX_DATE, enrich, sample_cohort, with_death
 from cohortlens.operators.flags import MAX_FLAGS, coded_events, flag_names, person_words, with_flags
 from cohortlens.operators.stays import stays_after
-from cohortlens.operators.visits import first_index_visits, index_visits
+from cohortlens.operators.visits import cohort_summary, first_index_visits, index_visits
 from cohortlens.sources.tables import Tables
 
 
@@ -28,7 +28,9 @@ class FactOptions:
     seed: int = 111
     max_flags: int = MAX_FLAGS  # how many flag columns are allowed
     flags_until: str | None = None  # e.g. the index date: only conditions on or before it count
-    key_bits: int | None = KEY_BITS  # bits of the map of the cohort's ids that events are filtered by (None: without)
+    # bits of the map of the cohort's ids that events are filtered by before they shuffle; None: the workflow, whose
+    # cohort is written, takes as many as its rows need, and a lazy fact goes without (its cohort would run once more); 0: never
+    key_bits: int | None = None
     check_keys: bool = True  # the workflow fails if a person id repeats in the cohort or among the persons
 
 
@@ -50,6 +52,7 @@ def cohort_with_flags(
     persons: DataFrame | None = None,
     until: str | None = None,
     key_bits: int | None = KEY_BITS,
+    held: Column | None = None,
 ) -> DataFrame:
     """The cleaned cohort with one comorbidity flag per name (T4-T5).
 
@@ -57,7 +60,7 @@ def cohort_with_flags(
     narrow table of the same persons keeps the wide lineage out of that join.
     """
     names = flag_names(t.sets) if names is None else names
-    events = coded_events(clean if persons is None else persons, t.conditions, t.members, t.sets, names, until=until, key_bits=key_bits)
+    events = coded_events(clean if persons is None else persons, t.conditions, t.members, t.sets, names, until=until, key_bits=key_bits, held=held)
     return with_flags(clean, person_words(events, names), names) if names else clean
 
 
@@ -70,7 +73,9 @@ def person_fact(t: Tables, opts: FactOptions = FactOptions(), names: list[str] |
     """
     base = index_cohort(t, opts)
     names = flag_names(t.sets, opts.max_flags) if names is None else names
-    flagged = cohort_with_flags(t, clean_cohort(t, opts), names, persons=base, until=opts.flags_until, key_bits=opts.key_bits)
+    # all persons of the fact have an index date: flags are filtered by the value that visits are, computed once
+    held = cohort_summary(base, key_bits=opts.key_bits) if opts.key_bits else None
+    flagged = cohort_with_flags(t, clean_cohort(t, opts), names, persons=base, until=opts.flags_until, key_bits=opts.key_bits or None, held=held)
     return index_visits(
         flagged,
         t.visits,
@@ -81,7 +86,7 @@ def person_fact(t: Tables, opts: FactOptions = FactOptions(), names: list[str] |
         before=opts.days_before,
         after=opts.days_after,
         index_cohort=base,
-        key_bits=opts.key_bits,
+        key_bits=opts.key_bits or None,
     )
 
 
@@ -92,7 +97,7 @@ def person_death(t: Tables, fact: DataFrame) -> DataFrame:
 def stay_anchors(t: Tables, opts: FactOptions = FactOptions()) -> DataFrame:
     """Person, index date, start and end of the first index stay: what later stays need of the fact."""
     base = index_cohort(t, opts)
-    window = dict(require_both=opts.require_both, before=opts.days_before, after=opts.days_after, key_bits=opts.key_bits)
+    window = dict(require_both=opts.require_both, before=opts.days_before, after=opts.days_after, key_bits=opts.key_bits or None)
     return base.join(first_index_visits(base, t.visits, t.members, t.sets, with_er=False, **window), "person_id", "left")
 
 

@@ -53,8 +53,8 @@ def with_row_counts(df: DataFrame, name: str, **conditions) -> tuple[DataFrame,
 
 
 def fitting_bits(persons: DataFrame, asked: int | None) -> int | None:
-    """Bits for the map of a written cohort's ids: as asked, or, if that is the default, as many as its rows need."""
-    return bits_for(persons.count()) if asked == KEY_BITS else asked
+    """Bits for the map of a written cohort's ids: as asked (0: no map), or as many as its rows need."""
+    return bits_for(persons.count()) if asked is None else asked or None
 
 
 def later_stays_observed(fact: DataFrame, visits: DataFrame, key_bits: int | None = KEY_BITS) -> tuple[DataFrame, Observation]:
