@@ -12,8 +12,11 @@ Scale: queries start in the shard they lie in, which gives a k-th score before
 any other shard is looked at; a chunk of queries then travels only to shards
 whose summed maxima can still reach it.  The maxima of ``GROUP`` shards are one
 row; a chunk meets these rows in a join and finds its shards in one product
-with each.  A task holds one shard and streams query chunks past it.  Nothing
-is broadcast or sent to the driver.
+with each.  These routes are a narrow written table; blocks that no chunk
+travels to don't shuffle again.  A task holds one shard and streams query
+chunks past it, up to about ``VISITS``: a shard that more travel to is visited
+in parts, each with a copy of its blocks.  Nothing is broadcast; the driver
+gets two counts.
 
 Cases: a row whose id or vector is null, or whose vector is empty or has a
 null or non-finite component, takes no part; vectors of different lengths are
@@ -40,6 +43,8 @@ from cohortlens.llm.common import col, salts, spread, written
 BLOCK, SHARD = 256, 8192
 #: Shards whose maxima are one row.
 GROUP = 1024
+#: Query chunks that are dealt to one copy of a shard's blocks.
+VISITS = 256
 SIGNS = 12
 NONE = np.iinfo(np.int64).min + 1  # its negative is a long, too
 _LONG = np.iinfo(np.int64)
@@ -177,14 +182,14 @@ def _vectors(data: bytes, n: int, wide: bool) -> np.ndarray:
 
 
 def visit(k: int):
-    """Over rows of one shard after another, its blocks first, then query chunks: results (query_row, query_id, vec_id, score)."""
+    """Over rows of one part of a shard's visits after another, its blocks first, then query chunks: results (query_row, query_id, vec_id, score)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, blocks, low, high = None, [], [], []
+        visited, blocks, low, high = None, [], [], []
         for batch in batches:
             for row in batch.to_pylist():
-                if row["shard"] != shard:
-                    shard, blocks, low, high = row["shard"], [], [], []
+                if (row["shard"], row["part"]) != visited:
+                    visited, blocks, low, high = (row["shard"], row["part"]), [], [], []
                 vectors = _vectors(row["vectors"], row["n"], row["wide"])
                 numbers, ids = (np.frombuffer(row[x], np.int64) for x in ("rows", "ids"))
                 if row["kind"] == 0:
@@ -248,9 +253,14 @@ def top_k(vectors: DataFrame, *, k: int = 5, every: int = 50, id: str = "vec_id"
         return pd.Series(out, dtype=object)
 
     travel = asked.withColumn("group", salts(n_groups)).join(summary, "group")
-    travel = travel.withColumn("to", F.explode(reach("shard", "n", "wide", "vectors", "kth", "shards", "lows", "highs")))
-    travel = travel.select("kind", F.col("to").alias("shard"), *[F.col(x) for x in asked.columns if x not in ("kind", "shard")])
-    both = blocks.unionByName(travel).repartition(n_shards, "shard").sortWithinPartitions("shard", "kind", "nth")
+    routes = travel.select(F.col("shard").alias("home"), F.explode(reach("shard", "n", "wide", "vectors", "kth", "shards", "lows", "highs")).alias("shard"))
+    routes = written(routes, "topk-routes")
+    visits = routes.groupBy("shard").agg(F.ceil(F.count("*") / VISITS).cast("int").alias("parts"))
+    n_visits = visits.agg(F.sum("parts")).first()[0] or 1
+    copies = visits.select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    routes = routes.join(visits, "shard").select("home", "shard", F.pmod(F.xxhash64("home"), F.col("parts")).cast("int").alias("part"))
+    chunks = asked.withColumnRenamed("shard", "home").join(routes, "home").drop("home")
+    both = blocks.join(copies, "shard").unionByName(chunks).repartition(n_visits, "shard", "part").sortWithinPartitions("shard", "part", "kind", "nth")
     away = both.mapInArrow(visit(k), "query_row long, query_id long, vec_id long, score long")
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -436,11 +436,12 @@ def brute_top(data, k, every):
     return sorted(out)
 
 
-@pytest.mark.parametrize("group", [1024, 2])
-def test_top_k(spark, monkeypatch, group):
+@pytest.mark.parametrize("group, visits", [(1024, 256), (2, 1), (1024, 2)])
+def test_top_k(spark, monkeypatch, group, visits):
     monkeypatch.setattr(topk, "SHARD", 150)
     monkeypatch.setattr(topk, "BLOCK", 20)
     monkeypatch.setattr(topk, "GROUP", group)
+    monkeypatch.setattr(topk, "VISITS", visits)
     good = vectors()
     good += [good[5], good[5], (good[5][0], good[6][1]), (100, good[7][1]), (100, good[8][1])]  # ids that repeat, with one vector and with others
     odd = [(2000, None), (2050, [1.0, None]), (2100, [float("nan")] * 10), (2150, [float("inf")] * 10), (None, [1.0] * 10), (2200, [])]
