@@ -12,7 +12,8 @@ sequences as the tokens need.  Then the sequences that shards leave underfull
 are dealt into groups of about as many pieces, and searched once more.
 
 Scale: texts become rows of five numbers before anything shuffles; full pieces
-never shuffle.  A shard is one bounded group, and so is a group of leftovers.
+never shuffle.  A shard is one bounded group, and so is a group of leftovers;
+each is searched in a task of its own (above ``TASKS`` they share evenly).
 
 Cases: null and empty texts are their end id alone; null ids and repeated rows
 are documents of their own; an empty table gives an empty result.
@@ -35,6 +36,8 @@ from cohortlens.llm.tokens import ENCODE_CHARS, encoder
 
 CAPACITY = 1024
 SHARD_PIECES = 8192
+#: Tasks that the shards are dealt to, by number: one shard each, up to so many.
+TASKS = 10_000
 #: How many times for each piece the search may look at another sequence (None: until no step is left).
 PROBES: int | None = None
 
@@ -299,14 +302,16 @@ def pack(pieces: DataFrame, *, length: str = "length", capacity: int = CAPACITY,
     full = rows.where(F.col("_length") >= capacity)
     full = full.select("_piece", (F.lit(1 << 62) + F.col("_row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     dealt = part.withColumn("_shard", spread(n_shards, "_row"))
-    placed = dealt.select("_shard", "_row", "_length").groupBy("_shard").applyInPandas(place, "_row long, _length long, sequence_id long, offset long, _fill long")
+    # few bytes but long to search: tasks by the shard's number, which neither share by chance nor are made fewer
+    dealt = dealt.select("_shard", "_row", "_length").repartitionById(min(n_shards, TASKS), F.col("_shard"))
+    placed = dealt.groupBy("_shard").applyInPandas(place, "_row long, _length long, sequence_id long, offset long, _fill long")
     if n_shards > 1:
         placed = written(placed, "packing-placed")
         left = placed.where(F.col("_fill") < capacity)
         n_groups = max(1, -(-left.count() // shard_pieces))
         left = left.withColumn("_group", spread(n_groups, "sequence_id")).select("_group", "_row", "_length", "sequence_id", "offset")
-        # few bytes but long to search: a number of partitions that is given isn't made smaller
-        again = left.repartition(n_groups, "_group").groupBy("_group").applyInPandas(place_again, "_row long, sequence_id long, offset long")
+        left = left.repartitionById(min(n_groups, TASKS), F.col("_group"))
+        again = left.groupBy("_group").applyInPandas(place_again, "_row long, sequence_id long, offset long")
         placed = placed.where(F.col("_fill") >= capacity).select("_row", "sequence_id", "offset").unionByName(again)
     part = part.join(placed.select("_row", "sequence_id", "offset"), "_row").select("_piece", "sequence_id", "offset")
     return full.unionByName(part).select(*[F.col("_piece").getField(c).alias(c) for c in columns], "sequence_id", "offset")

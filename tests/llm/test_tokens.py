@@ -184,7 +184,9 @@ def test_bins_after_the_emptiest_sixteen_may_give():
     assert before == {20: 10, 21: 9} and search.room != {**dict.fromkeys(range(20), 49), **before}
 
 
-def test_leftovers_of_shards_are_packed_together(spark):
+@pytest.mark.parametrize("tasks", [10_000, 3])
+def test_leftovers_of_shards_are_packed_together(spark, monkeypatch, tasks):
+    monkeypatch.setattr(packing, "TASKS", tasks)
     rng = np.random.default_rng(8)
     lengths = rng.integers(1, 500, 4000).tolist() + [1024, 1024]
     pieces = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, length long").repartition(3)
@@ -197,6 +199,12 @@ def test_leftovers_of_shards_are_packed_together(spark):
     assert bins <= least + 8  # 20 shards, each of which alone leaves part of a sequence
 
 
+def test_each_shard_has_a_task_of_its_own(spark):
+    pieces = spark.range(2000).selectExpr("id AS doc_id", "1 + id % 700 AS length")
+    plan = packing.pack(pieces, shard_pieces=200)._jdf.queryExecution().toString()
+    assert "shufflepartitionidpassthrough" in plan and "FlatMapGroupsInPandas" in plan
+
+
 def test_search_effort_is_bounded(monkeypatch):
     monkeypatch.setattr(packing, "PROBES", 0)
     lengths = [60, 50, 30, 20, 20, 20]
